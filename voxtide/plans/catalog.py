@@ -504,7 +504,8 @@ def event_flatten(spark, sf_dir):
     from voxtide.streaming import jobs as W
     raw = W.webhook_payloads(spark, sf_dir)
     parsed = raw.select(F.from_json("value", W.WEBHOOK_SCHEMA).alias("e")).select("e.*")
-    return W.flatten_work_created(parsed)
+    flat = W.flatten_work_created(parsed)
+    return flat.withColumn("event_ts", iso_ts(F.col("event_ts"))).withColumn("created_ts", iso_ts(F.col("created_ts")))
 
 
 # The registered names (``parse_limit`` etc. clash with helper names above).
