@@ -1,9 +1,181 @@
-"""Streaming queries of the catalogue (filled in below)."""
+"""Streaming queries of the catalogue.
+
+Each query lands input derived from the driver tables as files in a fresh
+folder under the checkpoint root, runs the streaming job with an
+``availableNow`` trigger (several micro-batches where ``maxFilesPerTrigger``
+is set), waits for it, and returns the sink read back as a DataFrame.  The SQL
+oracle is the batch result, so each check is "stream = batch".
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voxtide.functions.text import iso_ts
+from voxtide.operators.annotate import annotate_labels
+from voxtide.operators.timeline import active_entries
+from voxtide.plans import catalog as Q
+from voxtide.plans import oracle as O
+from voxtide.plans import review_job
+from voxtide.session import ensure_utc, scratch_path
+from voxtide.sources import views
+from voxtide.streaming import jobs as W
+
 STREAM_QUERIES: dict = {}
+REVIEW_SCHEMA = ("doc_id BIGINT, channel STRING, review_id STRING, title STRING, url STRING, author STRING, "
+                 "text STRING, rating BIGINT, score BIGINT, lang STRING, page BIGINT")
+TICKET_TIME_SCHEMA = "ticket_id STRING, channel STRING, tags ARRAY<STRUCT<id: STRING>>, created_at TIMESTAMP"
+EXPIRY_AS_OF = "2024-01-01 00:02:00"
+FILES = 4
+
+
+def stream_query(fn):
+    def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return fn(spark, sf_dir)
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    STREAM_QUERIES[fn.__name__] = wrapped
+    return wrapped
+
+
+def _run(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _commands(spark, sf_dir, events):
+    base = scratch_path(spark, f"stream-commands-{events}")
+    W.land_commands(spark, sf_dir, f"{base}/in", files=FILES)
+    out = f"{base}/out"
+    sink = W.batch_sink(out)
+    _run(W.command_stream(spark, f"{base}/in", lambda b, i: sink(b.select("event_id", "delivery_id", "n"), i),
+                          f"{base}/chk", events=events, max_files=1))
+    return spark.read.parquet(out)
+
+
+@stream_query
+def stream_commands(spark, sf_dir):
+    """Command events as a file stream; each parsed to its review limit."""
+    return _commands(spark, sf_dir, "all").select("event_id", "n")
+
+
+@stream_query
+def stream_first_event(spark, sf_dir):
+    """Only the first event of each delivery is handled."""
+    return _commands(spark, sf_dir, "first").select("event_id", "n")
+
+
+def _webhook_stream(spark, sf_dir, base, max_files=None):
+    """Webhook files as a stream.  The file source orders files by write time,
+    not event time, so a stream with a watermark reads them in one trigger."""
+    W.land_webhooks(spark, sf_dir, f"{base}/in")
+    r = spark.readStream.schema(W.WEBHOOK_SCHEMA).option("multiLine", True)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.json(f"{base}/in")
+
+
+@stream_query
+def stream_webhook(spark, sf_dir):
+    """Work-created webhook stream (JSON arrays) flattened per owner."""
+    base = scratch_path(spark, "stream-webhook")
+    flat = W.flatten_work_created(_webhook_stream(spark, sf_dir, base, max_files=2))
+    _run(flat.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
+    r = spark.read.parquet(f"{base}/out")
+    return r.withColumn("event_ts", iso_ts(F.col("event_ts"))).withColumn("created_ts", iso_ts(F.col("created_ts")))
+
+
+@stream_query
+def stream_dedupe(spark, sf_dir):
+    """Re-deliveries (same unique_key within the watermark) dropped."""
+    base = scratch_path(spark, "stream-dedupe")
+    s = _webhook_stream(spark, sf_dir, base).select(
+        F.col("payload.unique_key").alias("unique_key"),
+        F.try_to_timestamp(F.regexp_replace(F.col("payload.timestamp"), r"\s", "")).alias("event_ts"))
+    d = W.dedupe_deliveries(s, "unique_key", "1 hour")
+    _run(d.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{base}/out").select("unique_key")
+
+
+def _review_stream(spark, sf_dir) -> str:
+    base = scratch_path(spark, "stream-reviews")
+    views.reviews(spark, sf_dir).repartitionByRange(FILES, "doc_id").write.json(f"{base}/in")
+    answers = views.label_answers(spark, sf_dir)
+
+    def to_tickets(batch):
+        run = review_job.run_annotated(spark, annotate_labels(batch, answers))
+        return run.tickets, review_job.timeline_for(run.tickets, Q.CREATED_AT)
+
+    stream = spark.readStream.schema(REVIEW_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    _run(W.review_stream(stream, to_tickets, f"{base}/out", f"{base}/chk"))
+    return f"{base}/out"
+
+
+@stream_query
+def stream_tickets(spark, sf_dir):
+    """Review stream → tickets (+ timeline) per micro-batch."""
+    out = _review_stream(spark, sf_dir)
+    return Q._ticket_out(spark.read.parquet(f"{out}/tickets").drop("batch_id"))
+
+
+@stream_query
+def stream_expiry(spark, sf_dir):
+    """Timeline of the review stream, entries still visible two minutes
+    after creation (status messages have expired)."""
+    out = _review_stream(spark, sf_dir)
+    t = active_entries(spark.read.parquet(f"{out}/timeline"), F.lit(EXPIRY_AS_OF))
+    return t.select("entry_id", "object", "seq")
+
+
+@stream_query
+def stream_sentiment(spark, sf_dir):
+    """Hourly Positive / Negative shares per channel over a ticket stream
+    (ticket time = 2024-01-01 plus review id minutes)."""
+    base = scratch_path(spark, "stream-sentiment")
+    t = review_job.run_labels(spark, sf_dir).tickets
+    t = t.select("ticket_id", "channel", "tags",
+                 (F.lit(Q.CREATED_AT).cast("timestamp")
+                  + F.make_dt_interval(F.lit(0), F.lit(0), F.col("review_id").cast("int"))).alias("created_at"))
+    t.repartitionByRange(FILES, "created_at").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(TICKET_TIME_SCHEMA).parquet(f"{base}/in")
+    agg = W.sentiment_stream(stream, "1 hour", "1 hour").select(
+        F.col("window.start").alias("window_start"), "channel", "positive", "negative", "positive_pct")
+    _run(agg.writeStream.outputMode("update").foreachBatch(W.batch_sink(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
+    latest = W.latest_per_key(spark.read.parquet(f"{base}/out"), ["window_start", "channel"])
+    return latest.select(iso_ts(F.col("window_start")).alias("window_start"), "channel", "positive", "negative",
+                         "positive_pct")
 
 
 def stream_oracle() -> dict[str, str]:
-    return {}
+    o = O.build()
+    k = "json_extract_string(props, '$.k')"
+    params = (f"CASE event_id % 8 WHEN 0 THEN {k} WHEN 1 THEN '' WHEN 2 THEN {k} || 'abc' WHEN 3 THEN 'x' "
+              f"WHEN 4 THEN '  ' || {k} || ' ' WHEN 5 THEN ' -' || {k} WHEN 6 THEN NULL ELSE '+' || {k} END")
+    n = (f"coalesce(TRY_CAST(nullif(regexp_extract(coalesce(parameters, ''), '^\\s*([+-]?[0-9]+)', 1), '') "
+         f"AS BIGINT), 10)")
+    cmds = f"cmds AS (SELECT event_id, event_id // 4 AS delivery_id, {params} AS parameters FROM events)"
+    minutes = f"TIMESTAMP {O.s(Q.CREATED_AT)} + to_minutes(CAST(review_id AS BIGINT))"
+    return {
+        "stream_commands": f"WITH {cmds} SELECT event_id, {n} AS n FROM cmds",
+        "stream_first_event": (f"WITH {cmds} SELECT event_id, {n} AS n FROM (SELECT *, row_number() OVER "
+                               "(PARTITION BY delivery_id ORDER BY event_id) AS r FROM cmds) WHERE r = 1"),
+        "stream_webhook": o["event_flatten"],
+        "stream_dedupe": "SELECT DISTINCT 'key/' || CAST(event_id // 2 AS VARCHAR) AS unique_key FROM events",
+        "stream_tickets": o["tickets"],
+        "stream_expiry": (O.BASE + ", " + O._comments() + " SELECT sha256(object || '|' || CAST(seq AS VARCHAR)) "
+                          "AS entry_id, object, seq FROM comments"),
+        "stream_sentiment": (O.BASE + f", tt AS (SELECT *, {minutes} AS created_at FROM tickets) "
+                             f"SELECT {O.iso('time_bucket(INTERVAL 1 HOUR, created_at)')} AS window_start, channel, "
+                             "positive, negative, CASE WHEN positive + negative = 0 THEN 'NaN'::DOUBLE ELSE "
+                             "(CAST(positive AS DOUBLE) / (positive + negative)) * 100.0 END AS positive_pct FROM ("
+                             "SELECT time_bucket(INTERVAL 1 HOUR, created_at) AS created_at, channel, "
+                             "count(*) FILTER (WHERE tag_category = 'tag/Positive' OR tag_sentiment = 'tag/Positive') AS positive, "
+                             "count(*) FILTER (WHERE tag_category = 'tag/Negative' OR tag_sentiment = 'tag/Negative') AS negative "
+                             "FROM tt GROUP BY 1, 2)"),
+    }

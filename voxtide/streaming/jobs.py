@@ -184,7 +184,7 @@ def land_commands(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4
     c = views.commands(spark, sf_dir)
     c = c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts",
                  "parameters", "snap_in_id", "channel")
-    c.repartitionByRange(files, "event_id").write.mode("overwrite").json(out_dir)
+    c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
 
 
 def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 500) -> None:
