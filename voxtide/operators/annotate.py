@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from voxtide import constants as C
 from voxtide import schemas
-from voxtide.operators.joins import bounded_broadcast
+from voxtide.operators.joins import bounded_broadcast, local_table
 from voxtide.operators.outcomes import dead_letter
 from voxtide.session import materialize
 
@@ -84,7 +84,7 @@ def annotate_labels(reviews: DataFrame, answers: DataFrame, key: str = "doc_id")
 
 # -------------------------------------------------------------------------- N12
 def rules_df(spark, rows) -> DataFrame:
-    return spark.createDataFrame(rows, "token STRING, field STRING, value STRING, weight DOUBLE, rank INT")
+    return local_table(spark, rows, "token STRING, field STRING, value STRING, weight DOUBLE, rank INT")
 
 
 def annotate_rules(reviews: DataFrame, rules: DataFrame, key: str = "review_id",

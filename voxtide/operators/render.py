@@ -15,7 +15,8 @@ from voxtide import constants as C
 from voxtide.functions.text import falsy_or, spaces, tmpl
 
 
-def _by_channel(values: dict[str, Column], channel: Column = F.col("channel")) -> Column:
+def _by_channel(values: dict[str, Column], channel: Column | None = None) -> Column:
+    channel = F.col("channel") if channel is None else channel
     expr = None
     for ch, v in values.items():
         expr = F.when(channel == ch, v) if expr is None else expr.when(channel == ch, v)

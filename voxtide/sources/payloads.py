@@ -21,7 +21,7 @@ _CANON = schemas.REVIEW_COLUMNS
 
 
 def _envelope_schema(channel: str) -> str:
-    return f"STRUCT<{C.ENVELOPE[channel]}: ARRAY<STRUCT<{schemas.PAYLOAD_ITEM[channel]}>>>"
+    return f"STRUCT<{C.ENVELOPE[channel]}: ARRAY<STRUCT<{schemas.PAYLOAD_ITEM[channel]}>>, _corrupt: STRING>"
 
 
 def _unwrap(raw: DataFrame, channel: str) -> tuple[DataFrame, DataFrame]:
@@ -29,13 +29,15 @@ def _unwrap(raw: DataFrame, channel: str) -> tuple[DataFrame, DataFrame]:
     key = C.ENVELOPE[channel]
     parsed = (raw.where(F.col("channel") == channel)
                  .select("channel", "page", "payload",
-                         F.from_json("payload", _envelope_schema(channel)).alias("p")))
+                         F.from_json("payload", _envelope_schema(channel),
+                                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("p")))
     items = parsed.where(F.col(f"p.{key}").isNotNull())
     bad = parsed.where(F.col(f"p.{key}").isNull())
     dead = dead_letter(
         bad, "source",
         F.concat_ws(":", F.col("channel"), F.col("page").cast("string")),
-        F.when(F.col("p").isNull(), F.lit("malformed_payload")).otherwise(F.lit("missing_envelope")),
+        F.when(F.col("p").isNull() | F.col("p._corrupt").isNotNull(), F.lit("malformed_payload"))
+         .otherwise(F.lit("missing_envelope")),
         F.col("payload"),
     )
     exploded = items.select("channel", "page", F.explode(f"p.{key}").alias("r"))

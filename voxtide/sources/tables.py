@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxtide import constants as C
 from voxtide import schemas
+from voxtide.operators.joins import local_table
 
 
 def tags_df(spark: SparkSession) -> DataFrame:
@@ -15,7 +16,7 @@ def tags_df(spark: SparkSession) -> DataFrame:
     Fixed size (11 rows), so joins against it are always broadcast.
     """
     rows = [(n, d, C.TAG_ID_PREFIX + n) for n, d in C.TAGS]
-    return spark.createDataFrame(rows, "name STRING, description STRING, id STRING")
+    return local_table(spark, rows, "name STRING, description STRING, id STRING")
 
 
 def tag_id(name: str) -> str:
@@ -34,8 +35,8 @@ def config_df(spark: SparkSession, rows=None) -> DataFrame:
             C.SUBCAT_LABEL_PLAIN if channel == "product" else C.SUBCAT_LABEL,
             channel in C.CHART_CHANNELS,
         ))
-    return spark.createDataFrame(
-        full,
+    return local_table(
+        spark, full,
         "channel STRING, company STRING, default_part_id STRING, default_owner_id STRING, "
         "llm_model STRING, title_prefix STRING, body_indent_a INT, body_indent_b INT, "
         "insight_indent INT, subcat_label STRING, has_chart BOOLEAN",
@@ -43,12 +44,12 @@ def config_df(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def allowed_models_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(m,) for m in C.ALLOWED_MODELS], "llm_model STRING")
+    return local_table(spark, [(m,) for m in C.ALLOWED_MODELS], "llm_model STRING")
 
 
 def sub_category_rules_df(spark: SparkSession) -> DataFrame:
     rows = [(c, s) for c, subs in C.SUB_CATEGORY_RULES.items() for s in subs]
-    return spark.createDataFrame(rows, "category STRING, sub_category STRING")
+    return local_table(spark, rows, "category STRING, sub_category STRING")
 
 
 def scan_tickets(spark: SparkSession, path: str) -> DataFrame:
