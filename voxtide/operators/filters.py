@@ -35,7 +35,7 @@ def check_model(config: DataFrame, allowed: DataFrame, column: str = "llm_model"
                 ) -> tuple[DataFrame, DataFrame]:
     """split rows by membership of ``column`` in the allow-list table
     (semi / anti join against a broadcast one-column table)."""
-    a = bounded_broadcast(allowed.select(F.col(allowed.columns[0]).alias(column)).distinct())
+    a = bounded_broadcast(allowed.select(F.col(allowed.columns[0]).alias(column)))
     return config.join(a, column, "left_semi"), config.join(a, column, "left_anti")
 
 

@@ -20,6 +20,7 @@ from voxtide.operators.annotate import Completer, annotate, parse_summary
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import union_all
 from voxtide.operators.render import render_summary_prompt
+from voxtide.session import materialize
 from voxtide.sources.tables import tag_id
 
 
@@ -100,14 +101,19 @@ def _local_offsets(by: list[str], length: str):
 
 
 def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
     """Cut each group's texts (ordered by ``order``) into chunks whose running
     character offset falls in ``[c*max_chars, (c+1)*max_chars)``.
 
     Distributed prefix sum: range-partition on (group, order) so a hot group
     spans many tasks; each task sums locally (Arrow batches); the per-task
-    group totals (at most partitions + groups rows, size-checked broadcast)
-    give each task its offset.  No task ever holds a whole group.
+    group totals give each task its offset.  No task ever holds a whole group.
+
+    The totals table has at most ``partitions + groups - 1`` rows (range
+    partitions hold contiguous groups).  With ``max_groups`` given, that bound
+    is proven and the table is broadcast; without it the planner / AQE decide
+    from runtime sizes.  The locally summed rows are written once under the
+    checkpoint root, so the input is shuffled once and the lineage is cut.
     """
     by, order = list(by), list(order)
     spark = df.sparkSession
@@ -117,12 +123,15 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
     ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = ranged.mapInPandas(_local_offsets(by, "_len"), schema)
+    # Written once: the totals pass then reads only (_pid, group, _len) columns
+    # instead of shuffling the input a second time.
+    local = materialize(ranged.mapInPandas(_local_offsets(by, "_len"), schema), "chunk-local")
     totals = local.groupBy("_pid", *by).agg(F.sum("_len").alias("_tot"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *by, F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
-    joined = local.join(bounded_broadcast(offsets), ["_pid", *by], "left") if by else \
-        local.join(bounded_broadcast(offsets), ["_pid"], "left")
+    if max_groups is not None:
+        offsets = bounded_broadcast(offsets, known_rows=n + max_groups - 1)
+    joined = local.join(offsets, ["_pid", *by], "left")
     start = F.col("_off") + F.col("_local")
     return joined.withColumn("chunk", F.floor(start / F.lit(max_chars)).cast("bigint")) \
                  .withColumn("chunk_start", start) \
@@ -130,12 +139,12 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
 
 
 def join_texts(df: DataFrame, by, order, text: str, max_chars: int,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
     """A5 (re-aimed for any size): texts joined with ',' (NULL as '') per
     ``(group, chunk)``, in ``order``.  Each output row is bounded by
     ``max_chars`` plus one text."""
     by, order = list(by), list(order)
-    ch = assign_chunks(df, by, order, text, max_chars, partitions)
+    ch = assign_chunks(df, by, order, text, max_chars, partitions, max_groups)
     item = F.struct(*[F.col(c) for c in order], F.coalesce(F.col(text), F.lit("")).alias("_t"))
     g = ch.groupBy(*by, "chunk").agg(F.count(F.lit(1)).alias("n_items"),
                                      F.array_sort(F.collect_list(item)).alias("_items"))
@@ -143,10 +152,24 @@ def join_texts(df: DataFrame, by, order, text: str, max_chars: int,
                     F.array_join(F.transform("_items", lambda x: x["_t"]), ",").alias("text"))
 
 
+def group_bound(by) -> int | None:
+    """Upper bound on the number of groups for keys with a known domain:
+    channels are the canonical five, sentiments are tag names (resolve_tags
+    keeps no other).  None for any other key."""
+    size = {"channel": len(C.CHANNELS), "sentiment": len(C.TAGS)}
+    if not set(by) <= set(size):
+        return None
+    out = 1
+    for k in by:
+        out *= size[k]
+    return out
+
+
 def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
                 max_chars: int = C.SUMMARY_CHUNK_CHARS) -> DataFrame:
-    """A5: ticket bodies per group, comma-joined in ticket order, chunked."""
-    return join_texts(tickets, by, ("ticket_id", "body"), "body", max_chars)
+    """A5: ticket bodies per group, comma-joined in ticket order, chunked.
+    Groups are channel x sentiment tag: at most channels x tag names."""
+    return join_texts(tickets, by, ("ticket_id", "body"), "body", max_chars, max_groups=group_bound(by))
 
 
 def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentiment"),
@@ -161,13 +184,14 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
     (summary per group, dead letters).
     """
     by = list(by)
+    max_groups = group_bound(by)
     pct_by = [c for c in by if c == "channel"]
     pct = sentiment_pct(tickets, by=pct_by).select(*pct_by, "positive_pct")
     items = tickets.select(*by, F.col("ticket_id").alias("_ord"), F.col("body").alias("_text"))
     deads = []
     result = None
     for level in range(max_levels):
-        chunks = join_texts(items, by, ["_ord"], "_text", max_chars, partitions)
+        chunks = join_texts(items, by, ["_ord"], "_text", max_chars, partitions, max_groups)
         chunks = chunks.withColumn("chunk_key", F.concat_ws("|", *[F.col(c) for c in by],
                                                            F.lit(str(level)), F.col("chunk").cast("string")))
         if pct_by:
@@ -179,6 +203,7 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
         answered = annotate(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt"), completer,
                             partitions=partitions)
         parsed, dead = parse_summary(answered.drop("completion", "prompt_key", "prompt"), key="chunk_key")
+        parsed = materialize(parsed, f"summary-level{level}")   # one row per chunk; cuts lineage
         deads.append(dead)
         per_group = parsed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
         if per_group is None or per_group <= 1:

@@ -52,7 +52,7 @@ def build_tickets(resolved: DataFrame, config: DataFrame) -> tuple[DataFrame, Da
     store; such rows go to dead letters (stage ``ticket``).
     Returns (tickets, dead letters).
     """
-    cfg = F.broadcast(config.select("channel", "default_part_id", "default_owner_id"))
+    cfg = bounded_broadcast(config.select("channel", "default_part_id", "default_owner_id"))
     j = resolved.join(cfg, "channel", "left")
     if "severity_norm" not in j.columns:
         j = j.withColumn("severity_norm", F.lower(F.trim(F.col("severity"))))
@@ -124,21 +124,26 @@ def comment_bodies() -> Column:
     return F.filter(bodies, lambda b: b.isNotNull())
 
 
-def detail_comments(tickets: DataFrame, created_at: Column | None = None) -> DataFrame:
-    """K3/K5: 5 timeline comments per ticket (6 with the chart comment on the
-    app-store and domain channels), ``seq`` 1..6 in posting order.  A narrow
-    ``posexplode``; no shuffle."""
-    created_at = created_at if created_at is not None else F.lit(None).cast("timestamp")
-    x = tickets.select("ticket_id", F.posexplode(comment_bodies()).alias("pos", "body"))
-    seq = (F.col("pos") + 1).cast("bigint")
-    return x.select(
-        F.sha2(F.concat_ws("|", F.col("ticket_id"), seq.cast("string")), 256).alias("entry_id"),
-        F.col("ticket_id").alias("object"),
-        "body",
+def comment_entry(ticket_id: Column, body: Column, pos: Column, created_at: Column) -> Column:
+    """One detail comment as a timeline-entry struct (``seq`` = pos + 1)."""
+    seq = (pos + 1).cast("bigint")
+    return F.struct(
+        F.sha2(F.concat_ws("|", ticket_id, seq.cast("string")), 256).alias("entry_id"),
+        ticket_id.alias("object"),
+        body.alias("body"),
         F.lit(C.BODY_TYPE).alias("body_type"),
         F.lit(C.ENTRY_TYPE).alias("type"),
         F.lit(C.VISIBILITY).alias("visibility"),
         F.lit(None).cast("timestamp").alias("expires_at"),
         seq.alias("seq"),
-        created_at.alias("updated_at"),
+        created_at.cast("timestamp").alias("updated_at"),
     )
+
+
+def detail_comments(tickets: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """K3/K5: 5 timeline comments per ticket (6 with the chart comment on the
+    app-store and domain channels), ``seq`` 1..6 in posting order.  A narrow
+    explode; no shuffle."""
+    created_at = created_at if created_at is not None else F.lit(None).cast("timestamp")
+    entries = F.transform(comment_bodies(), lambda b, i: comment_entry(F.col("ticket_id"), b, i, created_at))
+    return tickets.select(F.explode(entries).alias("e")).select("e.*")

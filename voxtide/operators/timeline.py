@@ -17,16 +17,14 @@ def _lit_or_col(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def status_messages(tickets: DataFrame, app_object, created_at, ttl_min: int = C.STATUS_TTL_MINUTES
-                    ) -> DataFrame:
-    """K2: one status message per ticket on the app object, visible for
-    ``ttl_min`` minutes after ``created_at`` (a parameter, never the clock)."""
+def status_entry(tickets: DataFrame, app_object, created_at, ttl_min: int = C.STATUS_TTL_MINUTES) -> Column:
+    """K2 as a timeline-entry struct for the ticket of the current row."""
     created = _lit_or_col(created_at).cast("timestamp")
     head = F.concat(F.lit("Created ticket: <"), F.col("ticket_id"), F.lit("> and it "))
     body = F.when(F.col("category") != F.lit(C.FALLBACK_CATEGORY),
                   F.concat(head, F.lit("is categorized as "), tmpl("category"))
                   ).otherwise(F.concat(head, F.lit("failed to be categorized")))
-    return tickets.select(
+    return F.struct(
         F.sha2(F.concat_ws("|", F.lit("status"), F.col("ticket_id")), 256).alias("entry_id"),
         _lit_or_col(app_object).alias("object"),
         body.alias("body"),
@@ -39,6 +37,13 @@ def status_messages(tickets: DataFrame, app_object, created_at, ttl_min: int = C
     )
 
 
+def status_messages(tickets: DataFrame, app_object, created_at, ttl_min: int = C.STATUS_TTL_MINUTES
+                    ) -> DataFrame:
+    """K2: one status message per ticket on the app object, visible for
+    ``ttl_min`` minutes after ``created_at`` (a parameter, never the clock)."""
+    return tickets.select(status_entry(tickets, app_object, created_at, ttl_min).alias("e")).select("e.*")
+
+
 def upsert_timeline(existing: DataFrame, updates: DataFrame) -> DataFrame:
     """K4: latest version per ``entry_id`` (by ``updated_at``, then ``seq``).
 

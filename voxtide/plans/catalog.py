@@ -20,6 +20,7 @@ from voxtide.operators import filters as FL
 from voxtide.operators import summary as A
 from voxtide.operators import tickets as K
 from voxtide.operators import timeline as TL
+from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.render import render_chat, render_prompt, template_expr, title_expr
 from voxtide.plans import review_job
 from voxtide.session import ensure_utc, materialize
@@ -110,6 +111,7 @@ def tag_usage(spark, sf_dir):
     t = review_job.run_labels(spark, sf_dir).tickets
     used = t.select(F.explode("tags").alias("t")).groupBy(F.col("t.id").alias("id")).agg(
         F.count(F.lit(1)).alias("n_tickets"))
+    # ``used`` has one row per tag id, and ids come from the 11-entry dictionary.
     return (tags_df(spark).join(F.broadcast(used), "id", "left")
             .select("name", "description", "id", F.coalesce("n_tickets", F.lit(0)).alias("n_tickets")))
 
@@ -214,7 +216,7 @@ def strip_links_q(spark, sf_dir):
 
 
 def _with_company(spark, sf_dir):
-    cfg = F.broadcast(config_df(spark).select("channel", "company"))
+    cfg = bounded_broadcast(config_df(spark).select("channel", "company"))
     return views.reviews(spark, sf_dir).join(cfg, "channel", "left")
 
 
@@ -455,7 +457,7 @@ def summary_chunks(spark, sf_dir):
     t = review_job.run_labels(spark, sf_dir).tickets
     j = A.join_bodies(t, max_chars=CHUNK_CHARS)
     pct = A.sentiment_pct(t, by=("channel",)).select("channel", "positive_pct")
-    p = render_summary_prompt(j.join(F.broadcast(pct), "channel", "left"), F.col("positive_pct"))
+    p = render_summary_prompt(j.join(bounded_broadcast(pct), "channel", "left"), F.col("positive_pct"))
     return p.select("channel", "sentiment", "chunk", "n_items", "positive_pct", *_text_cols("prompt", "prompt"))
 
 
@@ -473,7 +475,7 @@ def summary_report(spark, sf_dir):
     t = review_job.run_labels(spark, sf_dir).tickets
     s, _ = A.summarise(t, completers.digest_completer, by=("channel",), max_chars=SUMMARY_CHARS)
     pct = A.sentiment_pct(t, by=("channel",))
-    s = materialize(s, "summary").join(F.broadcast(pct), "channel", "left")
+    s = materialize(s, "summary").join(bounded_broadcast(pct), "channel", "left")
     return TL.summary_report(s, F.concat(F.lit("app/"), F.col("channel"))).select("channel", "seq", "body")
 
 
