@@ -88,3 +88,24 @@ def test_upsert_latest_and_expiry(spark):
     act = active_entries(upsert_timeline(old, upd), F.lit("2024-01-02 00:00:30"))
     assert act.count() == 2
     assert active_entries(upsert_timeline(old, upd), F.lit("2024-01-02 00:01:00")).count() == 1
+
+
+def test_counts_follow_tags_not_sentiment_field(spark):
+    """A ticket whose category is the Positive tag and whose sentiment is
+    Negative counts in both shares."""
+    rows = [("t1", "a", "Negative", "b", "Positive", [{"id": "tag/Positive"}, {"id": "tag/Negative"}]),
+            ("t2", "a", "Positive", "b", "bug", [{"id": "tag/bug"}, {"id": "tag/Positive"}])]
+    r = A.sentiment_pct(spark.createDataFrame(rows, TICKETS)).first()
+    assert (r.positive, r.negative) == (2, 1)
+    assert abs(r.positive_pct - (2 / 3) * 100) < 1e-12
+
+
+def test_write_timeline_appends(spark, tmp_path):
+    from voxtide.operators.timeline import write_timeline
+    cols = "entry_id STRING, object STRING, body STRING, body_type STRING, type STRING, visibility STRING, " \
+           "expires_at TIMESTAMP, seq BIGINT, updated_at TIMESTAMP"
+    e = spark.createDataFrame([("e1", "o", "b", "text", "timeline_comment", "internal", None, 1, None)], cols)
+    path = str(tmp_path / "timeline")
+    write_timeline(e, path)
+    write_timeline(e, path)
+    assert spark.read.parquet(path).count() == 2

@@ -63,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         key = sc.applicationId
         root = _LOCAL_FALLBACK.get(key)
         if root is None:
