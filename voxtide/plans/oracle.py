@@ -250,7 +250,7 @@ def _webhook_rows() -> str:
     'work/' || CAST(event_id AS VARCHAR) AS work_id, 'TKT-' || CAST(event_id AS VARCHAR) AS display_id,
     'Event ' || CAST(event_id AS VARCHAR) AS title, {sev} AS severity, event_type AS stage,
     CAST(event_id % 4 AS BIGINT) AS stage_ordinal, 'part/' || CAST(user_id % 5 AS VARCHAR) AS part_id,
-    'user/' || CAST(user_id AS VARCHAR) AS created_by, 'app/' || CAST(user_id % 5 AS VARCHAR) AS snap_in_id,
+    'user/' || CAST(user_id AS VARCHAR) AS created_by, 'app/' || CAST(user_id % 5 AS VARCHAR) AS app_id,
     {iso('ts')} AS event_ts, {iso('ts')} AS created_ts"""
     return (f"{base}, 'user/' || CAST(user_id AS VARCHAR) AS owner_id FROM events UNION ALL "
             f"{base}, 'user/' || CAST((user_id + 1) % 150 AS VARCHAR) FROM events WHERE event_id % 2 = 0")

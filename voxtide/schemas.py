@@ -61,7 +61,7 @@ DEAD_LETTER = "stage STRING, key STRING, reason STRING, raw STRING"
 # Command event (fields the jobs read).
 COMMAND_EVENT = (
     "payload STRUCT<parameters: STRING>, "
-    "context STRUCT<snap_in_id: STRING>, "
+    "context STRUCT<app_id: STRING>, "
     "input_data STRUCT<global_values: MAP<STRING, STRING>, "
     "resources: STRUCT<tags: MAP<STRING, STRUCT<id: STRING>>>>"
 )
@@ -78,7 +78,7 @@ WEBHOOK_EVENT = (
     f"id: STRING, id_v1: STRING, owned_by: ARRAY<{_USER}>, severity: STRING, "
     "stage: STRUCT<name: STRING, ordinal: INT>, state: STRING, stock_schema_fragment: STRING, "
     "title: STRING, type: STRING>>>, "
-    "context STRUCT<dev_oid: STRING, automation_id: STRING, source_id: STRING, snap_in_id: STRING, "
-    "snap_in_version_id: STRING>, "
+    "context STRUCT<org_id: STRING, automation_id: STRING, source_id: STRING, app_id: STRING, "
+    "app_version_id: STRING>, "
     "execution_metadata STRUCT<endpoint: STRING>"
 )

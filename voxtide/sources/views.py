@@ -118,7 +118,7 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "user_id", "event_type",
         params.alias("parameters"),
         pick(C.CHANNELS, F.col("user_id") % 5).alias("channel"),
-        F.concat(F.lit("app/"), (F.col("user_id") % 5).cast("string")).alias("snap_in_id"),
+        F.concat(F.lit("app/"), (F.col("user_id") % 5).cast("string")).alias("app_id"),
         k.cast("bigint").alias("k"),
     )
 

@@ -23,7 +23,7 @@ from voxtide.sources.tables import tag_id
 
 WEBHOOK_SCHEMA = schemas.WEBHOOK_EVENT
 COMMAND_SCHEMA = ("event_id BIGINT, delivery_id BIGINT, ts TIMESTAMP, parameters STRING, "
-                  "snap_in_id STRING, channel STRING")
+                  "app_id STRING, channel STRING")
 
 
 # ------------------------------------------------------------------ W1, W2
@@ -77,7 +77,7 @@ def flatten_work_created(events: DataFrame) -> DataFrame:
         w["applies_to_part"]["id"].alias("part_id"),
         w["created_by"]["id"].alias("created_by"),
         F.try_to_timestamp(F.regexp_replace(w["created_date"], r"\s", "")).alias("created_ts"),
-        F.col("context.snap_in_id").alias("snap_in_id"),
+        F.col("context.app_id").alias("app_id"),
         F.explode_outer(w["owned_by"]).alias("owner"),
     )
     return x.withColumn("owner_id", F.col("owner.id")).drop("owner")
@@ -174,7 +174,7 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("key/"), F.floor(F.col("event_id") / 2).cast("string")).alias("unique_key"),
         F.struct(work.alias("work")).alias("work_created"),
     )
-    ctx = F.struct(F.concat(F.lit("app/"), (uid % 5).cast("string")).alias("snap_in_id"))
+    ctx = F.struct(F.concat(F.lit("app/"), (uid % 5).cast("string")).alias("app_id"))
     return ev.select(F.col("event_id"), F.col("ts"),
                      F.to_json(F.struct(payload.alias("payload"), ctx.alias("context"))).alias("value"))
 
@@ -183,7 +183,7 @@ def land_commands(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4
     """Land command events as JSON-lines files (deliveries of four events)."""
     c = views.commands(spark, sf_dir)
     c = c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts",
-                 "parameters", "snap_in_id", "channel")
+                 "parameters", "app_id", "channel")
     c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
 
 
