@@ -31,6 +31,15 @@ def relevance_filter(annotated: DataFrame, mode: str = "observed") -> DataFrame:
     raise ValueError(f"unknown relevance mode {mode!r}")
 
 
+def mark_allowed(config: DataFrame, allowed: DataFrame, column: str = "llm_model") -> DataFrame:
+    """F6 in one pass: ``accepted`` = whether ``column`` is in the allow-list
+    (left join against the broadcast one-column table)."""
+    a = bounded_broadcast(allowed.select(F.col(allowed.columns[0]).alias(column),
+                                         F.lit(True).alias("_allowed")).dropDuplicates([column]))
+    j = config.join(a, column, "left")
+    return j.withColumn("accepted", F.coalesce(F.col("_allowed"), F.lit(False))).drop("_allowed")
+
+
 def check_model(config: DataFrame, allowed: DataFrame, column: str = "llm_model"
                 ) -> tuple[DataFrame, DataFrame]:
     """split rows by membership of ``column`` in the allow-list table

@@ -118,8 +118,12 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
     by, order = list(by), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = by + order
-    base = df.withColumn("_len", F.length(F.coalesce(F.col(text), F.lit(""))).cast("bigint"))
+    # ``_salt`` is the last sort key: identical copies (same group and order
+    # key) still spread over range partitions.  Copies are interchangeable, so
+    # their relative order never changes a chunk's text.
+    keys = by + order + ["_salt"]
+    base = (df.withColumn("_len", F.length(F.coalesce(F.col(text), F.lit(""))).cast("bigint"))
+              .withColumn("_salt", F.rand(17)))
     ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
@@ -135,7 +139,7 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
     start = F.col("_off") + F.col("_local")
     return joined.withColumn("chunk", F.floor(start / F.lit(max_chars)).cast("bigint")) \
                  .withColumn("chunk_start", start) \
-                 .drop("_pid", "_local", "_off", "_len")
+                 .drop("_pid", "_local", "_off", "_len", "_salt")
 
 
 def join_texts(df: DataFrame, by, order, text: str, max_chars: int,

@@ -45,14 +45,15 @@ def status_messages(tickets: DataFrame, app_object, created_at, ttl_min: int = C
 
 
 def upsert_timeline(existing: DataFrame, updates: DataFrame) -> DataFrame:
-    """K4: latest version per ``entry_id`` (by ``updated_at``, then ``seq``).
+    """K4: latest version per ``entry_id`` (by ``updated_at``, then ``seq``;
+    ``body`` breaks exact ties so the result is deterministic).
 
     Written as ``max_by`` in a hash aggregate rather than a ranking window: the
     partial aggregate keeps one row per entry per map task, so an entry with a
     third of all versions still shuffles one row per task.
     """
     allv = existing.select(*TIMELINE_COLUMNS).unionByName(updates.select(*TIMELINE_COLUMNS))
-    order = F.struct(F.col("updated_at"), F.col("seq"))
+    order = F.struct(F.col("updated_at"), F.col("seq"), F.col("body"))
     latest = allv.groupBy("entry_id").agg(
         F.max_by(F.struct(*[c for c in TIMELINE_COLUMNS if c != "entry_id"]), order).alias("v"))
     return latest.select("entry_id", *[F.col(f"v.{c}").alias(c) for c in TIMELINE_COLUMNS if c != "entry_id"])

@@ -169,8 +169,8 @@ def _requested_models(spark, sf_dir):
 @query
 def model_allowlist(spark, sf_dir):
     """requested models checked against the allow-list."""
-    ok, bad = FL.check_model(_requested_models(spark, sf_dir), allowed_models_df(spark))
-    return ok.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False)))
+    return FL.mark_allowed(_requested_models(spark, sf_dir), allowed_models_df(spark)).select(
+        "event_id", "llm_model", "accepted")
 
 
 @query

@@ -153,8 +153,7 @@ def source_sql(channel: str) -> str:
     }[channel]
     rating = "rating" if channel == "appstore" else "CAST(NULL AS BIGINT) AS rating"
     return (with_(REVIEWS) + f"SELECT channel, {m}, md5(text) AS text_md5, length(text) AS text_len, "
-            f"{rating}, page FROM reviews WHERE channel = {s(channel)} "
-            f"AND page % {V.BROKEN_PAGE_EVERY} != {V.BROKEN_PAGE_EVERY - 1}")
+            f"{rating}, page FROM reviews WHERE channel = {s(channel)}")
 
 
 def _pct(p: str, n: str) -> str:
@@ -261,7 +260,7 @@ def build() -> dict[str, str]:
     for ch in C.CHANNELS:
         o[f"source_{ch}"] = source_sql(ch)
     o["source_dead_letters"] = (with_(REVIEWS) + "SELECT DISTINCT 'source' AS stage, channel || ':' || "
-                                f"CAST(page AS VARCHAR) AS key, 'missing_envelope' AS reason FROM reviews "
+                                f"CAST(-(page + 1) AS VARCHAR) AS key, 'missing_envelope' AS reason FROM reviews "
                                 f"WHERE page % {V.BROKEN_PAGE_EVERY} = {V.BROKEN_PAGE_EVERY - 1}")
     o["reviews_unified"] = " UNION ALL ".join(f"SELECT * FROM ({source_sql(c)})" for c in C.CHANNELS)
     tags_vals = "tagdim(name, description, id) AS (VALUES " + ", ".join(
@@ -340,8 +339,8 @@ def build() -> dict[str, str]:
                             f" SELECT entry_id, object, seq, 'text' AS body_type, 'timeline_comment' AS type, 'internal' AS visibility, "
                             f"{iso('updated_at')} AS updated_at FROM status UNION ALL SELECT sha256(object || '|' || CAST(seq AS VARCHAR)), "
                             f"object, seq, 'text', 'timeline_comment', 'internal', {iso(f'TIMESTAMP {s(Q.CREATED_AT)}')} FROM comments")
-    o["timeline_latest"] = (with_(_entries()) + f"SELECT entry_id, arg_max(seq, row(updated_at, seq)) AS seq, "
-                            f"arg_max(body, row(updated_at, seq)) AS body, {iso('max(updated_at)')} AS updated_at "
+    o["timeline_latest"] = (with_(_entries()) + f"SELECT entry_id, arg_max(seq, row(updated_at, seq, body)) AS seq, "
+                            f"arg_max(body, row(updated_at, seq, body)) AS body, {iso('max(updated_at)')} AS updated_at "
                             "FROM entries GROUP BY entry_id")
     o["active_entries"] = (with_(_entries()) + f"SELECT entry_id, seq, {iso('expires_at')} AS expires_at FROM entries "
                            f"WHERE expires_at IS NULL OR expires_at > TIMESTAMP {s(Q.AS_OF)}")

@@ -178,7 +178,9 @@ def land_pages(reviews: DataFrame, broken_every: int | None = None) -> DataFrame
 
     One page per ``(channel, page)``; a page holds a bounded number of reviews
     (the ``page`` column is assigned upstream), ordered by ``review_id``.  With
-    ``broken_every=n``, pages with ``page % n = n-1`` land without the envelope.
+    ``broken_every=n``, every page with ``page % n = n-1`` is followed by an
+    extra error response without the envelope (page number ``-(page+1)``), so
+    the dead-letter path sees data while every review still lands.
     """
     item = None
     for c in C.CHANNELS:
@@ -188,11 +190,14 @@ def land_pages(reviews: DataFrame, broken_every: int | None = None) -> DataFrame
     for c in C.CHANNELS:
         k = F.lit(C.ENVELOPE[c])
         key = F.when(F.col("channel") == c, k) if key is None else key.when(F.col("channel") == c, k)
-    if broken_every:
-        key = F.when(F.col("page") % broken_every == broken_every - 1, F.lit("error")).otherwise(key)
-    rows = reviews.select("channel", "page", key.alias("env"),
-                          F.struct("review_id", item.alias("j")).alias("it"))
-    pages = rows.groupBy("channel", "page", "env").agg(F.array_sort(F.collect_list("it")).alias("its"))
-    payload = F.concat(F.lit('{"'), F.col("env"), F.lit('":['),
+    rows = reviews.select("channel", "page", F.struct("review_id", item.alias("j")).alias("it"))
+    pages = rows.groupBy("channel", "page").agg(F.array_sort(F.collect_list("it")).alias("its"))
+    payload = F.concat(F.lit('{"'), key, F.lit('":['),
                        F.array_join(F.transform("its", lambda x: x["j"]), ","), F.lit("]}"))
-    return pages.select("channel", "page", payload.alias("payload"))
+    out = pages.select("channel", "page", payload.alias("payload"))
+    if broken_every:
+        errors = (out.where(F.col("page") % broken_every == broken_every - 1)
+                     .select("channel", (-(F.col("page") + 1)).alias("page"),
+                             F.lit('{"error":"rate limited"}').alias("payload")))
+        out = out.unionByName(errors)
+    return out

@@ -16,7 +16,7 @@ from voxtide.session import table_path
 
 # Reviews per landed page in the test payloads (bounds every page's size).
 PAGE_SIZE = 64
-# Every BROKEN_PAGE_EVERY-th page lands without its envelope (dead-letter path).
+# After every BROKEN_PAGE_EVERY-th page an extra error response lands (dead-letter path).
 BROKEN_PAGE_EVERY = 10
 
 # Vocabularies of the ready answers (test data only).

@@ -82,7 +82,7 @@ def _webhook_stream(spark, sf_dir, base, max_files=None):
 def stream_webhook(spark, sf_dir):
     """Work-created webhook stream (JSON arrays) flattened per owner."""
     base = scratch_path(spark, "stream-webhook")
-    flat = W.flatten_work_created(_webhook_stream(spark, sf_dir, base, max_files=2))
+    flat = W.flatten_work_created(_webhook_stream(spark, sf_dir, base, max_files=4))
     _run(flat.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
     r = spark.read.parquet(f"{base}/out")

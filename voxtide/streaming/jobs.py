@@ -187,7 +187,7 @@ def land_commands(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4
     c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
 
 
-def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 500) -> None:
+def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 5000) -> None:
     """Land webhook events as files that each hold one JSON array (read with
     ``multiLine``); each array holds at most ``per_file`` consecutive events."""
     w = webhook_payloads(spark, sf_dir)
