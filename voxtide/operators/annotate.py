@@ -24,7 +24,7 @@ from voxtide import constants as C
 from voxtide import schemas
 from voxtide.operators.joins import bounded_broadcast, local_table
 from voxtide.operators.outcomes import dead_letter
-from voxtide.session import materialize
+from voxtide.session import materialize, ship_package
 
 Completer = Callable[[list[str]], list]
 
@@ -58,6 +58,7 @@ def annotate(prompts: DataFrame, completer: Completer, partitions: int | None =
     readers see the same text.  The completion envelope is kept in
     ``completion``; ``answer`` is ``choices[0].text``.
     """
+    ship_package(prompts.sparkSession)
     keyed = prompts if "prompt_key" in prompts.columns else prompts.withColumn(
         "prompt_key", F.sha2(F.col(prompt_col), 256))
     distinct = keyed.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])

@@ -20,7 +20,7 @@ from voxtide.operators.annotate import Completer, annotate, parse_summary
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import union_all
 from voxtide.operators.render import render_summary_prompt
-from voxtide.session import materialize
+from voxtide.session import materialize, ship_package
 from voxtide.sources.tables import tag_id
 
 
@@ -117,6 +117,7 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
     """
     by, order = list(by), list(order)
     spark = df.sparkSession
+    ship_package(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # ``_salt`` is the last sort key: identical copies (same group and order
     # key) still spread over range partitions.  Copies are interchangeable, so

@@ -23,7 +23,7 @@ from voxtide.operators import timeline as TL
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.render import render_chat, render_prompt, template_expr, title_expr
 from voxtide.plans import review_job
-from voxtide.session import ensure_utc, materialize
+from voxtide.session import ensure_utc, materialize, ship_package
 from voxtide.sources import payloads as S
 from voxtide.sources import views
 from voxtide.sources.tables import (allowed_models_df, config_df, scan_tickets, sub_category_rules_df,
@@ -58,6 +58,7 @@ RULES = [
 def query(fn):
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
     wrapped.__name__ = fn.__name__
     wrapped.__doc__ = fn.__doc__

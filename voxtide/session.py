@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(master: str | None = None, app: str = "voxtide",
@@ -41,9 +42,25 @@ def build_session(master: str | None = None, app: str = "voxtide",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``voxtide`` importable in Python workers (pandas UDFs,
+    ``mapInPandas``): zip the package once per application and add it with
+    ``addPyFile``, Spark's own code-shipping path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="voxtide-code-")
+    archive = shutil.make_archive(os.path.join(out, "voxtide"), "zip", os.path.dirname(pkg), "voxtide")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Pin the session time zone; ISO renderings and `as_of` cut-offs depend on it."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

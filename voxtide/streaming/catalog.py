@@ -18,7 +18,7 @@ from voxtide.operators.timeline import active_entries
 from voxtide.plans import catalog as Q
 from voxtide.plans import oracle as O
 from voxtide.plans import review_job
-from voxtide.session import ensure_utc, scratch_path
+from voxtide.session import ensure_utc, scratch_path, ship_package
 from voxtide.sources import views
 from voxtide.streaming import jobs as W
 
@@ -33,6 +33,7 @@ FILES = 4
 def stream_query(fn):
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
     wrapped.__name__ = fn.__name__
     wrapped.__doc__ = fn.__doc__
