@@ -80,3 +80,31 @@ def test_command_events_first_per_delivery(spark):
     assert allv == {i: (5 if i % 2 else 10) for i in range(9)}
     first = sorted(r.event_id for r in command_events(df, "first").collect())
     assert first == [0, 3, 6]
+
+
+def test_read_events_batch_matches_flatten(spark, tmp_path):
+    """Landed JSON-array files read in batch with the explicit schema."""
+    from voxtide.sources.tables import read_events
+    from voxtide.streaming.jobs import flatten_work_created, land_webhooks
+    path = str(tmp_path / "hooks")
+    land_webhooks(spark, SF, path, per_file=300)
+    flat = flatten_work_created(read_events(spark, path))
+    n_events = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert flat.select("event_id").distinct().count() == n_events
+    assert flat.count() == n_events + (n_events + 1) // 2   # even events have two owners
+    assert flat.where("event_ts IS NULL OR created_ts IS NULL").count() == 0
+
+
+def test_rules_answer_flows_into_tickets(spark):
+    from voxtide.operators.annotate import annotate_rules, rules_answer, rules_df
+    from voxtide.operators.outcomes import split_outcomes
+    from voxtide.plans.catalog import RULES
+    from voxtide.sources import views
+    reviews = views.reviews(spark, SF)
+    ann = rules_answer(annotate_rules(reviews, rules_df(spark, RULES)))
+    joined = reviews.join(ann.select("review_id", "answer"), "review_id")
+    run = review_job.run_annotated(spark, joined)
+    assert run.tickets.count() > 0
+    good, dead = split_outcomes(run.tickets, F.col("category") != "failed_to_infer_category", "check",
+                                F.col("ticket_id"), "uncategorised", F.col("category"))
+    assert good.count() + dead.count() == run.tickets.count()
