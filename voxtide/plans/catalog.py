@@ -21,7 +21,7 @@ from voxtide.operators import summary as A
 from voxtide.operators import tickets as K
 from voxtide.operators import timeline as TL
 from voxtide.operators.joins import bounded_broadcast
-from voxtide.operators.render import render_chat, render_prompt, template_expr, title_expr
+from voxtide.operators.render import render_chat, render_prompt, title_expr
 from voxtide.plans import review_job
 from voxtide.session import ensure_utc, materialize, ship_package
 from voxtide.sources import payloads as S
