@@ -93,3 +93,26 @@ def test_payload_readers_edge_cases(spark):
     assert len(biz) == 2 and biz[0].review_id == biz[1].review_id  # equal reviews share a key, stay separate
     assert {(r.key, r.reason) for r in dead.collect()} == {("social:3", "missing_envelope"),
                                                            ("social:4", "malformed_payload")}
+
+
+def test_domain_first_page_only(spark):
+    raw = spark.createDataFrame([
+        ("domain", 1, json.dumps({"reviews": [{"title": "a", "text": "x"}]})),
+        ("domain", 2, json.dumps({"reviews": [{"title": "b", "text": "y"}]})),
+    ], "channel STRING, page BIGINT, payload STRING")
+    revs, _ = S.read_domain(raw, pages=[1])
+    assert [r.title for r in revs.collect()] == ["a"]
+    revs_all, _ = S.read_domain(raw)
+    assert revs_all.count() == 2
+
+
+def test_check_model_split(spark):
+    from voxtide.operators.filters import check_model, mark_allowed
+    from voxtide.sources.tables import allowed_models_df
+    cfg = spark.createDataFrame([("a", "mixtral-8x7b-instruct"), ("b", "gpt-x"), ("c", None)],
+                                "app STRING, llm_model STRING")
+    ok, bad = check_model(cfg, allowed_models_df(spark))
+    assert [r.app for r in ok.collect()] == ["a"]
+    assert sorted(r.app for r in bad.collect()) == ["b", "c"]
+    marked = {r.app: r.accepted for r in mark_allowed(cfg, allowed_models_df(spark)).collect()}
+    assert marked == {"a": True, "b": False, "c": False}
