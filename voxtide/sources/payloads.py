@@ -111,19 +111,25 @@ def unify(*dfs: DataFrame) -> DataFrame:
     return out.select(*_CANON)
 
 
-def _canon_item(channel: str, r) -> object:
-    """One payload item of ``channel`` as a canonical review struct."""
-    null_s = F.lit(None).cast("string")
-    sha = lambda *cs: F.sha2(F.concat_ws("|", *cs), 256)
-    f = {
-        "social": dict(review_id=r["tweet_id"], url=r["expanded_url"], text=r["text"]),
-        "appstore": dict(review_id=r["id"], title=r["title"], url=r["url"], text=r["text"], rating=r["rating"]),
-        "product": dict(review_id=r["review_id"], text=r["review_content"]),
-        "business": dict(review_id=sha(r["author"], r["comment"]), author=r["author"], text=r["comment"]),
-        "domain": dict(review_id=sha(r["title"], r["text"]), title=r["title"], text=r["text"]),
-    }[channel]
-    return F.struct(*[(f.get(c, F.lit(None).cast("bigint") if c == "rating" else null_s)).alias(c)
-                      for c in ("review_id", "title", "url", "author", "text", "rating")])
+# Canonical review fields per channel, as SQL over one payload item ``r``.
+_CANON_SQL = {
+    "social": {"review_id": "r.tweet_id", "url": "r.expanded_url", "text": "r.text"},
+    "appstore": {"review_id": "r.id", "title": "r.title", "url": "r.url", "text": "r.text", "rating": "r.rating"},
+    "product": {"review_id": "r.review_id", "text": "r.review_content"},
+    "business": {"review_id": "sha2(concat_ws('|', r.author, r.comment), 256)", "author": "r.author",
+                 "text": "r.comment"},
+    "domain": {"review_id": "sha2(concat_ws('|', r.title, r.text), 256)", "title": "r.title", "text": "r.text"},
+}
+
+
+def _canon_items_sql(channel: str) -> str:
+    """``transform`` of the channel's envelope array into canonical structs
+    (one SQL expression: a single call to build, compiled into codegen)."""
+    f = _CANON_SQL[channel]
+    fields = ", ".join(
+        f"'{c}', " + f.get(c, "CAST(NULL AS BIGINT)" if c == "rating" else "CAST(NULL AS STRING)")
+        for c in ("review_id", "title", "url", "author", "text", "rating"))
+    return f"transform(_p_{channel}.{C.ENVELOPE[channel]}, r -> named_struct({fields}))"
 
 
 def read_all(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -135,10 +141,7 @@ def read_all(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     ch = F.col("channel")
     parsed = raw.select("channel", "page", "payload", *[
         F.when(ch == c, F.from_json("payload", _envelope_schema(c), opts)).alias(f"_p_{c}") for c in C.CHANNELS])
-    def mapper(c):
-        return lambda r: _canon_item(c, r)
-
-    items = F.coalesce(*[F.transform(F.col(f"_p_{c}.{C.ENVELOPE[c]}"), mapper(c)) for c in C.CHANNELS])
+    items = F.expr("coalesce(" + ", ".join(_canon_items_sql(c) for c in C.CHANNELS) + ")")
     corrupt = F.coalesce(*[F.col(f"_p_{c}._corrupt") for c in C.CHANNELS])
     known = ch.isin(C.CHANNELS)
     x = parsed.select("channel", "page", "payload", items.alias("_items"), corrupt.alias("_bad"), known.alias("_known"))
@@ -194,10 +197,12 @@ def land_pages(reviews: DataFrame, broken_every: int | None = None) -> DataFrame
     pages = rows.groupBy("channel", "page").agg(F.array_sort(F.collect_list("it")).alias("its"))
     payload = F.concat(F.lit('{"'), key, F.lit('":['),
                        F.array_join(F.transform("its", lambda x: x["j"]), ","), F.lit("]}"))
-    out = pages.select("channel", "page", payload.alias("payload"))
-    if broken_every:
-        errors = (out.where(F.col("page") % broken_every == broken_every - 1)
-                     .select("channel", (-(F.col("page") + 1)).alias("page"),
-                             F.lit('{"error":"rate limited"}').alias("payload")))
-        out = out.unionByName(errors)
-    return out
+    real = F.struct("channel", "page", payload.alias("payload"))
+    if not broken_every:
+        return pages.select(real.alias("p")).select("p.*")
+    error = F.when(F.col("page") % broken_every == broken_every - 1,
+                   F.struct("channel", (-(F.col("page") + 1)).alias("page"),
+                            F.lit('{"error":"rate limited"}').alias("payload")))
+    # one pass: each page row yields itself and, every n-th page, an error response
+    both = F.filter(F.array(real, error), lambda x: x.isNotNull())
+    return pages.select(F.explode(both).alias("p")).select("p.*")

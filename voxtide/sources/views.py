@@ -44,30 +44,33 @@ def channel_of(source: Column) -> Column:
     return pick(C.CHANNELS, F.substring(source, 4, 100).cast("int") % 5)
 
 
+def _sql_pick(values: list[str], index: str) -> str:
+    return "CASE " + " ".join(f"WHEN {index} = {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical review rows built from ``documents``.
 
     title: NULL when doc_id%4=1, '' when doc_id%4=0, else 'Review <id>'.
     url: only for odd ids.  text gets a short link appended when doc_id%3=0.
+    (One ``selectExpr``: the whole projection is built in a single call.)
     """
     d = read_table(spark, sf_dir, "documents")
-    doc = F.col("doc_id")
-    sid = doc.cast("string")
-    return d.select(
-        doc.alias("doc_id"),
-        channel_of(F.col("source")).alias("channel"),
-        sid.alias("review_id"),
-        F.when(doc % 4 == 1, F.lit(None).cast("string"))
-         .when(doc % 4 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("Review "), sid)).alias("title"),
-        F.when(doc % 2 == 1, F.concat(F.lit("https://example.com/r/"), sid)).alias("url"),
-        F.concat(F.lit("user_"), (doc % 50).cast("string")).alias("author"),
-        F.when(doc % 3 == 0, F.concat(F.col("text"), F.lit(" " + C.LINK_PREFIX), sid))
-         .otherwise(F.col("text")).alias("text"),
-        (F.lit(1) + F.col("n_chars") % 5).cast("bigint").alias("rating"),
-        (F.col("n_chars") % 97).cast("bigint").alias("score"),
-        F.col("lang"),
-        F.floor(doc / PAGE_SIZE).cast("bigint").alias("page"),
+    channel = _sql_pick(C.CHANNELS, "CAST(substr(source, 4, 100) AS INT) % 5")
+    return d.selectExpr(
+        "doc_id",
+        f"{channel} AS channel",
+        "CAST(doc_id AS STRING) AS review_id",
+        "CASE WHEN doc_id % 4 = 1 THEN CAST(NULL AS STRING) WHEN doc_id % 4 = 0 THEN '' "
+        "ELSE concat('Review ', CAST(doc_id AS STRING)) END AS title",
+        "CASE WHEN doc_id % 2 = 1 THEN concat('https://example.com/r/', CAST(doc_id AS STRING)) END AS url",
+        "concat('user_', CAST(doc_id % 50 AS STRING)) AS author",
+        f"CASE WHEN doc_id % 3 = 0 THEN concat(text, ' {C.LINK_PREFIX}', CAST(doc_id AS STRING)) "
+        "ELSE text END AS text",
+        "CAST(1 + n_chars % 5 AS BIGINT) AS rating",
+        "CAST(n_chars % 97 AS BIGINT) AS score",
+        "lang",
+        f"CAST(floor(doc_id / {PAGE_SIZE}) AS BIGINT) AS page",
     )
 
 
