@@ -116,3 +116,31 @@ def test_check_model_split(spark):
     assert sorted(r.app for r in bad.collect()) == ["b", "c"]
     marked = {r.app: r.accepted for r in mark_allowed(cfg, allowed_models_df(spark)).collect()}
     assert marked == {"a": True, "b": False, "c": False}
+
+
+def test_webhook_event_with_spaced_created_date(spark, tmp_path):
+    """S7/W3 on a hand-written work-created event shaped like the one landed
+    fixture: a JSON array, nested owners, stray spaces in created_date."""
+    from voxtide.sources.tables import read_events
+    from voxtide.streaming.jobs import flatten_work_created
+    event = [{
+        "payload": {"id": "evt-1", "timestamp": "2023-04-03T14:14:30.336123Z", "type": "work_created",
+                    "unique_key": "k-1", "webhook_id": "hook-1",
+                    "work_created": {"work": {
+                        "applies_to_part": {"id": "part-1", "name": "Part", "type": "product"},
+                        "created_by": {"id": "user-1", "display_name": "Ann"},
+                        "created_date": "2023-04-03T14: 14: 30.336Z", "custom_fields": None,
+                        "display_id": "TKT-1", "id": "work-1",
+                        "owned_by": [{"id": "user-1"}, {"id": "user-2"}],
+                        "severity": "medium", "stage": {"name": "queued", "ordinal": 10},
+                        "state": "open", "title": "Title", "type": "ticket"}}},
+        "context": {"app_id": "app-1"},
+    }]
+    path = tmp_path / "events.json"
+    path.write_text(json.dumps(event, indent=2))
+    flat = flatten_work_created(read_events(spark, str(path))).orderBy("owner_id").collect()
+    assert [r.owner_id for r in flat] == ["user-1", "user-2"]
+    r = flat[0]
+    assert r.stage_ordinal == 10 and r.severity == "medium" and r.app_id == "app-1"
+    assert r.created_ts.isoformat().startswith("2023-04-03T14:14:30.336")
+    assert r.event_ts.isoformat().startswith("2023-04-03T14:14:30.336123")
