@@ -53,8 +53,8 @@ def annotate(prompts: DataFrame, completer: Completer, partitions: int | None =
              prompt_col: str = "prompt", persist: bool = True) -> DataFrame:
     """One completion per distinct prompt, joined back to every row.
 
-    Distinct prompts are inferred once (``prompt_key``); ``partitions`` sets the
-    request parallelism.  The answers are materialised so retries and later
+    Distinct prompts are inferred once (``prompt_key``, deduplicated map-side
+    first); ``partitions`` sets the request parallelism.  The answers are materialised so retries and later
     readers see the same text.  The completion envelope is kept in
     ``completion``; ``answer`` is ``choices[0].text``.
     """
@@ -62,8 +62,11 @@ def annotate(prompts: DataFrame, completer: Completer, partitions: int | None =
     keyed = prompts if "prompt_key" in prompts.columns else prompts.withColumn(
         "prompt_key", F.sha2(F.col(prompt_col), 256))
     distinct = keyed.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])
-    if partitions:
-        distinct = distinct.repartition(partitions, "prompt_key")
+    # Model calls are slow per row but small in bytes, so AQE would coalesce
+    # them into a few tasks; an explicit repartition fixes the call parallelism
+    # (default: one task per core of the cluster).
+    n = partitions or prompts.sparkSession.sparkContext.defaultParallelism
+    distinct = distinct.repartition(n, "prompt_key")
     done = distinct.select("prompt_key", completion_udf(completer)(F.col(prompt_col)).alias("completion"))
     if persist:
         done = materialize(done, "completions")
