@@ -110,14 +110,14 @@ def test_js_number(spark):
 
 def test_parse_limit_cases(spark):
     cases = [("", 10), ("  ", 10), ("5", 5), ("12abc", 12), (" -3", -3), ("x", 10), (None, 10), ("+7", 7),
-             ("99999999999999999999", 10)]
+             ("99999999999999999999", 10), ("\u00a0 7", 7), ("0x1A", 0)]
     df = spark.createDataFrame([(c,) for c, _ in cases], "p STRING")
     assert [r[0] for r in df.select(parse_limit(F.col("p"))).collect()] == [n for _, n in cases]
 
 
 def test_js_trim_and_strip_links(spark):
-    df = spark.createDataFrame([("\t a b \n",)], "s STRING")
-    assert df.select(js_trim(F.col("s"))).first()[0] == "a b"
+    df = spark.createDataFrame([("\t a b \n",), ("\u00a0\u2003x\ufeff",)], "s STRING")
+    assert [r[0] for r in df.select(js_trim(F.col("s"))).collect()] == ["a b", "x"]
     t = spark.createDataFrame([("see https://t.co/abc1 and https://t.co/x now https://example.com/q",)], "s STRING")
     assert t.select(strip_links(F.col("s"))).first()[0] == "see  and  now https://example.com/q"
 

@@ -20,9 +20,13 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Unicode-aware whitespace, as JS ``trim`` and ``parseInt`` skip it (incl. NBSP).
+_WS = r"[\p{IsWhite_Space}\x{FEFF}]"
+
+
 def js_trim(c) -> Column:
     """Strip leading/trailing whitespace (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(col_(c), rf"^{_WS}+|{_WS}+$", "")
 
 
 def tmpl(c) -> Column:
@@ -45,7 +49,7 @@ def parse_limit(c, default: int = C.DEFAULT_LIMIT) -> Column:
 
     '12abc' -> 12, ' -3' -> -3, '' / '  ' / 'x' / NULL -> ``default``.
     """
-    digits = F.regexp_extract(F.coalesce(col_(c), F.lit("")), r"^\s*([+-]?[0-9]+)", 1)
+    digits = F.regexp_extract(F.coalesce(col_(c), F.lit("")), rf"^{_WS}*([+-]?[0-9]+)", 1)
     return F.coalesce(F.nullif(digits, F.lit("")).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
