@@ -108,3 +108,19 @@ def test_rules_answer_flows_into_tickets(spark):
     good, dead = split_outcomes(run.tickets, F.col("category") != "failed_to_infer_category", "check",
                                 F.col("ticket_id"), "uncategorised", F.col("category"))
     assert good.count() + dead.count() == run.tickets.count()
+
+
+def test_annotate_store_only_infers_missing(spark, tmp_path):
+    import uuid
+
+    def random_answer(prompts):
+        return [json.dumps({"choices": [{"text": json.dumps({"Sentiments": "Positive",
+                                                             "insight": uuid.uuid4().hex})}]}) for _ in prompts]
+
+    store = str(tmp_path / "completions")
+    first = spark.createDataFrame([("r1", "a"), ("r2", "b")], "review_id STRING, prompt STRING")
+    a1 = {r.review_id: r.answer for r in annotate(first, random_answer, store=store).collect()}
+    more = spark.createDataFrame([("r1", "a"), ("r2", "b"), ("r3", "c")], "review_id STRING, prompt STRING")
+    a2 = {r.review_id: r.answer for r in annotate(more, random_answer, store=store).collect()}
+    assert a2["r1"] == a1["r1"] and a2["r2"] == a1["r2"] and a2["r3"] is not None
+    assert spark.read.parquet(store).count() == 3

@@ -24,7 +24,7 @@ from voxtide import constants as C
 from voxtide import schemas
 from voxtide.operators.joins import bounded_broadcast, local_table
 from voxtide.operators.outcomes import dead_letter
-from voxtide.session import materialize, ship_package
+from voxtide.session import materialize, path_exists, ship_package
 
 Completer = Callable[[list[str]], list]
 
@@ -50,30 +50,44 @@ def completion_udf(completer: Completer):
 
 
 def annotate(prompts: DataFrame, completer: Completer, partitions: int | None = None,
-             prompt_col: str = "prompt", persist: bool = True) -> DataFrame:
+             prompt_col: str = "prompt", persist: bool = True, store: str | None = None) -> DataFrame:
     """One completion per distinct prompt, joined back to every row.
 
     Distinct prompts are inferred once (``prompt_key``, deduplicated map-side
-    first); ``partitions`` sets the request parallelism.  The answers are materialised so retries and later
-    readers see the same text.  The completion envelope is kept in
-    ``completion``; ``answer`` is ``choices[0].text``.
+    first); ``partitions`` sets the request parallelism.  The answers are
+    materialised so retries and later readers see the same text.  With
+    ``store`` (a completions table ``prompt_key, completion``), prompts already
+    answered there are skipped (left anti join) and new answers are appended,
+    so a re-run only infers what is missing.  The completion envelope is kept
+    in ``completion``; ``answer`` is ``choices[0].text``.
     """
-    ship_package(prompts.sparkSession)
+    spark = prompts.sparkSession
+    ship_package(spark)
     keyed = prompts if "prompt_key" in prompts.columns else prompts.withColumn(
         "prompt_key", F.sha2(F.col(prompt_col), 256))
     distinct = keyed.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])
+    have = _read_store(spark, store) if store else None
+    if have is not None:
+        distinct = distinct.join(have.select("prompt_key"), "prompt_key", "left_anti")
     # Model calls are slow per row but small in bytes, so AQE would coalesce
     # them into a few tasks; an explicit repartition fixes the call parallelism
     # (default: one task per core of the cluster).
-    n = partitions or prompts.sparkSession.sparkContext.defaultParallelism
+    n = partitions or spark.sparkContext.defaultParallelism
     distinct = distinct.repartition(n, "prompt_key")
     done = distinct.select("prompt_key", completion_udf(completer)(F.col(prompt_col)).alias("completion"))
-    if persist:
+    if store:
+        done.write.mode("append").parquet(store)
+        done = spark.read.parquet(store)
+    elif persist:
         done = materialize(done, "completions")
     out = keyed.join(done, "prompt_key", "left")
     return out.withColumn("answer", parse_completion(F.col("completion")))
 
 
+def _read_store(spark, path: str):
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
 def parse_completion(c):
     """``choices[0].text`` of a completion envelope (NULL-safe)."""
     return F.get(F.from_json(c, schemas.COMPLETION)["choices"], 0)["text"]

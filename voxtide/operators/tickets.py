@@ -10,6 +10,7 @@ from voxtide.functions.text import spaces, tmpl
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
 from voxtide.operators.render import body_expr, title_expr
+from voxtide.session import path_exists
 
 TICKET_EXTRA = ["category", "sentiment", "sub_category", "feature", "insight", "response",
                 "severity_norm", "relevance"]
@@ -81,20 +82,13 @@ def write_tickets(tickets: DataFrame, path: str, skip_existing: bool = False) ->
     Returns the rows written."""
     spark = tickets.sparkSession
     out = tickets
-    if skip_existing and _exists(spark, path):
+    if skip_existing and path_exists(spark, path):
         existing = spark.read.parquet(path).select("ticket_id")
         out = tickets.join(existing, "ticket_id", "left_anti")
     out.write.mode("append").partitionBy("channel").parquet(path)
     return out
 
 
-def _exists(spark, path: str) -> bool:
-    """Path existence through the Hadoop file system (works for shared stores)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def incremental_tickets(new: DataFrame, existing: DataFrame) -> DataFrame:
     """K1 ``skip_existing`` as a pure DataFrame step (anti join on ticket_id)."""
     return new.join(existing.select("ticket_id"), "ticket_id", "left_anti")
