@@ -38,13 +38,13 @@ def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
 
 
 def _local_size(df: DataFrame) -> int | None:
-    """Exact byte size when the plan is a local relation, else None."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if plan.getClass().getSimpleName() != "LocalRelation":
-        return None
+    """Exact byte size when the optimized plan is a local relation, else None."""
     try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if plan.getClass().getSimpleName() != "LocalRelation":
+            return None
         return int(str(plan.stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
         return None
 
 
