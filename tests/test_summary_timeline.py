@@ -109,3 +109,52 @@ def test_write_timeline_appends(spark, tmp_path):
     write_timeline(e, path)
     write_timeline(e, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def _brute_summarise(pdf: pd.DataFrame, max_chars: int) -> dict:
+    """Pure-Python rendition of the hierarchical summary on a small fixture."""
+    import json as _json
+
+    from voxtide import constants as C
+
+    def js_num(x):
+        return "NaN" if math.isnan(x) else (str(int(x)) if x == math.floor(x) else repr(x))
+
+    pct = {}
+    for ch, g in pdf.groupby("channel"):
+        p = sum(any(t["id"] == "tag/Positive" for t in tags) for tags in g["tags"])
+        n = sum(any(t["id"] == "tag/Negative" for t in tags) for tags in g["tags"])
+        pct[ch] = float("nan") if p + n == 0 else (p / (p + n)) * 100.0
+    items = {k: [(r.ticket_id, r.body or "") for r in g.itertuples()]
+             for k, g in pdf.groupby(["channel", "sentiment"])}
+    level = 0
+    while True:
+        answers, widest = {}, 0
+        for (ch, s), its in items.items():
+            its = sorted(its)
+            chunks, start = {}, 0
+            for _, t in its:
+                chunks.setdefault(start // max_chars, []).append(t)
+                start += len(t)
+            widest = max(widest, len(chunks))
+            for c, texts in chunks.items():
+                prompt = C.SUMMARY_PROMPT.replace("{positive_pct}", js_num(pct[ch])).replace("{reviews}", ",".join(texts))
+                a = _json.loads(_json.loads(digest_completer([prompt])[0])["choices"][0]["text"])
+                a = {k: ",".join(v) if isinstance(v, list) else v for k, v in a.items()}
+                answers.setdefault((ch, s), []).append((c, a))
+        level += 1
+        if widest <= 1:
+            return {k: (v[0][1], level) for k, v in answers.items()}
+        items = {k: [(f"{c:020d}", _json.dumps({f: a[f] for f in ("customer_likings", "customer_pain_points",
+                                                                   "focus", "actions")}, separators=(",", ":")))
+                     for c, a in v] for k, v in answers.items()}
+
+
+def test_summarise_matches_brute_force(spark):
+    t = _tickets(spark)
+    s, _ = A.summarise(t, digest_completer, max_chars=2000, partitions=3)
+    got = {(r.channel, r.sentiment): (r.customer_likings, r.customer_pain_points, r.focus, r.actions, r.levels)
+           for r in s.collect()}
+    want = {k: (a["customer_likings"], a["customer_pain_points"], a["focus"], a["actions"], lv)
+            for k, (a, lv) in _brute_summarise(t.toPandas(), 2000).items()}
+    assert got == want

@@ -170,6 +170,16 @@ def group_bound(by) -> int | None:
     return out
 
 
+def _single_chunk(items: DataFrame, by, order: str, text: str) -> DataFrame:
+    """All texts of each group as chunk 0 (callers prove each group fits)."""
+    g = items.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.array_sort(F.collect_list(F.struct(F.col(order), F.coalesce(F.col(text), F.lit("")).alias("_t"))))
+         .alias("_items"))
+    return g.select(*by, F.lit(0).cast("bigint").alias("chunk"), "n_items",
+                    F.array_join(F.transform("_items", lambda x: x["_t"]), ",").alias("text"))
+
+
 def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
                 max_chars: int = C.SUMMARY_CHUNK_CHARS) -> DataFrame:
     """A5: ticket bodies per group, comma-joined in ticket order, chunked.
@@ -191,12 +201,23 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
     by = list(by)
     max_groups = group_bound(by)
     pct_by = [c for c in by if c == "channel"]
-    pct = sentiment_pct(tickets, by=pct_by).select(*pct_by, "positive_pct")
+    # one row per channel; written once instead of re-aggregating the tickets every level
+    pct = materialize(sentiment_pct(tickets, by=pct_by).select(*pct_by, "positive_pct"), "summary-pct")
     items = tickets.select(*by, F.col("ticket_id").alias("_ord"), F.col("body").alias("_text"))
     deads = []
     result = None
     for level in range(max_levels):
-        chunks = join_texts(items, by, ["_ord"], "_text", max_chars, partitions, max_groups)
+        chunks = None
+        if level > 0:
+            # Upper levels hold one short summary per chunk below.  When every
+            # group's summaries already fit one budget (checked by a small
+            # aggregate), each group is one chunk and the prefix sum is skipped.
+            widest = items.groupBy(*by).agg(
+                (F.sum(F.length("_text")) + F.count(F.lit(1))).alias("_w")).agg(F.max("_w")).first()[0]
+            if widest is not None and widest <= max_chars:
+                chunks = _single_chunk(items, by, "_ord", "_text")
+        if chunks is None:
+            chunks = join_texts(items, by, ["_ord"], "_text", max_chars, partitions, max_groups)
         chunks = chunks.withColumn("chunk_key", F.concat_ws("|", *[F.col(c) for c in by],
                                                            F.lit(str(level)), F.col("chunk").cast("string")))
         if pct_by:
@@ -205,8 +226,11 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
             chunks = chunks.withColumn("_k", F.lit(1)).join(
                 F.broadcast(pct.withColumn("_k", F.lit(1))), "_k", "left").drop("_k")
         prompts = render_summary_prompt(chunks, F.col("positive_pct"), text="text")
-        answered = annotate(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt"), completer,
-                            partitions=partitions)
+        # written once: the completer stage and the answer join-back both read it
+        prompts = materialize(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt")
+                                     .withColumn("prompt_key", F.sha2(F.col("prompt"), 256)),
+                              f"summary-prompts{level}")
+        answered = annotate(prompts, completer, partitions=partitions)
         parsed, dead = parse_summary(answered.drop("completion", "prompt_key", "prompt"), key="chunk_key")
         parsed = materialize(parsed, f"summary-level{level}")   # one row per chunk; cuts lineage
         deads.append(dead)
