@@ -109,11 +109,13 @@ def _review_stream(spark, sf_dir) -> str:
     answers = views.label_answers(spark, sf_dir)
 
     def to_tickets(batch):
-        run = review_job.run_annotated(spark, annotate_labels(batch, answers))
-        return run.tickets, review_job.timeline_for(run.tickets, Q.CREATED_AT)
+        return review_job.run_annotated(spark, annotate_labels(batch, answers)).tickets
+
+    def to_timeline(tickets):
+        return review_job.timeline_for(tickets, Q.CREATED_AT)
 
     stream = spark.readStream.schema(REVIEW_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
-    _run(W.review_stream(stream, to_tickets, f"{base}/out", f"{base}/chk"))
+    _run(W.review_stream(stream, to_tickets, to_timeline, f"{base}/out", f"{base}/chk"))
     return f"{base}/out"
 
 

@@ -98,19 +98,22 @@ def batch_sink(out_dir: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def review_stream(stream: DataFrame, to_tickets: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-                  out_dir: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Per micro-batch, build tickets and their timeline entries and write
-    both (idempotent per ``batch_id``).  ``to_tickets(batch) -> (tickets,
-    timeline)``; the batch is materialised first so the two writes (and any
-    model call inside) see one evaluation."""
+def review_stream(stream: DataFrame, to_tickets: Callable[[DataFrame], DataFrame],
+                  to_timeline: Callable[[DataFrame], DataFrame], out_dir: str, checkpoint: str,
+                  available_now: bool = True) -> StreamingQuery:
+    """Per micro-batch, build tickets, write them, then build their
+    timeline entries from the written tickets (idempotent per ``batch_id``).
+    The batch is materialised first, so ticket building (and any model call
+    inside it) sees one evaluation; the timeline reads the ticket files instead
+    of recomputing them."""
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         path = f"{out_dir}/_input/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(path)
-        tickets, timeline = to_tickets(spark.read.parquet(path))
-        tickets.write.mode("overwrite").parquet(f"{out_dir}/tickets/batch_id={batch_id}")
-        timeline.write.mode("overwrite").parquet(f"{out_dir}/timeline/batch_id={batch_id}")
+        tickets_path = f"{out_dir}/tickets/batch_id={batch_id}"
+        to_tickets(spark.read.parquet(path)).write.mode("overwrite").parquet(tickets_path)
+        to_timeline(spark.read.parquet(tickets_path)).write.mode("overwrite").parquet(
+            f"{out_dir}/timeline/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
