@@ -224,7 +224,7 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
             chunks = chunks.join(bounded_broadcast(pct), pct_by, "left")
         else:  # one global row, joined on a constant key
             chunks = chunks.withColumn("_k", F.lit(1)).join(
-                F.broadcast(pct.withColumn("_k", F.lit(1))), "_k", "left").drop("_k")
+                bounded_broadcast(pct.withColumn("_k", F.lit(1)), known_rows=1), "_k", "left").drop("_k")
         prompts = render_summary_prompt(chunks, F.col("positive_pct"), text="text")
         # written once: the completer stage and the answer join-back both read it
         prompts = materialize(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt")

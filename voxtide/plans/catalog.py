@@ -113,7 +113,7 @@ def tag_usage(spark, sf_dir):
     used = t.select(F.explode("tags").alias("t")).groupBy(F.col("t.id").alias("id")).agg(
         F.count(F.lit(1)).alias("n_tickets"))
     # ``used`` has one row per tag id, and ids come from the 11-entry dictionary.
-    return (tags_df(spark).join(F.broadcast(used), "id", "left")
+    return (tags_df(spark).join(bounded_broadcast(used, known_rows=len(C.TAGS)), "id", "left")
             .select("name", "description", "id", F.coalesce("n_tickets", F.lit(0)).alias("n_tickets")))
 
 
