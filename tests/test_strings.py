@@ -132,3 +132,9 @@ def test_prompt_fixed_text():
     assert C.ANNOTATION_PROMPT.count("{company}") == 1 and C.ANNOTATION_PROMPT.endswith("The review: {review}")
     assert C.PRODUCT_ALT_PROMPT.endswith("Review: {review}")
     assert len(C.ALLOWED_MODELS) == 33 and len(C.TAGS) == 11
+
+
+def test_template_brace_escapes(spark):
+    df = spark.createDataFrame([("v",)], "a STRING")
+    out = df.select(template_expr('json: {{"k": "{a}"}}', {"a": "a"})).first()[0]
+    assert out == 'json: {"k": "v"}'

@@ -55,22 +55,27 @@ def render_body(annotated: DataFrame) -> DataFrame:
 
 
 def template_expr(template: str, cols: dict[str, Column | str], js_print: bool = True) -> Column:
-    """Fill ``{name}`` placeholders of a fixed template with columns.
+    """Fill ``{name}`` placeholders of a fixed template with columns
+    (``{{`` and ``}}`` stand for literal braces).
 
     The template is cut into literal pieces once on the driver, so inserted
     values are never searched for placeholders again.
     """
     parts: list[Column] = []
-    pos = 0
-    for m in re.finditer(r"\{(\w+)\}", template):
-        if m.start() > pos:
-            parts.append(F.lit(template[pos:m.start()]))
-        v = cols[m.group(1)]
+    lit: list[str] = []
+    for m in re.finditer(r"\{\{|\}\}|\{(\w+)\}|[^{}]+|[{}]", template):
+        tok, name = m.group(0), m.group(1)
+        if name is None:
+            lit.append({"{{": "{", "}}": "}"}.get(tok, tok))
+            continue
+        if lit:
+            parts.append(F.lit("".join(lit)))
+            lit = []
+        v = cols[name]
         v = F.col(v) if isinstance(v, str) else v
         parts.append(tmpl(v) if js_print else v)
-        pos = m.end()
-    if pos < len(template):
-        parts.append(F.lit(template[pos:]))
+    if lit:
+        parts.append(F.lit("".join(lit)))
     return F.concat(*parts)
 
 
