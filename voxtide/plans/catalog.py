@@ -342,6 +342,13 @@ def tickets(spark, sf_dir):
     return _ticket_out(review_job.run_labels(spark, sf_dir).tickets)
 
 
+@query
+def tickets_model(spark, sf_dir):
+    """N1 → K1: tickets of every review annotated by the (deterministic) completer."""
+    run = review_job.run_annotated(spark, _model_annotated(spark, sf_dir).drop("completion"))
+    return _ticket_out(run.tickets)
+
+
 @query
 def tickets_incremental(spark, sf_dir):
     """K1 skip_existing: tickets not yet stored, when an earlier run ticketed

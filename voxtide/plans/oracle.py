@@ -325,6 +325,19 @@ def build() -> dict[str, str]:
                 "type, owner, applies_to_part, severity FROM tickets")
     o["tickets"] = BASE + tick_out
     o["ticket_scan"] = BASE + tick_out
+    n = "length(text)"
+    model_parsed = (f"mparsed AS (SELECT *, {pick(MODEL_CATEGORIES, f'{n} % 9')} AS category, "
+                    f"CASE WHEN {n} % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS sentiment, "
+                    f"{pick(MODEL_SEVERITIES, f'{n} % 4')} AS severity, "
+                    f"'review of ' || CAST({n} AS VARCHAR) || ' characters' AS description "
+                    f"FROM reviews WHERE {n} % 11 != 0)")
+    model_resolved = (f"resolved AS (SELECT *, CASE WHEN category IN {inlist(TAG_NAMES)} THEN category "
+                      f"ELSE {s(C.FALLBACK_CATEGORY)} END AS category_final FROM mparsed)")
+    o["tickets_model"] = (with_(REVIEWS, model_parsed, model_resolved) +
+                          f"SELECT sha256(channel || '|' || review_id) AS ticket_id, channel, review_id, {TITLE} AS title, "
+                          "'tag/' || category_final || ',' || 'tag/' || sentiment AS tags, "
+                          f"md5({BODY}) AS body_md5, length({BODY}) AS body_len, 'ticket' AS type, "
+                          "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
     o["tickets_incremental"] = BASE + "SELECT ticket_id, channel, review_id FROM tickets WHERE lang != 'en'"
     o["tickets_by_tag"] = BASE + "SELECT ticket_id, channel FROM tickets WHERE tag_category = 'tag/Negative' OR tag_sentiment = 'tag/Negative'"
     o["dead_letters"] = (BASE + "SELECT 'annotate' AS stage, r.review_id AS key, 'malformed_answer' AS reason "
