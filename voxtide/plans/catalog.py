@@ -349,6 +349,15 @@ def tickets_model(spark, sf_dir):
     return _ticket_out(run.tickets)
 
 
+@query
+def tickets_rules(spark, sf_dir):
+    """N12 → K1: tickets of the reviews the rule annotator labels."""
+    reviews = views.reviews(spark, sf_dir)
+    ann = N.rules_answer(N.annotate_rules(reviews, N.rules_df(spark, RULES))).select("review_id", "answer")
+    run = review_job.run_annotated(spark, reviews.join(ann, "review_id"))
+    return _ticket_out(run.tickets)
+
+
 @query
 def tickets_incremental(spark, sf_dir):
     """K1 skip_existing: tickets not yet stored, when an earlier run ticketed

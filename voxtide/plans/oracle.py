@@ -204,16 +204,21 @@ def iso(e: str) -> str:
     return f"strftime({e}, '%Y-%m-%dT%H:%M:%S.%gZ')"
 
 
-def _rules_sql() -> str:
+def _rules_ctes() -> list[str]:
     rules = "rules(token, field, value, weight, rank) AS (VALUES " + ", ".join(
         f"({s(t)}, {s(f)}, {s(v)}, {w}, {r})" for t, f, v, w, r in Q.RULES) + ")"
     fields = ["Sentiments", "Category", "Severity"]
     best = ", ".join(
         f"arg_max(value, row(score, -rank)) FILTER (WHERE field = {s(f)}) AS {f}" for f in fields)
-    return (with_(REVIEWS, rules) + f"""SELECT review_id, {best} FROM (
+    ruled = f"""ruled AS (SELECT review_id, {best} FROM (
   SELECT review_id, field, value, sum(weight) AS score, min(rank) AS rank
   FROM (SELECT review_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS token FROM reviews) t
-  JOIN rules USING (token) GROUP BY review_id, field, value) GROUP BY review_id""")
+  JOIN rules USING (token) GROUP BY review_id, field, value) GROUP BY review_id)"""
+    return [rules, ruled]
+
+
+def _rules_sql() -> str:
+    return with_(REVIEWS, *_rules_ctes()) + "SELECT review_id, Sentiments, Category, Severity FROM ruled"
 
 
 def _comments() -> str:
@@ -338,6 +343,17 @@ def build() -> dict[str, str]:
                           "'tag/' || category_final || ',' || 'tag/' || sentiment AS tags, "
                           f"md5({BODY}) AS body_md5, length({BODY}) AS body_len, 'ticket' AS type, "
                           "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
+    rparsed = ("rparsed AS (SELECT r.*, x.Sentiments AS sentiment, x.Category AS category, x.Severity AS severity, "
+               "CAST(NULL AS VARCHAR) AS description FROM reviews r JOIN ruled x USING (review_id))")
+    rresolved = (f"resolved AS (SELECT *, CASE WHEN category IN {inlist(TAG_NAMES)} THEN category "
+                 f"ELSE {s(C.FALLBACK_CATEGORY)} END AS category_final FROM rparsed "
+                 f"WHERE sentiment IN {inlist(TAG_NAMES)} "
+                 f"AND lower(trim(severity)) IN {inlist([x.lower() for x in C.SEVERITIES])})")
+    o["tickets_rules"] = (with_(REVIEWS, *_rules_ctes(), rparsed, rresolved) +
+                          f"SELECT sha256(channel || '|' || review_id) AS ticket_id, channel, review_id, {TITLE} AS title, "
+                          "'tag/' || category_final || ',' || 'tag/' || sentiment AS tags, "
+                          f"md5({BODY}) AS body_md5, length({BODY}) AS body_len, 'ticket' AS type, "
+                          "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
     o["tickets_incremental"] = BASE + "SELECT ticket_id, channel, review_id FROM tickets WHERE lang != 'en'"
     o["tickets_by_tag"] = BASE + "SELECT ticket_id, channel FROM tickets WHERE tag_category = 'tag/Negative' OR tag_sentiment = 'tag/Negative'"
     o["dead_letters"] = (BASE + "SELECT 'annotate' AS stage, r.review_id AS key, 'malformed_answer' AS reason "
