@@ -163,17 +163,14 @@ def unify_dead(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def _item_json(channel: str):
-    """Payload item of a canonical review, as the channel's source would send it."""
-    m = {
-        "social": F.struct(F.col("review_id").alias("tweet_id"), "text",
-                           F.col("url").alias("expanded_url")),
-        "appstore": F.struct(F.col("review_id").alias("id"), "title", "url", "text", "rating"),
-        "product": F.struct("review_id", F.col("text").alias("review_content")),
-        "business": F.struct("author", F.col("text").alias("comment")),
-        "domain": F.struct("title", "text"),
-    }
-    return F.to_json(m[channel])
+# Payload item of a canonical review, as each channel's source sends it (SQL).
+_ITEM_SQL = {
+    "social": "named_struct('tweet_id', review_id, 'text', text, 'expanded_url', url)",
+    "appstore": "named_struct('id', review_id, 'title', title, 'url', url, 'text', text, 'rating', rating)",
+    "product": "named_struct('review_id', review_id, 'review_content', text)",
+    "business": "named_struct('author', author, 'comment', text)",
+    "domain": "named_struct('title', title, 'text', text)",
+}
 
 
 def land_pages(reviews: DataFrame, broken_every: int | None = None) -> DataFrame:
@@ -185,24 +182,16 @@ def land_pages(reviews: DataFrame, broken_every: int | None = None) -> DataFrame
     extra error response without the envelope (page number ``-(page+1)``), so
     the dead-letter path sees data while every review still lands.
     """
-    item = None
-    for c in C.CHANNELS:
-        e = _item_json(c)
-        item = F.when(F.col("channel") == c, e) if item is None else item.when(F.col("channel") == c, e)
-    key = None
-    for c in C.CHANNELS:
-        k = F.lit(C.ENVELOPE[c])
-        key = F.when(F.col("channel") == c, k) if key is None else key.when(F.col("channel") == c, k)
-    rows = reviews.select("channel", "page", F.struct("review_id", item.alias("j")).alias("it"))
+    item = "CASE " + " ".join(f"WHEN channel = '{c}' THEN to_json({_ITEM_SQL[c]})" for c in C.CHANNELS) + " END"
+    env = "CASE " + " ".join(f"WHEN channel = '{c}' THEN '{C.ENVELOPE[c]}'" for c in C.CHANNELS) + " END"
+    rows = reviews.selectExpr("channel", "page", f"named_struct('review_id', review_id, 'j', {item}) AS it")
     pages = rows.groupBy("channel", "page").agg(F.array_sort(F.collect_list("it")).alias("its"))
-    payload = F.concat(F.lit('{"'), key, F.lit('":['),
-                       F.array_join(F.transform("its", lambda x: x["j"]), ","), F.lit("]}"))
-    real = F.struct("channel", "page", payload.alias("payload"))
+    real = (f"named_struct('channel', channel, 'page', page, 'payload', "
+            f"concat('{{\"', {env}, '\":[', array_join(transform(its, x -> x.j), ','), ']}}'))")
     if not broken_every:
-        return pages.select(real.alias("p")).select("p.*")
-    error = F.when(F.col("page") % broken_every == broken_every - 1,
-                   F.struct("channel", (-(F.col("page") + 1)).alias("page"),
-                            F.lit('{"error":"rate limited"}').alias("payload")))
+        return pages.selectExpr(f"inline(array({real}))")
+    n = int(broken_every)
+    error = (f"CASE WHEN page % {n} = {n - 1} THEN named_struct('channel', channel, 'page', -(page + 1), "
+             f"'payload', '{{\"error\":\"rate limited\"}}') END")
     # one pass: each page row yields itself and, every n-th page, an error response
-    both = F.filter(F.array(real, error), lambda x: x.isNotNull())
-    return pages.select(F.explode(both).alias("p")).select("p.*")
+    return pages.selectExpr(f"inline(filter(array({real}, {error}), x -> x IS NOT NULL))")
