@@ -21,9 +21,9 @@ from voxtide.operators import summary as A
 from voxtide.operators import tickets as K
 from voxtide.operators import timeline as TL
 from voxtide.operators.joins import bounded_broadcast
-from voxtide.operators.render import render_chat, render_prompt, title_expr
+from voxtide.operators.render import body_expr, render_chat, render_prompt, render_summary_prompt, title_expr
 from voxtide.plans import review_job
-from voxtide.session import ensure_utc, materialize, ship_package
+from voxtide.session import ensure_utc, materialize, scratch_path, ship_package
 from voxtide.sources import payloads as S
 from voxtide.sources import views
 from voxtide.sources.tables import (allowed_models_df, config_df, scan_tickets, sub_category_rules_df,
@@ -204,7 +204,6 @@ def titles(spark, sf_dir):
 def bodies(spark, sf_dir):
     """Ticket bodies of every parsed annotation."""
     run = review_job.run_labels(spark, sf_dir)
-    from voxtide.operators.render import body_expr
     b = run.parsed.select("review_id", "channel", body_expr().alias("body"))
     return b.select("review_id", "channel", *_text_cols("body", "body"))
 
@@ -372,7 +371,6 @@ def tickets_incremental(spark, sf_dir):
 def ticket_scan(spark, sf_dir):
     """K1 sink + S6 scan: tickets written as Parquet (by channel) and read
     back with the type predicate pushed down."""
-    from voxtide.session import scratch_path
     path = scratch_path(spark, "tickets")
     K.write_tickets(review_job.run_labels(spark, sf_dir).tickets, path)
     return _ticket_out(scan_tickets(spark, path))
@@ -470,7 +468,6 @@ def bodies_joined(spark, sf_dir):
 @query
 def summary_chunks(spark, sf_dir):
     """Level-0 summary prompts per (channel, sentiment) chunk."""
-    from voxtide.operators.render import render_summary_prompt
     t = review_job.run_labels(spark, sf_dir).tickets
     j = A.join_bodies(t, max_chars=CHUNK_CHARS)
     pct = A.sentiment_pct(t, by=("channel",)).select("channel", "positive_pct")
