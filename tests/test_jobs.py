@@ -124,3 +124,26 @@ def test_annotate_store_only_infers_missing(spark, tmp_path):
     a2 = {r.review_id: r.answer for r in annotate(more, random_answer, store=store).collect()}
     assert a2["r1"] == a1["r1"] and a2["r2"] == a1["r2"] and a2["r3"] is not None
     assert spark.read.parquet(store).count() == 3
+
+
+def test_review_and_summary_commands(spark, tmp_path):
+    from voxtide.functions.completers import digest_completer, length_rule_completer
+    from voxtide.plans.review_job import review_command, summary_command
+    from voxtide.sources import payloads as S
+    from voxtide.sources import views
+    raw = S.land_pages(views.reviews(spark, SF), broken_every=10)
+    out = str(tmp_path / "job")
+    paths = review_command(spark, raw, out, completer=length_rule_completer, limit=10,
+                           created_at="2024-01-01 00:00:00")
+    t = spark.read.parquet(paths["tickets"])
+    assert 0 < t.count() <= 50                        # at most 10 per channel
+    n1 = t.count()
+    review_command(spark, raw, out, completer=length_rule_completer, limit=10)   # re-run: nothing new
+    assert spark.read.parquet(paths["tickets"]).count() == n1
+    dead = spark.read.parquet(paths["dead_letters"])
+    assert dead.columns == ["stage", "key", "reason", "raw"]
+    tl_rows = spark.read.parquet(paths["timeline"]).count()
+    assert tl_rows == sum(7 if r.channel in ("appstore", "domain") else 6 for r in t.select("channel").collect())
+    tl = summary_command(spark, paths["tickets"], digest_completer, out, by=("channel",))
+    report = spark.read.parquet(tl).where(F.col("body").startswith("Positive sentiment %: "))
+    assert report.count() == t.select("channel").distinct().count()

@@ -10,7 +10,7 @@ from voxtide.functions.text import spaces, tmpl
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
 from voxtide.operators.render import body_expr, title_expr
-from voxtide.session import path_exists
+from voxtide.session import materialize, path_exists
 
 TICKET_EXTRA = ["category", "sentiment", "sub_category", "feature", "insight", "response",
                 "severity_norm", "relevance"]
@@ -79,14 +79,18 @@ def build_tickets(resolved: DataFrame, config: DataFrame) -> tuple[DataFrame, Da
 def write_tickets(tickets: DataFrame, path: str, skip_existing: bool = False) -> DataFrame:
     """K1 sink: append Parquet partitioned by channel.  ``skip_existing`` drops
     tickets whose id is already stored (left anti join on ``ticket_id``).
-    Returns the rows written."""
+
+    The rows of this run are staged once under the checkpoint root, then
+    appended; the staged table is returned, so callers (timeline entries)
+    read exactly the tickets written now, not a re-evaluation that would see
+    the updated table."""
     spark = tickets.sparkSession
     out = tickets
     if skip_existing and path_exists(spark, path):
-        existing = spark.read.parquet(path).select("ticket_id")
-        out = tickets.join(existing, "ticket_id", "left_anti")
-    out.write.mode("append").partitionBy("channel").parquet(path)
-    return out
+        out = incremental_tickets(tickets, spark.read.parquet(path))
+    staged = materialize(out, "tickets-run")
+    staged.write.mode("append").partitionBy("channel").parquet(path)
+    return staged
 
 
 def incremental_tickets(new: DataFrame, existing: DataFrame) -> DataFrame:

@@ -64,3 +64,72 @@ def timeline_for(tickets: DataFrame, created_at: str, app_object=None) -> DataFr
     comments = F.transform(comment_bodies(), lambda b, i: comment_entry(F.col("ticket_id"), b, i, created))
     x = tickets.select(F.explode(F.concat(F.array(status), comments)).alias("e"))
     return x.select([F.col(f"e.{c}").alias(c) for c in TIMELINE_COLUMNS])
+
+
+# --------------------------------------------------------------------------- commands
+def review_command(spark: SparkSession, raw: DataFrame, out_dir: str, completer=None,
+                   answers: DataFrame | None = None, limit: int | None = None,
+                   relevance: str = "observed", created_at: str = "1970-01-01 00:00:00",
+                   app_object=None) -> dict[str, str]:
+    """The review command as one batch job.
+
+    landed pages → canonical reviews (dead letters for bad pages) → optional
+    top-``limit`` per channel by rating → answers (``completer`` over rendered
+    prompts, kept in a completions store under ``out_dir``; or ready
+    ``answers(review_id, answer)``) → typed annotations → tags → tickets
+    (appended, skipping tickets already stored) → timeline entries built from
+    the written tickets → dead letters.  Returns the table paths.
+    """
+    from voxtide.operators.annotate import annotate
+    from voxtide.operators.filters import top_n
+    from voxtide.operators.outcomes import union_all as _union
+    from voxtide.operators.render import render_prompt
+    from voxtide.operators.tickets import write_tickets
+    from voxtide.operators.timeline import write_timeline
+    from voxtide.operators.joins import bounded_broadcast
+    from voxtide.sources.payloads import read_all
+
+    if (completer is None) == (answers is None):
+        raise ValueError("give exactly one of completer or answers")
+    paths = {k: f"{out_dir}/{k}" for k in ("tickets", "timeline", "dead_letters", "completions")}
+    reviews, dead_src = read_all(raw)
+    if limit is not None:
+        reviews = top_n(reviews, limit, by=("rating",), per="channel").drop("rank")
+    if completer is not None:
+        cfg = bounded_broadcast(config_df(spark).select("channel", "company"))
+        prompts = render_prompt(reviews.join(cfg, "channel", "left"))
+        annotated = annotate(prompts, completer, store=paths["completions"]).drop(
+            "completion", "prompt", "prompt_key", "company")
+    else:
+        annotated = reviews.join(answers.select("review_id", "answer"), "review_id")
+    run = run_annotated(spark, annotated, relevance)
+    written = write_tickets(run.tickets, paths["tickets"], skip_existing=True)
+    write_timeline(timeline_for(written, created_at, app_object), paths["timeline"])
+    _union(dead_src, run.dead_letters).write.mode("append").parquet(paths["dead_letters"])
+    return paths
+
+
+def summary_command(spark: SparkSession, tickets_path: str, completer, out_dir: str,
+                    by=("channel",), max_chars: int | None = None, app_object=None,
+                    created_at: str | None = None) -> str:
+    """The summary command as one batch job: one scan
+    of the ticket table, shares (A1–A4), chunked hierarchical summary (A6) and
+    the six report entries (K6), appended to ``out_dir/timeline``."""
+    from voxtide import constants as C
+    from voxtide.operators.joins import bounded_broadcast
+    from voxtide.operators.summary import group_bound, sentiment_pct, summarise
+    from voxtide.operators.timeline import summary_report, write_timeline
+    from voxtide.session import materialize
+    from voxtide.sources.tables import scan_tickets
+
+    tickets = scan_tickets(spark, tickets_path)
+    by = list(by)
+    summary, dead = summarise(tickets, completer, by=by, max_chars=max_chars or C.SUMMARY_CHUNK_CHARS)
+    pct = sentiment_pct(tickets, by=by)
+    joined = materialize(summary, "summary").join(bounded_broadcast(pct, known_rows=group_bound(by)), by, "left")
+    obj = app_object if app_object is not None else F.lit("app")
+    entries = summary_report(joined, obj, created_at)
+    path = f"{out_dir}/timeline"
+    write_timeline(entries, path)
+    dead.write.mode("append").parquet(f"{out_dir}/dead_letters")
+    return path
