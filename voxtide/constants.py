@@ -95,17 +95,17 @@ INFERENCE_PARAMS = {
     "response_format": {"type": "json_object"},
 }
 
-# Ticket titles per channel: prefix, then the first non-empty field listed.
-TITLE_PREFIX = {
-    "social": "Ticket created from twitter: ",
-    "appstore": "Ticket created from Trustpilot: ",
-    "product": "Ticket created from G2 ",
-    "business": "Ticket created from google review by ",
-    "domain": "Ticket created from Trustpilot: ",
+# Ticket titles per channel; {key} is the channel's first non-empty identifying field.
+TITLE_TEMPLATE = {
+    "social": "Ticket created from twitter: {key}",
+    "appstore": "Ticket created from Trustpilot: {key}",
+    "product": "Ticket created from G2 {key}",
+    "business": "Ticket created from google review by {key}",
+    "domain": "Ticket created from Trustpilot: {key}",
 }
 
-# Ticket body: "The review: {text} \n" LF, a spaces, "The description: {d} \n" LF,
-# b spaces.  (a, b) per channel.
+# Ticket body; {indent_a} and {indent_b} are runs of spaces, (a, b) per channel.
+BODY_TEMPLATE = "The review: {text} \n\n{indent_a}The description: {description} \n\n{indent_b}"
 BODY_INDENTS = {
     "social": (6, 8),
     "appstore": (4, 6),
@@ -113,17 +113,17 @@ BODY_INDENTS = {
     "business": (4, 6),
     "domain": (4, 6),
 }
-BODY_REVIEW_LABEL = "The review: "
-BODY_DESCRIPTION_LABEL = "The description: "
-
-# Detail comments, in posting order.
-SUBCAT_LABEL = "<b>Sub-Category</b>: "
-SUBCAT_LABEL_PLAIN = "Sub-Category: "          # product channel
-SENTIMENT_LABEL = "Overall sentiment: "
-FEATURE_LABEL = "Feature discussed: "
-INSIGHT_LABEL = "Actionable insight: "
+
+# Detail comments, in posting order; {indent} is a run of spaces per channel.
+COMMENT_TEMPLATES = [
+    "<b>Sub-Category</b>: {sub_category} ",
+    "Overall sentiment: {sentiment} ",
+    "Feature discussed: {feature} ",
+    "Actionable insight: \n\n{indent}{insight} \n",
+    "Sample Response: {response} ",
+]
+PRODUCT_SUBCAT_TEMPLATE = "Sub-Category: {sub_category} "   # product channel, first comment
 INSIGHT_INDENT = {"social": 4, "appstore": 4, "product": 4, "business": 2, "domain": 4}
-RESPONSE_LABEL = "Sample Response: "
 CHART_CHANNELS = ("appstore", "domain")
 CHART_COMMENT = (
     '<img src="https://quickchart.io/chart?c=%7Btype%3A%27bar%27%2Cdata%3A%7Blabels%3A%5B%27'
@@ -137,12 +137,14 @@ STATUS_FAILED = "Created ticket: <{ticket}> and it failed to be categorized"
 STATUS_TTL_MINUTES = 1
 
 # Summary report entries, in posting order.
-REPORT_POSITIVE = "Positive sentiment %: "
-REPORT_NEGATIVE = "Negative sentiment %: "
-REPORT_LIKINGS = "Customer likings: "
-REPORT_PAIN = "Customer Pain-Points: "
-REPORT_FOCUS = "Areas to focus on:   "
-REPORT_ACTIONS = "Actions to take: "
+REPORT_TEMPLATES = [
+    "Positive sentiment %: {positive_pct} ",
+    "Negative sentiment %: {negative_pct} ",
+    "Customer likings: {customer_likings}",
+    "Customer Pain-Points: {customer_pain_points}",
+    "Areas to focus on:   \n\n{focus} \n",
+    "Actions to take: {actions}",
+]
 
 # Link prefix the annotation prompt asks to remove.
 LINK_PREFIX = "https://t.co/"

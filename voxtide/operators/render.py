@@ -24,15 +24,16 @@ def _by_channel(values: dict[str, Column], channel: Column | None = None) -> Col
 
 
 def title_expr() -> Column:
-    """The channel's title prefix plus its first non-empty identifying field."""
-    field = {
-        "social": tmpl(falsy_or("url", "review_id")),
-        "appstore": tmpl(falsy_or("title", "url")),
-        "product": tmpl("review_id"),
-        "business": tmpl("author"),
-        "domain": tmpl("title"),
+    """The channel's title template filled with its first non-empty
+    identifying field."""
+    key = {
+        "social": falsy_or("url", "review_id"),
+        "appstore": falsy_or("title", "url"),
+        "product": F.col("review_id"),
+        "business": F.col("author"),
+        "domain": F.col("title"),
     }
-    return _by_channel({c: F.concat(F.lit(C.TITLE_PREFIX[c]), v) for c, v in field.items()})
+    return _by_channel({c: template_expr(C.TITLE_TEMPLATE[c], {"key": k}) for c, k in key.items()})
 
 
 def render_title(reviews: DataFrame) -> DataFrame:
@@ -40,14 +41,12 @@ def render_title(reviews: DataFrame) -> DataFrame:
 
 
 def body_expr(text: str = "text", description: str = "description") -> Column:
-    """R6: 'The review: {text} \\n' LF a-spaces 'The description: {d} \\n' LF b-spaces."""
-    per = {}
-    for c, (a, b) in C.BODY_INDENTS.items():
-        per[c] = F.concat(
-            F.lit(C.BODY_REVIEW_LABEL), tmpl(text), F.lit(" \n\n" + spaces(a) + C.BODY_DESCRIPTION_LABEL),
-            tmpl(description), F.lit(" \n\n" + spaces(b)),
-        )
-    return _by_channel(per)
+    """The body template with the channel's two indents."""
+    return _by_channel({
+        c: template_expr(C.BODY_TEMPLATE, {"text": text, "description": description,
+                                           "indent_a": F.lit(spaces(a)), "indent_b": F.lit(spaces(b))})
+        for c, (a, b) in C.BODY_INDENTS.items()
+    })
 
 
 def render_body(annotated: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtide import constants as C
-from voxtide.functions.text import spaces, tmpl
+from voxtide.functions.text import spaces
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
-from voxtide.operators.render import body_expr, title_expr
+from voxtide.operators.render import body_expr, template_expr, title_expr
 from voxtide.session import materialize, path_exists
 
 TICKET_EXTRA = ["category", "sentiment", "sub_category", "feature", "insight", "response",
@@ -105,20 +105,16 @@ def tickets_by_tag(tickets: DataFrame, tag_id: str) -> DataFrame:
 
 def comment_bodies() -> Column:
     """K3/K5: the detail comments of one ticket, in posting order."""
-    subcat = F.when(F.col("channel") == "product", F.lit(C.SUBCAT_LABEL_PLAIN)).otherwise(F.lit(C.SUBCAT_LABEL))
     indent = None
     for ch, n in C.INSIGHT_INDENT.items():
-        lit = F.lit("\n\n" + spaces(n))
+        lit = F.lit(spaces(n))
         indent = F.when(F.col("channel") == ch, lit) if indent is None else indent.when(F.col("channel") == ch, lit)
+    cols = {"sub_category": "sub_category", "sentiment": "sentiment", "feature": "feature",
+            "indent": indent, "insight": "insight", "response": "response"}
+    first = F.when(F.col("channel") == "product", template_expr(C.PRODUCT_SUBCAT_TEMPLATE, cols)) \
+             .otherwise(template_expr(C.COMMENT_TEMPLATES[0], cols))
     chart = F.when(F.col("channel").isin(list(C.CHART_CHANNELS)), F.lit(C.CHART_COMMENT))
-    bodies = F.array(
-        F.concat(subcat, tmpl("sub_category"), F.lit(" ")),
-        F.concat(F.lit(C.SENTIMENT_LABEL), tmpl("sentiment"), F.lit(" ")),
-        F.concat(F.lit(C.FEATURE_LABEL), tmpl("feature"), F.lit(" ")),
-        F.concat(F.lit(C.INSIGHT_LABEL), indent, tmpl("insight"), F.lit(" \n")),
-        F.concat(F.lit(C.RESPONSE_LABEL), tmpl("response"), F.lit(" ")),
-        chart,
-    )
+    bodies = F.array(first, *[template_expr(t, cols) for t in C.COMMENT_TEMPLATES[1:]], chart)
     return F.filter(bodies, lambda b: b.isNotNull())
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtide import constants as C
-from voxtide.functions.text import tmpl
-from voxtide.operators.render import js_number
+from voxtide.operators.render import js_number, template_expr
 
 TIMELINE_COLUMNS = ["entry_id", "object", "body", "body_type", "type", "visibility",
                     "expires_at", "seq", "updated_at"]
@@ -20,10 +19,9 @@ def _lit_or_col(v) -> Column:
 def status_entry(tickets: DataFrame, app_object, created_at, ttl_min: int = C.STATUS_TTL_MINUTES) -> Column:
     """K2 as a timeline-entry struct for the ticket of the current row."""
     created = _lit_or_col(created_at).cast("timestamp")
-    head = F.concat(F.lit("Created ticket: <"), F.col("ticket_id"), F.lit("> and it "))
-    body = F.when(F.col("category") != F.lit(C.FALLBACK_CATEGORY),
-                  F.concat(head, F.lit("is categorized as "), tmpl("category"))
-                  ).otherwise(F.concat(head, F.lit("failed to be categorized")))
+    cols = {"ticket": "ticket_id", "category": "category"}
+    body = F.when(F.col("category") != F.lit(C.FALLBACK_CATEGORY), template_expr(C.STATUS_CATEGORIZED, cols)
+                  ).otherwise(template_expr(C.STATUS_FAILED, cols))
     return F.struct(
         F.sha2(F.concat_ws("|", F.lit("status"), F.col("ticket_id")), 256).alias("entry_id"),
         _lit_or_col(app_object).alias("object"),
@@ -75,14 +73,10 @@ def summary_report(summary: DataFrame, app_object, created_at=None) -> DataFrame
     negative %, likings, pain points, focus, actions.  ``summary`` holds
     ``positive_pct``, ``negative_pct`` and the four answer fields."""
     created = (_lit_or_col(created_at) if created_at is not None else F.lit(None)).cast("timestamp")
-    bodies = F.array(
-        F.concat(F.lit(C.REPORT_POSITIVE), js_number(F.col("positive_pct")), F.lit(" ")),
-        F.concat(F.lit(C.REPORT_NEGATIVE), js_number(F.col("negative_pct")), F.lit(" ")),
-        F.concat(F.lit(C.REPORT_LIKINGS), tmpl("customer_likings")),
-        F.concat(F.lit(C.REPORT_PAIN), tmpl("customer_pain_points")),
-        F.concat(F.lit(C.REPORT_FOCUS + "\n\n"), tmpl("focus"), F.lit(" \n")),
-        F.concat(F.lit(C.REPORT_ACTIONS), tmpl("actions")),
-    )
+    cols = {"positive_pct": js_number(F.col("positive_pct")), "negative_pct": js_number(F.col("negative_pct")),
+            "customer_likings": "customer_likings", "customer_pain_points": "customer_pain_points",
+            "focus": "focus", "actions": "actions"}
+    bodies = F.array(*[template_expr(t, cols) for t in C.REPORT_TEMPLATES])
     keys = [c for c in ("channel", "sentiment") if c in summary.columns]
     x = summary.select(*keys, F.posexplode(bodies).alias("pos", "body"))
     seq = (F.col("pos") + 1).cast("bigint")

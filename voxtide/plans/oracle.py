@@ -108,18 +108,13 @@ RESOLVED = f"""resolved AS (
 
 _SOCIAL_KEY = "coalesce(nullif(url, ''), review_id)"
 _APP_KEY = "coalesce(nullif(title, ''), url)"
-TITLE = by_channel({
-    "social": f"{s(C.TITLE_PREFIX['social'])} || {tmpl(_SOCIAL_KEY)}",
-    "appstore": f"{s(C.TITLE_PREFIX['appstore'])} || {tmpl(_APP_KEY)}",
-    "product": f"{s(C.TITLE_PREFIX['product'])} || {tmpl('review_id')}",
-    "business": f"{s(C.TITLE_PREFIX['business'])} || {tmpl('author')}",
-    "domain": f"{s(C.TITLE_PREFIX['domain'])} || {tmpl('title')}",
-})
+_TITLE_KEYS = {"social": _SOCIAL_KEY, "appstore": _APP_KEY, "product": "review_id", "business": "author",
+               "domain": "title"}
+TITLE = by_channel({c: template_sql(C.TITLE_TEMPLATE[c], {"key": k}) for c, k in _TITLE_KEYS.items()})
 
 BODY = by_channel({
-    c: (f"{s(C.BODY_REVIEW_LABEL)} || {tmpl('text')} || ' ' || chr(10) || chr(10) || "
-        f"{s(' ' * a + C.BODY_DESCRIPTION_LABEL)} || {tmpl('description')} || ' ' || chr(10) || chr(10)"
-        + (f" || {s(' ' * b)}" if b else ""))
+    c: template_sql(C.BODY_TEMPLATE, {"text": "text", "description": "description",
+                                      "indent_a": s(" " * a), "indent_b": s(" " * b)})
     for c, (a, b) in C.BODY_INDENTS.items()
 })
 
@@ -222,24 +217,23 @@ def _rules_sql() -> str:
 
 
 def _comments() -> str:
-    sub = f"CASE WHEN channel = 'product' THEN {s(C.SUBCAT_LABEL_PLAIN)} ELSE {s(C.SUBCAT_LABEL)} END"
     indent = by_channel({c: s(" " * n) for c, n in C.INSIGHT_INDENT.items()})
-    rows = [
-        f"SELECT ticket_id AS object, 1 AS seq, {sub} || {tmpl('sub_category')} || ' ' AS body FROM tickets",
-        f"SELECT ticket_id, 2, {s(C.SENTIMENT_LABEL)} || {tmpl('sentiment')} || ' ' FROM tickets",
-        f"SELECT ticket_id, 3, {s(C.FEATURE_LABEL)} || {tmpl('feature')} || ' ' FROM tickets",
-        f"SELECT ticket_id, 4, {s(C.INSIGHT_LABEL)} || chr(10) || chr(10) || {indent} || {tmpl('insight')} "
-        f"|| ' ' || chr(10) FROM tickets",
-        f"SELECT ticket_id, 5, {s(C.RESPONSE_LABEL)} || {tmpl('response')} || ' ' FROM tickets",
-        f"SELECT ticket_id, 6, {s(C.CHART_COMMENT)} FROM tickets WHERE channel IN {inlist(C.CHART_CHANNELS)}",
-    ]
+    cols = {"sub_category": "sub_category", "sentiment": "sentiment", "feature": "feature",
+            "indent": indent, "insight": "insight", "response": "response"}
+    first = (f"CASE WHEN channel = 'product' THEN {template_sql(C.PRODUCT_SUBCAT_TEMPLATE, cols)} "
+             f"ELSE {template_sql(C.COMMENT_TEMPLATES[0], cols)} END")
+    rows = [f"SELECT ticket_id AS object, 1 AS seq, {first} AS body FROM tickets"]
+    rows += [f"SELECT ticket_id, {i + 2}, {template_sql(t, cols)} FROM tickets"
+             for i, t in enumerate(C.COMMENT_TEMPLATES[1:])]
+    rows.append(f"SELECT ticket_id, {len(C.COMMENT_TEMPLATES) + 1}, {s(C.CHART_COMMENT)} FROM tickets "
+                f"WHERE channel IN {inlist(C.CHART_CHANNELS)}")
     return "comments AS (SELECT object, CAST(seq AS BIGINT) AS seq, body FROM (" + " UNION ALL ".join(rows) + "))"
 
 
 def _status() -> str:
-    head = "'Created ticket: <' || ticket_id || '> and it '"
-    body = (f"CASE WHEN category != {s(C.FALLBACK_CATEGORY)} THEN {head} || 'is categorized as ' || category "
-            f"ELSE {head} || 'failed to be categorized' END")
+    cols = {"ticket": "ticket_id", "category": "category"}
+    body = (f"CASE WHEN category != {s(C.FALLBACK_CATEGORY)} THEN {template_sql(C.STATUS_CATEGORIZED, cols)} "
+            f"ELSE {template_sql(C.STATUS_FAILED, cols)} END")
     return f"""status AS (
   SELECT sha256('status|' || ticket_id) AS entry_id, 'app/' || channel AS object, {body} AS body,
     TIMESTAMP {s(Q.CREATED_AT)} + INTERVAL 1 MINUTE AS expires_at, CAST(0 AS BIGINT) AS seq,

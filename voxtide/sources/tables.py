@@ -30,16 +30,14 @@ def config_df(spark: SparkSession, rows=None) -> DataFrame:
     for channel, company, part, owner, model in rows:
         a, b = C.BODY_INDENTS[channel]
         full.append((
-            channel, company, part, owner, model, C.TITLE_PREFIX[channel], a, b,
-            C.INSIGHT_INDENT[channel],
-            C.SUBCAT_LABEL_PLAIN if channel == "product" else C.SUBCAT_LABEL,
-            channel in C.CHART_CHANNELS,
+            channel, company, part, owner, model, C.TITLE_TEMPLATE[channel], a, b,
+            C.INSIGHT_INDENT[channel], channel in C.CHART_CHANNELS,
         ))
     return local_table(
         spark, full,
         "channel STRING, company STRING, default_part_id STRING, default_owner_id STRING, "
-        "llm_model STRING, title_prefix STRING, body_indent_a INT, body_indent_b INT, "
-        "insight_indent INT, subcat_label STRING, has_chart BOOLEAN",
+        "llm_model STRING, title_template STRING, body_indent_a INT, body_indent_b INT, "
+        "insight_indent INT, has_chart BOOLEAN",
     )
 
 
