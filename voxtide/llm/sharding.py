@@ -57,8 +57,8 @@ def _placer(splitters: list[tuple]):
 
 
 def ranged(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
-    schema = rows.schema.add("range", "integer")
-    return rows.mapInArrow(_placer(splitters), schema)
+    fields = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes)
+    return rows.mapInArrow(_placer(splitters), f"{fields}, range int")
 
 
 def split(rows: DataFrame, total: int, aim: int) -> list[tuple]:
