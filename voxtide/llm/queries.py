@@ -6,13 +6,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtide.llm import exact_dedup, mixing, sharding, url_filter
+from voxtide.llm import exact_dedup, mixing, piece_coding, sharding, url_filter
 from voxtide.llm.common import read
 
 #: Host words that put a page's URL on the list of op3.
 LISTED_WORDS = ("casino", "bets", "pills", "adult", "spam")
 
 
+def piece_model() -> str:
+    """Place of the public 32k piece model."""
+    import public_tokenizers
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents and their decoding, as digests."""
+    return piece_coding.digests(read(spark, sf_dir, "documents"), piece_model())
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL verdicts of all pages.  The listed URLs are the canonical URLs of the
     pages whose host holds one of ``LISTED_WORDS``."""
@@ -40,7 +51,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {q.__name__: q for q in (op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding)}
+QUERIES = {q.__name__: q for q in (op2_piece_coding, op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding)}
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 _SPACE = "[\\x20\\x09-\\x0D]+"
