@@ -1,6 +1,7 @@
 """Operator 10, quality rules: a linear-chain CRF labels lines, Viterbi decodes.
 
-Every line with a word is described by ``FEATURES`` numbers.  A linear-chain
+Every line with a word is described by ``FEATURES`` numbers, which weigh more the
+more words it has.  A linear-chain
 conditional random field over the lines of a document marks each as content or
 boilerplate; the most likely sequence comes from Viterbi decoding, and a
 document is kept if at least ``LEAST_CONTENT`` of its words stand in content
@@ -95,6 +96,7 @@ class Lines:
         self.x = np.stack([np.ones(len(full)), np.minimum(4 * part(0), 1), np.minimum(2 * part(1), 1), part(2), in_words(same) / self.words,
                            in_words(marked) / self.words, seen,
                            np.minimum(10 * part(3), 1), self.words < 4, np.minimum(chars / self.words / 10, 2)], 1).astype(np.float64)
+        self.x *= np.clip(np.log1p(self.words) / 2, 0.3, 3)[:, None]       # a long line says more
 
     @staticmethod
     def _repeated_windows(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
