@@ -137,13 +137,36 @@ def rank_rows(df: DataFrame, by: list, name: str) -> DataFrame:
     return parts.join(before, "__part").withColumn(name, local + F.col("__before")).drop("__part", "__before")
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str | list[str], rows: str, total: int) -> DataFrame:
     """Left join on ``key`` where ``right`` has one row a key and says in column
     ``rows`` how many left rows have it.  Keys over a thousandth of ``total``
     number under 1,000, so their right rows are broadcast and the left rows stay
     where they are; no key left in the shuffle has more than that share."""
+    key = [key] if isinstance(key, str) else key
     hot = right.where(F.col(rows) * 1000 > F.lit(total))
     cool = right.where(F.col(rows) * 1000 <= F.lit(total))
     spread = left.join(F.broadcast(hot), key, "inner")
     rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cool, key, "left")
     return spread.unionByName(rest)
+
+
+BITMAP_BITS = 26
+
+
+def bitmap(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
+    """A bitmap (2**26 bits, 8 MB, whatever the input's size) of the top bits of a
+    column of 64-bit hashes.  It only ever says "maybe": a use must stay right
+    for positions that are set by chance."""
+    name = hashes.columns[0]
+    slot = F.shiftrightunsigned(name, 64 - BITMAP_BITS)
+    words = (hashes.select(F.shiftrightunsigned(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    rows = words.toArrow()          # at most 2**20 rows of 16 bytes
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = hashes >> np.uint64(64 - BITMAP_BITS)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtide.llm import exact_dedup, mixing, piece_coding, pseudonyms, quality, sharding, toxicity, url_filter
+from voxtide.llm import exact_dedup, mixing, piece_coding, pseudonyms, quality, sharding, shingle_join, toxicity, url_filter
 from voxtide.llm.common import read
 
 #: Host words that put a page's URL on the list of op3.
 LISTED_WORDS = ("casino", "bets", "pills", "adult", "spam")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 5-word shingles at a Jaccard similarity of 0.8 or more."""
+    return shingle_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def piece_model() -> str:
     """Place of the public 32k piece model."""
     import public_tokenizers
@@ -70,7 +75,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op2_piece_coding, op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding, op7_pseudonyms, op9_toxicity, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_ngram_jaccard, op2_piece_coding, op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding, op7_pseudonyms, op9_toxicity, op10_quality_rules)}
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 _SPACE = "[\\x20\\x09-\\x0D]+"
