@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import CHUNK, mix
+from voxtide.llm.common import CHUNK, labelled_sample, mix
 
 SAMPLE, SAMPLE_CHARS, LEAST_DOCS, LEAST_Z = 2_000, 20_000, 3, 3.5
 SIZES = (3, 4, 5, 6)
@@ -124,11 +124,10 @@ def held_out(doc_id):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows that are not held out."""
-    known = (labels.select(F.col("doc_id").alias("id"), "toxic").where("toxic is not null and id is not null").where(~held_out(F.col("id")))
-             .groupBy("id").agg(F.max("toxic").alias("toxic")))
-    rows = docs.select(F.col("doc_id").alias("id"), "text").where(F.length("text") <= SAMPLE_CHARS).join(known, "id")
-    sample = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE).select("text").collect() for c in (0, 1)]
-    return train([r[0] for rs in sample for r in rs], [c for c, rs in enumerate(sample) for _ in rs])
+    known = (labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label")).where("label is not null and id is not null")
+             .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label")))
+    sample = [x for x in labelled_sample(docs, known, SAMPLE, F.col("text")) if len(x[0]) <= SAMPLE_CHARS]
+    return train([t for t, _ in sample], [c for _, c in sample])
 
 
 def _scorer(shared):
