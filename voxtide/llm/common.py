@@ -150,23 +150,32 @@ def spread_join(left: DataFrame, right: DataFrame, key: str | list[str], rows: s
     return spread.unionByName(rest)
 
 
-BITMAP_BITS = 26
-
-
-def bitmap(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
-    """A bitmap (2**26 bits, 8 MB, whatever the input's size) of the top bits of a
-    column of 64-bit hashes.  It only ever says "maybe": a use must stay right
-    for positions that are set by chance."""
-    name = hashes.columns[0]
-    slot = F.shiftrightunsigned(name, 64 - BITMAP_BITS)
-    words = (hashes.select(F.shiftrightunsigned(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    rows = words.toArrow()          # at most 2**20 rows of 16 bytes
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
-def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes >> np.uint64(64 - BITMAP_BITS)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+class Bitmap:
+    """A bitmap of the top bits of a column of 64-bit hashes: sixteen bits a row,
+    but never over ``2**most`` bits whatever the input's size.  It only ever says
+    "maybe": a use must stay right for positions that are set by chance."""
+
+    def __init__(self, hashes: DataFrame, rows: int, most: int = 26):
+        self.shift = 64 - max(16, min(most, int(16 * rows - 1).bit_length() if rows else 16))
+        name = hashes.columns[0]
+        slot = F.shiftrightunsigned(name, self.shift)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
+        words = (hashes.select(F.shiftrightunsigned(slot, 6).alias("word"), bit.alias("bit"))
+                 .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+        self.bits = np.zeros(1 << (64 - self.shift - 6), np.int64)
+        self.bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        self.bits = self.bits.view(np.uint64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes >> np.uint64(self.shift)
+        return (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame, a_class: int, text) -> list[tuple[str, int]]:
+    """(text, label) of at most ``a_class`` rows a label.  ``known`` (id, label) has
+    a row per labelled id; those first by a hash of the id are drawn from it
+    alone, so that the texts meet only that bounded list of ids, broadcast."""
+    picks = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(a_class) for c in (0, 1)]
+    few = picks[0].unionByName(picks[1]).withColumnRenamed("id", "__id")
+    rows = docs.select(F.col("doc_id").alias("__id"), text.alias("__text")).where("__text is not null").join(F.broadcast(few), "__id")
+    return [(r["__text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: (r["__id"], r["__text"]))]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Flat, pieces, segment_hash, mix
+from voxtide.llm.common import Flat, labelled_sample, mix, pieces, segment_hash
 
 SAMPLE, SAMPLE_LINES = 800, 80
 LEAST_CONTENT, LEAST_WORDS, MOST_REPEATED = 0.5, 50, 50
@@ -201,11 +201,10 @@ def train(texts: list[str], good: list[int]) -> Field:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
-    known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(known, "id")
-    head = F.substring_index(F.col("text"), "\n", SAMPLE_LINES)
-    sample = [rows.where(F.col("quality") == c).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE).select(head).collect() for c in (0, 1)]
-    return train([r[0] for rs in sample for r in rs if r[0]], [c for c, rs in enumerate(sample) for r in rs if r[0]])
+    known = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label")).where("label is not null and id is not null")
+             .groupBy("id").agg(F.min("label").alias("label")))
+    sample = labelled_sample(docs, known, SAMPLE, F.substring_index(F.col("text"), "\n", SAMPLE_LINES))
+    return train([t for t, _ in sample], [c for _, c in sample])
 
 
 def verdicts(flat: Flat, field: Field) -> tuple[Lines, np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtide.llm import exact_dedup, mixing, piece_coding, pseudonyms, quality, sharding, shingle_join, toxicity, url_filter
+from voxtide.llm import exact_dedup, mixing, piece_coding, pseudonyms, quality, repeats, sharding, shingle_join, toxicity, url_filter
 from voxtide.llm.common import read
 
 #: Host words that put a page's URL on the list of op3.
@@ -63,6 +63,11 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), key)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 50-byte strings that a smaller document has."""
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents under a model of the rows that are not held out."""
     docs = read(spark, sf_dir, "documents")
@@ -75,7 +80,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op1_ngram_jaccard, op2_piece_coding, op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding, op7_pseudonyms, op9_toxicity, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_ngram_jaccard, op2_piece_coding, op3_url_filter, op4_exact_dedup, op5_source_mix, op6_sharding, op7_pseudonyms, op8_repeats, op9_toxicity, op10_quality_rules)}
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 _SPACE = "[\\x20\\x09-\\x0D]+"

@@ -6,7 +6,7 @@ equal sets form one class.
 1. Candidates.  Two sets of similarity p % or more share a member among the first
    ``n - ceil(p n / 100) + 1`` of each, in any common order of all shingles.  The
    order is (frequent, hash): shingles met often in the hash-order prefixes of
-   all documents come last.  The set of frequent shingles is an 8 MB bitmap whose
+   all documents come last.  The set of frequent shingles is a bitmap of at most 8 MB whose
    chance hits only move a shingle back, so every order it gives finds every
    pair.  The prefix members go to buckets as packed arrays; documents that share
    one in neighbouring size bands get an edge to one of them (never all pairs),
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Flat, bitmap, blob, in_bitmap, materialize, mix, pieces, ranges, segment_hash, spread_join
+from voxtide.llm.common import Bitmap, Flat, blob, materialize, mix, pieces, ranges, segment_hash, spread_join
 from voxtide.llm.components import components
 
 WORDS = 5
@@ -86,13 +86,13 @@ class Sets:
             out.append(mix(run[self.off[1:]] - run[self.off[:-1]] + self.n.astype(np.uint64)).view(np.int64))
         return tuple(out)
 
-    def prefixes(self, percent: int, frequent: np.ndarray | None = None) -> np.ndarray:
+    def prefixes(self, percent: int, frequent: Bitmap | None = None) -> np.ndarray:
         """Which values belong to the prefixes."""
         length = np.where(self.n > 0, self.n + (-percent * self.n // 100) + 1, 0)
         place = np.arange(len(self.values)) - self.off[self.of]
         if frequent is None:
             return place < length[self.of]
-        late = in_bitmap(frequent, self.values)
+        late = frequent.has(self.values)
         behind = np.concatenate([[0], np.cumsum(late)])
         before = behind[:-1] - behind[self.off[self.of]]            # frequent ones of the document so far
         rare = self.n - (behind[self.off[1:]] - behind[self.off[:-1]])
@@ -227,7 +227,7 @@ def _fetch(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
-            wanted = batch.filter(pa.array(in_bitmap(shared.value, mix(ids.astype(np.uint64)))))
+            wanted = batch.filter(pa.array(shared.value.has(mix(ids.astype(np.uint64)))))
             for _, flat in pieces(wanted):
                 s = Sets(flat)
                 d1, d2 = s.digests()
@@ -300,7 +300,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
 
     counted = texts.select("text").mapInArrow(_tokens(percent, buckets), "bucket int, tokens binary")
     often = counted.groupBy("bucket").applyInPandas(_often(FREQUENT), "token bigint")
-    frequent = spark.sparkContext.broadcast(bitmap(spark, often))
+    often = materialize(often, "shingle-frequent")
+    frequent = spark.sparkContext.broadcast(Bitmap(often, often.count()))
     rows = materialize(texts.mapInArrow(_describe(percent, frequent), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary"), "shingle-rows")
 
     packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix").mapInArrow(_scatter(percent, buckets), _PACKED)
@@ -312,8 +313,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
     crowd = classes.where("root is not null").groupBy("root").agg(F.count("*").alias("crowd")).where("crowd > 1")
     in_tiles = materialize(_tiles(classes.where("root is not null").join(crowd, "root"), percent, tile), "shingle-tiles")
 
-    wanted = in_tiles.select(F.coalesce("least_id", F.lit(-1)).alias("id")).distinct()
-    wanted = spark.sparkContext.broadcast(bitmap(spark, wanted.mapInArrow(_hash_ids, "hash bigint")))
+    wanted = in_tiles.select(F.coalesce("least_id", F.lit(-1)).alias("id")).distinct().mapInArrow(_hash_ids, "hash bigint")
+    wanted = spark.sparkContext.broadcast(Bitmap(wanted, in_tiles.count()))
     sets = texts.mapInArrow(_fetch(wanted), "d1 bigint, d2 bigint, members binary")
     sets = in_tiles.join(sets.join(in_tiles.select("d1", "d2").distinct(), ["d1", "d2"], "left_semi").dropDuplicates(["d1", "d2"]), ["d1", "d2"])
     links = sets.groupBy("root", "tile_band", "tile_a", "tile_b").applyInPandas(_verify(percent), "a bigint, b bigint")
