@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import blob, materialize, spread_join
+from voxtide.llm.common import blob, keep_rows, materialize, spread_join
 
 #: Digest entries that one bucket of one run may hold on average at the root.
 PER_BUCKET = 200_000
@@ -138,18 +138,7 @@ def dedup(docs: DataFrame, fan: int = 8) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, fan: int = 8) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they
-    are.  Dropped rows go by (doc_id, digest); of rows that repeat both, the one
-    with the smallest values in all columns stays."""
-    out = docs.columns
-    marks = materialize(dedup(docs, fan).where("group_size > 1"), "exact-marks")
-    pairs = marks.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(
-        F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
-    dropped = pairs.where("not __kept or __rows > 1")
-    keyed = docs.withColumn("__text_digest", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    match = keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["__text_digest"] == F.col("__digest"))
-    survivors = keyed.join(dropped, match, "left_anti").select(*out)
-    repeats = pairs.where("__kept and __rows > 1")
-    again = (keyed.join(repeats, match, "inner").groupBy("__id", "__digest")
-             .agg(F.min(F.struct(*out)).alias("__one")).select("__one.*"))
-    return survivors.unionByName(again)
+    """``docs`` with one row of each group of equal texts, all columns as they are."""
+    def keyed(rows: DataFrame, names: list[str]) -> DataFrame:
+        return rows.withColumn(names[0], F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    return keep_rows(docs, materialize(dedup(docs, fan), "exact-marks"), keyed, ["digest"])

@@ -15,7 +15,7 @@ LISTED_WORDS = ("casino", "bets", "pills", "adult", "spam")
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 5-word shingles at a Jaccard similarity of 0.8 or more."""
-    return shingle_join.near_duplicates(read(spark, sf_dir, "documents"))
+    return shingle_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def piece_model() -> str:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Bitmap, Flat, blob, materialize, mix, pieces, ranges, segment_hash, spread_join
+from voxtide.llm.common import Bitmap, Flat, blob, keep_rows, materialize, mix, pieces, ranges, segment_hash, spread_join
 from voxtide.llm.components import components
 
 WORDS = 5
@@ -293,7 +293,8 @@ def _verify(percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, and the
+    set's digest (d1, d2) and group (null: linked with nothing)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -341,9 +342,32 @@ def _named(rows: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
     of = classes.select("cls", "d1", "d2", "copies", "least_id").join(joined.select(F.col("vertex").alias("cls"), F.col("root").alias("home")), "cls", "left")
     homes = of.where("home is not null").groupBy("home").agg(F.min("least_id").alias("home_id"))
     of = of.join(homes, "home", "left").withColumn("component_id", F.coalesce("home_id", "least_id")).where("home is not null or copies > 1")
-    of = materialize(of.select("d1", "d2", "copies", "component_id"), "shingle-components")
+    of = materialize(of.select("d1", "d2", "copies", "component_id", F.coalesce("home", "cls").alias("group")), "shingle-components")
     some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2")
     joined_rows = spread_join(some, of, ["d1", "d2"], "copies", rows.count())
-    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "d1", "d2", F.lit(None).cast("bigint").alias("group"))
     # a class of one row without links has no entry: its row is its own component
-    return joined_rows.select("doc_id", "n_shingles", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")).unionByName(none)
+    own = F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return joined_rows.select("doc_id", "n_shingles", own, "d1", "d2", "group").unionByName(none)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, flat in pieces(batch):
+            yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, Sets(flat).digests())], [*part.schema.names, "d1", "d2"])
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of linked ones, that of the
+    smallest id; documents without shingles stay.  All columns as they are."""
+    found = materialize(near_duplicates(docs, percent), "shingle-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "d1", "d2")
+    first = found.where("group is not null").groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("members"))
+    marked = spread_join(found.where("group is not null"), first, "group", "members", found.count())
+    kept = marked.select("doc_id", "d1", "d2", (order == F.col("first")).alias("kept"))
+    alone = found.where("group is null").select("doc_id", "d1", "d2", F.lit(True).alias("kept"))
+
+    def keyed(rows: DataFrame, names: list[str]) -> DataFrame:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        return rows.mapInArrow(_digests, f"{fields}, `{names[0]}` bigint, `{names[1]}` bigint")
+    return keep_rows(docs, materialize(kept.unionByName(alone), "shingle-marks"), keyed, ["d1", "d2"])
