@@ -134,7 +134,7 @@ def test_webhook_event_with_spaced_created_date(spark, tmp_path):
                         "owned_by": [{"id": "user-1"}, {"id": "user-2"}],
                         "severity": "medium", "stage": {"name": "queued", "ordinal": 10},
                         "state": "open", "title": "Title", "type": "ticket"}}},
-        "context": {"app_id": "app-1"},
+        "context": {"snap_in_id": "app-1", "dev_oid": "org-1", "snap_in_version_id": "v1"},
     }]
     path = tmp_path / "events.json"
     path.write_text(json.dumps(event, indent=2))

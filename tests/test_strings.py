@@ -138,3 +138,8 @@ def test_template_brace_escapes(spark):
     df = spark.createDataFrame([("v",)], "a STRING")
     out = df.select(template_expr('json: {{"k": "{a}"}}', {"a": "a"})).first()[0]
     assert out == 'json: {"k": "v"}'
+
+
+def test_js_number_small(spark):
+    df = spark.createDataFrame([(3.3e-5,), (5.0e-4,), (1.2345e-3,), (1e-6,), (3.3e-7,), (5e-7,)], "x DOUBLE")
+    assert [r[0] for r in df.select(js_number(F.col("x"))).collect()] == ["0.000033", "0.0005", "0.0012345", "0.000001", "3.3e-7", "5e-7"]

@@ -27,7 +27,8 @@ def _brute(pdf: pd.DataFrame, max_chars: int) -> dict:
     out = {}
     for (ch, s), g in pdf.groupby(["channel", "sentiment"]):
         g = g.assign(b=g["body"].fillna("")).sort_values(["ticket_id", "b"])
-        start = g["b"].str.len().cumsum() - g["b"].str.len()
+        size = g["b"].str.len() + 1             # a text and its separator
+        start = size.cumsum() - size
         g = g.assign(chunk=(start // max_chars).astype(int))
         for c, gg in g.groupby("chunk"):
             out[(ch, s, c)] = (len(gg), ",".join(gg["b"]))
@@ -127,27 +128,26 @@ def _brute_summarise(pdf: pd.DataFrame, max_chars: int) -> dict:
         pct[ch] = float("nan") if p + n == 0 else (p / (p + n)) * 100.0
     items = {k: [(r.ticket_id, r.body or "") for r in g.itertuples()]
              for k, g in pdf.groupby(["channel", "sentiment"])}
-    level = 0
-    while True:
-        answers, widest = {}, 0
+    level, done = 0, {}
+    while items:
+        answers = {}
         for (ch, s), its in items.items():
             its = sorted(its)
             chunks, start = {}, 0
             for _, t in its:
                 chunks.setdefault(start // max_chars, []).append(t)
-                start += len(t)
-            widest = max(widest, len(chunks))
+                start += len(t) + 1
             for c, texts in chunks.items():
                 prompt = C.SUMMARY_PROMPT.replace("{positive_pct}", js_num(pct[ch])).replace("{reviews}", ",".join(texts))
                 a = _json.loads(_json.loads(digest_completer([prompt])[0])["choices"][0]["text"])
                 a = {k: ",".join(v) if isinstance(v, list) else v for k, v in a.items()}
                 answers.setdefault((ch, s), []).append((c, a))
         level += 1
-        if widest <= 1:
-            return {k: (v[0][1], level) for k, v in answers.items()}
+        done |= {k: (v[0][1], level) for k, v in answers.items() if len(v) == 1}     # finished groups leave
         items = {k: [(f"{c:020d}", _json.dumps({f: a[f] for f in ("customer_likings", "customer_pain_points",
                                                                    "focus", "actions")}, separators=(",", ":")))
-                     for c, a in v] for k, v in answers.items()}
+                     for c, a in v] for k, v in answers.items() if len(v) > 1}
+    return done
 
 
 def test_summarise_matches_brute_force(spark):
@@ -158,3 +158,38 @@ def test_summarise_matches_brute_force(spark):
     want = {k: (a["customer_likings"], a["customer_pain_points"], a["focus"], a["actions"], lv)
             for k, (a, lv) in _brute_summarise(t.toPandas(), 2000).items()}
     assert got == want
+
+
+def test_small_group_does_not_depend_on_others(spark):
+    t = _tickets(spark)
+    small = t.where("channel = 'product'").limit(1)
+    one = spark.createDataFrame(small.collect(), small.schema)
+    alone, _ = A.summarise(one, digest_completer, by=("channel",), max_chars=3000)
+    both, _ = A.summarise(t.where("channel <> 'product'").unionByName(one), digest_completer, by=("channel",), max_chars=3000)
+    assert alone.collect() == both.where("channel = 'product'").collect()
+
+
+def test_failed_chunks_are_counted_and_long_answers_end(spark):
+    t = _tickets(spark)
+
+    def some(prompts):
+        return [None if len(p) % 2 else a for p, a in zip(prompts, digest_completer(prompts))]
+    got, dead = A.summarise(t, some, by=("channel",), max_chars=3000)
+    rows = got.collect()
+    assert len(rows) == t.select("channel").distinct().count()          # a group without any answer keeps its row
+    assert sum(r.n_failed for r in rows) == dead.count() > 0 and all(r.n_chunks >= 1 for r in rows)
+
+    def wordy(prompts):
+        import json as _json
+        return [_json.dumps({"choices": [{"text": _json.dumps({"customer_likings": "l" * 900, "focus": p[-9:]})}]}) for p in prompts]
+    rows = A.summarise(t, wordy, by=("channel",), max_chars=400)[0].collect()
+    assert all(len(r.customer_likings) == 900 for r in rows)
+
+
+def test_empty_bodies_fill_chunks(spark):
+    df = spark.range(20000).selectExpr("'g' AS g", "lpad(cast(id as string), 6, '0') AS k", "CAST(NULL AS STRING) AS body")
+    got = A.join_texts(df, ["g"], ["k"], "body", 100).collect()
+    assert len(got) == 200 and all(r.n_items == 100 for r in got)
+    same = spark.range(1000).selectExpr("'g' AS g", "'k' AS k", "'0123456789' AS body")
+    got = A.join_texts(same, ["g"], ["k"], "body", 110, partitions=7).collect()
+    assert len(got) == 100 and all(r.text == ",".join(["0123456789"] * 10) for r in got)

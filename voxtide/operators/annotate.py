@@ -6,8 +6,8 @@ Three annotators produce an ``answer`` text per review:
   an iterator pandas UDF (client built once per task).  Answers are written
   once (``materialize``) before anything reads them twice.
 * ``annotate_labels`` (N14): a join to a table of ready answers.
-* ``annotate_rules`` (N12): a token → (field, value, weight, rank) rule table;
-  explode + broadcast join + two partial aggregations, all JVM-side.
+* ``annotate_rules`` (N12): a token → (field, value, weight, rank) rule table,
+  scored inside each row, without a shuffle.
 
 ``parse_annotation`` (N2–N9) turns answers into typed columns and dead letters.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from voxtide import constants as C
 from voxtide import schemas
-from voxtide.operators.joins import bounded_broadcast, local_table
+from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
 from voxtide.session import materialize, path_exists, ship_package
 
@@ -30,23 +30,40 @@ Completer = Callable[[list[str]], list]
 
 
 # --------------------------------------------------------------------------- N1
+#: Prompts per call of the completer, and prompts per task: a lost task repeats
+#: at most that many calls' worth of work.
+CALL_SIZE, TASK_SIZE = 32, 2_000
+
+
+def _call(completer: Completer, prompts: list) -> list[tuple]:
+    """(completion, error) per prompt.  A call that raises, or that returns
+    another number of answers, is repeated prompt by prompt, so one bad prompt
+    costs only its own answer and keeps its message."""
+    try:
+        out = list(completer(prompts))
+        if len(out) != len(prompts):
+            raise ValueError(f"{len(out)} answers for {len(prompts)} prompts")
+        return [(a, None if a is not None else "no completion") for a in out]
+    except Exception as e:  # one failing call must not fail the job
+        if len(prompts) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        return [r for p in prompts for r in _call(completer, [p])]
+
+
 def completion_udf(completer: Completer):
-    """Iterator pandas UDF around ``completer``.
+    """Iterator pandas UDF around ``completer``: struct of completion and error.
 
-    ``completer(prompts) -> answers``; an answer of ``None`` (or an exception
-    for the whole batch) marks failure and becomes a NULL, which
-    ``parse_annotation`` routes to dead letters.  Marked non-deterministic so
-    the optimizer never duplicates or re-orders the call.
+    A NULL completion is routed to dead letters by ``parse_annotation``, with its
+    error as message.  Marked non-deterministic so the optimizer never
+    duplicates or re-orders the call.
     """
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for prompts in batches:
-            try:
-                out = list(completer([None if p is None else str(p) for p in prompts.tolist()]))
-            except Exception:  # one failing batch must not fail the job
-                out = [None] * len(prompts)
-            yield pd.Series(out, dtype=object)
+            texts = [None if p is None else str(p) for p in prompts.tolist()]
+            rows = [r for k in range(0, len(texts), CALL_SIZE) for r in _call(completer, texts[k:k + CALL_SIZE])]
+            yield pd.DataFrame(rows, columns=["completion", "error"], dtype=object)
 
-    return F.pandas_udf(run, "string").asNondeterministic()
+    return F.pandas_udf(run, "completion string, error string").asNondeterministic()
 
 
 def annotate(prompts: DataFrame, completer: Completer, partitions: int | None = None,
@@ -54,12 +71,14 @@ def annotate(prompts: DataFrame, completer: Completer, partitions: int | None =
     """One completion per distinct prompt, joined back to every row.
 
     Distinct prompts are inferred once (``prompt_key``, deduplicated map-side
-    first); ``partitions`` sets the request parallelism.  The answers are
-    materialised so retries and later readers see the same text.  With
-    ``store`` (a completions table ``prompt_key, completion``), prompts already
-    answered there are skipped (left anti join) and new answers are appended,
-    so a re-run only infers what is missing.  The completion envelope is kept
-    in ``completion``; ``answer`` is ``choices[0].text``.
+    first); ``partitions`` sets the request parallelism (default: tasks of about
+    ``TASK_SIZE`` prompts).  The answers are materialised so retries and later
+    readers see the same text.  With ``store`` (a completions table
+    ``prompt_key, completion``), prompts already answered there are skipped
+    (left anti join) and new answers are appended; failures are never stored, so
+    the next run tries them again, and two runs that stored the same key count
+    once.  The completion envelope is kept in ``completion``, a failed call's
+    message in ``error``; ``answer`` is ``choices[0].text``.
     """
     spark = prompts.sparkSession
     ship_package(spark)
@@ -70,22 +89,26 @@ def annotate(prompts: DataFrame, completer: Completer, partitions: int | None =
     if have is not None:
         distinct = distinct.join(have.select("prompt_key"), "prompt_key", "left_anti")
     # Model calls are slow per row but small in bytes, so AQE would coalesce
-    # them into a few tasks; an explicit repartition fixes the call parallelism
-    # (default: one task per core of the cluster).
-    n = partitions or spark.sparkContext.defaultParallelism
+    # them into a few tasks; an explicit repartition by the number of prompts
+    # fixes the call parallelism.
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-keyed.count() // TASK_SIZE))
     distinct = distinct.repartition(n, "prompt_key")
-    done = distinct.select("prompt_key", completion_udf(completer)(F.col(prompt_col)).alias("completion"))
-    if store:
-        done.write.mode("append").parquet(store)
-        done = spark.read.parquet(store)
-    elif persist:
+    done = distinct.select("prompt_key", completion_udf(completer)(F.col(prompt_col)).alias("_c")).select("prompt_key", "_c.*")
+    if store or persist:
         done = materialize(done, "completions")
-    out = keyed.join(done, "prompt_key", "left")
+    if store:
+        done.where("completion is not null").select("prompt_key", "completion").write.mode("append").parquet(store)
+        done = _read_store(spark, store).withColumn("error", F.lit(None).cast("string")).unionByName(done.where("completion is null"))
+    # only the key and the answers meet the rows again; the prompt stays where it is
+    out = keyed.drop(prompt_col).join(done, "prompt_key", "left")
     return out.withColumn("answer", parse_completion(F.col("completion")))
 
 
 def _read_store(spark, path: str):
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    """The stored answers, one per prompt (runs at the same time may both have stored one)."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.parquet(path).where("completion is not null").groupBy("prompt_key").agg(F.min("completion").alias("completion"))
 
 
 def parse_completion(c):
@@ -94,38 +117,43 @@ def parse_completion(c):
 
 
 # -------------------------------------------------------------------------- N14
-def annotate_labels(reviews: DataFrame, answers: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Attach ready answers by key (inner equi-join; both sides are
-    hash-partitioned on the unique key, so no group is hot)."""
-    return reviews.join(answers, key, "inner")
+def annotate_labels(reviews: DataFrame, answers: DataFrame, key: str | list[str] = "doc_id") -> DataFrame:
+    """Attach ready answers by key (left equi-join; both sides are
+    hash-partitioned on the unique key, so no group is hot).  A review without
+    an answer keeps its row and becomes a ``no_answer`` dead letter."""
+    return reviews.join(answers, key, "left")
 
 
 # -------------------------------------------------------------------------- N12
-def rules_df(spark, rows) -> DataFrame:
-    return local_table(spark, rows, "token STRING, field STRING, value STRING, weight DOUBLE, rank INT")
-
-
-def annotate_rules(reviews: DataFrame, rules: DataFrame, key: str = "review_id",
+def annotate_rules(reviews: DataFrame, rules: list[tuple], keys=("channel", "review_id"),
                    fields=("Sentiments", "Category", "Severity")) -> DataFrame:
-    """Deterministic rule annotator.
-
-    Lower-cased text is split on non-letters, tokens are joined to the
-    (broadcast, bounded) rule table, scores are summed per
-    ``(review, field, value)`` and the best value per field wins (highest
-    score, then lowest rank).  Both aggregations are partial/final, so a long
-    text or a frequent token is combined map-side before the shuffle.
-    Reviews with no matching token are absent.
+    """Deterministic rule annotator, one row per review with a hit.
+
+    Lower-cased text is split on non-letters; the scores of ``rules`` (token,
+    field, value, weight, rank) are summed per field and value and the best value
+    per field wins (highest score, then lowest rank).  Every rule's token is
+    counted in place in the review's token array: no explode, no join, no
+    shuffle, and equal ids of different channels stay apart.
     """
-    toks = reviews.select(key, F.explode(F.split(F.lower(F.col("text")), "[^a-z]+")).alias("token"))
-    hits = toks.join(bounded_broadcast(rules), "token")
-    scored = hits.groupBy(key, "field", "value").agg(
-        F.sum("weight").alias("score"), F.min("rank").alias("rank"))
-    best = [
-        F.max_by(F.when(F.col("field") == f, F.col("value")),
-                 F.when(F.col("field") == f, F.struct(F.col("score"), -F.col("rank")))).alias(f)
-        for f in fields
-    ]
-    return scored.groupBy(key).agg(*best)
+    kept = reviews.select(*keys, F.split(F.lower(F.col("text")), "[^a-z]+").alias("_tokens"))
+    tokens = sorted({r[0] for r in rules})
+    def times(token: str):
+        return F.size(F.filter("_tokens", lambda t: t == F.lit(token)))
+
+    kept = kept.select(*keys, *[times(x).alias(f"_n{i}") for i, x in enumerate(tokens)])
+    count = {x: F.col(f"_n{i}") for i, x in enumerate(tokens)}
+    best = []
+    for f in fields:
+        scored = []
+        for value in sorted({r[2] for r in rules if r[1] == f}):
+            mine = [r for r in rules if r[1] == f and r[2] == value]
+            met = [F.when(count[t] > 0, F.lit(r)) for t, _, _, _, r in mine]
+            score = sum((count[t] * F.lit(w) for t, _, _, w, _ in mine), F.lit(0.0))
+            rank = F.array_min(F.array(*met))
+            scored.append(F.when(rank.isNotNull(), F.struct(score.alias("score"), (-rank).alias("order"), F.lit(value).alias("value"))))
+        best.append(F.array_max(F.array(*scored))["value"].alias(f))
+    out = kept.select(*keys, *best)
+    return out.where(F.coalesce(*[F.col(f) for f in fields]).isNotNull())
 
 
 def rules_answer(annotated: DataFrame, fields=("Sentiments", "Category", "Severity")) -> DataFrame:
@@ -134,10 +162,13 @@ def rules_answer(annotated: DataFrame, fields=("Sentiments", "Category", "Severi
 
 
 # ------------------------------------------------------------------------ N2–N9
-def parse_annotation(df: DataFrame, answer: str = "answer", key: str = "review_id"
-                     ) -> tuple[DataFrame, DataFrame]:
+def parse_annotation(df: DataFrame, answer: str = "answer", key: str = "review_id",
+                     missing: str = "inference_failed") -> tuple[DataFrame, DataFrame]:
     """Parse answer text into typed columns.
 
+    A missing answer has the reason ``missing`` (``no_answer`` for ready answers),
+    and as message a model call's ``error`` where the row carries one.
+
     All ten fields are read as STRING (a typed field would flag the whole row
     on one bad value), then typed: relevance by ``try_cast``.  Rows whose
     answer is missing, not a JSON object, or truncated go to dead letters.
@@ -150,11 +181,11 @@ def parse_annotation(df: DataFrame, answer: str = "answer", key: str = "review_i
           & F.ltrim(F.col(answer)).startswith("{"))
     good = parsed.where(ok)
     bad = parsed.where(~ok)
-    reason = F.when(F.col(answer).isNull(), F.lit("inference_failed")).otherwise(F.lit("malformed_answer"))
-    dead = dead_letter(bad, "annotate", F.col(key), reason, F.col(answer))
+    reason = F.when(F.col(answer).isNull(), F.lit(missing)).otherwise(F.lit("malformed_answer"))
+    dead = dead_letter(bad, "annotate", F.col(key), reason, F.col(answer), F.col("error") if "error" in df.columns else None)
     a = F.col("_a")
     typed = good.select(
-        *[c for c in df.columns if c != answer],
+        *[c for c in df.columns if c not in (answer, "error")],
         a["Relevance"].try_cast("boolean").alias("relevance"),
         a["Sentiments"].alias("sentiment"),
         a["Category"].alias("category"),
@@ -195,12 +226,12 @@ def parse_summary(df: DataFrame, answer: str = "answer", key: str = "chunk_key"
     ok = F.col(answer).isNotNull() & F.col("_s").isNotNull() & F.col("_s._corrupt").isNull()
     good, bad = parsed.where(ok), parsed.where(~ok)
     reason = F.when(F.col(answer).isNull(), F.lit("inference_failed")).otherwise(F.lit("malformed_answer"))
-    dead = dead_letter(bad, "summary", F.col(key), reason, F.col(answer))
+    dead = dead_letter(bad, "summary", F.col(key), reason, F.col(answer), F.col("error") if "error" in df.columns else None)
 
     def flat(f):
         v = F.col(f"_s.{f}")
         arr = F.from_json(v, "ARRAY<STRING>")
         return F.when(F.ltrim(v).startswith("["), F.array_join(arr, ",", "")).otherwise(v).alias(f)
 
-    keep = [c for c in df.columns if c != answer]
+    keep = [c for c in df.columns if c not in (answer, "error")]
     return good.select(*keep, *[flat(f) for f in schemas.SUMMARY_FIELDS]), dead

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEAD_COLUMNS = ["stage", "key", "reason", "raw"]
+DEAD_COLUMNS = ["stage", "channel", "key", "reason", "message", "raw"]
 
 
-def dead_letter(df: DataFrame, stage: str, key: Column, reason, raw: Column) -> DataFrame:
-    """Project failed rows onto ``dead_letters(stage, key, reason, raw)``."""
+def dead_letter(df: DataFrame, stage: str, key: Column, reason, raw: Column, message: Column | None = None) -> DataFrame:
+    """Project failed rows onto ``dead_letters(stage, channel, key, reason, message, raw)``.
+
+    ``message`` is the outcome's error text where one is known (a failed model
+    call); otherwise it says stage and reason."""
     reason = F.lit(reason) if isinstance(reason, str) else reason
-    return df.select(F.lit(stage).alias("stage"), key.cast("string").alias("key"),
-                     reason.alias("reason"), raw.cast("string").alias("raw"))
+    said = F.concat(F.lit(f"{stage}: "), reason)
+    return df.select(F.lit(stage).alias("stage"),
+                     (F.col("channel") if "channel" in df.columns else F.lit(None).cast("string")).alias("channel"),
+                     key.cast("string").alias("key"), reason.alias("reason"),
+                     (said if message is None else F.coalesce(message, said)).alias("message"), raw.cast("string").alias("raw"))
 
 
 def split_outcomes(df: DataFrame, ok: Column, stage: str, key: Column, reason, raw: Column

@@ -36,10 +36,6 @@ def title_expr() -> Column:
     return _by_channel({c: template_expr(C.TITLE_TEMPLATE[c], {"key": k}) for c, k in key.items()})
 
 
-def render_title(reviews: DataFrame) -> DataFrame:
-    return reviews.withColumn("ticket_title", title_expr())
-
-
 def body_expr(text: str = "text", description: str = "description") -> Column:
     """The body template with the channel's two indents."""
     return _by_channel({
@@ -49,10 +45,6 @@ def body_expr(text: str = "text", description: str = "description") -> Column:
     })
 
 
-def render_body(annotated: DataFrame) -> DataFrame:
-    return annotated.withColumn("body", body_expr())
-
-
 def template_expr(template: str, cols: dict[str, Column | str], js_print: bool = True) -> Column:
     """Fill ``{name}`` placeholders of a fixed template with columns
     (``{{`` and ``}}`` stand for literal braces).
@@ -97,11 +89,18 @@ def render_chat(df: DataFrame, system: str, human: str, cols: dict[str, Column |
 
 
 def js_number(c: Column) -> Column:
-    """A double as a JS template prints it: integral values without '.0',
-    NaN as 'NaN'."""
+    """A double of a percentage as a JS template prints it: integral values
+    without '.0', NaN as 'NaN', 0.000001 and more as plain decimals, below that
+    with a lower-case exponent."""
+    text = c.cast("string")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E-", -1).try_cast("int")
+    plain = F.concat(F.lit("0."), F.repeat(F.lit("0"), power - 1), F.regexp_replace(mantissa, r"\.", ""))
     return (F.when(F.isnan(c), F.lit("NaN"))
              .when(c == F.floor(c), F.floor(c).cast("string"))
-             .otherwise(c.cast("string")))
+             .when(~text.contains("E"), text)
+             .when(F.abs(c) >= 1e-6, plain)
+             .otherwise(F.concat(mantissa, F.lit("e-"), power.cast("string"))))
 
 
 def render_summary_prompt(chunks: DataFrame, positive_pct: Column, text: str = "text") -> DataFrame:

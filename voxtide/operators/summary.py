@@ -100,54 +100,58 @@ def _local_offsets(by: list[str], length: str):
     return run
 
 
+#: Characters of chunk input aimed at per range partition.
+PARTITION_CHARS = 32 << 20
+
+
 def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
                   partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
     """Cut each group's texts (ordered by ``order``) into chunks whose running
-    character offset falls in ``[c*max_chars, (c+1)*max_chars)``.
+    offset falls in ``[c*max_chars, (c+1)*max_chars)``.  A text counts its
+    characters and one for the separator, so empty and NULL texts fill chunks too.
 
-    Distributed prefix sum: range-partition on (group, order) so a hot group
-    spans many tasks; each task sums locally (Arrow batches); the per-task
-    group totals give each task its offset.  No task ever holds a whole group.
+    Distributed prefix sum over narrow rows: the input is written once with a
+    number for each row, and only (group, order, number, length) is range-sorted
+    on (group, order, number).  A hot group, or one of equal order keys, spans
+    many tasks; each task sums locally (Arrow batches); the per-task group totals
+    give each task its offset.  No task ever holds a whole group, and no text
+    leaves the JVM.  Row numbers are pinned by the write, so a retried task
+    cannot move rows between ranges.
 
     The totals table has at most ``partitions + groups - 1`` rows (range
     partitions hold contiguous groups).  With ``max_groups`` given, that bound
     is proven and the table is broadcast; without it the planner / AQE decide
-    from runtime sizes.  The locally summed rows are written once under the
-    checkpoint root, so the input is shuffled once and the lineage is cut.
+    from runtime sizes.
     """
     by, order = list(by), list(order)
     spark = df.sparkSession
     ship_package(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # ``_salt`` is the last sort key: identical copies (same group and order
-    # key) still spread over range partitions.  Copies are interchangeable, so
-    # their relative order never changes a chunk's text.
-    keys = by + order + ["_salt"]
-    base = (df.withColumn("_len", F.length(F.coalesce(F.col(text), F.lit(""))).cast("bigint"))
-              .withColumn("_salt", F.rand(17)))
-    ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                  .withColumn("_pid", F.spark_partition_id()))
+    base = materialize(df.withColumn("_len", (F.length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("bigint"))
+                         .withColumn("_row", F.monotonically_increasing_id()), "chunk-input")
+    chars = base.agg(F.sum("_len")).first()[0] or 0
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-chars // PARTITION_CHARS))
+    keys = [*by, *[c for c in order if c != text], "_row"]
+    narrow = base.select(*dict.fromkeys([*keys, "_len"]))
+    ranged = (narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                    .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    # Written once: the totals pass then reads only (_pid, group, _len) columns
-    # instead of shuffling the input a second time.
-    local = materialize(ranged.mapInPandas(_local_offsets(by, "_len"), schema), "chunk-local")
+    local = materialize(ranged.mapInPandas(_local_offsets(by, "_len"), schema).select("_pid", *by, "_row", "_len", "_local"), "chunk-local")
     totals = local.groupBy("_pid", *by).agg(F.sum("_len").alias("_tot"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *by, F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", *[F.col(c).alias(f"_by_{c}") for c in by], F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
     if max_groups is not None:
         offsets = bounded_broadcast(offsets, known_rows=n + max_groups - 1)
-    joined = local.join(offsets, ["_pid", *by], "left")
+    joined = local.alias("l").join(offsets.alias("o"), [F.col("l._pid") == F.col("o._pid"), *[F.col(f"l.{c}").eqNullSafe(F.col(f"o._by_{c}")) for c in by]], "left")
     start = F.col("_off") + F.col("_local")
-    return joined.withColumn("chunk", F.floor(start / F.lit(max_chars)).cast("bigint")) \
-                 .withColumn("chunk_start", start) \
-                 .drop("_pid", "_local", "_off", "_len", "_salt")
+    placed = joined.select(F.col("l._row").alias("_row"), F.floor(start / F.lit(max_chars)).cast("bigint").alias("chunk"), start.alias("chunk_start"))
+    return base.join(placed, "_row").drop("_row", "_len")
 
 
 def join_texts(df: DataFrame, by, order, text: str, max_chars: int,
                partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
     """A5 (re-aimed for any size): texts joined with ',' (NULL as '') per
     ``(group, chunk)``, in ``order``.  Each output row is bounded by
-    ``max_chars`` plus one text."""
+    ``max_chars`` plus one text, separators included."""
     by, order = list(by), list(order)
     ch = assign_chunks(df, by, order, text, max_chars, partitions, max_groups)
     item = F.struct(*[F.col(c) for c in order], F.coalesce(F.col(text), F.lit("")).alias("_t"))
@@ -170,16 +174,6 @@ def group_bound(by) -> int | None:
     return out
 
 
-def _single_chunk(items: DataFrame, by, order: str, text: str) -> DataFrame:
-    """All texts of each group as chunk 0 (callers prove each group fits)."""
-    g = items.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_items"),
-        F.array_sort(F.collect_list(F.struct(F.col(order), F.coalesce(F.col(text), F.lit("")).alias("_t"))))
-         .alias("_items"))
-    return g.select(*by, F.lit(0).cast("bigint").alias("chunk"), "n_items",
-                    F.array_join(F.transform("_items", lambda x: x["_t"]), ",").alias("text"))
-
-
 def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
                 max_chars: int = C.SUMMARY_CHUNK_CHARS) -> DataFrame:
     """A5: ticket bodies per group, comma-joined in ticket order, chunked.
@@ -188,15 +182,19 @@ def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
 
 
 def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentiment"),
-              max_chars: int = C.SUMMARY_CHUNK_CHARS, max_levels: int = 8,
-              partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+              max_chars: int = C.SUMMARY_CHUNK_CHARS, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Hierarchical corpus summary per group.
 
     Level 0 chunks the ticket bodies; every chunk becomes one summary prompt
-    (with the group's channel positive share) and one completion.  While a
-    group has more than one summary, the summaries (as JSON text) are chunked
-    and summarised again.  Each level's answers are materialised.  Returns
-    (summary per group, dead letters).
+    (with the group's channel positive share) and one completion.  A group with
+    one summary is finished and leaves; the summaries of the others (as JSON
+    text) are chunked and summarised again.  Each level's answers are
+    materialised.  A level that does not bring a group's number of summaries
+    down (answers longer than ``max_chars``) doubles that level's budget, so
+    every text is still read and every group ends.  ``n_chunks`` counts the
+    chunks of level 0, ``n_failed`` the failed calls of all levels; a group none
+    of whose chunks was answered has NULL fields.  Returns (summary per group,
+    dead letters).
     """
     by = list(by)
     max_groups = group_bound(by)
@@ -204,44 +202,49 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
     # one row per channel; written once instead of re-aggregating the tickets every level
     pct = materialize(sentiment_pct(tickets, by=pct_by).select(*pct_by, "positive_pct"), "summary-pct")
     items = tickets.select(*by, F.col("ticket_id").alias("_ord"), F.col("body").alias("_text"))
-    deads = []
-    result = None
-    for level in range(max_levels):
-        chunks = None
-        if level > 0:
-            # Upper levels hold one short summary per chunk below.  When every
-            # group's summaries already fit one budget (checked by a small
-            # aggregate), each group is one chunk and the prefix sum is skipped.
-            widest = items.groupBy(*by).agg(
-                (F.sum(F.length("_text")) + F.count(F.lit(1))).alias("_w")).agg(F.max("_w")).first()[0]
-            if widest is not None and widest <= max_chars:
-                chunks = _single_chunk(items, by, "_ord", "_text")
-        if chunks is None:
-            chunks = join_texts(items, by, ["_ord"], "_text", max_chars, partitions, max_groups)
+    finished, deads, calls = [], [], []
+    level, budget = 0, max_chars
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
+    fields = ["customer_likings", "customer_pain_points", "focus", "actions"]
+    while True:
+        chunks = join_texts(items, by, ["_ord"], "_text", budget, partitions, max_groups)
         chunks = chunks.withColumn("chunk_key", F.concat_ws("|", *[F.col(c) for c in by],
                                                            F.lit(str(level)), F.col("chunk").cast("string")))
-        if pct_by:
-            chunks = chunks.join(bounded_broadcast(pct), pct_by, "left")
-        else:  # one global row, joined on a constant key
-            chunks = chunks.withColumn("_k", F.lit(1)).join(
-                bounded_broadcast(pct.withColumn("_k", F.lit(1)), known_rows=1), "_k", "left").drop("_k")
+        # at most one row per channel, or one row in all
+        share = bounded_broadcast(pct, known_rows=len(C.CHANNELS))
+        chunks = chunks.join(share, pct_by, "left") if pct_by else chunks.withColumn("_k", F.lit(1)).join(
+            bounded_broadcast(pct.withColumn("_k", F.lit(1)), known_rows=1), "_k", "left").drop("_k")
         prompts = render_summary_prompt(chunks, F.col("positive_pct"), text="text")
         # written once: the completer stage and the answer join-back both read it
         prompts = materialize(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt")
                                      .withColumn("prompt_key", F.sha2(F.col("prompt"), 256)),
                               f"summary-prompts{level}")
         answered = annotate(prompts, completer, partitions=partitions)
-        parsed, dead = parse_summary(answered.drop("completion", "prompt_key", "prompt"), key="chunk_key")
+        parsed, dead = parse_summary(answered.drop("completion", "prompt_key"), key="chunk_key")
         parsed = materialize(parsed, f"summary-level{level}")   # one row per chunk; cuts lineage
-        deads.append(dead)
-        per_group = parsed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if per_group is None or per_group <= 1:
-            result = parsed.withColumn("levels", F.lit(level + 1))
+        deads.append(materialize(dead, f"summary-dead{level}"))
+        answers = parsed.groupBy(*by).agg(F.count(F.lit(1)).alias("_answers"))
+        asked = prompts.groupBy(*by).agg(F.count(F.lit(1)).alias("_asked"))
+        state = asked.alias("p").join(answers.alias("g"), same, "left").select(
+            *[F.col(f"p.{c}").alias(c) for c in by], "_asked", F.coalesce("_answers", F.lit(0)).alias("_answers"))
+        state = materialize(state.withColumn("_level", F.lit(level)), f"summary-state{level}")
+        calls.append(state)
+        more = state.where("_answers > 1")
+        done = parsed.alias("p").join(state.where("_answers = 1").alias("g"), same, "left_semi")
+        finished.append(done.select(*by, *fields).withColumn("levels", F.lit(level + 1)))
+        last, most = more.agg(F.count(F.lit(1)), F.max((F.col("_answers") >= F.col("_asked")).cast("int"))).first()
+        if level and most:
+            budget *= 2
+        if not last:
             break
-        items = parsed.select(*by, F.format_string("%020d", F.col("chunk")).alias("_ord"),
-                              F.to_json(F.struct("customer_likings", "customer_pain_points",
-                                                 "focus", "actions")).alias("_text"))
-    if result is None:
-        raise RuntimeError("summary did not converge; raise max_chars or max_levels")
-    out = result.select(*by, "customer_likings", "customer_pain_points", "focus", "actions", "levels")
+        items = parsed.alias("p").join(more.alias("g"), same, "left_semi").select(
+            *by, F.format_string("%020d", F.col("chunk")).alias("_ord"), F.to_json(F.struct(*fields)).alias("_text"))
+        level += 1
+    # every group, with what its calls came to; a group without any answer keeps its row
+    totals = union_all(*calls).groupBy(*by).agg(
+        F.max(F.when(F.col("_level") == 0, F.col("_asked"))).alias("n_chunks"), F.sum(F.col("_asked") - F.col("_answers")).alias("n_failed"),
+        (F.max("_level") + 1).alias("_levels"))
+    found = union_all(*finished)
+    out = totals.alias("p").join(found.alias("g"), same, "left").select(
+        *[F.col(f"p.{c}").alias(c) for c in by], *fields, F.coalesce("levels", "_levels").cast("int").alias("levels"), "n_chunks", "n_failed")
     return out, union_all(*deads)

@@ -45,12 +45,13 @@ def ticket_id_expr() -> Column:
     return F.sha2(F.concat_ws("|", F.col("channel"), F.col("review_id")), 256)
 
 
-def build_tickets(resolved: DataFrame, config: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_tickets(resolved: DataFrame, config: DataFrame, check_severity: bool = False) -> tuple[DataFrame, DataFrame]:
     """K1/J4 + K9: one ticket per accepted review.
 
-    The job config (one row per channel) is broadcast onto every row.  A ticket
-    whose severity is not one of the four levels would be refused by the ticket
-    store; such rows go to dead letters (stage ``ticket``).
+    The job config (one row per channel) is broadcast onto every row.  Severities
+    pass unchanged; with ``check_severity``, rows whose severity is not one of
+    the four levels go to dead letters (stage ``ticket``), as does a row without
+    a review id, which could not be told from others.
     Returns (tickets, dead letters).
     """
     cfg = bounded_broadcast(config.select("channel", "default_part_id", "default_owner_id"))
@@ -69,11 +70,11 @@ def build_tickets(resolved: DataFrame, config: DataFrame) -> tuple[DataFrame, Da
         "severity",
         *[F.col(c) for c in TICKET_EXTRA if c in j.columns],
     )
-    ok = F.col("severity_norm").isin([s.lower() for s in C.SEVERITIES])
-    good = t.where(ok)
-    dead = dead_letter(t.where(~F.coalesce(ok, F.lit(False))), "ticket", F.col("ticket_id"),
-                       "invalid_severity", F.coalesce(F.col("severity"), F.lit("null")))
-    return good, dead
+    known = F.col("review_id").isNotNull()
+    level = F.coalesce(F.col("severity_norm").isin([s.lower() for s in C.SEVERITIES]), F.lit(False)) if check_severity else F.lit(True)
+    dead = dead_letter(t.where(~(known & level)), "ticket", F.when(known, F.col("ticket_id")),
+                       F.when(known, F.lit("invalid_severity")).otherwise(F.lit("missing_id")), F.coalesce(F.col("severity"), F.lit("null")))
+    return t.where(known & level), dead
 
 
 def write_tickets(tickets: DataFrame, path: str, skip_existing: bool = False) -> DataFrame:
@@ -86,13 +87,22 @@ def write_tickets(tickets: DataFrame, path: str, skip_existing: bool = False) ->
     the updated table."""
     spark = tickets.sparkSession
     out = tickets
-    if skip_existing and path_exists(spark, path):
-        out = incremental_tickets(tickets, spark.read.parquet(path))
+    if skip_existing:
+        out = one_per_ticket(tickets)
+        if path_exists(spark, path):
+            out = incremental_tickets(out, spark.read.parquet(path))
     staged = materialize(out, "tickets-run")
     staged.write.mode("append").partitionBy("channel").parquet(path)
     return staged
 
 
+def one_per_ticket(tickets: DataFrame) -> DataFrame:
+    """One row per ticket id: of copies within a batch, the smallest by all columns."""
+    columns = tickets.columns
+    return tickets.groupBy("ticket_id").agg(F.min(F.struct(*[c for c in columns if c != "ticket_id"])).alias("_t")).select(
+        *[F.col(c) if c == "ticket_id" else F.col(f"_t.{c}").alias(c) for c in columns])
+
+
 def incremental_tickets(new: DataFrame, existing: DataFrame) -> DataFrame:
     """K1 ``skip_existing`` as a pure DataFrame step (anti join on ticket_id)."""
     return new.join(existing.select("ticket_id"), "ticket_id", "left_anti")

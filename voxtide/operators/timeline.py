@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxtide import constants as C
 from voxtide.operators.render import js_number, template_expr
+from voxtide.session import materialize, path_exists
 
 TIMELINE_COLUMNS = ["entry_id", "object", "body", "body_type", "type", "visibility",
                     "expires_at", "seq", "updated_at"]
@@ -63,9 +64,16 @@ def active_entries(timeline: DataFrame, as_of) -> DataFrame:
     return timeline.where(F.col("expires_at").isNull() | (F.col("expires_at") > t))
 
 
-def write_timeline(entries: DataFrame, path: str) -> None:
-    """K7: append entries to the timeline table."""
-    entries.select(*TIMELINE_COLUMNS).write.mode("append").parquet(path)
+def write_timeline(entries: DataFrame, path: str, skip_existing: bool = False) -> None:
+    """K7: append entries to the timeline table; with ``skip_existing`` only
+    those whose ``entry_id`` it does not hold, staged before the table changes."""
+    rows = entries.select(*TIMELINE_COLUMNS)
+    spark = entries.sparkSession
+    if skip_existing and path_exists(spark, path):
+        rows = rows.join(spark.read.parquet(path).select("entry_id"), "entry_id", "left_anti").select(*TIMELINE_COLUMNS)
+    if skip_existing:
+        rows = materialize(rows, "timeline-run")
+    rows.write.mode("append").parquet(path)
 
 
 def summary_report(summary: DataFrame, app_object, created_at=None) -> DataFrame:

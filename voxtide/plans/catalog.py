@@ -266,7 +266,7 @@ def annotate_model(spark, sf_dir):
 @query
 def annotate_rules(spark, sf_dir):
     """Rule-table annotator over whole review texts."""
-    r = N.annotate_rules(views.reviews(spark, sf_dir), N.rules_df(spark, RULES))
+    r = N.annotate_rules(views.reviews(spark, sf_dir), RULES)
     return r.select("review_id", "Sentiments", "Category", "Severity")
 
 
@@ -293,8 +293,8 @@ def annotation_parse(spark, sf_dir):
 def parse_failures(spark, sf_dir):
     """Answers that could not be parsed."""
     a = N.annotate_labels(views.reviews(spark, sf_dir), views.label_answers(spark, sf_dir))
-    _, dead = N.parse_annotation(a)
-    return dead.select("stage", "key", "reason")
+    _, dead = N.parse_annotation(a, missing="no_answer")
+    return dead.select("stage", "channel", "key", "reason")
 
 
 @query
@@ -352,8 +352,8 @@ def tickets_model(spark, sf_dir):
 def tickets_rules(spark, sf_dir):
     """N12 → K1: tickets of the reviews the rule annotator labels."""
     reviews = views.reviews(spark, sf_dir)
-    ann = N.rules_answer(N.annotate_rules(reviews, N.rules_df(spark, RULES))).select("review_id", "answer")
-    run = review_job.run_annotated(spark, reviews.join(ann, "review_id"))
+    ann = N.rules_answer(N.annotate_rules(reviews, RULES)).select("channel", "review_id", "answer")
+    run = review_job.run_annotated(spark, N.annotate_labels(reviews, ann, ["channel", "review_id"]))
     return _ticket_out(run.tickets)
 
 
@@ -386,7 +386,47 @@ def tickets_by_tag(spark, sf_dir):
 @query
 def dead_letters(spark, sf_dir):
     """K9: every failed row of the review job."""
-    return review_job.run_labels(spark, sf_dir).dead_letters.select("stage", "key", "reason")
+    return review_job.run_labels(spark, sf_dir).dead_letters.select("stage", "channel", "key", "reason", "message")
+
+
+@query
+def review_outcomes(spark, sf_dir):
+    """K9: every review ends as a ticket or as a dead letter; counts per channel."""
+    run = review_job.run_labels(spark, sf_dir)
+    ends = run.tickets.select("channel", F.lit("ticket").alias("outcome")).unionByName(
+        run.dead_letters.select("channel", F.col("reason").alias("outcome")))
+    return ends.groupBy("channel", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def severity_refused(spark, sf_dir):
+    """Tickets refused where the severity levels are enforced (an option)."""
+    run = review_job.run_labels(spark, sf_dir)
+    _, dead = K.build_tickets(run.resolved, config_df(spark), check_severity=True)
+    return dead.select("channel", "key", "reason")
+
+
+@query
+def review_limit(spark, sf_dir):
+    """T3 as the jobs apply it: social by score, app store by rating, the rest whole."""
+    return review_job.limit_reviews(views.reviews(spark, sf_dir), TOP_N).select("channel", "review_id")
+
+
+def _flaky(prompts):
+    """Fails a whole call over one prompt, as a service does over bad input."""
+    if any(p is not None and len(p) % 7 == 0 for p in prompts):
+        raise ValueError("refused input")
+    return completers.length_rule_completer(prompts)
+
+
+@query
+def annotate_failures(spark, sf_dir):
+    """Failed model calls end as dead letters with their message; the
+    other prompts of the same call are answered."""
+    prompts = render_prompt(_with_company(spark, sf_dir))
+    sized = prompts.withColumn("prompt_len", F.length("prompt").cast("bigint"))
+    _, dead = N.parse_annotation(N.annotate(sized, _flaky))
+    return dead.select("channel", "key", "reason", "message")
 
 
 # ------------------------------------------------------------------ timeline
@@ -416,9 +456,12 @@ def chart_comments(spark, sf_dir):
 def timeline_create(spark, sf_dir):
     """K7: every timeline entry the review job creates."""
     t = review_job.run_labels(spark, sf_dir).tickets
-    e = review_job.timeline_for(t, CREATED_AT)
-    return e.select("entry_id", "object", "seq", "body_type", "type", "visibility",
-                    iso_ts(F.col("updated_at")).alias("updated_at"))
+    path = scratch_path(spark, "timeline")
+    for _ in range(2):      # the second run finds every entry in the table
+        TL.write_timeline(review_job.timeline_for(t, CREATED_AT), path, skip_existing=True)
+    e = spark.read.parquet(path)
+    return e.select("entry_id", "object", "seq", "body", "body_type", "type", "visibility",
+                    iso_ts(F.col("expires_at")).alias("expires_at"), iso_ts(F.col("updated_at")).alias("updated_at"))
 
 
 @query
@@ -471,7 +514,7 @@ def summary_chunks(spark, sf_dir):
     t = review_job.run_labels(spark, sf_dir).tickets
     j = A.join_bodies(t, max_chars=CHUNK_CHARS)
     pct = A.sentiment_pct(t, by=("channel",)).select("channel", "positive_pct")
-    p = render_summary_prompt(j.join(bounded_broadcast(pct), "channel", "left"), F.col("positive_pct"))
+    p = render_summary_prompt(j.join(bounded_broadcast(pct, known_rows=len(C.CHANNELS)), "channel", "left"), F.col("positive_pct"))
     return p.select("channel", "sentiment", "chunk", "n_items", "positive_pct", *_text_cols("prompt", "prompt"))
 
 
@@ -489,10 +532,17 @@ def summary_report(spark, sf_dir):
     t = review_job.run_labels(spark, sf_dir).tickets
     s, _ = A.summarise(t, completers.digest_completer, by=("channel",), max_chars=SUMMARY_CHARS)
     pct = A.sentiment_pct(t, by=("channel",))
-    s = materialize(s, "summary").join(bounded_broadcast(pct), "channel", "left")
+    s = materialize(s, "summary").join(bounded_broadcast(pct, known_rows=len(C.CHANNELS)), "channel", "left")
     return TL.summary_report(s, F.concat(F.lit("app/"), F.col("channel"))).select("channel", "seq", "body")
 
 
+@query
+def summary_parse(spark, sf_dir):
+    """Summary envelopes built from labels, with list-valued and broken answers."""
+    parsed, _ = N.parse_summary(views.summary_answers(spark, sf_dir))
+    return parsed.select("chunk_key", "customer_likings", "customer_pain_points", "focus", "actions")
+
+
 @query
 def category_counts(spark, sf_dir):
     """Tickets per channel and category."""

@@ -127,8 +127,13 @@ TICKETS = f"""tickets AS (
     'ticket' AS type,
     'owner/' || channel AS owner, 'part/' || channel AS applies_to_part,
     severity, category_final AS category, sentiment, sub_category, feature, insight, response
-  FROM resolved
-  WHERE severity_norm IN {inlist([x.lower() for x in C.SEVERITIES])})"""
+  FROM resolved)"""
+
+# Reviews without an answer, with a broken one, or with an unknown sentiment.
+DEAD = f"""dead AS (
+  SELECT 'annotate' AS stage, r.channel, r.review_id AS key, CASE WHEN a.doc_id IS NULL THEN 'no_answer' ELSE 'malformed_answer' END AS reason
+  FROM reviews r LEFT JOIN answers a USING (doc_id) WHERE a.doc_id IS NULL OR a.corrupt
+  UNION ALL SELECT 'resolve_tags', channel, review_id, 'unknown_sentiment' FROM parsed WHERE sentiment NOT IN {inlist(TAG_NAMES)})"""
 
 
 def with_(*ctes: str) -> str:
@@ -168,14 +173,40 @@ def _sent_pct(group: str = "") -> str:
 def _chunks(max_chars: int) -> str:
     return f"""chunked AS (
   SELECT channel, sentiment, ticket_id, coalesce(body, '') AS b,
-    CAST(floor((sum(length(coalesce(body, ''))) OVER (PARTITION BY channel, sentiment ORDER BY ticket_id, body
-       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(coalesce(body, ''))) / {max_chars}) AS BIGINT) AS chunk
+    CAST(floor((sum(length(coalesce(body, '')) + 1) OVER (PARTITION BY channel, sentiment ORDER BY ticket_id, body
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(coalesce(body, '')) - 1) / {max_chars}) AS BIGINT) AS chunk
   FROM tickets),
 joined AS (
   SELECT channel, sentiment, chunk, count(*) AS n_items, string_agg(b, ',' ORDER BY ticket_id, b) AS text
   FROM chunked GROUP BY channel, sentiment, chunk)"""
 
 
+def _summary_levels(by: list[str], levels: int = 3) -> list[str]:
+    """The corpus summary with the digest stand-in, ``levels`` levels unrolled:
+    ``summary(by, fields, levels, n_chunks, n_failed)``."""
+    g = ", ".join(by)
+    prompt = template_sql(C.SUMMARY_PROMPT, {"positive_pct": PCT_TEXT, "reviews": "text"})
+    out = [f"i0 AS (SELECT {g}, ticket_id AS ord, coalesce(body, '') AS b FROM tickets)"]
+    for k in range(levels):
+        out.append(f"""c{k} AS (SELECT {g}, ord, b, CAST(floor((sum(length(b) + 1) OVER (PARTITION BY {g} ORDER BY ord, b
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(b) - 1) / {Q.SUMMARY_CHARS}) AS BIGINT) AS chunk FROM i{k}),
+p{k} AS (SELECT {g}, chunk, {prompt} AS p FROM (SELECT {g}, chunk, string_agg(b, ',' ORDER BY ord, b) AS text FROM c{k} GROUP BY {g}, chunk)
+  LEFT JOIN pct USING (channel)),
+a{k} AS (SELECT {g}, chunk, CAST(length(p) AS VARCHAR) || ' characters reviewed' AS customer_likings, 'digest ' || substr(md5(p), 1, 12) AS customer_pain_points,
+  'topic ' || CAST(length(p) % 7 AS VARCHAR) AS focus, 'action ' || CAST(length(p) % 3 AS VARCHAR) || ',action ' || CAST(length(p) % 5 AS VARCHAR) AS actions,
+  count(*) OVER (PARTITION BY {g}) AS n FROM p{k})""")
+        out.append(f"""i{k + 1} AS (SELECT {g}, lpad(CAST(chunk AS VARCHAR), 20, '0') AS ord, '{{"customer_likings":"' || customer_likings || '","customer_pain_points":"'
+  || customer_pain_points || '","focus":"' || focus || '","actions":"' || actions || '"}}' AS b FROM a{k} WHERE n > 1)""")
+    ends = " UNION ALL ".join(f"SELECT {g}, customer_likings, customer_pain_points, focus, actions, CAST({k + 1} AS INTEGER) AS levels FROM a{k} WHERE n = 1" for k in range(levels))
+    same = " AND ".join(f"e.{c} = z.{c}" for c in by)
+    out.append(f"summary AS (SELECT e.*, z.n_chunks, CAST(0 AS BIGINT) AS n_failed FROM ({ends}) e JOIN (SELECT {g}, max(n) AS n_chunks FROM a0 GROUP BY {g}) z ON {same})")
+    return out
+
+
+PCT_TEXT = ("CASE WHEN isnan(positive_pct) THEN 'NaN' WHEN positive_pct = floor(positive_pct) "
+            "THEN CAST(CAST(floor(positive_pct) AS BIGINT) AS VARCHAR) ELSE CAST(positive_pct AS VARCHAR) END")
+
+
 def _model_sql() -> str:
     n = "length(text)"
     return f"""SELECT review_id, channel, ({n} % 5 != 0) AS relevance,
@@ -205,10 +236,10 @@ def _rules_ctes() -> list[str]:
     fields = ["Sentiments", "Category", "Severity"]
     best = ", ".join(
         f"arg_max(value, row(score, -rank)) FILTER (WHERE field = {s(f)}) AS {f}" for f in fields)
-    ruled = f"""ruled AS (SELECT review_id, {best} FROM (
-  SELECT review_id, field, value, sum(weight) AS score, min(rank) AS rank
-  FROM (SELECT review_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS token FROM reviews) t
-  JOIN rules USING (token) GROUP BY review_id, field, value) GROUP BY review_id)"""
+    ruled = f"""ruled AS (SELECT channel, review_id, {best} FROM (
+  SELECT channel, review_id, field, value, sum(weight) AS score, min(rank) AS rank
+  FROM (SELECT channel, review_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS token FROM reviews) t
+  JOIN rules USING (token) GROUP BY channel, review_id, field, value) GROUP BY channel, review_id)"""
     return [rules, ruled]
 
 
@@ -309,8 +340,7 @@ def build() -> dict[str, str]:
     o["annotate_labels"] = BASE + ("SELECT review_id, channel, relevance, sentiment, category, sub_category, severity, "
                                    "feature, insight, description, response, review_clean FROM parsed")
     o["annotation_parse"] = BASE + "SELECT review_id, sentiment, category, severity FROM parsed"
-    o["parse_failures"] = (BASE + "SELECT 'annotate' AS stage, review_id AS key, 'malformed_answer' AS reason "
-                           "FROM reviews JOIN answers USING (doc_id) WHERE corrupt")
+    o["parse_failures"] = with_(REVIEWS, ANSWERS, PARSED, DEAD) + "SELECT stage, channel, key, reason FROM dead WHERE stage = 'annotate'"
     rules_vals = ", ".join(f"({s(c)}, {s(x)})" for c, subs in C.SUB_CATEGORY_RULES.items() for x in subs)
     o["sub_category_check"] = (BASE + f", subrules(category, sub_category) AS (VALUES {rules_vals}) "
                                "SELECT review_id, category, sub_category, (EXISTS (SELECT 1 FROM subrules r WHERE "
@@ -338,11 +368,10 @@ def build() -> dict[str, str]:
                           f"md5({BODY}) AS body_md5, length({BODY}) AS body_len, 'ticket' AS type, "
                           "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
     rparsed = ("rparsed AS (SELECT r.*, x.Sentiments AS sentiment, x.Category AS category, x.Severity AS severity, "
-               "CAST(NULL AS VARCHAR) AS description FROM reviews r JOIN ruled x USING (review_id))")
+               "CAST(NULL AS VARCHAR) AS description FROM reviews r JOIN ruled x USING (channel, review_id))")
     rresolved = (f"resolved AS (SELECT *, CASE WHEN category IN {inlist(TAG_NAMES)} THEN category "
                  f"ELSE {s(C.FALLBACK_CATEGORY)} END AS category_final FROM rparsed "
-                 f"WHERE sentiment IN {inlist(TAG_NAMES)} "
-                 f"AND lower(trim(severity)) IN {inlist([x.lower() for x in C.SEVERITIES])})")
+                 f"WHERE sentiment IN {inlist(TAG_NAMES)})")
     o["tickets_rules"] = (with_(REVIEWS, *_rules_ctes(), rparsed, rresolved) +
                           f"SELECT sha256(channel || '|' || review_id) AS ticket_id, channel, review_id, {TITLE} AS title, "
                           "'tag/' || category_final || ',' || 'tag/' || sentiment AS tags, "
@@ -350,18 +379,29 @@ def build() -> dict[str, str]:
                           "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
     o["tickets_incremental"] = BASE + "SELECT ticket_id, channel, review_id FROM tickets WHERE lang != 'en'"
     o["tickets_by_tag"] = BASE + "SELECT ticket_id, channel FROM tickets WHERE tag_category = 'tag/Negative' OR tag_sentiment = 'tag/Negative'"
-    o["dead_letters"] = (BASE + "SELECT 'annotate' AS stage, r.review_id AS key, 'malformed_answer' AS reason "
-                         "FROM reviews r JOIN answers a USING (doc_id) WHERE a.corrupt UNION ALL "
-                         f"SELECT 'resolve_tags', review_id, 'unknown_sentiment' FROM parsed WHERE sentiment NOT IN {inlist(TAG_NAMES)} "
-                         "UNION ALL SELECT 'ticket', sha256(channel || '|' || review_id), 'invalid_severity' FROM resolved "
-                         f"WHERE severity_norm NOT IN {inlist([x.lower() for x in C.SEVERITIES])}")
+    o["dead_letters"] = with_(REVIEWS, ANSWERS, PARSED, DEAD) + "SELECT stage, channel, key, reason, stage || ': ' || reason AS message FROM dead"
+    o["review_outcomes"] = (BASE + ", " + DEAD + " SELECT channel, outcome, count(*) AS n FROM (SELECT channel, 'ticket' AS outcome FROM tickets "
+                            "UNION ALL SELECT channel, reason FROM dead) GROUP BY channel, outcome")
+    o["severity_refused"] = (BASE + "SELECT channel, sha256(channel || '|' || review_id) AS key, 'invalid_severity' AS reason FROM resolved "
+                             f"WHERE severity_norm IS NULL OR severity_norm NOT IN {inlist([x.lower() for x in C.SEVERITIES])}")
+    o["review_limit"] = (with_(REVIEWS) + "SELECT channel, review_id FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY "
+                         "CASE channel WHEN 'social' THEN score WHEN 'appstore' THEN rating END DESC, review_id) AS nth FROM reviews) "
+                         f"WHERE channel NOT IN ('social', 'appstore') OR nth <= {Q.TOP_N}")
+    refused = f"length({prompt}) % 7 = 0"
+    o["annotate_failures"] = (wc + f"SELECT channel, review_id AS key, CASE WHEN {refused} THEN 'inference_failed' ELSE 'malformed_answer' END AS reason, "
+                              f"CASE WHEN {refused} THEN 'ValueError: refused input' ELSE 'annotate: malformed_answer' END AS message "
+                              f"FROM rc WHERE {refused} OR length(text) % 11 = 0")
+    o["summary_parse"] = ("SELECT CAST(doc_id AS VARCHAR) AS chunk_key, 'liked ' || CAST(doc_id AS VARCHAR) AS customer_likings, 'pain ' || CAST(quality AS VARCHAR) AS customer_pain_points, "
+                          "CASE WHEN doc_id % 3 = 0 THEN 'a ' || CAST(doc_id AS VARCHAR) || ',b' ELSE 'f ' || CAST(doc_id AS VARCHAR) END AS focus, "
+                          "CASE WHEN doc_id % 2 = 1 THEN 'x,y ' || CAST(doc_id AS VARCHAR) ELSE 'act ' || CAST(doc_id AS VARCHAR) END AS actions "
+                          "FROM labels WHERE doc_id % 13 != 0")
     o["status_messages"] = BASE + ", " + _status() + f" SELECT entry_id, object, body, {iso('expires_at')} AS expires_at FROM status"
     o["detail_comments"] = BASE + ", " + _comments() + " SELECT object, seq, body FROM comments"
     o["chart_comments"] = BASE + ", " + _comments() + " SELECT object, body FROM comments WHERE seq = 6"
     o["timeline_create"] = (BASE + ", " + _status() + ", " + _comments() +
-                            f" SELECT entry_id, object, seq, 'text' AS body_type, 'timeline_comment' AS type, 'internal' AS visibility, "
-                            f"{iso('updated_at')} AS updated_at FROM status UNION ALL SELECT sha256(object || '|' || CAST(seq AS VARCHAR)), "
-                            f"object, seq, 'text', 'timeline_comment', 'internal', {iso(f'TIMESTAMP {s(Q.CREATED_AT)}')} FROM comments")
+                            f" SELECT entry_id, object, seq, body, 'text' AS body_type, 'timeline_comment' AS type, 'internal' AS visibility, "
+                            f"{iso('expires_at')} AS expires_at, {iso('updated_at')} AS updated_at FROM status UNION ALL SELECT sha256(object || '|' || CAST(seq AS VARCHAR)), "
+                            f"object, seq, body, 'text', 'timeline_comment', 'internal', NULL, {iso(f'TIMESTAMP {s(Q.CREATED_AT)}')} FROM comments")
     o["timeline_latest"] = (with_(_entries()) + f"SELECT entry_id, arg_max(seq, row(updated_at, seq, body)) AS seq, "
                             f"arg_max(body, row(updated_at, seq, body)) AS body, {iso('max(updated_at)')} AS updated_at "
                             "FROM entries GROUP BY entry_id")
@@ -376,12 +416,18 @@ def build() -> dict[str, str]:
             "count(*) FILTER (WHERE tag_category = 'tag/Positive' OR tag_sentiment = 'tag/Positive') AS p, "
             "count(*) FILTER (WHERE tag_category = 'tag/Negative' OR tag_sentiment = 'tag/Negative') AS n "
             "FROM tickets GROUP BY channel))")
-    num = ("CASE WHEN isnan(positive_pct) THEN 'NaN' WHEN positive_pct = floor(positive_pct) "
-           "THEN CAST(CAST(floor(positive_pct) AS BIGINT) AS VARCHAR) ELSE CAST(positive_pct AS VARCHAR) END")
-    sp = template_sql(C.SUMMARY_PROMPT, {"positive_pct": num, "reviews": "text"})
+    sp = template_sql(C.SUMMARY_PROMPT, {"positive_pct": PCT_TEXT, "reviews": "text"})
     o["summary_chunks"] = (BASE + ", " + _chunks(Q.CHUNK_CHARS) + ", " + spct +
                            f" SELECT channel, sentiment, chunk, n_items, positive_pct, md5(p) AS prompt_md5, length(p) AS prompt_len "
                            f"FROM (SELECT joined.*, positive_pct, {sp} AS p FROM joined LEFT JOIN pct USING (channel))")
+    fields = "customer_likings, customer_pain_points, focus, actions, levels, n_chunks, n_failed"
+    o["corpus_summary"] = BASE + ", " + spct + ", " + ",\n".join(_summary_levels(["channel", "sentiment"])) + f" SELECT channel, sentiment, {fields} FROM summary"
+    neg = spct.replace("pct AS (SELECT channel, ", f"pct AS (SELECT channel, {_pct('CAST(n AS DOUBLE)', 'p')} AS negative_pct, ")
+    shown = {"positive_pct": PCT_TEXT, "negative_pct": PCT_TEXT.replace("positive_pct", "negative_pct"),
+             **{c: c for c in ("customer_likings", "customer_pain_points", "focus", "actions")}}
+    o["summary_report"] = (BASE + ", " + neg + ", " + ",\n".join(_summary_levels(["channel"])) + " " + " UNION ALL ".join(
+        f"SELECT channel, CAST({i + 1} AS BIGINT) AS seq, {template_sql(t, shown)} AS body FROM summary LEFT JOIN pct USING (channel)"
+        for i, t in enumerate(C.REPORT_TEMPLATES)))
     o["category_counts"] = BASE + "SELECT channel, category, count(*) AS n FROM tickets GROUP BY channel, category"
     names = [n for n in TAG_NAMES if n not in ("Positive", "Negative")]
     o["category_pivot"] = BASE + "SELECT channel, " + ", ".join(

@@ -29,9 +29,11 @@ class ReviewRun:
     dead_letters: DataFrame
 
 
-def run_annotated(spark: SparkSession, annotated: DataFrame, relevance: str = "observed") -> ReviewRun:
-    """Ticket stage for reviews that already carry an ``answer`` text."""
-    parsed, dead_parse = parse_annotation(annotated)
+def run_annotated(spark: SparkSession, annotated: DataFrame, relevance: str = "observed",
+                  missing: str = "inference_failed") -> ReviewRun:
+    """Ticket stage for reviews that already carry an ``answer`` text; one
+    without is a dead letter with the reason ``missing``."""
+    parsed, dead_parse = parse_annotation(annotated, missing=missing)
     parsed = normalise_severity(parsed)
     resolved, dead_tags = resolve_tags(parsed, tags_df(spark))
     kept = relevance_filter(resolved, relevance)
@@ -39,20 +41,24 @@ def run_annotated(spark: SparkSession, annotated: DataFrame, relevance: str = "o
     return ReviewRun(parsed, resolved, tickets, union_all(dead_parse, dead_tags, dead_ticket))
 
 
-_RUNS: dict = {}
+def run_labels(spark: SparkSession, sf_dir: str, relevance: str = "observed") -> ReviewRun:
+    """Review job with the label annotator (ready answers joined by doc_id)."""
+    annotated = annotate_labels(views.reviews(spark, sf_dir), views.label_answers(spark, sf_dir))
+    return run_annotated(spark, annotated, relevance, missing="no_answer")
 
 
-def run_labels(spark: SparkSession, sf_dir: str, relevance: str = "observed") -> ReviewRun:
-    """Review job with the label annotator (ready answers joined by doc_id).
+def limit_reviews(reviews: DataFrame, n: int) -> DataFrame:
+    """T3 as the jobs apply it: the ``n`` best social reviews by ``score``, where
+    the source sends one, else the first in landing order, and the ``n``
+    best-rated app store reviews.  The other channels are never cut."""
+    from voxtide.operators.filters import top_n
 
-    The (lazy) plan is built once per session and input folder; building it is
-    pure driver work, so queries that share it skip re-analysis."""
-    key = (spark.sparkContext.applicationId, sf_dir, relevance)
-    if key not in _RUNS:
-        reviews = views.reviews(spark, sf_dir)
-        answers = views.label_answers(spark, sf_dir)
-        _RUNS[key] = run_annotated(spark, annotate_labels(reviews, answers), relevance)
-    return _RUNS[key]
+    parts = {"social": ("score",) if "score" in reviews.columns else (), "appstore": ("rating",)}
+    whole = reviews.where(~F.col("channel").isin(list(parts)) | F.col("channel").isNull())
+    social = reviews.where("channel = 'social'")
+    social = top_n(social, n, by=parts["social"]) if parts["social"] else social.orderBy("page", "review_id").limit(n)
+    rated = top_n(reviews.where("channel = 'appstore'"), n, by=parts["appstore"])
+    return whole.unionByName(social.select(*reviews.columns)).unionByName(rated.select(*reviews.columns))
 
 
 def timeline_for(tickets: DataFrame, created_at: str, app_object=None) -> DataFrame:
@@ -74,41 +80,56 @@ def review_command(spark: SparkSession, raw: DataFrame, out_dir: str, completer=
     """The review command as one batch job.
 
     landed pages → canonical reviews (dead letters for bad pages) → optional
-    top-``limit`` per channel by rating → answers (``completer`` over rendered
+    ``limit`` of the channels that have one → answers (``completer`` over rendered
     prompts, kept in a completions store under ``out_dir``; or ready
     ``answers(review_id, answer)``) → typed annotations → tags → tickets
-    (appended, skipping tickets already stored) → timeline entries built from
-    the written tickets → dead letters.  Returns the table paths.
+    (appended, skipping tickets already stored) → timeline entries of all
+    tickets of this run → dead letters.  Each sink takes only rows it does not
+    hold yet, so a run that died between sinks is completed by the next one.
+    Returns the table paths.
     """
     from voxtide.operators.annotate import annotate
-    from voxtide.operators.filters import top_n
     from voxtide.operators.outcomes import union_all as _union
     from voxtide.operators.render import render_prompt
-    from voxtide.operators.tickets import write_tickets
+    from voxtide.operators.tickets import one_per_ticket, write_tickets
     from voxtide.operators.timeline import write_timeline
     from voxtide.operators.joins import bounded_broadcast
+    from voxtide.session import materialize
     from voxtide.sources.payloads import read_all
 
     if (completer is None) == (answers is None):
         raise ValueError("give exactly one of completer or answers")
     paths = {k: f"{out_dir}/{k}" for k in ("tickets", "timeline", "dead_letters", "completions")}
     reviews, dead_src = read_all(raw)
-    if limit is not None:
-        reviews = top_n(reviews, limit, by=("rating",), per="channel").drop("rank")
+    reviews = materialize(reviews if limit is None else limit_reviews(reviews, limit), "reviews")
     if completer is not None:
         cfg = bounded_broadcast(config_df(spark).select("channel", "company"))
         prompts = render_prompt(reviews.join(cfg, "channel", "left"))
         annotated = annotate(prompts, completer, store=paths["completions"]).drop(
             "completion", "prompt", "prompt_key", "company")
     else:
-        annotated = reviews.join(answers.select("review_id", "answer"), "review_id")
-    run = run_annotated(spark, annotated, relevance)
-    written = write_tickets(run.tickets, paths["tickets"], skip_existing=True)
-    write_timeline(timeline_for(written, created_at, app_object), paths["timeline"])
-    _union(dead_src, run.dead_letters).write.mode("append").parquet(paths["dead_letters"])
+        keys = [c for c in ("channel", "review_id") if c in answers.columns]
+        annotated = annotate_labels(reviews, answers.select(*keys, "answer"), keys)
+    run = run_annotated(spark, materialize(annotated, "annotated"), relevance, "no_answer" if completer is None else "inference_failed")
+    tickets = materialize(one_per_ticket(run.tickets), "tickets-all")
+    write_tickets(tickets, paths["tickets"], skip_existing=True)
+    write_timeline(timeline_for(tickets, created_at, app_object), paths["timeline"], skip_existing=True)
+    append_new(_union(dead_src, run.dead_letters), paths["dead_letters"])
     return paths
 
 
+def append_new(rows: DataFrame, path: str) -> None:
+    """Append the rows that the table at ``path`` does not hold yet (all columns
+    compared, NULLs equal), so repeating a run changes nothing."""
+    from voxtide.session import materialize, path_exists
+
+    spark = rows.sparkSession
+    rows = rows.distinct()
+    if path_exists(spark, path):
+        rows = rows.exceptAll(spark.read.parquet(path).select(*rows.columns).distinct())
+    materialize(rows, "append").write.mode("append").parquet(path)
+
+
 def summary_command(spark: SparkSession, tickets_path: str, completer, out_dir: str,
                     by=("channel",), max_chars: int | None = None, app_object=None,
                     created_at: str | None = None) -> str:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Landed source payloads: one response page per row.
-RAW_PAGE = "channel STRING, page BIGINT, payload STRING"
-
+# Items of the landed source payloads (one response page per row).
 PAYLOAD_ITEM = {
     "social": "tweet_id STRING, text STRING, expanded_url STRING",
     "appstore": "id STRING, title STRING, url STRING, text STRING, rating BIGINT",
@@ -56,12 +54,10 @@ TIMELINE = (
     "visibility STRING, expires_at TIMESTAMP, seq BIGINT, updated_at TIMESTAMP"
 )
 
-DEAD_LETTER = "stage STRING, key STRING, reason STRING, raw STRING"
-
-# Command event (fields the jobs read).
+# Command event (fields the jobs read, names as they arrive).
 COMMAND_EVENT = (
     "payload STRUCT<parameters: STRING>, "
-    "context STRUCT<app_id: STRING>, "
+    "context STRUCT<snap_in_id: STRING>, "
     "input_data STRUCT<global_values: MAP<STRING, STRING>, "
     "resources: STRUCT<tags: MAP<STRING, STRUCT<id: STRING>>>>"
 )
@@ -78,7 +74,6 @@ WEBHOOK_EVENT = (
     f"id: STRING, id_v1: STRING, owned_by: ARRAY<{_USER}>, severity: STRING, "
     "stage: STRUCT<name: STRING, ordinal: INT>, state: STRING, stock_schema_fragment: STRING, "
     "title: STRING, type: STRING>>>, "
-    "context STRUCT<org_id: STRING, automation_id: STRING, source_id: STRING, app_id: STRING, "
-    "app_version_id: STRING>, "
-    "execution_metadata STRUCT<endpoint: STRING>"
+    "context STRUCT<dev_oid: STRING, automation_id: STRING, source_id: STRING, snap_in_id: STRING, "
+    "snap_in_version_id: STRING>"
 )

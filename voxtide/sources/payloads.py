@@ -41,7 +41,9 @@ def _unwrap(raw: DataFrame, channel: str) -> tuple[DataFrame, DataFrame]:
         F.col("payload"),
     )
     exploded = items.select("channel", "page", F.explode(f"p.{key}").alias("r"))
-    return exploded, dead
+    empty = dead_letter(exploded.where("r is null"), "source", F.concat_ws(":", F.col("channel"), F.col("page").cast("string")),
+                        "null_item", F.lit(None))
+    return exploded.where("r is not null"), dead.unionByName(empty)
 
 
 def _canon(df: DataFrame, **cols) -> DataFrame:
@@ -80,7 +82,7 @@ def read_business(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Envelope ``reviews``; author, comment.  No id in the payload:
     key = sha256 of ``author|comment`` (equal reviews share a key)."""
     x, dead = _unwrap(raw, "business")
-    key = F.sha2(F.concat_ws("|", F.col("r.author"), F.col("r.comment")), 256)
+    key = F.expr(_content_key("author", "comment"))
     return _canon(x, review_id=key, author=F.col("r.author"), text=F.col("r.comment")), dead
 
 
@@ -90,7 +92,7 @@ def read_domain(raw: DataFrame, pages: list[int] | None = None) -> tuple[DataFra
     if pages is not None:
         raw = raw.where(F.col("page").isin(pages))
     x, dead = _unwrap(raw, "domain")
-    key = F.sha2(F.concat_ws("|", F.col("r.title"), F.col("r.text")), 256)
+    key = F.expr(_content_key("title", "text"))
     return _canon(x, review_id=key, title=F.col("r.title"), text=F.col("r.text")), dead
 
 
@@ -103,12 +105,11 @@ READERS = {
 }
 
 
-def unify(*dfs: DataFrame) -> DataFrame:
-    """Union of channel outputs into the canonical review schema."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=True)
-    return out.select(*_CANON)
+def _content_key(a: str, b: str) -> str:
+    """SHA-256 of ``a|b`` where both are there; a NULL part is left out and
+    marked, so (NULL, x) and (x, NULL) differ; NULL where both are missing."""
+    return (f"CASE WHEN r.{a} IS NULL AND r.{b} IS NULL THEN NULL WHEN r.{a} IS NULL THEN sha2(concat('0|', r.{b}), 256) "
+            f"WHEN r.{b} IS NULL THEN sha2(concat(r.{a}, '|0|'), 256) ELSE sha2(concat_ws('|', r.{a}, r.{b}), 256) END")
 
 
 # Canonical review fields per channel, as SQL over one payload item ``r``.
@@ -116,9 +117,9 @@ _CANON_SQL = {
     "social": {"review_id": "r.tweet_id", "url": "r.expanded_url", "text": "r.text"},
     "appstore": {"review_id": "r.id", "title": "r.title", "url": "r.url", "text": "r.text", "rating": "r.rating"},
     "product": {"review_id": "r.review_id", "text": "r.review_content"},
-    "business": {"review_id": "sha2(concat_ws('|', r.author, r.comment), 256)", "author": "r.author",
+    "business": {"review_id": _content_key("author", "comment"), "author": "r.author",
                  "text": "r.comment"},
-    "domain": {"review_id": "sha2(concat_ws('|', r.title, r.text), 256)", "title": "r.title", "text": "r.text"},
+    "domain": {"review_id": _content_key("title", "text"), "title": "r.title", "text": "r.text"},
 }
 
 
@@ -153,14 +154,11 @@ def read_all(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     dead = dead_letter(bad, "source", F.concat_ws(":", F.col("channel"), F.col("page").cast("string")),
                        reason, F.col("payload"))
     rev = good.select("channel", "page", F.explode("_items").alias("r"))
-    return rev.select(*[F.col(c) if c in ("channel", "page") else F.col(f"r.{c}").alias(c) for c in _CANON]), dead
-
-
-def unify_dead(*dfs: DataFrame) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
+    # a null item gives a struct without id; the readers drop it with a dead letter
+    rows = rev.select(*[F.col(c) if c in ("channel", "page") else F.col(f"r.{c}").alias(c) for c in _CANON])
+    missing = dead_letter(rows.where("review_id is null"), "source", F.concat_ws(":", F.col("channel"), F.col("page").cast("string")),
+                          "missing_id", F.col("text"))
+    return rows.where("review_id is not null"), dead.unionByName(missing)
 
 
 # Payload item of a canonical review, as each channel's source sends it (SQL).

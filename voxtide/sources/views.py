@@ -40,10 +40,6 @@ def pick(values: list[str], index: Column) -> Column:
     return expr
 
 
-def channel_of(source: Column) -> Column:
-    return pick(C.CHANNELS, F.substring(source, 4, 100).cast("int") % 5)
-
-
 def _sql_pick(values: list[str], index: str) -> str:
     return "CASE " + " ".join(f"WHEN {index} = {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
@@ -103,6 +99,18 @@ def label_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.select(doc.alias("doc_id"), answer.alias("answer"))
 
 
+def summary_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary answers (one JSON text per labelled document): ``actions`` is a
+    list for odd ids, ``focus`` a list when doc_id%3=0, and doc_id%13=0 gives a
+    truncated answer."""
+    sid = "CAST(doc_id AS STRING)"
+    text = (f"concat('{{\"customer_likings\":\"liked ', {sid}, '\",\"customer_pain_points\":\"pain ', CAST(quality AS STRING), '\",\"focus\":', "
+            f"CASE WHEN doc_id % 3 = 0 THEN concat('[\"a ', {sid}, '\",\"b\"]') ELSE concat('\"f ', {sid}, '\"') END, ',\"actions\":', "
+            f"CASE WHEN doc_id % 2 = 1 THEN concat('[\"x\",\"y ', {sid}, '\"]') ELSE concat('\"act ', {sid}, '\"') END, '}}')")
+    return read_table(spark, sf_dir, "labels").selectExpr(
+        f"{sid} AS chunk_key", f"CASE WHEN doc_id % 13 = 0 THEN substr({text}, 1, 30) ELSE {text} END AS answer")
+
+
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Command events from ``events``: the argument text comes from props.k,
     with the argument cases of the original command in rotation."""

@@ -32,8 +32,8 @@ def command_events(commands: DataFrame, events: str = "all") -> DataFrame:
     ``events='first'`` only the first event of every delivery is handled."""
     out = commands.withColumn("n", parse_limit(F.col("parameters")))
     if events == "first":
-        w = Window.partitionBy("delivery_id").orderBy("event_id")
-        out = out.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+        one = F.min_by(F.struct(*[c for c in out.columns if c != "delivery_id"]), F.col("event_id"))
+        out = out.groupBy("delivery_id").agg(one.alias("_e")).select(*[F.col(c) if c == "delivery_id" else F.col(f"_e.{c}").alias(c) for c in out.columns])
     elif events != "all":
         raise ValueError(f"events must be 'all' or 'first', not {events!r}")
     return out
@@ -77,7 +77,7 @@ def flatten_work_created(events: DataFrame) -> DataFrame:
         w["applies_to_part"]["id"].alias("part_id"),
         w["created_by"]["id"].alias("created_by"),
         F.try_to_timestamp(F.regexp_replace(w["created_date"], r"\s", "")).alias("created_ts"),
-        F.col("context.app_id").alias("app_id"),
+        F.col("context.snap_in_id").alias("app_id"),
         F.explode_outer(w["owned_by"]).alias("owner"),
     )
     return x.withColumn("owner_id", F.col("owner.id")).drop("owner")
@@ -177,7 +177,7 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("key/"), F.floor(F.col("event_id") / 2).cast("string")).alias("unique_key"),
         F.struct(work.alias("work")).alias("work_created"),
     )
-    ctx = F.struct(F.concat(F.lit("app/"), (uid % 5).cast("string")).alias("app_id"))
+    ctx = F.struct(F.concat(F.lit("app/"), (uid % 5).cast("string")).alias("snap_in_id"))
     return ev.select(F.col("event_id"), F.col("ts"),
                      F.to_json(F.struct(payload.alias("payload"), ctx.alias("context"))).alias("value"))
 
