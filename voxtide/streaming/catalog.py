@@ -18,7 +18,7 @@ from voxtide.operators.timeline import active_entries
 from voxtide.plans import catalog as Q
 from voxtide.plans import oracle as O
 from voxtide.plans import review_job
-from voxtide.session import ensure_utc, scratch_path, ship_package
+from voxtide.session import ensure_utc, materialize, scratch_path, ship_package
 from voxtide.sources import views
 from voxtide.streaming import jobs as W
 
@@ -27,7 +27,12 @@ REVIEW_SCHEMA = ("doc_id BIGINT, channel STRING, review_id STRING, title STRING,
                  "text STRING, rating BIGINT, score BIGINT, lang STRING, page BIGINT")
 TICKET_TIME_SCHEMA = "ticket_id STRING, channel STRING, tags ARRAY<STRUCT<id: STRING>>, created_at TIMESTAMP"
 EXPIRY_AS_OF = "2024-01-01 00:02:00"
-FILES = 4
+LATENESS = "36500 days"
+TRIGGERS = 4        # micro-batches of a run, whatever the number of landed files
+
+
+def _each(files: int) -> int:
+    return -(-files // TRIGGERS)
 
 
 def stream_query(fn):
@@ -49,11 +54,11 @@ def _run(q) -> None:
 
 def _commands(spark, sf_dir, events):
     base = scratch_path(spark, f"stream-commands-{events}")
-    W.land_commands(spark, sf_dir, f"{base}/in", files=FILES)
+    files = W.land_commands(spark, sf_dir, f"{base}/in")
     out = f"{base}/out"
     sink = W.batch_sink(out)
     _run(W.command_stream(spark, f"{base}/in", lambda b, i: sink(b.select("event_id", "delivery_id", "n"), i),
-                          f"{base}/chk", events=events, max_files=1))
+                          f"{base}/chk", events=events, max_files=_each(files)))
     return spark.read.parquet(out)
 
 
@@ -105,17 +110,21 @@ def stream_dedupe(spark, sf_dir):
 
 def _review_stream(spark, sf_dir) -> str:
     base = scratch_path(spark, "stream-reviews")
-    views.reviews(spark, sf_dir).repartitionByRange(FILES, "doc_id").write.json(f"{base}/in")
-    answers = views.label_answers(spark, sf_dir)
+    reviews = views.reviews(spark, sf_dir)
+    files = W.land_files(reviews)
+    reviews.repartitionByRange(files, "doc_id").write.json(f"{base}/in")
+    # built once; each micro-batch joins the written table
+    answers = materialize(views.label_answers(spark, sf_dir), "stream-answers")
 
-    def to_tickets(batch):
-        return review_job.run_annotated(spark, annotate_labels(batch, answers)).tickets
+    def to_outcomes(batch):
+        run = review_job.run_annotated(spark, materialize(annotate_labels(batch, answers), "stream-annotated"), missing="no_answer")
+        return run.tickets, run.dead_letters
 
     def to_timeline(tickets):
         return review_job.timeline_for(tickets, Q.CREATED_AT)
 
-    stream = spark.readStream.schema(REVIEW_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
-    _run(W.review_stream(stream, to_tickets, to_timeline, f"{base}/out", f"{base}/chk"))
+    stream = spark.readStream.schema(REVIEW_SCHEMA).option("maxFilesPerTrigger", _each(files)).json(f"{base}/in")
+    _run(W.review_stream(stream, to_outcomes, to_timeline, f"{base}/out", f"{base}/chk"))
     return f"{base}/out"
 
 
@@ -126,6 +135,13 @@ def stream_tickets(spark, sf_dir):
     return Q._ticket_out(spark.read.parquet(f"{out}/tickets").drop("batch_id"))
 
 
+@stream_query
+def stream_dead_letters(spark, sf_dir):
+    """Failed rows of the review stream."""
+    out = _review_stream(spark, sf_dir)
+    return spark.read.parquet(f"{out}/dead_letters").select("stage", "channel", "key", "reason", "message")
+
+
 @stream_query
 def stream_expiry(spark, sf_dir):
     """Timeline of the review stream, entries still visible two minutes
@@ -144,9 +160,12 @@ def stream_sentiment(spark, sf_dir):
     t = t.select("ticket_id", "channel", "tags",
                  (F.lit(Q.CREATED_AT).cast("timestamp")
                   + F.make_dt_interval(F.lit(0), F.lit(0), F.col("review_id").cast("int"))).alias("created_at"))
-    t.repartitionByRange(FILES, "created_at").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(TICKET_TIME_SCHEMA).parquet(f"{base}/in")
-    agg = W.sentiment_stream(stream, "1 hour", "1 hour").select(
+    # files are read in the order of their time stamps, not of their events: a
+    # generous watermark lets three and more triggers run without losing late rows
+    files = W.land_files(t)
+    t.repartitionByRange(files, "created_at").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(TICKET_TIME_SCHEMA).option("maxFilesPerTrigger", _each(files)).parquet(f"{base}/in")
+    agg = W.sentiment_stream(stream, "1 hour", LATENESS).select(
         F.col("window.start").alias("window_start"), "channel", "positive", "negative", "positive_pct")
     _run(agg.writeStream.outputMode("update").foreachBatch(W.batch_sink(f"{base}/out"))
          .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
@@ -171,6 +190,7 @@ def stream_oracle() -> dict[str, str]:
         "stream_webhook": o["event_flatten"],
         "stream_dedupe": "SELECT DISTINCT 'key/' || CAST(event_id // 2 AS VARCHAR) AS unique_key FROM events",
         "stream_tickets": o["tickets"],
+        "stream_dead_letters": o["dead_letters"],
         "stream_expiry": (O.BASE + ", " + O._comments() + " SELECT sha256(object || '|' || CAST(seq AS VARCHAR)) "
                           "AS entry_id, object, seq FROM comments"),
         "stream_sentiment": (O.BASE + f", tt AS (SELECT *, {minutes} AS created_at FROM tickets) "

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voxtide import schemas
 from voxtide.functions.text import iso_ts, parse_limit
 from voxtide.operators.summary import pct_expr
+from voxtide.session import materialize, path_exists
 from voxtide.sources import views
 from voxtide.sources.tables import tag_id
 
@@ -43,14 +44,25 @@ def command_stream(spark: SparkSession, in_dir: str, handler: Callable[[DataFram
                    checkpoint: str, events: str = "all", max_files: int | None = None,
                    available_now: bool = True) -> StreamingQuery:
     """Each landed command event triggers ``handler(batch, batch_id)``
-    with its parsed argument."""
+    with its parsed argument.  With ``events='first'``, a delivery that was
+    handled in an earlier micro-batch (its events landed in several files) is
+    not handled again; the handled deliveries are kept beside the checkpoint, one
+    folder per micro-batch, so a replayed batch decides as it did before."""
     r = spark.readStream.schema(COMMAND_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     stream = r.json(in_dir)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        handler(command_events(batch, events), batch_id)
+        out = command_events(batch, events)
+        if events == "first":
+            seen = f"{checkpoint}-handled"
+            if path_exists(spark, seen):
+                earlier = batch.sparkSession.read.parquet(seen).where(F.col("batch_id") < batch_id)
+                out = out.join(earlier.select("delivery_id").distinct(), "delivery_id", "left_anti").select(*out.columns)
+            out = materialize(out, "first-events")
+            out.select("delivery_id").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
+        handler(out, batch_id)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -98,12 +110,12 @@ def batch_sink(out_dir: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def review_stream(stream: DataFrame, to_tickets: Callable[[DataFrame], DataFrame],
+def review_stream(stream: DataFrame, to_outcomes: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
                   to_timeline: Callable[[DataFrame], DataFrame], out_dir: str, checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
-    """Per micro-batch, build tickets, write them, then build their
-    timeline entries from the written tickets (idempotent per ``batch_id``).
-    The batch is materialised first, so ticket building (and any model call
+    """Per micro-batch, build tickets and dead letters, write them, then
+    build the timeline entries from the written tickets (each sink idempotent
+    per ``batch_id``).  The batch is materialised first, so ticket building (and any model call
     inside it) sees one evaluation; the timeline reads the ticket files instead
     of recomputing them."""
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -111,7 +123,9 @@ def review_stream(stream: DataFrame, to_tickets: Callable[[DataFrame], DataFrame
         path = f"{out_dir}/_input/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(path)
         tickets_path = f"{out_dir}/tickets/batch_id={batch_id}"
-        to_tickets(spark.read.parquet(path)).write.mode("overwrite").parquet(tickets_path)
+        tickets, dead = to_outcomes(spark.read.parquet(path))
+        tickets.write.mode("overwrite").parquet(tickets_path)
+        dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letters/batch_id={batch_id}")
         to_timeline(spark.read.parquet(tickets_path)).write.mode("overwrite").parquet(
             f"{out_dir}/timeline/batch_id={batch_id}")
 
@@ -182,12 +196,24 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.to_json(F.struct(payload.alias("payload"), ctx.alias("context"))).alias("value"))
 
 
-def land_commands(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
-    """Land command events as JSON-lines files (deliveries of four events)."""
+#: Rows per landed file; a landing has at least ``LEAST_FILES``.
+FILE_ROWS, LEAST_FILES = 100_000, 4
+
+
+def land_files(rows: DataFrame) -> int:
+    """Number of files to land ``rows`` in."""
+    return max(LEAST_FILES, -(-rows.count() // FILE_ROWS))
+
+
+def land_commands(spark: SparkSession, sf_dir: str, out_dir: str) -> int:
+    """Land command events as JSON-lines files (deliveries of four events);
+    events of one delivery may land in different files.  Returns the file count."""
     c = views.commands(spark, sf_dir)
     c = c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts",
                  "parameters", "app_id", "channel")
-    c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
+    files = land_files(c)
+    c.repartitionByRange(files, "event_id").write.mode("overwrite").json(out_dir)
+    return files
 
 
 def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 5000) -> None:
