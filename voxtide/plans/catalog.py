@@ -26,6 +26,7 @@ from voxtide.plans import review_job
 from voxtide.session import ensure_utc, materialize, scratch_path, ship_package
 from voxtide.sources import payloads as S
 from voxtide.sources import views
+from voxtide.sources.commands import parse_commands
 from voxtide.sources.tables import (allowed_models_df, config_df, scan_tickets, sub_category_rules_df,
                                     tag_id, tags_df)
 
@@ -174,6 +175,21 @@ def model_allowlist(spark, sf_dir):
         "event_id", "llm_model", "accepted")
 
 
+@query
+def command_jobs(spark, sf_dir):
+    """Command events parsed to job requests: limit, settings, subject, tag ids."""
+    jobs, _ = parse_commands(views.command_events(spark, sf_dir), allowed_models_df(spark))
+    return jobs.select("event_id", "channel", "app_id", "n", "default_part_id", "default_owner_id", "llm_model", "subject",
+                       F.col("tags")["bug"].alias("tag_bug"), F.size("tags").cast("bigint").alias("n_tags"))
+
+
+@query
+def command_refusals(spark, sf_dir):
+    """Command events whose model is not allowed."""
+    _, dead = parse_commands(views.command_events(spark, sf_dir), allowed_models_df(spark))
+    return dead.select("stage", "channel", "key", "reason", "message")
+
+
 @query
 def top_by_rating(spark, sf_dir):
     """The 10 best-rated reviews."""

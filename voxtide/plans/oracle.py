@@ -314,6 +314,14 @@ def build() -> dict[str, str]:
     model = f"coalesce({pick(C.ALLOWED_MODELS, f'CAST({k} AS BIGINT) % 40')}, 'model-' || {k})"
     o["model_allowlist"] = (f"SELECT event_id, llm_model, llm_model IN {inlist(C.ALLOWED_MODELS)} AS accepted "
                             f"FROM (SELECT event_id, {model} AS llm_model FROM events)")
+    asked = (f"asked AS (SELECT event_id, {pick(C.CHANNELS, 'user_id % 5')} AS channel, user_id, {params} AS parameters, "
+             f"CASE WHEN CAST({k} AS BIGINT) % 3 > 0 THEN {model} ELSE {s(C.DEFAULT_MODEL)} END AS llm_model FROM events)")
+    o["command_jobs"] = (f"WITH {asked} SELECT event_id, channel, 'app/' || CAST(user_id % 5 AS VARCHAR) AS app_id, "
+                         f"coalesce(TRY_CAST(nullif(regexp_extract(coalesce(parameters, ''), '^\\s*([+-]?[0-9]+)', 1), '') AS BIGINT), {C.DEFAULT_LIMIT}) AS n, "
+                         "'part/' || channel AS default_part_id, 'owner/' || channel AS default_owner_id, llm_model, 'subject-' || CAST(user_id AS VARCHAR) AS subject, "
+                         f"{s(C.TAG_ID_PREFIX + 'bug')} AS tag_bug, CAST({len(C.TAGS)} AS BIGINT) AS n_tags FROM asked WHERE llm_model IN {inlist(C.ALLOWED_MODELS)}")
+    o["command_refusals"] = (f"WITH {asked} SELECT 'command' AS stage, channel, CAST(event_id AS VARCHAR) AS key, 'model_not_allowed' AS reason, "
+                             f"'command: model ' || llm_model || ' is not allowed' AS message FROM asked WHERE llm_model NOT IN {inlist(C.ALLOWED_MODELS)}")
     o["top_by_rating"] = with_(REVIEWS) + f"SELECT review_id, channel, rating FROM reviews ORDER BY rating DESC, review_id LIMIT {Q.TOP_N}"
     o["top_by_score"] = with_(REVIEWS) + f"SELECT review_id, channel, score FROM reviews ORDER BY score DESC, review_id LIMIT {Q.TOP_N}"
     o["top_n_per_channel"] = (with_(REVIEWS) + "SELECT channel, review_id, rating, rank FROM (SELECT channel, review_id, rating, "

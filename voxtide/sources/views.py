@@ -134,6 +134,20 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def command_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``commands`` as the JSON events that the jobs receive (column ``value``)."""
+    c = commands(spark, sf_dir)
+    model = F.when(F.col("k") % 3 > 0, F.coalesce(pick(C.ALLOWED_MODELS, F.col("k") % 40), F.concat(F.lit("model-"), F.col("k").cast("string"))))
+    values = F.map_filter(F.create_map(
+        F.lit("subject"), F.concat(F.lit("subject-"), F.col("user_id").cast("string")),
+        F.lit("default_part_id"), F.concat(F.lit("part/"), F.col("channel")), F.lit("default_owner_id"), F.concat(F.lit("owner/"), F.col("channel")),
+        F.lit("llm_model_to_use"), model), lambda k, v: v.isNotNull())
+    tags = F.create_map(*[x for n, _ in C.TAGS for x in (F.lit(n), F.struct(F.lit(C.TAG_ID_PREFIX + n).alias("id")))])
+    event = F.struct(F.struct("parameters").alias("payload"), F.struct(F.col("app_id").alias("snap_in_id")).alias("context"),
+                     F.struct(values.alias("global_values"), F.struct(tags.alias("tags")).alias("resources")).alias("input_data"))
+    return c.select("event_id", "channel", F.to_json(event).alias("value"))
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timeline entries from ``events``: one version per event of entry
     ``user_id-event_type``, expiring one minute after it was written."""
