@@ -232,3 +232,42 @@ def test_copies_in_a_batch_make_one_ticket(spark, tmp_path):
     path = str(tmp_path / "t")
     write_tickets(t.unionByName(t), path, skip_existing=True)
     assert spark.read.parquet(path).count() == t.select("ticket_id").distinct().count()
+
+
+def test_requests_carry_model_and_settings():
+    from voxtide import constants as C
+    from voxtide.operators.annotate import request_completer
+    sent = []
+    done = request_completer(lambda rs: sent.extend(rs) or ["x"] * len(rs), params={"top_p": 0.5})(["p", "q"])
+    assert done == ["x", "x"] and [r["prompt"] for r in sent] == ["p", "q"]
+    assert all(r["model"] == C.DEFAULT_MODEL and r["top_p"] == 0.5 and set(C.INFERENCE_PARAMS) <= set(r) for r in sent)
+
+
+def test_command_event_to_job(spark):
+    from voxtide.sources.commands import job_config, parse_commands
+    from voxtide.sources.tables import allowed_models_df, config_df
+    good = json.dumps({"payload": {"parameters": " 7 please"}, "context": {"snap_in_id": "app-1"}, "input_data": {
+        "global_values": {"app_id": "com.example.app", "default_part_id": "PROD-1", "default_owner_id": "DEVU-1"},
+        "resources": {"tags": {"bug": {"id": "tag-9"}}}}})
+    bad = good.replace('"default_part_id"', '"llm_model_to_use": "no-such-model", "default_part_id"')
+    raw = spark.createDataFrame([(1, "appstore", good), (2, "appstore", bad), (3, "social", "not json")], "event_id BIGINT, channel STRING, value STRING")
+    jobs, dead = parse_commands(raw, allowed_models_df(spark))
+    (job,) = jobs.collect()
+    assert (job.app_id, job.n, job.subject, job.default_part_id, job.tags) == ("app-1", 7, "com.example.app", "PROD-1", {"bug": "tag-9"})
+    assert sorted((r.key, r.reason) for r in dead.collect()) == [("2", "model_not_allowed"), ("3", "malformed_event")]
+    (cfg,) = job_config(jobs, config_df(spark)).collect()
+    assert cfg.channel == "appstore" and cfg.default_owner_id == "DEVU-1" and cfg.company
+
+
+def test_first_event_of_a_delivery_split_over_files(spark, tmp_path):
+    from voxtide.streaming import jobs as W
+    rows = [(i, i // 3, "2024-01-01T00:00:00Z", "5", "app", "social") for i in range(9)]
+    for k in range(3):      # every delivery has an event in each file
+        part = [r for r in rows if r[0] % 3 == k]
+        df = spark.createDataFrame(part, "event_id BIGINT, delivery_id BIGINT, ts STRING, parameters STRING, app_id STRING, channel STRING")
+        df.coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    sink = W.batch_sink(str(tmp_path / "out"))
+    q = W.command_stream(spark, str(tmp_path / "in"), lambda b, i: sink(b.select("event_id", "delivery_id"), i), str(tmp_path / "chk"), "first", 1)
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.delivery_id for r in got) == [0, 1, 2]

@@ -66,6 +66,17 @@ def completion_udf(completer: Completer):
     return F.pandas_udf(run, "completion string, error string").asNondeterministic()
 
 
+def request_completer(send: Callable[[list[dict]], list], model: str = C.DEFAULT_MODEL, params: dict | None = None) -> Completer:
+    """A completer over a client ``send(requests) -> completions``: each request
+    holds the model, the settings of the original jobs (``params`` overrides
+    them) and the prompt."""
+    settings = {**C.INFERENCE_PARAMS, **(params or {}), "model": model}
+
+    def complete(prompts: list) -> list:
+        return send([{**settings, "prompt": p} for p in prompts])
+    return complete
+
+
 def annotate(prompts: DataFrame, completer: Completer, partitions: int | None = None,
              prompt_col: str = "prompt", persist: bool = True, store: str | None = None) -> DataFrame:
     """One completion per distinct prompt, joined back to every row.
