@@ -106,10 +106,10 @@ READERS = {
 
 
 def _content_key(a: str, b: str) -> str:
-    """SHA-256 of ``a|b`` where both are there; a NULL part is left out and
+    """SHA-256 of ``a|b``; a NULL first part is left out, a NULL second part is
     marked, so (NULL, x) and (x, NULL) differ; NULL where both are missing."""
-    return (f"CASE WHEN r.{a} IS NULL AND r.{b} IS NULL THEN NULL WHEN r.{a} IS NULL THEN sha2(concat('0|', r.{b}), 256) "
-            f"WHEN r.{b} IS NULL THEN sha2(concat(r.{a}, '|0|'), 256) ELSE sha2(concat_ws('|', r.{a}, r.{b}), 256) END")
+    return (f"CASE WHEN r.{a} IS NULL AND r.{b} IS NULL THEN NULL WHEN r.{b} IS NULL THEN sha2(concat(r.{a}, '|', chr(0)), 256) "
+            f"ELSE sha2(concat_ws('|', r.{a}, r.{b}), 256) END")
 
 
 # Canonical review fields per channel, as SQL over one payload item ``r``.

@@ -206,13 +206,13 @@ def land_files(rows: DataFrame) -> int:
 
 
 def land_commands(spark: SparkSession, sf_dir: str, out_dir: str) -> int:
-    """Land command events as JSON-lines files (deliveries of four events);
-    events of one delivery may land in different files.  Returns the file count."""
+    """Land command events as JSON-lines files (deliveries of four events).
+    Returns the file count."""
     c = views.commands(spark, sf_dir)
     c = c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts",
                  "parameters", "app_id", "channel")
     files = land_files(c)
-    c.repartitionByRange(files, "event_id").write.mode("overwrite").json(out_dir)
+    c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
     return files
 
 
