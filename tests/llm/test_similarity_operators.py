@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from voxtide.llm import components as components_module
 from voxtide.llm import repeats, shingle_join, url_filter
 from voxtide.llm.common import materialize, read
 
@@ -94,6 +95,25 @@ def test_drop_near_duplicates_keeps_one_of_each_group(hard):
     assert left.where("text like '%quick%'").count() == len({c for d, n, c in brute_components([(r["doc_id"], r["text"]) for r in hard.where("lower(text) like '%quick%'").collect()])})
 
 
+@pytest.mark.parametrize("forest", [3, 1_000_000])
+def test_components(spark, monkeypatch, forest):
+    monkeypatch.setattr(components_module, "FOREST", forest)
+    r = random.Random(forest)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(140)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2000 + i) for i in range(50)] + [(-5, -9), (7, 7)]
+    parent = {v: v for e in edges for v in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    joined = {v for a, b in edges if a != b for v in (a, b)}
+    got = components_module.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)).collect()
+    assert sorted((x["vertex"], x["root"]) for x in got) == sorted((v, find(v)) for v in joined)
+
+
 def brute_repeats(rows, window=50):
     first = {}
     order = lambda d: (d is None, d or 0)

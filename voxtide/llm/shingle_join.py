@@ -6,7 +6,7 @@ equal sets form one class.
 1. Candidates.  Two sets of similarity p % or more share a member among the first
    ``n - ceil(p n / 100) + 1`` of each, in any common order of all shingles.  The
    order is (frequent, hash): shingles met often in the hash-order prefixes of
-   all documents come last.  The set of frequent shingles is a bitmap of at most 8 MB whose
+   all documents come last.  The set of frequent shingles is a bitmap of at most 32 MB whose
    chance hits only move a shingle back, so every order it gives finds every
    pair.  The prefix members go to buckets as packed arrays; documents that share
    one in neighbouring size bands get an edge to one of them (never all pairs),
@@ -16,10 +16,13 @@ equal sets form one class.
    size bands (a linked pair lies in the same or adjacent bands) and a band into
    blocks, of which every pair of blocks is a tile, so no task holds more than
    ``2 * TILE`` sets.
-3. Verification.  In a tile every set has a hashed parity bitmap as wide as the
-   largest set.  The differing bits of two bitmaps bound the sets' overlap from
-   above; pairs that the bound admits, and that no earlier link has joined, are
-   intersected exactly as sorted arrays.
+3. Screening.  Every set has a hashed parity bitmap of at least as many bits as
+   members.  The differing bits of two bitmaps bound the overlap from above; a
+   tile joins the sets whose bound admits a link, and never compares two that are
+   joined.  Only the bitmaps travel here.
+   Verification.  The sets of what is left, few but linked ones, travel to tiles
+   as sorted arrays.  Pairs that the bound admits and that no earlier link has
+   joined are intersected exactly.
 4. Components of the verified links give each class its component.
 
 Defined results: a null or empty text, or one without words, has no shingle and
@@ -43,7 +46,7 @@ from voxtide.llm.components import components
 
 WORDS = 5
 #: A shingle in this many hash-order prefixes counts as frequent.
-FREQUENT = 24
+FREQUENT = 4
 #: Classes of a tile, and prefix members that a task packs at once.
 TILE, FLUSH = 1_000, 1_000_000
 _K = [np.uint64(k) for k in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -147,8 +150,9 @@ def _describe(percent: int, shared):
                 d1, d2 = s.digests()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(s.n), pa.array(d1), pa.array(d2),
-                     pa.array([tokens[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())],
-                    ["doc_id", "n_shingles", "d1", "d2", "prefix"])
+                     pa.array([tokens[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()),
+                     pa.array([blob(signature(s.values[a:b])) for a, b in zip(s.off[:-1].tolist(), s.off[1:].tolist())], pa.binary())],
+                    ["doc_id", "n_shingles", "d1", "d2", "prefix", "sign"])
     return run
 
 
@@ -237,45 +241,66 @@ def _fetch(shared):
     return run
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One parity bitmap a set, all as wide as the largest set (a power of two)."""
-    width = 1 << max(6, int(max(map(len, sets)) - 1).bit_length())
-    out = np.zeros((len(sets), width // 64), np.uint64)
-    for row, s in zip(out, sets):
-        odd = (np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)
-        row[:] = np.packbits(odd).view(np.uint64)
-    return out
-
-
-def link(sets: list[np.ndarray], allowed, percent: int) -> np.ndarray:
-    """Component labels of the sets, which come in ascending size.  ``allowed(i,
-    j)`` says which of the later sets ``j`` this tile has to compare with ``i``."""
-    n = np.array([len(s) for s in sets])
-    signs, label = signatures(sets), np.arange(len(sets))
-    for i in range(len(sets) - 1):
-        top = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
-        j = np.arange(i + 1, top)
+def signature(members: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set, with a power of two bits, at least as many as members."""
+    width = 1 << max(6, int(len(members) - 1).bit_length())
+    odd = np.bincount((members & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
+
+
+class Signatures:
+    """Bitmaps by width.  A bitmap folds to half its width by XOR of its halves,
+    so two sets of neighbouring sizes are compared at the width of the smaller."""
+
+    def __init__(self, signs: list[np.ndarray]):
+        self.width = np.array([len(s) for s in signs])
+        self.place, self.table = {}, {}
+        for w in np.unique(self.width).tolist():
+            here, double = np.flatnonzero(self.width == w), np.flatnonzero(self.width == 2 * w)
+            rows = [signs[i] for i in here] + [signs[i][:w] ^ signs[i][w:] for i in double]
+            self.place[w] = np.full(len(signs), -1)
+            self.place[w][np.concatenate([here, double])] = np.arange(len(rows))
+            self.table[w] = np.stack(rows)
+
+    def differing(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Bits in which set i differs from each larger set j of at most twice its width."""
+        w = int(self.width[i])
+        table, place, out = self.table[w], self.place[w], np.zeros(len(j), np.int64)
+        for k in range(0, w, 64):               # in columns, to keep the scratch array small
+            out += np.bitwise_count(table[place[j], k:k + 64] ^ table[place[i], k:k + 64]).sum(1, dtype=np.int64)
+        return out
+
+
+def link(n: np.ndarray, signs: list[np.ndarray], allowed, percent: int, sets: list[np.ndarray] | None = None) -> np.ndarray:
+    """Component labels of sets in ascending size ``n``: of the pairs that the
+    bitmaps admit, or with ``sets`` of those that also overlap enough.
+    ``allowed(i, j)`` says which later sets ``j`` this tile compares with ``i``."""
+    bits, label = Signatures(signs), np.arange(len(n))
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, int(np.searchsorted(n, n[i] * 100 // percent, "right")))
         j = j[(label[j] != label[i]) & allowed(i, j)]
         if not len(j):
             continue
-        differ = np.zeros(len(j), np.int64)
-        for k in range(0, signs.shape[1], 64):          # in columns, to keep the scratch array small
-            differ += np.bitwise_count(signs[j, k:k + 64] ^ signs[i, k:k + 64]).sum(1, dtype=np.int64)
         need = -(-percent * (n[i] + n[j]) // (100 + percent))
-        for other, least in zip(j[(n[i] + n[j] - differ) // 2 >= need].tolist(), need[(n[i] + n[j] - differ) // 2 >= need].tolist()):
+        maybe = (n[i] + n[j] - bits.differing(i, j)) // 2 >= need
+        for other, least in zip(j[maybe].tolist(), need[maybe].tolist()):
             if label[other] == label[i]:
                 continue
-            at = np.searchsorted(sets[other], sets[i])
-            at[at == len(sets[other])] = 0
-            if int((sets[other][at] == sets[i]).sum()) >= least:
-                label[label == label[other]] = label[i]
+            if sets is not None:
+                at = np.searchsorted(sets[other], sets[i])
+                at[at == len(sets[other])] = 0
+                if int((sets[other][at] == sets[i]).sum()) < least:
+                    continue
+            label[label == label[other]] = label[i]
     return label
 
 
-def _verify(percent: int):
+def _tile_links(percent: int, exact: bool):
+    """Edges from each class of a tile to one class of its component."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["n_shingles", "cls"])
-        sets = [np.frombuffer(m, np.uint64) for m in group["members"]]
+        sets = [np.frombuffer(m, np.uint64) for m in group["members"]] if exact else None
+        signs = [signature(s) for s in sets] if exact else [np.frombuffer(s, np.uint64) for s in group["sign"]]
         first, block, (low, part, other) = group["band"].to_numpy(), group["block"].to_numpy(), group[["tile_band", "tile_a", "tile_b"]].iloc[0]
 
         def allowed(i: int, j: np.ndarray) -> np.ndarray:
@@ -285,7 +310,7 @@ def _verify(percent: int):
             if part != other:
                 ok &= block[i] != block[j]
             return ok
-        label = link(sets, allowed, percent)
+        label = link(group["n_shingles"].to_numpy(), signs, allowed, percent, sets)
         cls = group["cls"].to_numpy()
         out = pd.DataFrame({"a": cls, "b": cls[label]})
         return out[out["a"] != out["b"]]
@@ -302,23 +327,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
     counted = texts.select("text").mapInArrow(_tokens(percent, buckets), "bucket int, tokens binary")
     often = counted.groupBy("bucket").applyInPandas(_often(FREQUENT), "token bigint")
     often = materialize(often, "shingle-frequent")
-    frequent = spark.sparkContext.broadcast(Bitmap(often, often.count()))
-    rows = materialize(texts.mapInArrow(_describe(percent, frequent), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary"), "shingle-rows")
+    frequent = spark.sparkContext.broadcast(Bitmap(often, often.count(), 28))
+    rows = materialize(texts.mapInArrow(_describe(percent, frequent), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary, sign binary"), "shingle-rows")
 
     packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix").mapInArrow(_scatter(percent, buckets), _PACKED)
     near = components(packed.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint"))
 
-    classes = (rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
-               .join(near.select(F.col("vertex").alias("d1"), "root"), "d1", "left").withColumn("cls", F.monotonically_increasing_id()))
+    classes = (rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
+                                                                     F.count("*").alias("copies"), F.first("sign").alias("sign"))
+               .withColumn("cls", F.monotonically_increasing_id()))
     classes = materialize(classes, "shingle-classes")
-    crowd = classes.where("root is not null").groupBy("root").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    in_tiles = materialize(_tiles(classes.where("root is not null").join(crowd, "root"), percent, tile), "shingle-tiles")
-
-    wanted = in_tiles.select(F.coalesce("least_id", F.lit(-1)).alias("id")).distinct().mapInArrow(_hash_ids, "hash bigint")
-    wanted = spark.sparkContext.broadcast(Bitmap(wanted, in_tiles.count()))
-    sets = texts.mapInArrow(_fetch(wanted), "d1 bigint, d2 bigint, members binary")
-    sets = in_tiles.join(sets.join(in_tiles.select("d1", "d2").distinct(), ["d1", "d2"], "left_semi").dropDuplicates(["d1", "d2"]), ["d1", "d2"])
-    links = sets.groupBy("root", "tile_band", "tile_a", "tile_b").applyInPandas(_verify(percent), "a bigint, b bigint")
+    key = ["root", "tile_band", "tile_a", "tile_b"]
+    tiles = _tiles(classes.join(near.select(F.col("vertex").alias("d1"), "root"), "d1"), percent, tile)
+    maybe = components(tiles.groupBy(*key).applyInPandas(_tile_links(percent, False), "a bigint, b bigint"))
+
+    tiles = materialize(_tiles(classes.drop("sign").join(maybe.withColumnRenamed("vertex", "cls"), "cls"), percent, tile), "shingle-tiles")
+    wanted = tiles.select(F.coalesce("least_id", F.lit(-1)).alias("id")).distinct().mapInArrow(_hash_ids, "hash bigint")
+    wanted = spark.sparkContext.broadcast(Bitmap(wanted, tiles.count()))
+    sets = texts.mapInArrow(_fetch(wanted), "d1 bigint, d2 bigint, members binary").join(tiles, ["d1", "d2"]).dropDuplicates([*key, "cls"])
+    links = sets.groupBy(*key).applyInPandas(_tile_links(percent, True), "a bigint, b bigint")
     return _named(rows, classes, components(links))
 
 
@@ -328,13 +355,15 @@ def _hash_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(classes: DataFrame, percent: int, tile: int) -> DataFrame:
-    """One row per class and tile that it is part of."""
-    spot = classes.withColumn("band", F.when(F.col("crowd") <= tile, -1).otherwise(F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent * 1.008)))).cast("int"))
+    """``classes`` with a component ``root``, one row per tile that each is part of."""
+    crowd = classes.groupBy("root").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    width = F.log(F.lit(100 / percent * 1.008))
+    spot = classes.join(crowd, "root").withColumn("band", F.when(F.col("crowd") <= tile, -1).otherwise(F.floor(F.log("n_shingles") / width)).cast("int"))
     spot = spot.withColumn("tile_band", F.explode(F.when(F.col("band") < 0, F.array(F.lit(-1))).otherwise(F.array(F.col("band"), F.col("band") - 1)))).where("band < 0 or tile_band >= 0")
     sizes = spot.groupBy("root", "tile_band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("blocks"))
     spot = spot.join(sizes, ["root", "tile_band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     spot = spot.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return spot.select("root", "cls", "d1", "d2", "n_shingles", "least_id", "band", "tile_band", "block", F.least("block", "with").alias("tile_a"), F.greatest("block", "with").alias("tile_b"))
+    return spot.withColumn("tile_a", F.least("block", "with")).withColumn("tile_b", F.greatest("block", "with")).drop("crowd", "blocks", "with", "copies")
 
 
 def _named(rows: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
