@@ -3,7 +3,6 @@ word and hash arithmetic over them, and scratch tables."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,11 +118,6 @@ def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
-def buckets_for(spark: SparkSession, rows: int, per_bucket: int) -> int:
-    """Buckets that keep about ``per_bucket`` rows each, and at least one per shuffle task."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_bucket))
-
-
 def rank_rows(df: DataFrame, by: list, name: str) -> DataFrame:
     """``df`` with ``name``: the row's position (from 0) in the global order of
     ``by``.  A range sort gives each task a contiguous piece; the pieces' row
