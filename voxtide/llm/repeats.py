@@ -41,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Flat, Bitmap, blob, buckets_for, materialize, mix, pieces, ranges, segment_hash, spread_join
+from voxtide.llm.common import Bitmap, Flat, blob, materialize, mix, pieces, ranges, segment_hash, spread_join
 
 WINDOW, SYMBOL = 50, 10
 FIRST, SECOND = 24, 37
-PIECE, FLUSH_TOKENS, FLUSH_BYTES, SHARD = 1 << 18, 2_000_000, 8 << 20, 1 << 18
+PIECE, FLUSH_TOKENS, FLUSH_BYTES, SLICE, SHARD = 1 << 18, 1_000_000, 4 << 20, 1 << 19, 1 << 17
 #: The bitmap of representatives: bits for each, and at most (64 MB).
 MOST_BITS = 29
 _LAST = np.iinfo(np.int64).max
@@ -151,13 +151,22 @@ def _key(token: np.ndarray) -> np.ndarray:
     return (token >> np.uint64(17)) << np.uint64(17)
 
 
-_STRINGS = "bucket int, size binary, body binary, k binary, t binary, low binary, high binary, n binary"
-_NAMES = ["bucket", "size", "body", "k", "t", "low", "high", "n"]
+_STRINGS = "bucket int, size binary, body binary, k binary, t binary, low binary, above binary, n binary"
+_NAMES = ["bucket", "size", "body", "k", "t", "low", "above", "n"]
+
+
+def _candidates(flat: Flat, bits: Bitmap) -> tuple[np.ndarray, ...]:
+    """Start, size, document number, representative and 96-bit hash (k, t) of the
+    strings whose representative passes the bitmap."""
+    s = Strings(flat)
+    pick = np.flatnonzero(bits.has(_key(s.token)))
+    start, token = s.start[pick], s.token[pick]
+    size = s.windows[pick] + WINDOW - 1
+    return start, size, s.of[pick], token, segment_hash(flat.buf, start, start + size).view(np.int64), token.astype(np.uint32).view(np.int32)
 
 
 def _strings(buckets: int, shared):
-    """Distinct candidate strings by bucket; their places as rows of bucket -1
-    (size: position, low: id, high: text hash)."""
+    """Distinct candidate strings of a task by bucket."""
     def pack(parts):
         size, k, t, ids, token, body = (np.concatenate(c) for c in zip(*parts))
         start = np.cumsum(size) - size
@@ -169,7 +178,8 @@ def _strings(buckets: int, shared):
         bucket = ((token[one] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         order = np.argsort(bucket, kind="stable")
         one, bucket = one[order], bucket[order]
-        columns = [size[one].astype(np.int32), None, *(c[order] for c in (k, t, low, high, n.astype(np.int32)))]
+        # mostly zeros and ones where a string is met once: they cost nothing on the way
+        columns = [size[one].astype(np.int32), None, *(c[order] for c in (k, t, low, high - low, n.astype(np.int32)))]
         body = body[ranges(start[one], size[one])]
         ends = np.concatenate([[0], np.cumsum(size[one])])
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -181,18 +191,10 @@ def _strings(buckets: int, shared):
         parts, total = [], 0
         for batch in batches:
             for part, flat in pieces(batch, limit=PIECE):
-                s = Strings(flat)
-                pick = np.flatnonzero(shared.value.has(_key(s.token)))
-                if not len(pick):
+                start, size, of, token, k, t = _candidates(flat, shared.value)
+                if not len(start):
                     continue
-                start, of, token = s.start[pick], s.of[pick], s.token[pick]
-                size = s.windows[pick] + WINDOW - 1
-                k = segment_hash(flat.buf, start, start + size).view(np.int64)
-                t = token.astype(np.uint32).view(np.int32)
-                ids, texts = _ids(part.column(0)), segment_hash(flat.buf, flat.off[:-1], flat.off[1:])
-                place = [(start - flat.off[of]).astype(np.int32), np.zeros(0), k, t, ids[of], texts[of], np.zeros(0)]
-                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *(pa.array([blob(c)], pa.binary()) for c in place)], _NAMES)
-                parts.append((size, k, t, ids[of], token, flat.buf[ranges(start, size)]))
+                parts.append((size, k, t, _ids(part.column(0))[of], token, flat.buf[ranges(start, size)]))
                 total += int(size.sum())
                 if total >= FLUSH_BYTES:
                     yield pack(parts)
@@ -304,8 +306,9 @@ def smallest_owner(body: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.
 def _resolve(group: pa.Table) -> pa.Table:
     """Per distinct string: its count and the runs of windows that a document
     smaller than its largest one has, with that smallest document."""
-    size, k, t, low, high, n = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (
-        ("size", np.int32), ("k", np.int64), ("t", np.int32), ("low", np.int64), ("high", np.int64), ("n", np.int32)))
+    size, k, t, low, above, n = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (
+        ("size", np.int32), ("k", np.int64), ("t", np.int32), ("low", np.int64), ("above", np.int64), ("n", np.int32)))
+    high = low + above
     body = np.frombuffer(b"".join(group.column("body").to_pylist()), np.uint8)
     size = size.astype(np.int64)
     start = np.cumsum(size) - size
@@ -319,32 +322,45 @@ def _resolve(group: pa.Table) -> pa.Table:
     k, t, low, high, n, size, start = (c[by] for c in (k, t, low, high, n, size, start))
     ends, parts, a = np.cumsum(size), [], 0
     while a < len(t):
-        b = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (8 << 20), "right"))
+        b = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE, "right"))
         b = int(np.searchsorted(t, t[min(max(b, a + 1), len(t)) - 1], "right"))
-        parts.append(smallest_owner(body[ranges(start[a:b], size[a:b])], size[a:b], low[a:b]))
+        part = slice(a, b)
+        least = smallest_owner(body[ranges(start[part], size[part])], size[part], low[part])
+        found, lists = _runs(least, size[part], high[part])
+        parts.append(pa.table({"k": k[part][found], "t": t[part][found], "n": n[part][found], "runs": lists}))
         a = b
-    least = np.concatenate(parts)
-    string = np.repeat(np.arange(len(size)), size - WINDOW + 1)
-    local = ranges(np.zeros(len(size), np.int64), size - WINDOW + 1)
+    return pa.concat_tables(parts)
+
+
+def _runs(least: np.ndarray, size: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The strings with a window that a document smaller than ``high`` has, and
+    the runs of such windows with one smallest document."""
+    windows = size - WINDOW + 1
+    string = np.repeat(np.arange(len(size)), windows)
     hit = least < high[string]
     new = hit.copy()
     new[1:] &= ~hit[:-1] | (string[1:] != string[:-1]) | (least[1:] != least[:-1])
     head = np.flatnonzero(new)
     length = np.bincount(np.cumsum(new)[hit] - 1, minlength=len(head))
     of = string[head]
+    first = head - (np.cumsum(windows) - windows)[of]
     found, offsets = np.unique(of, return_index=True)
-    runs = pa.StructArray.from_arrays([pa.array(local[head], pa.int32()), pa.array(local[head] + length - 1, pa.int32()), pa.array(least[head])], ["a", "b", "least"])
-    lists = pa.ListArray.from_arrays(pa.array(np.append(offsets, len(head)), pa.int32()), runs)
-    return pa.table({"k": pa.array(k[found]), "t": pa.array(t[found]), "n": pa.array(n[found]), "runs": lists})
+    runs = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(first + length - 1, pa.int32()), pa.array(least[head])], ["a", "b", "least"])
+    return found, pa.ListArray.from_arrays(pa.array(np.append(offsets, len(head)), pa.int32()), runs)
 
 
-def _places(shared):
+def _places(shared, wanted):
+    """Where the strings with a resolved run stand: k, t, position, id, text hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                k, t, pos, ids, text = (np.frombuffer(row[c], kind) for c, kind in (("k", np.int64), ("t", np.int32), ("size", np.int32), ("low", np.int64), ("high", np.int64)))
-                ok = shared.value.has(k.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (k, t, pos, ids, text)], ["k", "t", "pos", "id", "text_hash"])
+            for part, flat in pieces(batch, limit=PIECE):
+                start, _, of, _, k, t = _candidates(flat, shared.value)
+                ok = wanted.value.has(k.view(np.uint64))
+                if not ok.any():
+                    continue
+                of, texts = of[ok], segment_hash(flat.buf, flat.off[:-1], flat.off[1:]).view(np.int64)
+                place = (k[ok], t[ok], (start[ok] - flat.off[of]).astype(np.int32), _ids(part.column(0))[of], texts[of])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in place], ["k", "t", "pos", "id", "text_hash"])
     return run
 
 
@@ -409,10 +425,12 @@ def spans(docs: DataFrame) -> DataFrame:
     tokens = docs.mapInArrow(_tokens(buckets), "bucket int, tokens binary")
     repeated = materialize(tokens.groupBy("bucket").applyInArrow(_repeated, "token bigint"), "repeat-tokens")
     shared = spark.sparkContext.broadcast(Bitmap(repeated, repeated.count(), MOST_BITS))
-    strings = materialize(docs.mapInArrow(_strings(buckets, shared), _STRINGS), "repeat-strings")
-    resolved = materialize(strings.where("bucket >= 0").groupBy("bucket").applyInArrow(_resolve, "k bigint, t int, n bigint, runs array<struct<a: int, b: int, least: bigint>>"), "repeat-runs")
+    # several buckets a task: a task holds one at a time.  The strings are not kept:
+    # their places are found again in a second pass, which costs less than the disk
+    strings = docs.mapInArrow(_strings(4 * buckets, shared), _STRINGS)
+    resolved = materialize(strings.groupBy("bucket").applyInArrow(_resolve, "k bigint, t int, n bigint, runs array<struct<a: int, b: int, least: bigint>>"), "repeat-runs")
     wanted = spark.sparkContext.broadcast(Bitmap(resolved.select("k"), resolved.count(), MOST_BITS))
-    places = strings.where("bucket < 0").mapInArrow(_places(wanted), "k bigint, t int, pos int, id bigint, text_hash bigint")
+    places = docs.mapInArrow(_places(shared, wanted), "k bigint, t int, pos int, id bigint, text_hash bigint")
     total = resolved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     met = spread_join(places, resolved, ["k", "t"], "n", total).where("runs is not null")
     run = met.select("id", "text_hash", "pos", F.explode("runs").alias("run")).where("run.least < id")
