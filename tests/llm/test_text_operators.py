@@ -67,6 +67,24 @@ def test_permutations_and_formats():
     assert pseudonyms.rewrite(text, c)[0] == new != pseudonyms.rewrite(text, pseudonyms.Cipher(b"other"))[0]
 
 
+def test_pseudonyms_beside_refused_neighbours():
+    c = pseudonyms.Cipher(b"key")
+    card = pseudonyms.rewrite("4111 1111 1111 1111", c)[0]
+    iban = pseudonyms.rewrite("BE68 5390 0754 7034", c)[0]
+    mail = pseudonyms.rewrite("anna@example.com", c)[0]
+    phone = pseudonyms.rewrite("+49 170 1234567", c)[0]
+    for text, want, kinds in (
+            ("card 4111 1111 1111 1111 123", f"card {card} 123", "card"), ("12 4111 1111 1111 1111", f"12 {card}", "card"),
+            ("1 2 3 4 5 4111 1111 1111 1111", f"1 2 3 4 5 {card}", "card"), ("+1 4111 1111 1111 1111 12", f"+1 {card} 12", "card"),
+            ("BE68 5390 0754 7034 EUR", f"{iban} EUR", "iban"), ("XY34 BE68 5390 0754 7034 EUR", f"XY34 {iban} EUR", "iban"),
+            ("BE68 5390 0754 7034 4111 1111 1111 1111 123", f"{iban} {card} 123", "iban card"),
+            ("password: anna@example.com", f"password: {mail}", "email"), ("token=(anna@example.com), pwd: secrets", f"token=({mail}), pwd: secrets", "email"),
+            ("+49 170 1234567 2024 1234", f"{phone} 2024 1234", "phone"), ("4111 1111 1111 1112", "4111 1111 1111 1112", "")):
+        assert pseudonyms.rewrite(text, c) == (want, Counter(kinds.split())), text
+    for text in ("DE12 3456 7890 AB12@example.com", "DE12 3456 7890 PWD=hunter2x", "12 123-45-6789 4111 1111 1111 1112"):
+        assert pseudonyms.rewrite(text, c)[1].total() == 1, text
+
+
 def test_pseudonyms_of_hard_rows(hard, empty):
     got = pseudonyms.pseudonymise(hard, b"key")
     assert got.columns == [*hard.columns, "n_pii", "n_pii_kinds"]

@@ -11,6 +11,12 @@ table is kept, equal values get equal pseudonyms in every document, and the
 result passes the same checks.  Dates move within 1900 to 2099; an e-mail address
 keeps its domain, a phone number its country code.
 
+A find that its check refuses hides nothing: from every start of a token in it
+all kinds are tried, IBANs, phone and card numbers also up to each earlier
+separator.  Of those that overlap the surest kind goes first (card numbers in a
+usual grouping before dates, any other grouping of 13 to 19 digits with a valid
+Luhn sum last), then the longest.
+
 Defined results: a null text stays null with no finds; an empty text stays
 empty; texts without a find are unchanged; a null id stays null; repeated rows
 change alike; other columns pass through ``pseudonymise`` unchanged.
@@ -19,6 +25,7 @@ change alike; other columns pass through ``pseudonymise`` unchanged.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
@@ -38,11 +45,14 @@ _PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "phone": r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-])",      # a whole run of digits: _cards finds the numbers in a longer one
 }
 KINDS = tuple(_PATTERNS)
+_EACH = {k: re.compile(p.replace("\\1", r"(?P=sep)").replace("([./])", "(?P<sep>[./])")) for k, p in _PATTERNS.items()}
+_SURE = {k: i for i, k in enumerate(("secret", "email", "iban", "usual card", "ssn", "ip", "date", "phone", "card"))}
+_USUAL = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}|\d{4}([ -])\d{3}\3\d{3}\3\d{3}")
 _ANY = re.compile("|".join(f"(?P<{k}>{p.replace(chr(92) + '1', f'(?P={k}_sep)').replace('([./])', f'(?P<{k}_sep>[./])')})" for k, p in _PATTERNS.items()))
-_HINT = re.compile("[0-9@]")
+_HINT = re.compile(r"[\d@]")
 
 
 class Cipher:
@@ -110,9 +120,13 @@ def _email(c: Cipher, s: str) -> str | None:
     return f"{c.spell(name, 'email')}@{domain}"
 
 
-def _secret(c: Cipher, s: str) -> str | None:
+def _secret_parts(s: str) -> tuple[str, str]:
     m = re.match(r"AKIA(?=[0-9A-Z]{16}$)|\w+?(?:[_-]?\w+)?\s*[=:]\s*[\"']?", s)
-    name, value = s[:m.end()], s[m.end():]
+    return s[:m.end()], s[m.end():]
+
+
+def _secret(c: Cipher, s: str) -> str | None:
+    name, value = _secret_parts(s)
     return name + c.spell(value, "secret") if any(x.isdigit() for x in value) else None
 
 
@@ -164,7 +178,7 @@ def _phone(c: Cipher, s: str) -> str | None:
 
 def _card(c: Cipher, s: str) -> str | None:
     digits = re.sub(r"\D", "", s)
-    if luhn(digits) % 10 or len(set(digits)) == 1:
+    if not 13 <= len(digits) <= 19 or luhn(digits) % 10 or len(set(digits)) == 1:
         return None
     body = c.spell(digits[:-1], "card")
     return _refill(s, body + str(-luhn(body + "0") % 10))
@@ -173,17 +187,80 @@ def _card(c: Cipher, s: str) -> str | None:
 _REWRITE = {"email": _email, "secret": _secret, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "phone": _phone, "card": _card}
 
 
+def _cards(text: str, a: int, e: int) -> Iterator[tuple[int, int, str]]:
+    """The stretches between separators of a run of digits that are card numbers."""
+    places = [i for i in range(a, e) if text[i].isdigit()]
+    sums = ([0], [0])                               # of the digits before, those at even or odd places doubled
+    for n, i in enumerate(places):
+        for odd in (0, 1):
+            sums[odd].append(sums[odd][-1] + sum(divmod(int(text[i]) * (1 + (n % 2 == odd)), 10)))
+    starts = [n for n, i in enumerate(places) if n == 0 or places[n - 1] != i - 1]
+    ends = {n + 1 for n, i in enumerate(places) if n + 1 == len(places) or places[n + 1] != i + 1}
+    for n in starts:
+        for m in range(n + 13, min(n + 19, len(places)) + 1):
+            if m in ends and (sums[m % 2][m] - sums[m % 2][n]) % 10 == 0:
+                x, y = places[n], places[m - 1] + 1
+                if len({c for c in text[x:y] if c.isdigit()}) > 1:
+                    yield x, y, "usual card" if _USUAL.fullmatch(text, x, y) else "card"
+
+
+def _inside(text: str, a: int, e: int, cipher: Cipher) -> tuple[list[tuple[int, int, str, str]], int]:
+    """The finds (start, end, kind, pseudonym) that begin in a refused span, in
+    order, and the place up to which the text is settled."""
+    maybe, digits, s = [], a, a
+    while s < e:
+        if s == a or not (text[s - 1].isalnum() or text[s - 1] == "_"):
+            for kind, pattern in _EACH.items():
+                if kind == "card" and s < digits:   # once for each run
+                    continue
+                m = pattern.match(text, s)
+                if m is None:
+                    continue
+                if kind == "card":
+                    maybe += _cards(text, s, m.end())
+                    digits = m.end()
+                    e = max(e, digits)
+                elif kind == "secret" or _REWRITE[kind](cipher, m.group()) is not None:
+                    if kind != "secret" or any(c.isdigit() for c in _secret_parts(m.group())[1]):
+                        maybe.append((s, m.end(), kind))
+                elif kind in ("iban", "phone"):
+                    for y in range(m.end() - 1, s, -1):
+                        if not text[y].isalnum() and pattern.fullmatch(text, s, y) and _REWRITE[kind](cipher, text[s:y]) is not None:
+                            maybe.append((s, y, kind))
+                            break
+        s += 1
+    taken, finds = [], []
+    for x, y, kind in sorted(maybe, key=lambda f: (_SURE[f[2]], f[0] - f[1], f[0])):
+        at = bisect(taken, (x, y))
+        if (at == 0 or taken[at - 1][1] <= x) and (at == len(taken) or y <= taken[at][0]):
+            taken.insert(at, (x, y))
+            kind = kind.removeprefix("usual ")
+            finds.append((x, y, kind, _REWRITE[kind](cipher, text[x:y])))
+    finds.sort()
+    return finds, max([e, *(y for _, y, _, _ in finds)])
+
+
 def rewrite(text: str, cipher: Cipher) -> tuple[str, Counter]:
     """The text with pseudonyms, and the number of finds by kind."""
     found: Counter = Counter()
-
-    def swap(m: re.Match) -> str:
-        new = _REWRITE[m.lastgroup.removesuffix("_sep")](cipher, m.group())
-        if new is None:
-            return m.group()
-        found[m.lastgroup.removesuffix("_sep")] += 1
-        return new
-    return (_ANY.sub(swap, text), found) if _HINT.search(text) else (text, found)
+    if not _HINT.search(text):
+        return text, found
+    out, done, at = [], 0, 0
+    while m := _ANY.search(text, at):
+        kind = m.lastgroup.removesuffix("_sep")
+        new = _REWRITE[kind](cipher, m.group())
+        if new is not None:
+            finds, at = [(*m.span(), kind, new)], m.end()
+        elif kind == "secret":                      # a value without a digit holds no other kind than this
+            value, at = m.start() + len(_secret_parts(m.group())[0]), m.end()
+            finds = [(*x.span(), "email", _email(cipher, x.group())) for x in _EACH["email"].finditer(text, value, at)]
+        else:
+            finds, at = _inside(text, *m.span(), cipher)
+        for x, y, kind, new in finds:
+            out += (text[done:x], new)
+            done = y
+            found[kind] += 1
+    return "".join([*out, text[done:]]), found
 
 
 def pseudonymise(docs: DataFrame, key: bytes, column: str = "text", finds: str = "n_pii") -> DataFrame:
