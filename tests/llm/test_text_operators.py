@@ -85,6 +85,19 @@ def test_pseudonyms_beside_refused_neighbours():
         assert pseudonyms.rewrite(text, c)[1].total() == 1, text
 
 
+def test_pseudonyms_of_long_secrets():
+    c = pseudonyms.Cipher(b"key")
+    for n in (200, 201, 399, 1000, 50_000):
+        value = "".join("aB3-"[i * i % 7 % 4] for i in range(n))
+        new, found = pseudonyms.rewrite(f'token="{value}" end', c)
+        got = new[7:-5]
+        assert found == {"secret": 1} and len(got) == n and new.endswith('" end') and new.startswith('token="')
+        assert all((x, y) == ("-", "-") or x.isdigit() == y.isdigit() and x.isupper() == y.isupper() for x, y in zip(value, got))
+        for a in range(0, n - 40, 40):
+            assert value[a:a + 40] != got[a:a + 40]
+        assert n == 200 or len({pseudonyms.rewrite(f"token={value}", pseudonyms.Cipher(k))[0] for k in (b"a", b"b")}) == 2
+
+
 def test_pseudonyms_of_hard_rows(hard, empty):
     got = pseudonyms.pseudonymise(hard, b"key")
     assert got.columns == [*hard.columns, "n_pii", "n_pii_kinds"]
