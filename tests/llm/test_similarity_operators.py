@@ -156,6 +156,21 @@ def test_repeats_of_cut_and_shifted_passages(spark):
     assert Counter(map(tuple, repeats.remove_repeats(docs).collect())) == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("bound", [0, 8])
+def test_repeats_of_passages_that_all_documents_share(spark, monkeypatch, bound):
+    monkeypatch.setattr(repeats, "HOT", bound)
+    r = random.Random(5)
+    line, passage = ("".join(r.choices("abcdefgh \n", k=k)) for k in (40, 130))
+    own = lambda: "".join(r.choices("ijklmnop é", k=40))
+    rows = [(r.choice([i, i, i, 7, None]), own() + r.choice([line, line * 3, passage, passage[9:], line + passage]) + own() + line + own()) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert Counter(map(tuple, repeats.remove_repeats(docs).collect())) == brute_repeats(rows)
+    # no representative keeps a string of each document: what is left is bounded, not by the documents
+    sent = docs.mapInArrow(repeats._strings(4, repeats._screens(docs, 4)), repeats._STRINGS).collect()
+    strings = {(k, t) for row in sent for k, t, size in zip(*(np.frombuffer(row[c], d).tolist() for c, d in (("k", np.int64), ("t", np.int32), ("size", np.int32)))) if size}
+    assert max(Counter(t for _, t in strings).values(), default=0) <= 2 * bound
+
+
 def test_merged_transforms_sort_like_one(monkeypatch):
     r = random.Random(9)
     base = "".join(r.choices("abcd", k=300))

@@ -10,9 +10,13 @@ smaller id.
 2. Strings.  Neighbouring windows with one representative form a string (the
    windows and no more).  Strings whose representative passes the bitmap go to
    the bucket of the representative, each distinct one once per task with its
-   smallest and largest document and a count; copies of whole documents and very
-   common passages therefore collapse before the shuffle.
-3. Transforms.  In a bucket, windows that share a 37-byte representative with
+   smallest and largest document and a count, so copies of whole documents
+   collapse before the shuffle.  Strings at the edges of a passage hold bytes of
+   their own document and do not: those of a representative met over ``HOT`` times
+   are sent window by window, as a 96-bit hash without its text that goes to a
+   bucket of its own, and equal windows meet there.  No group of strings grows
+   with a passage that many documents share.
+3. Transforms.  In a bucket, windows of strings that share a 37-byte representative with
    another string are cut out and dealt to shards; each shard sorts its rotations
    and has its Burrows-Wheeler transform over ten-byte symbols (ordered by hash:
    any fixed order of symbols gives the same intervals).
@@ -48,6 +52,8 @@ FIRST, SECOND = 24, 37
 PIECE, FLUSH_TOKENS, FLUSH_BYTES, SLICE, SHARD = 1 << 18, 1_000_000, 4 << 20, 1 << 19, 1 << 17
 #: The bitmap of representatives: bits for each, and at most (64 MB).
 MOST_BITS = 29
+#: Representatives met more often (about: powers of two, up to twice this) send windows.
+HOT = 1 << 13
 _LAST = np.iinfo(np.int64).max
 _VALUE = np.random.default_rng(8).integers(1, 2**64, 257, np.uint64, endpoint=False)
 _P = 0xD6E8FEB86659FD93
@@ -107,7 +113,8 @@ class Strings:
 
 def _tokens(buckets: int):
     """Six bytes of each distinct representative of a task's documents by bucket;
-    the low bit says that two documents of this pack have it."""
+    the lowest bit says that two documents of this pack have it, the next four how
+    often it is met in the pack, as a power of two."""
     def pack(parts):
         token, doc = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((doc, token))
@@ -115,7 +122,8 @@ def _tokens(buckets: int):
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         twice = np.zeros(len(token), np.uint8)
         twice[1:] = (token[1:] == token[:-1]) & (doc[1:] != doc[:-1])
-        token = (token[first] & ~np.uint64(1)) | np.maximum.reduceat(twice, first)
+        often = np.log2(np.diff(np.append(first, len(token)))).astype(np.uint64).clip(max=15)
+        token = token[first] | (often << np.uint64(1)) | np.maximum.reduceat(twice, first)
         cut = np.searchsorted(((token >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
         raw = token.view(np.uint8).reshape(-1, 8)[:, :6]
         full = np.flatnonzero(np.diff(cut))
@@ -126,7 +134,7 @@ def _tokens(buckets: int):
         for batch in batches:
             for part, flat in pieces(batch, limit=PIECE):
                 s = Strings(flat)
-                parts.append((s.token >> np.uint64(16), _ids(part.column(0))[s.of]))
+                parts.append((_key(s.token) >> np.uint64(16), _ids(part.column(0))[s.of]))
                 size += len(s.token)
                 if size >= FLUSH_TOKENS:
                     yield pack(parts)
@@ -141,28 +149,36 @@ def _repeated(group: pa.Table) -> pa.Table:
     token = np.zeros((len(raw), 8), np.uint8)
     token[:, :6] = raw
     token = np.sort(token.view(np.uint64).ravel())
-    same = (token[1:] >> np.uint64(1)) == (token[:-1] >> np.uint64(1))
-    hit = np.unique(np.concatenate([token[1:][same], token[token & np.uint64(1) == 1]]) >> np.uint64(1))
-    return pa.table({"token": pa.array((hit << np.uint64(17)).view(np.int64))})
+    name = token >> np.uint64(5)
+    first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+    packs = np.diff(np.append(first, len(token)))
+    hit = (packs > 1) | (np.maximum.reduceat(token & np.uint64(1), first) == 1)
+    n = np.add.reduceat(np.int64(1) << ((token >> np.uint64(1)) & np.uint64(15)).astype(np.int64), first)
+    return pa.table({"token": pa.array((name[first[hit]] << np.uint64(21)).view(np.int64)), "n": pa.array(n[hit])})
 
 
 def _key(token: np.ndarray) -> np.ndarray:
     """What the bitmap knows of a representative."""
-    return (token >> np.uint64(17)) << np.uint64(17)
+    return (token >> np.uint64(21)) << np.uint64(21)
 
 
 _STRINGS = "bucket int, size binary, body binary, k binary, t binary, low binary, above binary, n binary"
 _NAMES = ["bucket", "size", "body", "k", "t", "low", "above", "n"]
 
 
-def _candidates(flat: Flat, bits: Bitmap) -> tuple[np.ndarray, ...]:
+def _candidates(flat: Flat, maybe: Bitmap, hot: Bitmap) -> tuple[np.ndarray, ...]:
     """Start, size, document number, representative and 96-bit hash (k, t) of the
-    strings whose representative passes the bitmap."""
+    strings whose representative passes the bitmap; of hot ones each window, with
+    size 0."""
     s = Strings(flat)
-    pick = np.flatnonzero(bits.has(_key(s.token)))
-    start, token = s.start[pick], s.token[pick]
-    size = s.windows[pick] + WINDOW - 1
-    return start, size, s.of[pick], token, segment_hash(flat.buf, start, start + size).view(np.int64), token.astype(np.uint32).view(np.int32)
+    pick = np.flatnonzero(maybe.has(_key(s.token)))
+    start, size, of, token = s.start[pick], s.windows[pick] + WINDOW - 1, s.of[pick], s.token[pick]
+    often = hot.has(_key(token))
+    if often.any():
+        count = np.where(often, s.windows[pick], 1)
+        start, size, of, token = ranges(start, count), *(np.repeat(c, count) for c in (np.where(often, 0, size), of, token))
+    ends = start + np.where(size == 0, WINDOW, size)
+    return start, size, of, token, segment_hash(flat.buf, start, ends).view(np.int64), token.astype(np.uint32).view(np.int32)
 
 
 def _strings(buckets: int, shared):
@@ -175,7 +191,8 @@ def _strings(buckets: int, shared):
         first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])]))
         n = np.diff(np.append(first, len(k)))
         high, low, k, t, one = np.maximum.reduceat(ids, first), ids[first], k[first], t[first], order[first]
-        bucket = ((token[one] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        place = np.where(size[one] == 0, mix(k.view(np.uint64)), token[one])
+        bucket = ((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         order = np.argsort(bucket, kind="stable")
         one, bucket = one[order], bucket[order]
         # mostly zeros and ones where a string is met once: they cost nothing on the way
@@ -191,11 +208,11 @@ def _strings(buckets: int, shared):
         parts, total = [], 0
         for batch in batches:
             for part, flat in pieces(batch, limit=PIECE):
-                start, size, of, token, k, t = _candidates(flat, shared.value)
+                start, size, of, token, k, t = _candidates(flat, *shared.value)
                 if not len(start):
                     continue
                 parts.append((size, k, t, _ids(part.column(0))[of], token, flat.buf[ranges(start, size)]))
-                total += int(size.sum())
+                total += int(size.sum()) + WINDOW * int((size == 0).sum())
                 if total >= FLUSH_BYTES:
                     yield pack(parts)
                     parts, total = [], 0
@@ -304,8 +321,8 @@ def smallest_owner(body: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.
 
 
 def _resolve(group: pa.Table) -> pa.Table:
-    """Per distinct string: its count and the runs of windows that a document
-    smaller than its largest one has, with that smallest document."""
+    """Per distinct string (or lone window): its count and the runs of windows that
+    a document smaller than its largest one has, with that smallest document."""
     size, k, t, low, above, n = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (
         ("size", np.int32), ("k", np.int64), ("t", np.int32), ("low", np.int64), ("above", np.int64), ("n", np.int32)))
     high = low + above
@@ -317,10 +334,15 @@ def _resolve(group: pa.Table) -> pa.Table:
     one = order[first]
     high, n = np.maximum.reduceat(high[order], first), np.add.reduceat(n[order].astype(np.int64), first)
     k, t, low, size, start = k[one], t[one], low[one], size[one], start[one]
+    lone = np.flatnonzero((size == 0) & (low < high))
+    zero = np.zeros(len(lone), np.int32)
+    runs = pa.ListArray.from_arrays(pa.array(np.arange(len(lone) + 1), pa.int32()), pa.StructArray.from_arrays([pa.array(zero), pa.array(zero), pa.array(low[lone])], ["a", "b", "least"]))
+    parts = [pa.table({"k": k[lone], "t": t[lone], "n": n[lone], "runs": runs})]
     # strings of different representatives share no window: a slice of representatives at a time
     by = np.argsort(t, kind="stable")
+    by = by[size[by] > 0]
     k, t, low, high, n, size, start = (c[by] for c in (k, t, low, high, n, size, start))
-    ends, parts, a = np.cumsum(size), [], 0
+    ends, a = np.cumsum(size), 0
     while a < len(t):
         b = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE, "right"))
         b = int(np.searchsorted(t, t[min(max(b, a + 1), len(t)) - 1], "right"))
@@ -354,7 +376,7 @@ def _places(shared, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, flat in pieces(batch, limit=PIECE):
-                start, _, of, _, k, t = _candidates(flat, shared.value)
+                start, _, of, _, k, t = _candidates(flat, *shared.value)
                 ok = wanted.value.has(k.view(np.uint64))
                 if not ok.any():
                     continue
@@ -418,13 +440,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (*[pa.int64()] * 4, pa.string()))], _RESULT_NAMES)
 
 
+def _screens(docs: DataFrame, buckets: int):
+    """Broadcast bitmaps of the representatives met in two documents and of the hot ones."""
+    tokens = docs.mapInArrow(_tokens(buckets), "bucket int, tokens binary")
+    repeated = materialize(tokens.groupBy("bucket").applyInArrow(_repeated, "token bigint, n bigint"), "repeat-tokens")
+    hot = repeated.where(F.col("n") > HOT)
+    return docs.sparkSession.sparkContext.broadcast((Bitmap(repeated.select("token"), repeated.count(), MOST_BITS), Bitmap(hot.select("token"), hot.count(), MOST_BITS)))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(id, text_hash, spans): the byte ranges that go from each document that loses any."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokens = docs.mapInArrow(_tokens(buckets), "bucket int, tokens binary")
-    repeated = materialize(tokens.groupBy("bucket").applyInArrow(_repeated, "token bigint"), "repeat-tokens")
-    shared = spark.sparkContext.broadcast(Bitmap(repeated, repeated.count(), MOST_BITS))
+    shared = _screens(docs, buckets)
     # several buckets a task: a task holds one at a time.  The strings are not kept:
     # their places are found again in a second pass, which costs less than the disk
     strings = docs.mapInArrow(_strings(4 * buckets, shared), _STRINGS)
