@@ -95,6 +95,13 @@ def test_drop_near_duplicates_keeps_one_of_each_group(hard):
     assert left.where("text like '%quick%'").count() == len({c for d, n, c in brute_components([(r["doc_id"], r["text"]) for r in hard.where("lower(text) like '%quick%'").collect()])})
 
 
+def test_drop_near_duplicates_keeps_one_of_rows_that_tie(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    rows = [(1, x), (1, x), (None, y), (None, y.upper()), (None, f" {y} "), (None, ""), (None, " "), (None, None), (2, z), (2, z + " end"), (2, "")]
+    left = shingle_join.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert Counter((r["doc_id"], (r["text"] or "").strip().lower()[:1]) for r in left) == {(1, "x"): 1, (None, "y"): 1, (None, ""): 3, (2, "z"): 1, (2, ""): 1}
+
+
 @pytest.mark.parametrize("forest", [3, 1_000_000])
 def test_components(spark, monkeypatch, forest):
     monkeypatch.setattr(components_module, "FOREST", forest)

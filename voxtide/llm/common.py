@@ -148,8 +148,8 @@ def keep_rows(docs: DataFrame, decided: DataFrame, keyed, keys: list[str]) -> Da
     """The rows of ``docs`` that ``decided`` (doc_id, ``keys``, kept; a row per row
     of ``docs``) keeps, all columns as they are.  Ids whose rows all go are
     dropped by id; only where rows of one id fare differently are the keys
-    computed (``keyed`` adds them as columns), and of rows that agree in id and
-    keys the one smallest in all columns stays."""
+    computed (``keyed`` adds them as columns).  Of rows that agree in id and keys
+    all stay if all are kept, and the one smallest in all columns if only some are."""
     out = docs.columns
     fate = decided.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"), F.sum(F.col("kept").cast("int")).alias("__kept"))
     fate = materialize(fate.where("__kept < __rows"), "fates")
@@ -157,14 +157,16 @@ def keep_rows(docs: DataFrame, decided: DataFrame, keyed, keys: list[str]) -> Da
     whole = docs.join(fate.select("__id"), same, "left_anti")
     mixed = fate.where("__kept > 0").select("__id")
     names = [f"__key_{k}" for k in keys]
-    stay = (decided.where("kept").select(F.col("doc_id").alias("__id"), *(F.col(k).alias(n) for k, n in zip(keys, names)))
-            .join(mixed.withColumnRenamed("__id", "__mixed"), F.col("__id").eqNullSafe(F.col("__mixed")), "left_semi").distinct())
+    stay = (decided.select(F.col("doc_id").alias("__id"), *(F.col(k).alias(n) for k, n in zip(keys, names)), "kept")
+            .join(mixed.withColumnRenamed("__id", "__mixed"), F.col("__id").eqNullSafe(F.col("__mixed")), "left_semi")
+            .groupBy("__id", *names).agg(F.max("kept").alias("__some"), F.min("kept").alias("__all")).where("__some"))
     odd = keyed(docs.join(mixed, same, "left_semi"), names)
     match = odd["doc_id"].eqNullSafe(F.col("__id"))
     for n in names:
         match = match & (odd[n] == stay[n])
-    some = odd.join(stay, match, "left_semi").groupBy("doc_id", *names).agg(F.min(F.struct(*out)).alias("__one")).select("__one.*")
-    return whole.unionByName(some)
+    every = odd.join(stay.where("__all"), match, "left_semi").select(*out)
+    some = odd.join(stay.where("not __all"), match, "left_semi").groupBy("doc_id", *names).agg(F.min(F.struct(*out)).alias("__one")).select("__one.*")
+    return whole.unionByName(every).unionByName(some)
 
 
 class Bitmap:

@@ -388,9 +388,10 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of linked ones, that of the
-    smallest id; documents without shingles stay.  All columns as they are."""
-    found = materialize(near_duplicates(docs, percent), "shingle-groups")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "d1", "d2")
+    smallest id, of rows that tie one of equal sets; documents without shingles
+    stay.  All columns as they are."""
+    found = materialize(near_duplicates(docs, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "d1", "d2", "row")
     first = found.where("group is not null").groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("members"))
     marked = spread_join(found.where("group is not null"), first, "group", "members", found.count())
     kept = marked.select("doc_id", "d1", "d2", (order == F.col("first")).alias("kept"))
