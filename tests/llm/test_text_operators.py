@@ -8,8 +8,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from voxtide.llm import piece_coding, pseudonyms, quality, toxicity
+from voxtide.llm import common, piece_coding, pseudonyms, quality, toxicity
 from voxtide.llm.common import Flat, read
 from voxtide.llm.queries import piece_model
 
@@ -105,6 +106,13 @@ def test_pseudonyms_of_hard_rows(hard, empty):
     assert got.agg({"n_pii": "sum"}).first()[0] == 0 and pseudonyms.pseudonymise(empty, b"key").count() == 0
 
 
+def test_labelled_sample_is_bounded_before_it_reaches_the_driver(spark):
+    rows = [(1, "b" * 9), (1, "a" * 8), (1, "c" * 11), (2, "d" * 11), (3, "e" * 10), (4, None), (None, "f")] + [(5, f"g{i:03}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "id bigint, label int")
+    assert common.labelled_sample(docs, known, 100, F.col("text"), 10) == [("a" * 8, 1), ("e" * 10, 1), ("g000", 1)]
+
+
 def test_toxicity_held_out(spark):
     docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
     rows = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()

@@ -190,11 +190,14 @@ class Bitmap:
         return (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def labelled_sample(docs: DataFrame, known: DataFrame, a_class: int, text) -> list[tuple[str, int]]:
-    """(text, label) of at most ``a_class`` rows a label.  ``known`` (id, label) has
+def labelled_sample(docs: DataFrame, known: DataFrame, a_class: int, text, most_chars: int) -> list[tuple[str, int]]:
+    """(text, label) of at most ``a_class`` ids a label.  ``known`` (id, label) has
     a row per labelled id; those first by a hash of the id are drawn from it
-    alone, so that the texts meet only that bounded list of ids, broadcast."""
+    alone, so that the texts meet only that bounded list of ids, broadcast.  An id
+    gives one text, the smallest of its texts of at most ``most_chars`` characters,
+    and is no part of the sample if it has none: what reaches the driver is bounded."""
     picks = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(a_class) for c in (0, 1)]
     few = picks[0].unionByName(picks[1]).withColumnRenamed("id", "__id")
-    rows = docs.select(F.col("doc_id").alias("__id"), text.alias("__text")).where("__text is not null").join(F.broadcast(few), "__id")
-    return [(r["__text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: (r["__id"], r["__text"]))]
+    rows = docs.select(F.col("doc_id").alias("__id"), text.alias("__text")).where(F.length("__text") <= most_chars).join(F.broadcast(few), "__id")
+    rows = rows.groupBy("__id", "label").agg(F.min("__text").alias("__text"))
+    return [(r["__text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: r["__id"])]

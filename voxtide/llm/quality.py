@@ -8,7 +8,8 @@ document is kept if at least ``LEAST_CONTENT`` of its words stand in content
 lines and the base rule holds.  The field is trained here, in numpy, by its exact
 gradient (forward-backward) on a bounded sample of rows with a quality label: at
 most ``SAMPLE`` rows a class, the first by a hash of the id, their first
-``SAMPLE_LINES`` lines.  Lines start with their row's label; after a first fit,
+``SAMPLE_LINES`` lines if those have at most ``SAMPLE_CHARS`` characters, one row
+an id.  Lines start with their row's label; after a first fit,
 lines of low-quality rows that the field finds clean change sides, and the field
 is fitted again.  Statistics and decoding cover whole texts.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from voxtide.llm.common import Flat, labelled_sample, mix, pieces, segment_hash
 
-SAMPLE, SAMPLE_LINES = 800, 80
+SAMPLE, SAMPLE_LINES, SAMPLE_CHARS = 800, 80, 50_000
 LEAST_CONTENT, LEAST_WORDS, MOST_REPEATED = 0.5, 50, 50
 FEATURES = ("bias", "symbols", "capitals", "digits", "same_word", "repeated", "seen_line", "marks", "short", "word_length")
 ROUNDS, RATE, DECAY = 100, 0.1, 1e-3
@@ -203,7 +204,7 @@ def train(texts: list[str], good: list[int]) -> Field:
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     known = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label")).where("label is not null and id is not null")
              .groupBy("id").agg(F.min("label").alias("label")))
-    sample = labelled_sample(docs, known, SAMPLE, F.substring_index(F.col("text"), "\n", SAMPLE_LINES))
+    sample = labelled_sample(docs, known, SAMPLE, F.substring_index(F.col("text"), "\n", SAMPLE_LINES), SAMPLE_CHARS)
     return train([t for t, _ in sample], [c for _, c in sample])
 
 

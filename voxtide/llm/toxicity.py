@@ -6,7 +6,7 @@ the byte n-grams (3 to 6) of all words with their word-end marks, hashed into
 two classes.  Embeddings and softmax are trained jointly in numpy (Adam on the
 log loss with weight decay) on a bounded sample of labelled rows: at most
 ``SAMPLE`` rows a class, the first by a hash of the id, of at most
-``SAMPLE_CHARS`` characters.  A bucket has an embedding if it occurs in
+``SAMPLE_CHARS`` characters, one row an id.  A bucket has an embedding if it occurs in
 ``LEAST_DOCS`` sample rows and its share of rows differs between the classes by
 ``LEAST_Z`` standard errors; the others stay at zero, so that words met by
 chance carry no evidence.  A misspelt word shares most n-grams with the word
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows that are not held out."""
     known = (labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label")).where("label is not null and id is not null")
              .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label")))
-    sample = [x for x in labelled_sample(docs, known, SAMPLE, F.col("text")) if len(x[0]) <= SAMPLE_CHARS]
+    sample = labelled_sample(docs, known, SAMPLE, F.col("text"), SAMPLE_CHARS)
     return train([t for t, _ in sample], [c for _, c in sample])
 
 
