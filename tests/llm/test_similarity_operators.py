@@ -95,6 +95,22 @@ def test_drop_near_duplicates_keeps_one_of_each_group(hard):
     assert left.where("text like '%quick%'").count() == len({c for d, n, c in brute_components([(r["doc_id"], r["text"]) for r in hard.where("lower(text) like '%quick%'").collect()])})
 
 
+def test_tiles_of_long_sets_are_cut_and_copies_counted_once(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "TILE_SHINGLES", 400)
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(base[:-1 - i % 5] + [f"e{r.randrange(9)}"])) for i in range(40)] + [(100 + i, "a b c d e f") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = shingle_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter((x[0], x[2]) for x in got) == Counter((d, c) for d, n, c in brute_components(rows))
+    classes = spark.createDataFrame([(i, i, 7, 100, 1) for i in range(40)], "cls bigint, least_id bigint, root bigint, n_shingles bigint, copies bigint")
+    held = shingle_join._tiles(classes, 80, shingle_join.TILE).groupBy("root", "tile_band", "tile_a", "tile_b").count().collect()
+    assert max(h["count"] for h in held) < 40                           # by their number the sets fit one tile
+    packed = spark.createDataFrame([("a b c d e f",)] * 30, "text string").coalesce(1).mapInArrow(shingle_join._tokens(80, 2), "bucket int, tokens binary").collect()
+    tokens = Counter(t for row in packed for t in np.frombuffer(row["tokens"], np.uint64).tolist())
+    assert tokens and set(tokens.values()) == {shingle_join.FREQUENT}
+
+
 def test_drop_near_duplicates_keeps_one_of_rows_that_tie(spark):
     x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
     rows = [(1, x), (1, x), (None, y), (None, y.upper()), (None, f" {y} "), (None, ""), (None, " "), (None, None), (2, z), (2, z + " end"), (2, "")]

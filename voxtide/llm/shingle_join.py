@@ -12,10 +12,10 @@ equal sets form one class.
    one in neighbouring size bands get an edge to one of them (never all pairs),
    first within a task, then within the bucket.  Components of these edges hold
    every linked pair.
-2. Tiles.  A component is a tile.  One of more than ``TILE`` classes is cut into
-   size bands (a linked pair lies in the same or adjacent bands) and a band into
+2. Tiles.  A component is a tile.  One of more than ``TILE`` classes or
+   ``TILE_SHINGLES`` shingles is cut into size bands (a linked pair lies in the same or adjacent bands) and a band into
    blocks, of which every pair of blocks is a tile, so no task holds more than
-   ``2 * TILE`` sets.
+   about two blocks of ``TILE`` sets and ``TILE_SHINGLES`` shingles (or two sets).
 3. Screening.  Every set has a hashed parity bitmap of at least as many bits as
    members.  The differing bits of two bitmaps bound the overlap from above; a
    tile joins the sets whose bound admits a link, and never compares two that are
@@ -49,6 +49,8 @@ WORDS = 5
 FREQUENT = 4
 #: Classes of a tile, and prefix members that a task packs at once.
 TILE, FLUSH = 1_000, 1_000_000
+#: Shingles of a tile (32 MB): longer sets make smaller blocks.
+TILE_SHINGLES = 4_000_000
 _K = [np.uint64(k) for k in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -107,9 +109,11 @@ def _bucket(tokens: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _tokens(percent: int, buckets: int):
-    """Packed hash-order prefix members by bucket, for counting."""
+    """Packed hash-order prefix members by bucket, for counting; of one member no
+    more than make it frequent."""
     def pack(parts):
         tokens = np.sort(np.concatenate(parts))
+        tokens = tokens[np.concatenate([np.ones(len(tokens[:FREQUENT]), bool), tokens[FREQUENT:] != tokens[:-FREQUENT]])]
         cut = np.searchsorted(_bucket(tokens, buckets), np.arange(buckets + 1))
         full = np.flatnonzero(np.diff(cut))
         return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([blob(tokens[cut[i]:cut[i + 1]]) for i in full], pa.binary())], ["bucket", "tokens"])
@@ -356,14 +360,14 @@ def _hash_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tiles(classes: DataFrame, percent: int, tile: int) -> DataFrame:
     """``classes`` with a component ``root``, one row per tile that each is part of."""
-    crowd = classes.groupBy("root").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    crowd = classes.groupBy("root").agg(F.count("*").alias("crowd"), F.sum("n_shingles").alias("mass")).where("crowd > 1")
     width = F.log(F.lit(100 / percent * 1.008))
-    spot = classes.join(crowd, "root").withColumn("band", F.when(F.col("crowd") <= tile, -1).otherwise(F.floor(F.log("n_shingles") / width)).cast("int"))
+    spot = classes.join(crowd, "root").withColumn("band", F.when((F.col("crowd") <= tile) & (F.col("mass") <= TILE_SHINGLES), -1).otherwise(F.floor(F.log("n_shingles") / width)).cast("int"))
     spot = spot.withColumn("tile_band", F.explode(F.when(F.col("band") < 0, F.array(F.lit(-1))).otherwise(F.array(F.col("band"), F.col("band") - 1)))).where("band < 0 or tile_band >= 0")
-    sizes = spot.groupBy("root", "tile_band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("blocks"))
+    sizes = spot.groupBy("root", "tile_band").agg(F.least(F.count("*"), F.ceil(F.greatest(F.count("*") / F.lit(tile), F.sum("n_shingles") / F.lit(TILE_SHINGLES)))).cast("int").alias("blocks"))
     spot = spot.join(sizes, ["root", "tile_band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     spot = spot.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return spot.withColumn("tile_a", F.least("block", "with")).withColumn("tile_b", F.greatest("block", "with")).drop("crowd", "blocks", "with", "copies")
+    return spot.withColumn("tile_a", F.least("block", "with")).withColumn("tile_b", F.greatest("block", "with")).drop("crowd", "mass", "blocks", "with", "copies")
 
 
 def _named(rows: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
