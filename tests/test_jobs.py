@@ -15,10 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_annotate_failing_completer_fills_dead_letters(spark):
-    calls = []
-
     def flaky(prompts):
-        calls.append(len(prompts))
         out = []
         for p in prompts:
             if p.endswith("boom"):
@@ -259,15 +256,64 @@ def test_command_event_to_job(spark):
     assert cfg.channel == "appstore" and cfg.default_owner_id == "DEVU-1" and cfg.company
 
 
-def test_first_event_of_a_delivery_split_over_files(spark, tmp_path):
-    from voxtide.streaming import jobs as W
-    rows = [(i, i // 3, "2024-01-01T00:00:00Z", "5", "app", "social") for i in range(9)]
-    for k in range(3):      # every delivery has an event in each file
-        part = [r for r in rows if r[0] % 3 == k]
-        df = spark.createDataFrame(part, "event_id BIGINT, delivery_id BIGINT, ts STRING, parameters STRING, app_id STRING, channel STRING")
-        df.coalesce(1).write.mode("append").json(str(tmp_path / "in"))
-    sink = W.batch_sink(str(tmp_path / "out"))
-    q = W.command_stream(spark, str(tmp_path / "in"), lambda b, i: sink(b.select("event_id", "delivery_id"), i), str(tmp_path / "chk"), "first", 1)
-    q.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted(r.delivery_id for r in got) == [0, 1, 2]
+def test_calls_are_packed_by_size():
+    from voxtide.operators.annotate import pack
+    assert pack([]) == [] and pack([5], 3) == [(0, 1)]
+    assert pack([1, 1, 1, 9, 1, 1], 3, 10) == [(0, 3), (3, 4), (4, 6)]
+    assert pack([0] * 10, 3, 4) == [(0, 4), (4, 8), (8, 10)]
+
+
+def test_a_killed_run_loses_one_bucket_at_most(spark, tmp_path):
+    answers = _answerer()
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+
+    def dies(prompts):
+        with open(log) as f:
+            if len(f.readlines()) >= 3:
+                import os
+                os._exit(1)                             # the worker goes, not only the call
+        return asked(prompts)
+
+    def asked(prompts):
+        with open(log, "a") as f:
+            f.writelines("call\n" for _ in prompts)
+        return answers(prompts)
+
+    open(log, "w").close()
+    df = spark.createDataFrame([(f"r{i}", f"text {i}") for i in range(40)], "review_id STRING, prompt STRING")
+    try:
+        annotate(df, dies, partitions=1, store=store, bucket_size=10)
+    except Exception:  # noqa: BLE001
+        pass
+    kept = spark.read.parquet(store).count()
+    assert 0 < kept < 40
+    open(log, "w").close()
+    good, _ = parse_annotation(annotate(df, asked, partitions=1, store=store, bucket_size=10).drop("completion"))
+    with open(log) as f:
+        assert good.count() == 40 and len(f.readlines()) == 40 - kept     # only what was not stored is asked again
+
+
+def test_rule_table_against_brute_force(spark):
+    import random
+    import re
+    from voxtide.operators.annotate import annotate_rules
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 3))) for _ in range(60)]
+    rules = [(rng.choice(words), rng.choice("XY"), rng.choice("pqr"), rng.choice([0.5, 1.0, -2.0]), rng.randint(1, 9)) for _ in range(200)]
+    texts = [None, "", "é ab é", "K a\u212a a"] + ["-".join(rng.choice(words).upper() if rng.random() < .3 else rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    df = spark.createDataFrame([(i, "c", t) for i, t in enumerate(texts)], "review_id long, channel string, text string").repartition(3)
+    want = {}
+    for i, t in enumerate(texts):
+        tokens = re.split("[^a-z]+", (t or "").lower())
+        best = {}
+        for f in "XY":
+            found = []
+            for v in "pqr":
+                mine = [(r[3] * tokens.count(r[0]), r[4]) for r in rules if r[1] == f and r[2] == v and r[0] in tokens]
+                if mine:
+                    found.append((-sum(s for s, _ in mine), min(k for _, k in mine), -ord(v), v))
+            best[f] = min(found)[3] if found else None
+        if any(best.values()):
+            want[i] = best
+    got = {r.review_id: {"X": r.X, "Y": r.Y} for r in annotate_rules(df, rules, ("review_id",), ("X", "Y")).collect()}
+    assert got == want

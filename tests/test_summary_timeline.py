@@ -1,5 +1,6 @@
 """Aggregates, chunked joins against brute force, timeline upsert/expiry."""
 
+import hashlib
 import math
 
 import pandas as pd
@@ -121,35 +122,84 @@ def _brute_summarise(pdf: pd.DataFrame, max_chars: int) -> dict:
     def js_num(x):
         return "NaN" if math.isnan(x) else (str(int(x)) if x == math.floor(x) else repr(x))
 
-    pct = {}
-    for ch, g in pdf.groupby("channel"):
-        p = sum(any(t["id"] == "tag/Positive" for t in tags) for tags in g["tags"])
-        n = sum(any(t["id"] == "tag/Negative" for t in tags) for tags in g["tags"])
-        pct[ch] = float("nan") if p + n == 0 else (p / (p + n)) * 100.0
-    items = {k: [(r.ticket_id, r.body or "") for r in g.itertuples()]
+    def tagged(tags, name):
+        return any(t["id"] == f"tag/{name}" for t in tags)
+
+    def share(p, n):
+        return float("nan") if p + n == 0 else (p / (p + n)) * 100.0
+
+    pct = {ch: share(sum(tagged(t, "Positive") for t in g["tags"]), sum(tagged(t, "Negative") for t in g["tags"])) for ch, g in pdf.groupby("channel")}
+    # an item: order, id that cuts, text, positive, negative
+    items = {k: [(r.ticket_id, r.ticket_id, r.body or "", tagged(r.tags, "Positive"), tagged(r.tags, "Negative")) for r in g.itertuples()]
              for k, g in pdf.groupby(["channel", "sentiment"])}
     level, done = 0, {}
     while items:
         answers = {}
         for (ch, s), its in items.items():
-            its = sorted(its)
-            chunks, start = {}, 0
-            for _, t in its:
-                chunks.setdefault(start // max_chars, []).append(t)
-                start += len(t) + 1
-            for c, texts in chunks.items():
-                prompt = C.SUMMARY_PROMPT.replace("{positive_pct}", js_num(pct[ch])).replace("{reviews}", ",".join(texts))
+            chunks, start, stretch = {}, 0, 0
+            for item in sorted(its):
+                chunks.setdefault((stretch, start // max_chars), []).append(item)
+                start += len(item[2]) + 1
+                if int(hashlib.md5(f"{level}:{item[1]}".encode()).hexdigest()[:8], 16) % A.FAN == 0:
+                    stretch, start = stretch + 1, 0
+            for c, mine in chunks.items():
+                p, n = sum(i[3] for i in mine), sum(i[4] for i in mine)
+                said = pct[ch] if len(chunks) == 1 else share(p, n)
+                prompt = C.SUMMARY_PROMPT.replace("{positive_pct}", js_num(said)).replace("{reviews}", ",".join(i[2] for i in mine))
                 a = _json.loads(_json.loads(digest_completer([prompt])[0])["choices"][0]["text"])
                 a = {k: ",".join(v) if isinstance(v, list) else v for k, v in a.items()}
-                answers.setdefault((ch, s), []).append((c, a))
+                answers.setdefault((ch, s), []).append((c, max(i[1] for i in mine), a, p, n))
         level += 1
-        done |= {k: (v[0][1], level) for k, v in answers.items() if len(v) == 1}     # finished groups leave
-        items = {k: [(f"{c:020d}", _json.dumps({f: a[f] for f in ("customer_likings", "customer_pain_points",
-                                                                   "focus", "actions")}, separators=(",", ":")))
-                     for c, a in v] for k, v in answers.items() if len(v) > 1}
+        done |= {k: (v[0][2], level) for k, v in answers.items() if len(v) == 1}     # finished groups leave
+        items = {k: [(c, end, _json.dumps({f: a[f] for f in ("customer_likings", "customer_pain_points", "focus", "actions")}, separators=(",", ":")), p, n)
+                     for c, end, a, p, n in v] for k, v in answers.items() if len(v) > 1}
     return done
 
 
+def _logged(path, fail=()):
+    """A completer that writes down the prompts it is asked."""
+    def complete(prompts):
+        with open(path, "a") as f:
+            f.writelines(hashlib.md5(p.encode()).hexdigest() + "\n" for p in prompts)
+        return [None if any(x in p for x in fail) else a for p, a in zip(prompts, digest_completer(prompts))]
+    return complete
+
+
+def _asked(path):
+    with open(path) as f:
+        out = f.read().split()
+    open(path, "w").close()
+    return out
+
+
+def _many(spark, n, group="g"):
+    rows = [(f"{group}{i:05d}", "social", "Positive", f"body {group} {i}", "bug", [{"id": "tag/bug"}, {"id": "tag/Positive"}]) for i in range(n)]
+    return spark.createDataFrame(rows, TICKETS)
+
+
+def test_one_more_ticket_asks_for_one_chunk_a_level(spark, tmp_path):
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    t = _many(spark, 600)
+    first = A.summarise(t, _logged(log), max_chars=5000, store=store)[0].collect()[0]
+    asked = _asked(log)
+    assert first.levels >= 3 and len(asked) > 60
+    assert A.summarise(t, _logged(log), max_chars=5000, store=store)[0].collect() == [first] and _asked(log) == []
+    name = next(f"g00300{c}" for c in "abcdefghij" if int(hashlib.md5(f"0:g00300{c}".encode()).hexdigest()[:8], 16) % A.FAN)
+    more = spark.createDataFrame([(name, "social", "Positive", "one more", "bug", [{"id": "tag/bug"}, {"id": "tag/Positive"}])], TICKETS)
+    second = A.summarise(t.unionByName(more), _logged(log), max_chars=5000, store=store)[0].collect()[0]
+    again = _asked(log)
+    assert 1 <= len(again) <= second.levels and second.customer_pain_points != first.customer_pain_points
+
+
+def test_budget_is_per_group_and_failed_calls_stay_apart(spark, tmp_path):
+    log = str(tmp_path / "log")
+    many, few = _many(spark, 80), _many(spark, 3, "h").withColumn("channel", F.lit("domain"))
+    alone = A.summarise(many, _logged(log), max_chars=300)[0].collect()
+    both, dead = A.summarise(many.unionByName(few), _logged(log, ("body h 1",)), max_chars=300)
+    rows = {r.channel: r for r in both.collect()}
+    assert [rows["social"]] == alone and alone[0].levels >= 3 and rows["domain"].n_failed == 1 == dead.count()
+
+
 def test_summarise_matches_brute_force(spark):
     t = _tickets(spark)
     s, _ = A.summarise(t, digest_completer, max_chars=2000, partitions=3)

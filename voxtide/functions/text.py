@@ -62,5 +62,10 @@ def iso_ts(c) -> Column:
     return F.date_format(col_(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+def sql_str(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def spaces(n: int) -> str:
     return " " * n

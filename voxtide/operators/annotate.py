@@ -6,8 +6,8 @@ Three annotators produce an ``answer`` text per review:
   an iterator pandas UDF (client built once per task).  Answers are written
   once (``materialize``) before anything reads them twice.
 * ``annotate_labels`` (N14): a join to a table of ready answers.
-* ``annotate_rules`` (N12): a token → (field, value, weight, rank) rule table,
-  scored inside each row, without a shuffle.
+* ``annotate_rules`` (N12): a token → (field, value, weight, rank) rule table;
+  one pass over each text finds all its rule tokens, without a shuffle.
 
 ``parse_annotation`` (N2–N9) turns answers into typed columns and dead letters.
 """
@@ -16,7 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,15 +27,30 @@ from voxtide import constants as C
 from voxtide import schemas
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
-from voxtide.session import materialize, path_exists, ship_package
+from voxtide.session import materialize, path_exists, scratch_path, ship_package
 
 Completer = Callable[[list[str]], list]
 
 
 # --------------------------------------------------------------------------- N1
-#: Prompts per call of the completer, and prompts per task: a lost task repeats
-#: at most that many calls' worth of work.
-CALL_SIZE, TASK_SIZE = 32, 2_000
+#: A call holds prompts of about ``CALL_TOKENS`` tokens (at ``TOKEN_CHARS``
+#: characters each), one at least and ``CALL_SIZE`` at most.
+CALL_TOKENS, TOKEN_CHARS, CALL_SIZE = 16_000, 4, 64
+#: Prompts per task: a lost task repeats at most so much work.
+TASK_SIZE = 2_000
+
+
+def pack(lengths: list[int], budget: int = CALL_TOKENS * TOKEN_CHARS, most: int = CALL_SIZE) -> list[tuple[int, int]]:
+    """Consecutive prompts of the given lengths packed into calls: (first, end).
+    A call ends before the prompt that would take it over ``budget`` characters or
+    ``most`` prompts; a longer prompt goes alone."""
+    calls, first, size = [], 0, 0
+    for i, n in enumerate(lengths):
+        if i > first and (size + n > budget or i - first == most):
+            calls.append((first, i))
+            first, size = i, 0
+        size += n
+    return [*calls, (first, len(lengths))] if lengths else []
 
 
 def _call(completer: Completer, prompts: list) -> list[tuple]:
@@ -60,16 +78,30 @@ def completion_udf(completer: Completer):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for prompts in batches:
             texts = [None if p is None else str(p) for p in prompts.tolist()]
-            rows = [r for k in range(0, len(texts), CALL_SIZE) for r in _call(completer, texts[k:k + CALL_SIZE])]
+            rows = [r for a, b in pack([len(t or "") for t in texts]) for r in _call(completer, texts[a:b])]
+            yield pd.DataFrame(rows, columns=["completion", "error"], dtype=object)
+
+    return F.pandas_udf(run, "completion string, error string").asNondeterministic()
+
+
+def request_udf(send: Callable[[list[dict]], list], params: dict | None = None):
+    """``completion_udf`` over a client ``send(requests) -> completions`` and the
+    columns prompt and model: each request holds its row's model, the settings of
+    the original jobs (``params`` overrides them) and the prompt."""
+    settings = {**C.INFERENCE_PARAMS, **(params or {})}
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for prompts, models in batches:
+            requests = [{**settings, "model": m if isinstance(m, str) else C.DEFAULT_MODEL, "prompt": None if p is None else str(p)} for p, m in zip(prompts.tolist(), models.tolist())]
+            rows = [r for a, b in pack([len(q["prompt"] or "") for q in requests]) for r in _call(send, requests[a:b])]
             yield pd.DataFrame(rows, columns=["completion", "error"], dtype=object)
 
     return F.pandas_udf(run, "completion string, error string").asNondeterministic()
 
 
 def request_completer(send: Callable[[list[dict]], list], model: str = C.DEFAULT_MODEL, params: dict | None = None) -> Completer:
-    """A completer over a client ``send(requests) -> completions``: each request
-    holds the model, the settings of the original jobs (``params`` overrides
-    them) and the prompt."""
+    """A completer over a client ``send(requests) -> completions`` where all
+    prompts go to one ``model`` (see ``request_udf`` for a model per row)."""
     settings = {**C.INFERENCE_PARAMS, **(params or {}), "model": model}
 
     def complete(prompts: list) -> list:
@@ -77,39 +109,67 @@ def request_completer(send: Callable[[list[dict]], list], model: str = C.DEFAULT
     return complete
 
 
-def annotate(prompts: DataFrame, completer: Completer, partitions: int | None = None,
-             prompt_col: str = "prompt", persist: bool = True, store: str | None = None) -> DataFrame:
+def annotate(prompts: DataFrame, completer: Completer | None = None, partitions: int | None = None,
+             prompt_col: str = "prompt", persist: bool = True, store: str | None = None,
+             send: Callable[[list[dict]], list] | None = None, bucket_size: int | None = None) -> DataFrame:
     """One completion per distinct prompt, joined back to every row.
 
     Distinct prompts are inferred once (``prompt_key``, deduplicated map-side
     first); ``partitions`` sets the request parallelism (default: tasks of about
-    ``TASK_SIZE`` prompts).  The answers are materialised so retries and later
-    readers see the same text.  With ``store`` (a completions table
-    ``prompt_key, completion``), prompts already answered there are skipped
-    (left anti join) and new answers are appended; failures are never stored, so
-    the next run tries them again, and two runs that stored the same key count
-    once.  The completion envelope is kept in ``completion``, a failed call's
-    message in ``error``; ``answer`` is ``choices[0].text``.
+    ``TASK_SIZE`` prompts).  With ``send`` instead of ``completer``, requests carry
+    the model in the rows' column ``llm_model``, and the key is that of prompt and
+    model.  The answers are materialised so retries and later readers see the same
+    text.
+
+    With ``store`` (a completions table ``prompt_key, completion``), prompts already
+    answered there are skipped (left anti join); the others are dealt over buckets
+    of about ``bucket_size`` prompts (default: what all cores of the cluster take in
+    one round), and each bucket's answers are appended as soon as it ends, so a run
+    that is killed loses one bucket at most and the next run goes on behind it.
+    Failures are never stored, so the next run tries them again, and two runs that
+    stored the same key count once.  The completion envelope is kept in
+    ``completion``, a failed call's message in ``error``; ``answer`` is
+    ``choices[0].text``.
     """
     spark = prompts.sparkSession
     ship_package(spark)
     keyed = prompts if "prompt_key" in prompts.columns else prompts.withColumn(
         "prompt_key", F.sha2(F.col(prompt_col), 256))
-    distinct = keyed.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])
-    have = _read_store(spark, store) if store else None
-    if have is not None:
-        distinct = distinct.join(have.select("prompt_key"), "prompt_key", "left_anti")
-    # Model calls are slow per row but small in bytes, so AQE would coalesce
-    # them into a few tasks; an explicit repartition by the number of prompts
-    # fixes the call parallelism.
-    n = partitions or max(spark.sparkContext.defaultParallelism, -(-keyed.count() // TASK_SIZE))
-    distinct = distinct.repartition(n, "prompt_key")
-    done = distinct.select("prompt_key", completion_udf(completer)(F.col(prompt_col)).alias("_c")).select("prompt_key", "_c.*")
-    if store or persist:
-        done = materialize(done, "completions")
-    if store:
-        done.where("completion is not null").select("prompt_key", "completion").write.mode("append").parquet(store)
-        done = _read_store(spark, store).withColumn("error", F.lit(None).cast("string")).unionByName(done.where("completion is null"))
+    asked = [prompt_col]
+    if send is not None:
+        asked.append("llm_model")
+        keyed = keyed.withColumn("prompt_key", F.sha2(F.concat_ws("|", "prompt_key", "llm_model"), 256))
+    distinct = keyed.select("prompt_key", *asked).dropDuplicates(["prompt_key"])
+    reply = (completion_udf(completer)(F.col(prompt_col)) if send is None else request_udf(send)(*map(F.col, asked))).alias("_c")
+
+    def infer(some: DataFrame, n: int) -> DataFrame:
+        # Model calls are slow per row but small in bytes, so AQE would coalesce
+        # them into a few tasks; an explicit repartition by the number of prompts
+        # fixes the call parallelism.
+        return some.repartition(partitions or max(spark.sparkContext.defaultParallelism, -(-n // TASK_SIZE)), "prompt_key").select("prompt_key", reply).select("prompt_key", "_c.*")
+
+    if not store:
+        done = infer(distinct, keyed.count())
+        done = materialize(done, "completions") if persist else done
+    else:
+        have = _read_store(spark, store)
+        todo = distinct if have is None else distinct.join(have.select("prompt_key"), "prompt_key", "left_anti")
+        todo = materialize(todo, "prompts-asked")
+        n = todo.count()
+        size = bucket_size or TASK_SIZE * spark.sparkContext.defaultParallelism
+        buckets = -(-n // size)
+        if buckets:
+            todo = materialize(todo.withColumn("bucket", F.pmod(F.xxhash64("prompt_key"), F.lit(buckets)).cast("int")), "prompt-buckets", ["bucket"])
+        run = scratch_path(spark, "completions")
+        for b in range(buckets):
+            part = f"{run}/bucket={b}"
+            infer(todo.where(F.col("bucket") == b), size).write.parquet(part)
+            spark.read.parquet(part).where("completion is not null").write.mode("append").parquet(store)
+        have = _read_store(spark, store)
+        empty = spark.createDataFrame([], "prompt_key string, completion string, error string")
+        done = empty if have is None else have.withColumn("error", F.lit(None).cast("string"))
+        if buckets:
+            done = done.unionByName(spark.read.parquet(run).where("completion is null").select("prompt_key", "completion", "error"))
     # only the key and the answers meet the rows again; the prompt stays where it is
     out = keyed.drop(prompt_col).join(done, "prompt_key", "left")
     return out.withColumn("answer", parse_completion(F.col("completion")))
@@ -136,35 +196,95 @@ def annotate_labels(reviews: DataFrame, answers: DataFrame, key: str | list[str]
 
 
 # -------------------------------------------------------------------------- N12
+#: Text bytes that a task looks through at once.
+SCAN_BYTES = 4 << 20
+
+
+class RuleTable:
+    """Rules (token, field, value, weight, rank) by token: a hashed dictionary of
+    the tokens, and each token's rules as (value number, weight, rank)."""
+
+    def __init__(self, rules: list[tuple], fields: tuple):
+        self.values = sorted({(fields.index(f), v) for _, f, v, _, _ in rules if f in fields})
+        slot = {fv: i for i, fv in enumerate(self.values)}
+        mine = [(t, slot[fields.index(f), v], float(w), r) for t, f, v, w, r in rules if f in fields]
+        self.tokens = sorted({m[0] for m in mine})
+        place = {t: i for i, t in enumerate(self.tokens)}
+        mine.sort(key=lambda m: place[m[0]])        # stable: the rules of a token stay in their order
+        self.first = np.searchsorted([place[m[0]] for m in mine], np.arange(len(self.tokens) + 1))
+        self.slot, self.weight, self.rank = (np.array([m[i] for m in mine], k) for i, k in ((1, np.int64), (2, float), (3, np.int64)))
+        self.field = np.array([f for f, _ in self.values], np.int64)
+        self.n_fields = len(fields)
+
+    def best(self, off: np.ndarray, buf: np.ndarray) -> tuple[np.ndarray, list[list]]:
+        """(texts with a hit, per field their best values) of lower-cased texts,
+        given as bytes and offsets.  One pass finds the letter runs, one hashed
+        lookup the rule tokens among them; what follows costs only per hit."""
+        letter = (buf >= 97) & (buf <= 122)
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[1:-1] = letter[1:] != letter[:-1]
+        edge[off] = True
+        cut = np.flatnonzero(edge)
+        run = letter[cut[:-1]] if len(cut) > 1 else np.zeros(0, bool)
+        starts, ends = cut[:-1][run], cut[1:][run]
+        ends_at = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends_at), pa.py_buffer(buf[letter]))
+        found = pc.index_in(words, value_set=pa.array(self.tokens, pa.large_string())).fill_null(-1).to_numpy(zero_copy_only=False)
+        hit = found >= 0
+        text = np.searchsorted(off, starts[hit], "right") - 1
+        met, times = np.unique(text * len(self.tokens) + found[hit], return_counts=True)
+        text, token = met // max(1, len(self.tokens)), met % max(1, len(self.tokens))
+        # the rules of each met token, then scores per text and value
+        n = self.first[token + 1] - self.first[token]
+        rule = np.repeat(self.first[token] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        key = np.repeat(text, n) * len(self.values) + self.slot[rule]
+        order = np.argsort(key, kind="stable")
+        cells, at = np.unique(key[order], return_index=True)
+        score = np.add.reduceat((np.repeat(times, n) * self.weight[rule])[order], at) if len(at) else np.zeros(0)
+        rank = np.minimum.reduceat(self.rank[rule][order], at) if len(at) else np.zeros(0, np.int64)
+        text, slot = cells // max(1, len(self.values)), cells % max(1, len(self.values))
+        # per text and field: highest score, then lowest rank, then last value
+        order = np.lexsort((-slot, rank, -score, self.field[slot], text)) if len(cells) else np.zeros(0, np.int64)
+        text, slot = text[order], slot[order]
+        field = self.field[slot] if len(slot) else np.zeros(0, np.int64)
+        top = np.ones(len(text), bool)
+        top[1:] = (text[1:] != text[:-1]) | (field[1:] != field[:-1])
+        rows, back = np.unique(text[top], return_inverse=True)
+        out = [[None] * len(rows) for _ in range(self.n_fields)]
+        for i, f, v in zip(back.tolist(), field[top].tolist(), slot[top].tolist()):
+            out[f][i] = self.values[v][1]
+        return rows, out
+
+
 def annotate_rules(reviews: DataFrame, rules: list[tuple], keys=("channel", "review_id"),
                    fields=("Sentiments", "Category", "Severity")) -> DataFrame:
     """Deterministic rule annotator, one row per review with a hit.
 
     Lower-cased text is split on non-letters; the scores of ``rules`` (token,
     field, value, weight, rank) are summed per field and value and the best value
-    per field wins (highest score, then lowest rank).  Every rule's token is
-    counted in place in the review's token array: no explode, no join, no
-    shuffle, and equal ids of different channels stay apart.
+    per field wins (highest score, then lowest rank).  Each text is looked
+    through once, whatever the number of rules (``RuleTable``): no explode, no
+    join, no shuffle, and equal ids of different channels stay apart.
     """
-    kept = reviews.select(*keys, F.split(F.lower(F.col("text")), "[^a-z]+").alias("_tokens"))
-    tokens = sorted({r[0] for r in rules})
-    def times(token: str):
-        return F.size(F.filter("_tokens", lambda t: t == F.lit(token)))
-
-    kept = kept.select(*keys, *[times(x).alias(f"_n{i}") for i, x in enumerate(tokens)])
-    count = {x: F.col(f"_n{i}") for i, x in enumerate(tokens)}
-    best = []
-    for f in fields:
-        scored = []
-        for value in sorted({r[2] for r in rules if r[1] == f}):
-            mine = [r for r in rules if r[1] == f and r[2] == value]
-            met = [F.when(count[t] > 0, F.lit(r)) for t, _, _, _, r in mine]
-            score = sum((count[t] * F.lit(w) for t, _, _, w, _ in mine), F.lit(0.0))
-            rank = F.array_min(F.array(*met))
-            scored.append(F.when(rank.isNotNull(), F.struct(score.alias("score"), (-rank).alias("order"), F.lit(value).alias("value"))))
-        best.append(F.array_max(F.array(*scored))["value"].alias(f))
-    out = kept.select(*keys, *best)
-    return out.where(F.coalesce(*[F.col(f) for f in fields]).isNotNull())
+    ship_package(reviews.sparkSession)
+    table, keys, fields = RuleTable(rules, tuple(fields)), list(keys), list(fields)
+    kept = reviews.select(*keys, F.lower(F.col("text")).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(len(keys)).cast(pa.large_string()).fill_null("")
+            off = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+            data = texts.buffers()[2]
+            raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+            at = 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(off, off[at] + SCAN_BYTES, "right")) - 1)
+                rows, best = table.best(off[at:to + 1] - off[at], raw[off[at]:off[to]])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(rows + at)) for i in range(len(keys))), *(pa.array(b, pa.string()) for b in best)], [*keys, *fields])
+                at = to
+
+    kinds = ", ".join([*(f"`{c}` {kind}" for c, kind in kept.select(*keys).dtypes), *(f"`{f}` string" for f in fields)])
+    return kept.mapInArrow(run, kinds)
 
 
 def rules_answer(annotated: DataFrame, fields=("Sentiments", "Category", "Severity")) -> DataFrame:
@@ -173,6 +293,12 @@ def rules_answer(annotated: DataFrame, fields=("Sentiments", "Category", "Severi
 
 
 # ------------------------------------------------------------------------ N2–N9
+#: The typed columns of a parsed answer ``_a``.
+TYPED = ("try_cast(_a.Relevance AS BOOLEAN) AS relevance", "_a.Sentiments AS sentiment", "_a.Category AS category", "_a.sub_category AS sub_category",
+         "_a.Severity AS severity", "_a.Feature AS feature", "_a.insight AS insight", "_a.description AS description", "_a.response AS response",
+         "_a.review AS review_clean")
+
+
 def parse_annotation(df: DataFrame, answer: str = "answer", key: str = "review_id",
                      missing: str = "inference_failed") -> tuple[DataFrame, DataFrame]:
     """Parse answer text into typed columns.
@@ -194,20 +320,7 @@ def parse_annotation(df: DataFrame, answer: str = "answer", key: str = "review_i
     bad = parsed.where(~ok)
     reason = F.when(F.col(answer).isNull(), F.lit(missing)).otherwise(F.lit("malformed_answer"))
     dead = dead_letter(bad, "annotate", F.col(key), reason, F.col(answer), F.col("error") if "error" in df.columns else None)
-    a = F.col("_a")
-    typed = good.select(
-        *[c for c in df.columns if c not in (answer, "error")],
-        a["Relevance"].try_cast("boolean").alias("relevance"),
-        a["Sentiments"].alias("sentiment"),
-        a["Category"].alias("category"),
-        a["sub_category"].alias("sub_category"),
-        a["Severity"].alias("severity"),
-        a["Feature"].alias("feature"),
-        a["insight"].alias("insight"),
-        a["description"].alias("description"),
-        a["response"].alias("response"),
-        a["review"].alias("review_clean"),
-    )
+    typed = good.select(*[c for c in df.columns if c not in (answer, "error")], *map(F.expr, TYPED))
     return typed, dead
 
 

@@ -12,47 +12,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtide import constants as C
-from voxtide.functions.text import falsy_or, spaces, tmpl
+from voxtide.functions.text import UNDEFINED, spaces, sql_str, tmpl
 
 
-def _by_channel(values: dict[str, Column], channel: Column | None = None) -> Column:
-    channel = F.col("channel") if channel is None else channel
-    expr = None
-    for ch, v in values.items():
-        expr = F.when(channel == ch, v) if expr is None else expr.when(channel == ch, v)
-    return expr
+class Sql(str):
+    """A SQL expression (plain strings name columns)."""
+
+
+def _by_channel(values: dict[str, str]) -> Column:
+    return F.expr("CASE channel " + " ".join(f"WHEN {sql_str(ch)} THEN {v}" for ch, v in values.items()) + " END")
 
 
 def title_expr() -> Column:
     """The channel's title template filled with its first non-empty
     identifying field."""
     key = {
-        "social": falsy_or("url", "review_id"),
-        "appstore": falsy_or("title", "url"),
-        "product": F.col("review_id"),
-        "business": F.col("author"),
-        "domain": F.col("title"),
+        "social": "coalesce(nullif(url, ''), review_id)",
+        "appstore": "coalesce(nullif(title, ''), url)",
+        "product": "review_id",
+        "business": "author",
+        "domain": "title",
     }
-    return _by_channel({c: template_expr(C.TITLE_TEMPLATE[c], {"key": k}) for c, k in key.items()})
+    return _by_channel({c: template_sql(C.TITLE_TEMPLATE[c], {"key": Sql(k)}) for c, k in key.items()})
 
 
 def body_expr(text: str = "text", description: str = "description") -> Column:
     """The body template with the channel's two indents."""
     return _by_channel({
-        c: template_expr(C.BODY_TEMPLATE, {"text": text, "description": description,
-                                           "indent_a": F.lit(spaces(a)), "indent_b": F.lit(spaces(b))})
+        c: template_sql(C.BODY_TEMPLATE, {"text": text, "description": description,
+                                          "indent_a": Sql(sql_str(spaces(a))), "indent_b": Sql(sql_str(spaces(b)))})
         for c, (a, b) in C.BODY_INDENTS.items()
     })
 
 
-def template_expr(template: str, cols: dict[str, Column | str], js_print: bool = True) -> Column:
-    """Fill ``{name}`` placeholders of a fixed template with columns
-    (``{{`` and ``}}`` stand for literal braces).
-
-    The template is cut into literal pieces once on the driver, so inserted
-    values are never searched for placeholders again.
-    """
-    parts: list[Column] = []
+def _cut(template: str) -> list[tuple[str, bool]]:
+    """The template's pieces, cut once on the driver, so inserted values are never
+    searched for placeholders: (text, False) and (name, True)."""
+    parts: list[tuple[str, bool]] = []
     lit: list[str] = []
     for m in re.finditer(r"\{\{|\}\}|\{(\w+)\}|[^{}]+|[{}]", template):
         tok, name = m.group(0), m.group(1)
@@ -60,13 +56,32 @@ def template_expr(template: str, cols: dict[str, Column | str], js_print: bool =
             lit.append({"{{": "{", "}}": "}"}.get(tok, tok))
             continue
         if lit:
-            parts.append(F.lit("".join(lit)))
+            parts.append(("".join(lit), False))
             lit = []
-        v = cols[name]
-        v = F.col(v) if isinstance(v, str) else v
-        parts.append(tmpl(v) if js_print else v)
+        parts.append((name, True))
     if lit:
-        parts.append(F.lit("".join(lit)))
+        parts.append(("".join(lit), False))
+    return parts
+
+
+def template_sql(template: str, cols: dict[str, str], js_print: bool = True) -> str:
+    """``template_expr`` as SQL text, one call to build whatever its length."""
+    def value(name: str) -> str:
+        v = cols[name] if isinstance(cols[name], Sql) else f"`{cols[name]}`"
+        return f"coalesce(CAST({v} AS STRING), {sql_str(UNDEFINED)})" if js_print else v
+    return "concat(" + ", ".join(value(p) if named else sql_str(p) for p, named in _cut(template)) + ")"
+
+
+def template_expr(template: str, cols: dict[str, Column | str], js_print: bool = True) -> Column:
+    """Fill ``{name}`` placeholders of a fixed template with columns
+    (``{{`` and ``}}`` stand for literal braces)."""
+    if not any(isinstance(v, Column) for v in cols.values()):
+        return F.expr(template_sql(template, cols, js_print))
+    parts = []
+    for p, named in _cut(template):
+        v = cols[p] if named else F.lit(p)
+        v = F.expr(v) if isinstance(v, Sql) else F.col(v) if isinstance(v, str) else v
+        parts.append(tmpl(v) if named and js_print else v)
     return F.concat(*parts)
 
 

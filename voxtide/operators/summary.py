@@ -69,20 +69,20 @@ def chart_data(counts: DataFrame, by=()) -> DataFrame:
 
 
 # ----------------------------------------------------------------- chunking
-def _local_offsets(by: list[str], length: str):
-    """Per-partition exclusive running sum of ``length`` within each group.
+def _local_offsets(by: list[str], lengths: list[str]):
+    """Per-partition exclusive running sums of the columns ``lengths`` within each
+    group.
 
     Rows arrive sorted by (group, order); a group may continue from one Arrow
-    batch into the next, so the running total is carried across batches.
+    batch into the next, so the running totals are carried across batches.
     """
     def run(batches):
-        last_key, carry = None, 0
+        last_key, carry = None, [0] * len(lengths)
         for pdf in batches:
             n = len(pdf)
             if n == 0:
-                yield pdf.assign(_local=pd.Series([], dtype="int64"))
+                yield pdf.assign(**{f"_local{c}": pd.Series([], dtype="int64") for c in lengths})
                 continue
-            lens = pdf[length].fillna(0).astype("int64").to_numpy()
             keys = [pdf[c].astype(object).where(pdf[c].notna(), "\x00null").astype(str).to_numpy()
                     for c in by]
             new = np.zeros(n, dtype=bool)
@@ -90,13 +90,18 @@ def _local_offsets(by: list[str], length: str):
             for k in keys:
                 new[1:] |= k[1:] != k[:-1]
             gid = np.cumsum(new)
-            incl = pd.Series(lens).groupby(gid).cumsum().to_numpy()
             first_key = tuple(k[0] for k in keys)
-            if last_key is not None and first_key == last_key:
-                incl = incl + np.where(gid == 1, carry, 0)
-            carry = int(incl[-1])
+            goes_on = last_key is not None and first_key == last_key
+            local = {}
+            for i, c in enumerate(lengths):
+                lens = pdf[c].fillna(0).astype("int64").to_numpy()
+                incl = pd.Series(lens).groupby(gid).cumsum().to_numpy()
+                if goes_on:
+                    incl = incl + np.where(gid == 1, carry[i], 0)
+                carry[i] = int(incl[-1])
+                local[f"_local{c}"] = (incl - lens).astype("int64")
             last_key = tuple(k[-1] for k in keys)
-            yield pdf.assign(_local=(incl - lens).astype("int64"))
+            yield pdf.assign(**local)
     return run
 
 
@@ -104,12 +109,16 @@ def _local_offsets(by: list[str], length: str):
 PARTITION_CHARS = 32 << 20
 
 
-def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
-                  partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
+def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int | Column,
+                  partitions: int | None = None, max_groups: int | None = None, cut: Column | None = None) -> DataFrame:
     """Cut each group's texts (ordered by ``order``) into chunks whose running
     offset falls in ``[c*max_chars, (c+1)*max_chars)``.  A text counts its
     characters and one for the separator, so empty and NULL texts fill chunks too.
 
+    With ``cut`` (a condition), a row that meets it also ends a chunk, and offsets
+    count from the row behind the last such row: the chunks between two cuts do
+    not depend on the rows elsewhere.  ``chunk`` is then a text, in order.
+
     Distributed prefix sum over narrow rows: the input is written once with a
     number for each row, and only (group, order, number, length) is range-sorted
     on (group, order, number).  A hot group, or one of equal order keys, spans
@@ -126,25 +135,37 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int,
     by, order = list(by), list(order)
     spark = df.sparkSession
     ship_package(spark)
-    base = materialize(df.withColumn("_len", (F.length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("bigint"))
-                         .withColumn("_row", F.monotonically_increasing_id()), "chunk-input")
+    base = df.withColumn("_len", (F.length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("bigint"))
+    if cut is not None:
+        base = base.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("bigint"))
+    base = materialize(base.withColumn("_row", F.monotonically_increasing_id()), "chunk-input")
     chars = base.agg(F.sum("_len")).first()[0] or 0
     n = partitions or max(spark.sparkContext.defaultParallelism, -(-chars // PARTITION_CHARS))
+    sums = ["_len"] if cut is None else ["_len", "_cut"]
     keys = [*by, *[c for c in order if c != text], "_row"]
-    narrow = base.select(*dict.fromkeys([*keys, "_len"]))
+    narrow = base.select(*dict.fromkeys([*keys, *sums]))
     ranged = (narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                     .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = materialize(ranged.mapInPandas(_local_offsets(by, "_len"), schema).select("_pid", *by, "_row", "_len", "_local"), "chunk-local")
-    totals = local.groupBy("_pid", *by).agg(F.sum("_len").alias("_tot"))
+    schema = T.StructType(ranged.schema.fields + [T.StructField(f"_local{c}", T.LongType()) for c in sums])
+    local = materialize(ranged.mapInPandas(_local_offsets(by, sums), schema).select("_pid", *by, "_row", *sums, *(f"_local{c}" for c in sums)), "chunk-local")
+    totals = local.groupBy("_pid", *by).agg(*(F.sum(c).alias(f"_tot{c}") for c in sums))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.col(c).alias(f"_by_{c}") for c in by], F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", *[F.col(c).alias(f"_by_{c}") for c in by], *(F.coalesce(F.sum(f"_tot{c}").over(w), F.lit(0)).alias(f"_off{c}") for c in sums))
     if max_groups is not None:
         offsets = bounded_broadcast(offsets, known_rows=n + max_groups - 1)
     joined = local.alias("l").join(offsets.alias("o"), [F.col("l._pid") == F.col("o._pid"), *[F.col(f"l.{c}").eqNullSafe(F.col(f"o._by_{c}")) for c in by]], "left")
-    start = F.col("_off") + F.col("_local")
-    placed = joined.select(F.col("l._row").alias("_row"), F.floor(start / F.lit(max_chars)).cast("bigint").alias("chunk"), start.alias("chunk_start"))
-    return base.join(placed, "_row").drop("_row", "_len")
+    placed = joined.select(F.col("l._row").alias("_row"), *(F.col(f"l.{c}").alias(f"_by_{c}") for c in by), *((F.col(f"_off{c}") + F.col(f"_local{c}")).alias(f"_at{c}") for c in sums))
+    budget = max_chars if isinstance(max_chars, Column) else F.lit(max_chars)
+    if cut is None:
+        out = base.join(placed.select("_row", F.col("_at_len").alias("chunk_start")), "_row")
+        return out.withColumn("chunk", F.floor(F.col("chunk_start") / budget).cast("bigint")).drop("_row", "_len")
+    # offsets inside a stretch between cuts: one narrow row per stretch says where it starts
+    groups = [f"_by_{c}" for c in by]
+    starts = placed.groupBy(*groups, "_at_cut").agg(F.min("_at_len").alias("_from")).select(*(F.col(g).alias(f"{g}_") for g in groups), F.col("_at_cut").alias("_at_cut_"), "_from")
+    placed = placed.join(starts, [*(F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups), F.col("_at_cut") == F.col("_at_cut_")])
+    out = base.join(placed.select("_row", "_at_cut", (F.col("_at_len") - F.col("_from")).alias("chunk_start")), "_row")
+    part = F.floor(F.col("chunk_start") / budget).cast("bigint")
+    return out.withColumn("chunk", F.format_string("%020d.%010d", F.col("_at_cut"), part)).drop("_row", "_len", "_cut", "_at_cut")
 
 
 def join_texts(df: DataFrame, by, order, text: str, max_chars: int,
@@ -181,70 +202,92 @@ def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
     return join_texts(tickets, by, ("ticket_id", "body"), "body", max_chars, max_groups=group_bound(by))
 
 
+#: Items that a chunk of the summary tree holds on average, where its budget lets it.
+FAN = 8
+
+
+def ends_chunk(item: Column, level: int, fan: int = FAN) -> Column:
+    """Whether an item ends a chunk of ``level``, by a hash of its id alone: one in
+    ``fan`` does, whatever stands around it."""
+    digest = F.md5(F.concat(F.lit(f"{level}:"), item))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % fan == 0
+
+
 def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentiment"),
-              max_chars: int = C.SUMMARY_CHUNK_CHARS, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+              max_chars: int = C.SUMMARY_CHUNK_CHARS, partitions: int | None = None, fan: int = FAN,
+              store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Hierarchical corpus summary per group.
 
-    Level 0 chunks the ticket bodies; every chunk becomes one summary prompt
-    (with the group's channel positive share) and one completion.  A group with
-    one summary is finished and leaves; the summaries of the others (as JSON
-    text) are chunked and summarised again.  Each level's answers are
-    materialised.  A level that does not bring a group's number of summaries
-    down (answers longer than ``max_chars``) doubles that level's budget, so
-    every text is still read and every group ends.  ``n_chunks`` counts the
-    chunks of level 0, ``n_failed`` the failed calls of all levels; a group none
-    of whose chunks was answered has NULL fields.  Returns (summary per group,
-    dead letters).
+    Level 0 chunks the ticket bodies; every chunk becomes one summary prompt and
+    one completion.  A group with one chunk is finished and leaves; the summaries
+    of the others (as JSON text) are chunked and summarised again.
+
+    Where a chunk ends is decided by its items: one in ``fan`` ends a chunk, by a
+    hash of its ticket id (of the last ticket of a summary's chunk, further up).
+    A chunk is also cut at ``max_chars``.  So a ticket more or less changes the
+    prompt of one chunk of each level, and with a completions ``store`` (see
+    ``annotate``) a second run asks for these alone.  The last call of a group
+    states its channel's positive share; calls below state that of their own
+    tickets, which other tickets don't change.
+
+    A level above 0 that gives a group no fewer chunks than items entered it
+    (answers longer than ``max_chars``) doubles the budget of that group, so every
+    text is read and every group ends.  ``n_chunks`` counts the chunks of level
+    0, ``n_failed`` the failed calls of all levels; a group none of whose chunks
+    was answered has NULL fields.  Returns (summary per group, dead letters).
     """
     by = list(by)
     max_groups = group_bound(by)
     pct_by = [c for c in by if c == "channel"]
     # one row per channel; written once instead of re-aggregating the tickets every level
     pct = materialize(sentiment_pct(tickets, by=pct_by).select(*pct_by, "positive_pct"), "summary-pct")
-    items = tickets.select(*by, F.col("ticket_id").alias("_ord"), F.col("body").alias("_text"))
-    finished, deads, calls = [], [], []
-    level, budget = 0, max_chars
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
+    share = bounded_broadcast(pct if pct_by else pct.withColumn("_k", F.lit(1)), known_rows=len(C.CHANNELS))
     fields = ["customer_likings", "customer_pain_points", "focus", "actions"]
+    items = tickets.select(*by, F.col("ticket_id").alias("_ord"), F.col("ticket_id").alias("_id"), F.col("body").alias("_text"), F.lit(max_chars).cast("bigint").alias("_budget"),
+                           _has_tag(tag_id("Positive")).cast("bigint").alias("_pos"), _has_tag(tag_id("Negative")).cast("bigint").alias("_neg"))
+    finished, deads, calls = [], [], []
+    level = 0
     while True:
-        chunks = join_texts(items, by, ["_ord"], "_text", budget, partitions, max_groups)
-        chunks = chunks.withColumn("chunk_key", F.concat_ws("|", *[F.col(c) for c in by],
-                                                           F.lit(str(level)), F.col("chunk").cast("string")))
-        # at most one row per channel, or one row in all
-        share = bounded_broadcast(pct, known_rows=len(C.CHANNELS))
-        chunks = chunks.join(share, pct_by, "left") if pct_by else chunks.withColumn("_k", F.lit(1)).join(
-            bounded_broadcast(pct.withColumn("_k", F.lit(1)), known_rows=1), "_k", "left").drop("_k")
-        prompts = render_summary_prompt(chunks, F.col("positive_pct"), text="text")
-        # written once: the completer stage and the answer join-back both read it
-        prompts = materialize(prompts.select(*by, "chunk", "chunk_key", "n_items", "prompt")
-                                     .withColumn("prompt_key", F.sha2(F.col("prompt"), 256)),
-                              f"summary-prompts{level}")
-        answered = annotate(prompts, completer, partitions=partitions)
+        placed = assign_chunks(items, by, ["_ord"], "_text", F.col("_budget"), partitions, max_groups, ends_chunk(F.col("_id"), level, fan))
+        texts = F.transform(F.array_sort(F.collect_list(F.struct("_ord", F.coalesce("_text", F.lit("")).alias("t")))), lambda x: x["t"])
+        chunks = materialize(placed.groupBy(*by, "chunk").agg(
+            F.count(F.lit(1)).alias("n_items"), F.max("_id").alias("_id"), F.max("_budget").alias("_budget"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
+            F.array_join(texts, ",").alias("text")), f"summary-chunks{level}")
+        sizes = chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("_asked"), F.sum("n_items").alias("_entered"))
+        here = _beside(chunks, bounded_broadcast(sizes, known_rows=max_groups) if max_groups else sizes, by)
+        here = here.join(share, pct_by, "left") if pct_by else here.withColumn("_k", F.lit(1)).join(share, "_k", "left").drop("_k")
+        own = pct_expr(F.col("_pos"), F.col("_pos") + F.col("_neg"))
+        here = here.withColumn("chunk_key", F.concat_ws("|", *[F.col(c) for c in by], F.lit(str(level)), F.col("chunk")))
+        prompts = render_summary_prompt(here, F.when(F.col("_asked") == 1, F.col("positive_pct")).otherwise(own), text="text")
+        prompts = prompts.withColumn("prompt_key", F.sha2(F.col("prompt"), 256)).drop("text", "positive_pct")
+        answered = annotate(prompts, completer, partitions=partitions, store=store)
         parsed, dead = parse_summary(answered.drop("completion", "prompt_key"), key="chunk_key")
-        parsed = materialize(parsed, f"summary-level{level}")   # one row per chunk; cuts lineage
-        deads.append(materialize(dead, f"summary-dead{level}"))
+        parsed = materialize(parsed, f"summary-level{level}")       # one row per answered chunk; cuts lineage
+        deads.append(dead)
         answers = parsed.groupBy(*by).agg(F.count(F.lit(1)).alias("_answers"))
-        asked = prompts.groupBy(*by).agg(F.count(F.lit(1)).alias("_asked"))
-        state = asked.alias("p").join(answers.alias("g"), same, "left").select(
-            *[F.col(f"p.{c}").alias(c) for c in by], "_asked", F.coalesce("_answers", F.lit(0)).alias("_answers"))
-        state = materialize(state.withColumn("_level", F.lit(level)), f"summary-state{level}")
+        state = materialize(_beside(sizes, answers, by, "left").select(*by, "_asked", "_entered", F.coalesce("_answers", F.lit(0)).alias("_answers"), F.lit(level).alias("_level")),
+                            f"summary-state{level}")
         calls.append(state)
-        more = state.where("_answers > 1")
-        done = parsed.alias("p").join(state.where("_answers = 1").alias("g"), same, "left_semi")
+        done = _beside(parsed.drop("_asked", "_entered"), state.where("_answers = 1"), by)
         finished.append(done.select(*by, *fields).withColumn("levels", F.lit(level + 1)))
-        last, most = more.agg(F.count(F.lit(1)), F.max((F.col("_answers") >= F.col("_asked")).cast("int"))).first()
-        if level and most:
-            budget *= 2
-        if not last:
+        more = state.where("_answers > 1")
+        if not more.limit(1).count():
             break
-        items = parsed.alias("p").join(more.alias("g"), same, "left_semi").select(
-            *by, F.format_string("%020d", F.col("chunk")).alias("_ord"), F.to_json(F.struct(*fields)).alias("_text"))
+        stuck = F.lit(level > 0) & (F.col("_asked") >= F.col("_entered"))
+        items = _beside(parsed.drop("_asked", "_entered"), more, by).select(
+            *by, F.col("chunk").alias("_ord"), "_id", F.to_json(F.struct(*fields)).alias("_text"),
+            F.when(stuck, F.col("_budget") * 2).otherwise(F.col("_budget")).alias("_budget"), "_pos", "_neg")
         level += 1
     # every group, with what its calls came to; a group without any answer keeps its row
     totals = union_all(*calls).groupBy(*by).agg(
         F.max(F.when(F.col("_level") == 0, F.col("_asked"))).alias("n_chunks"), F.sum(F.col("_asked") - F.col("_answers")).alias("n_failed"),
         (F.max("_level") + 1).alias("_levels"))
-    found = union_all(*finished)
-    out = totals.alias("p").join(found.alias("g"), same, "left").select(
-        *[F.col(f"p.{c}").alias(c) for c in by], *fields, F.coalesce("levels", "_levels").cast("int").alias("levels"), "n_chunks", "n_failed")
+    out = _beside(totals, union_all(*finished), by, "left").select(
+        *by, *fields, F.coalesce("levels", "_levels").cast("int").alias("levels"), "n_chunks", "n_failed")
     return out, union_all(*deads)
+
+
+def _beside(rows: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with their group's row of ``groups`` (null keys equal)."""
+    right = groups.select(*(F.col(c).alias(f"_by_{c}") for c in by), *(c for c in groups.columns if c not in by))
+    return rows.join(right, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], how).drop(*(f"_by_{c}" for c in by))

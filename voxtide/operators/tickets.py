@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtide import constants as C
-from voxtide.functions.text import spaces
+from voxtide.functions.text import spaces, sql_str
 from voxtide.operators.joins import bounded_broadcast
 from voxtide.operators.outcomes import dead_letter
-from voxtide.operators.render import body_expr, template_expr, title_expr
+from voxtide.operators.render import Sql, body_expr, template_expr, title_expr
 from voxtide.session import materialize, path_exists
 
 TICKET_EXTRA = ["category", "sentiment", "sub_category", "feature", "insight", "response",
@@ -115,10 +115,7 @@ def tickets_by_tag(tickets: DataFrame, tag_id: str) -> DataFrame:
 
 def comment_bodies() -> Column:
     """K3/K5: the detail comments of one ticket, in posting order."""
-    indent = None
-    for ch, n in C.INSIGHT_INDENT.items():
-        lit = F.lit(spaces(n))
-        indent = F.when(F.col("channel") == ch, lit) if indent is None else indent.when(F.col("channel") == ch, lit)
+    indent = Sql("CASE channel " + " ".join(f"WHEN {sql_str(ch)} THEN {sql_str(spaces(n))}" for ch, n in C.INSIGHT_INDENT.items()) + " END")
     cols = {"sub_category": "sub_category", "sentiment": "sentiment", "feature": "feature",
             "indent": indent, "insight": "insight", "response": "response"}
     first = F.when(F.col("channel") == "product", template_expr(C.PRODUCT_SUBCAT_TEMPLATE, cols)) \

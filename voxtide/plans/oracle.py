@@ -10,6 +10,7 @@ from __future__ import annotations
 from voxtide import constants as C
 from voxtide.functions.completers import ANSWER_CATEGORIES as MODEL_CATEGORIES
 from voxtide.functions.completers import ANSWER_SEVERITIES as MODEL_SEVERITIES
+from voxtide.operators import summary as A
 from voxtide.plans import catalog as Q
 from voxtide.sources import views as V
 
@@ -181,22 +182,26 @@ joined AS (
   FROM chunked GROUP BY channel, sentiment, chunk)"""
 
 
-def _summary_levels(by: list[str], levels: int = 3) -> list[str]:
+def _summary_levels(by: list[str], levels: int = 6) -> list[str]:
     """The corpus summary with the digest stand-in, ``levels`` levels unrolled:
     ``summary(by, fields, levels, n_chunks, n_failed)``."""
     g = ", ".join(by)
     prompt = template_sql(C.SUMMARY_PROMPT, {"positive_pct": PCT_TEXT, "reviews": "text"})
-    out = [f"i0 AS (SELECT {g}, ticket_id AS ord, coalesce(body, '') AS b FROM tickets)"]
+    tagged = lambda t: f"CAST(tag_category = 'tag/{t}' OR tag_sentiment = 'tag/{t}' AS BIGINT)"
+    out = [f"i0 AS (SELECT {g}, ticket_id AS ord, ticket_id AS id, coalesce(body, '') AS b, {tagged('Positive')} AS pos, {tagged('Negative')} AS neg FROM tickets)"]
     for k in range(levels):
-        out.append(f"""c{k} AS (SELECT {g}, ord, b, CAST(floor((sum(length(b) + 1) OVER (PARTITION BY {g} ORDER BY ord, b
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(b) - 1) / {Q.SUMMARY_CHARS}) AS BIGINT) AS chunk FROM i{k}),
-p{k} AS (SELECT {g}, chunk, {prompt} AS p FROM (SELECT {g}, chunk, string_agg(b, ',' ORDER BY ord, b) AS text FROM c{k} GROUP BY {g}, chunk)
-  LEFT JOIN pct USING (channel)),
-a{k} AS (SELECT {g}, chunk, CAST(length(p) AS VARCHAR) || ' characters reviewed' AS customer_likings, 'digest ' || substr(md5(p), 1, 12) AS customer_pain_points,
-  'topic ' || CAST(length(p) % 7 AS VARCHAR) AS focus, 'action ' || CAST(length(p) % 3 AS VARCHAR) || ',action ' || CAST(length(p) % 5 AS VARCHAR) AS actions,
-  count(*) OVER (PARTITION BY {g}) AS n FROM p{k})""")
-        out.append(f"""i{k + 1} AS (SELECT {g}, lpad(CAST(chunk AS VARCHAR), 20, '0') AS ord, '{{"customer_likings":"' || customer_likings || '","customer_pain_points":"'
-  || customer_pain_points || '","focus":"' || focus || '","actions":"' || actions || '"}}' AS b FROM a{k} WHERE n > 1)""")
+        before = f"OVER (PARTITION BY {g} ORDER BY ord, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        out.append(f"""s{k} AS (SELECT *, coalesce(sum(CAST(('0x' || substr(md5('{k}:' || id), 1, 8))::BIGINT % {A.FAN} = 0 AS BIGINT)) {before}, 0) AS seg,
+  coalesce(sum(length(b) + 1) {before}, 0) AS start FROM i{k}),
+c{k} AS (SELECT *, CAST(floor((start - min(start) OVER (PARTITION BY {g}, seg)) / {Q.SUMMARY_CHARS}) AS BIGINT) AS part FROM s{k}),
+t{k} AS (SELECT {g}, seg, part, string_agg(b, ',' ORDER BY ord, b) AS text, max(id) AS id, sum(pos) AS pos, sum(neg) AS neg FROM c{k} GROUP BY {g}, seg, part),
+n{k} AS (SELECT *, count(*) OVER (PARTITION BY {g}) AS n FROM t{k}),
+p{k} AS (SELECT *, {prompt} AS p FROM (SELECT n{k}.*, CASE WHEN n = 1 THEN pct.positive_pct ELSE {_pct('CAST(pos AS DOUBLE)', 'neg')} END AS positive_pct
+  FROM n{k} LEFT JOIN pct USING (channel))),
+a{k} AS (SELECT {g}, seg, part, id, pos, neg, CAST(length(p) AS VARCHAR) || ' characters reviewed' AS customer_likings, 'digest ' || substr(md5(p), 1, 12) AS customer_pain_points,
+  'topic ' || CAST(length(p) % 7 AS VARCHAR) AS focus, 'action ' || CAST(length(p) % 3 AS VARCHAR) || ',action ' || CAST(length(p) % 5 AS VARCHAR) AS actions, n FROM p{k})""")
+        out.append(f"""i{k + 1} AS (SELECT {g}, lpad(CAST(seg AS VARCHAR), 20, '0') || '.' || lpad(CAST(part AS VARCHAR), 10, '0') AS ord, id, '{{"customer_likings":"' || customer_likings || '","customer_pain_points":"'
+  || customer_pain_points || '","focus":"' || focus || '","actions":"' || actions || '"}}' AS b, pos, neg FROM a{k} WHERE n > 1)""")
     ends = " UNION ALL ".join(f"SELECT {g}, customer_likings, customer_pain_points, focus, actions, CAST({k + 1} AS INTEGER) AS levels FROM a{k} WHERE n = 1" for k in range(levels))
     same = " AND ".join(f"e.{c} = z.{c}" for c in by)
     out.append(f"summary AS (SELECT e.*, z.n_chunks, CAST(0 AS BIGINT) AS n_failed FROM ({ends}) e JOIN (SELECT {g}, max(n) AS n_chunks FROM a0 GROUP BY {g}) z ON {same})")

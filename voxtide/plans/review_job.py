@@ -30,14 +30,15 @@ class ReviewRun:
 
 
 def run_annotated(spark: SparkSession, annotated: DataFrame, relevance: str = "observed",
-                  missing: str = "inference_failed") -> ReviewRun:
+                  missing: str = "inference_failed", config: DataFrame | None = None) -> ReviewRun:
     """Ticket stage for reviews that already carry an ``answer`` text; one
-    without is a dead letter with the reason ``missing``."""
+    without is a dead letter with the reason ``missing``.  ``config`` replaces the
+    fixed settings (part, owner) per channel."""
     parsed, dead_parse = parse_annotation(annotated, missing=missing)
     parsed = normalise_severity(parsed)
     resolved, dead_tags = resolve_tags(parsed, tags_df(spark))
     kept = relevance_filter(resolved, relevance)
-    tickets, dead_ticket = build_tickets(kept, config_df(spark))
+    tickets, dead_ticket = build_tickets(kept, config if config is not None else config_df(spark))
     return ReviewRun(parsed, resolved, tickets, union_all(dead_parse, dead_tags, dead_ticket))
 
 
@@ -47,12 +48,20 @@ def run_labels(spark: SparkSession, sf_dir: str, relevance: str = "observed") ->
     return run_annotated(spark, annotated, relevance, missing="no_answer")
 
 
-def limit_reviews(reviews: DataFrame, n: int) -> DataFrame:
+def limit_reviews(reviews: DataFrame, n: int | dict[str, int]) -> DataFrame:
     """T3 as the jobs apply it: the ``n`` best social reviews by ``score``, where
     the source sends one, else the first in landing order, and the ``n``
-    best-rated app store reviews.  The other channels are never cut."""
+    best-rated app store reviews (``n`` may give a number per channel; a channel
+    that it does not name is not cut).  The other channels are never cut."""
     from voxtide.operators.filters import top_n
 
+    if isinstance(n, dict):
+        out = reviews
+        for channel in ("social", "appstore"):
+            if channel in n:
+                mine = F.col("channel").eqNullSafe(F.lit(channel))
+                out = limit_reviews(out.where(mine), max(0, n[channel])).unionByName(out.where(~mine))
+        return out
     parts = {"social": ("score",) if "score" in reviews.columns else (), "appstore": ("rating",)}
     whole = reviews.where(~F.col("channel").isin(list(parts)) | F.col("channel").isNull())
     social = reviews.where("channel = 'social'")
@@ -74,19 +83,21 @@ def timeline_for(tickets: DataFrame, created_at: str, app_object=None) -> DataFr
 
 # --------------------------------------------------------------------------- commands
 def review_command(spark: SparkSession, raw: DataFrame, out_dir: str, completer=None,
-                   answers: DataFrame | None = None, limit: int | None = None,
+                   answers: DataFrame | None = None, limit: int | dict[str, int] | None = None,
                    relevance: str = "observed", created_at: str = "1970-01-01 00:00:00",
-                   app_object=None) -> dict[str, str]:
+                   app_object=None, config: DataFrame | None = None, send=None) -> dict[str, str]:
     """The review command as one batch job.
 
     landed pages → canonical reviews (dead letters for bad pages) → optional
     ``limit`` of the channels that have one → answers (``completer`` over rendered
-    prompts, kept in a completions store under ``out_dir``; or ready
+    prompts, or a client ``send`` that gets requests with the model of the channel's
+    settings; kept in a completions store under ``out_dir``; or ready
     ``answers(review_id, answer)``) → typed annotations → tags → tickets
     (appended, skipping tickets already stored) → timeline entries of all
     tickets of this run → dead letters.  Each sink takes only rows it does not
     hold yet, so a run that died between sinks is completed by the next one.
-    Returns the table paths.
+    ``config`` (channel, company, default_part_id, default_owner_id, llm_model)
+    replaces the fixed settings.  Returns the table paths.
     """
     from voxtide.operators.annotate import annotate
     from voxtide.operators.outcomes import union_all as _union
@@ -97,20 +108,21 @@ def review_command(spark: SparkSession, raw: DataFrame, out_dir: str, completer=
     from voxtide.session import materialize
     from voxtide.sources.payloads import read_all
 
-    if (completer is None) == (answers is None):
-        raise ValueError("give exactly one of completer or answers")
+    if sum(x is not None for x in (completer, send, answers)) != 1:
+        raise ValueError("give exactly one of completer, send or answers")
+    config = config_df(spark) if config is None else config
     paths = {k: f"{out_dir}/{k}" for k in ("tickets", "timeline", "dead_letters", "completions")}
     reviews, dead_src = read_all(raw)
     reviews = materialize(reviews if limit is None else limit_reviews(reviews, limit), "reviews")
-    if completer is not None:
-        cfg = bounded_broadcast(config_df(spark).select("channel", "company"))
+    if answers is None:
+        cfg = bounded_broadcast(config.select("channel", "company", "llm_model"))
         prompts = render_prompt(reviews.join(cfg, "channel", "left"))
-        annotated = annotate(prompts, completer, store=paths["completions"]).drop(
-            "completion", "prompt", "prompt_key", "company")
+        annotated = annotate(prompts, completer, store=paths["completions"], send=send).drop(
+            "completion", "prompt", "prompt_key", "company", "llm_model")
     else:
         keys = [c for c in ("channel", "review_id") if c in answers.columns]
         annotated = annotate_labels(reviews, answers.select(*keys, "answer"), keys)
-    run = run_annotated(spark, materialize(annotated, "annotated"), relevance, "no_answer" if completer is None else "inference_failed")
+    run = run_annotated(spark, materialize(annotated, "annotated"), relevance, "inference_failed" if answers is None else "no_answer", config)
     tickets = materialize(one_per_ticket(run.tickets), "tickets-all")
     write_tickets(tickets, paths["tickets"], skip_existing=True)
     write_timeline(timeline_for(tickets, created_at, app_object), paths["timeline"], skip_existing=True)

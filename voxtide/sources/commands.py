@@ -43,6 +43,7 @@ def parse_commands(raw: DataFrame, allowed_models: DataFrame, value: str = "valu
 
 def job_config(jobs: DataFrame, company: DataFrame) -> DataFrame:
     """The jobs' settings in the shape of the channel configuration: one row per
-    channel, that of the latest event (``company`` gives each channel's name)."""
-    latest = jobs.groupBy("channel").agg(F.max_by(F.struct("default_part_id", "default_owner_id", "llm_model"), "event_id").alias("c"))
-    return latest.join(company.select("channel", "company"), "channel", "left").select("channel", "company", "c.*")
+    channel, that of the latest event (``company`` gives each channel's name), and
+    the largest limit that any of its jobs asked for as ``n``."""
+    latest = jobs.groupBy("channel").agg(F.max_by(F.struct("default_part_id", "default_owner_id", "llm_model"), "event_id").alias("c"), F.max("n").alias("n"))
+    return latest.join(company.select("channel", "company"), "channel", "left").select("channel", "company", "c.*", "n")

@@ -77,26 +77,24 @@ def label_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     built from doc_id.  doc_id%13=0 gives a truncated answer (not JSON) and
     doc_id%29=0 an unknown sentiment, so both failure paths see data.
     """
+    def said(words: str) -> str:
+        return f"concat('{words}', CAST(doc_id AS STRING))"
+
+    fields = {
+        "Relevance": "toxic = 0",
+        "Sentiments": "CASE WHEN doc_id % 29 = 0 THEN 'Neutral' WHEN quality = 1 THEN 'Positive' ELSE 'Negative' END",
+        "Category": _sql_pick(ANSWER_CATEGORIES, "doc_id % 9"),
+        "sub_category": _sql_pick(ANSWER_SUB_CATEGORIES, "doc_id % 11"),
+        "Severity": _sql_pick(ANSWER_SEVERITIES, "doc_id % 6"),
+        "Feature": "concat('feature ', CAST(doc_id % 7 AS STRING))",
+        "insight": said("insight for "),
+        "description": f"CASE WHEN doc_id % 10 = 7 THEN CAST(NULL AS STRING) ELSE {said('description of ')} END",
+        "response": said("response to "),
+        "review": said("review "),
+    }
+    js = "to_json(named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + "))"
     lab = read_table(spark, sf_dir, "labels")
-    doc = F.col("doc_id")
-    sid = doc.cast("string")
-    fields = F.struct(
-        (F.col("toxic") == 0).alias("Relevance"),
-        F.when(doc % 29 == 0, F.lit("Neutral"))
-         .when(F.col("quality") == 1, F.lit("Positive")).otherwise(F.lit("Negative")).alias("Sentiments"),
-        pick(ANSWER_CATEGORIES, doc % 9).alias("Category"),
-        pick(ANSWER_SUB_CATEGORIES, doc % 11).alias("sub_category"),
-        pick(ANSWER_SEVERITIES, doc % 6).alias("Severity"),
-        F.concat(F.lit("feature "), (doc % 7).cast("string")).alias("Feature"),
-        F.concat(F.lit("insight for "), sid).alias("insight"),
-        F.when(doc % 10 == 7, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("description of "), sid)).alias("description"),
-        F.concat(F.lit("response to "), sid).alias("response"),
-        F.concat(F.lit("review "), sid).alias("review"),
-    )
-    js = F.to_json(fields)
-    answer = F.when(doc % 13 == 0, F.substring(js, 1, 25)).otherwise(js)
-    return lab.select(doc.alias("doc_id"), answer.alias("answer"))
+    return lab.selectExpr("doc_id", f"CASE WHEN doc_id % 13 = 0 THEN substring({js}, 1, 25) ELSE {js} END AS answer")
 
 
 def summary_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +143,7 @@ def command_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.create_map(*[x for n, _ in C.TAGS for x in (F.lit(n), F.struct(F.lit(C.TAG_ID_PREFIX + n).alias("id")))])
     event = F.struct(F.struct("parameters").alias("payload"), F.struct(F.col("app_id").alias("snap_in_id")).alias("context"),
                      F.struct(values.alias("global_values"), F.struct(tags.alias("tags")).alias("resources")).alias("input_data"))
-    return c.select("event_id", "channel", F.to_json(event).alias("value"))
+    return c.select("event_id", "channel", "ts", F.to_json(event).alias("value"))
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ Checkpoints go under the shared checkpoint root.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,22 @@ from pyspark.sql.streaming import StreamingQuery
 from voxtide import schemas
 from voxtide.functions.text import iso_ts, parse_limit
 from voxtide.operators.summary import pct_expr
-from voxtide.session import materialize, path_exists
+from voxtide.plans.review_job import review_command
+from voxtide.session import materialize, path_exists, scratch_path
 from voxtide.sources import views
-from voxtide.sources.tables import tag_id
+from voxtide.sources.commands import job_config, parse_commands
+from voxtide.sources.tables import allowed_models_df, config_df, tag_id
+from voxtide.streaming.state import first_of_delivery, interval_ms
 
 WEBHOOK_SCHEMA = schemas.WEBHOOK_EVENT
-COMMAND_SCHEMA = ("event_id BIGINT, delivery_id BIGINT, ts TIMESTAMP, parameters STRING, "
-                  "app_id STRING, channel STRING")
+#: A landed command: the envelope of our landing and the event as it came (JSON text).
+COMMAND_SCHEMA = "event_id BIGINT, delivery_id BIGINT, ts TIMESTAMP, channel STRING, value STRING"
 
 
 # ------------------------------------------------------------------ W1, W2
 def command_events(commands: DataFrame, events: str = "all") -> DataFrame:
-    """W1/W2 on one (micro-)batch: parse each command's argument; with
-    ``events='first'`` only the first event of every delivery is handled."""
+    """W1/W2 on one batch: parse each command's argument; with ``events='first'``
+    only the first event of every delivery is handled."""
     out = commands.withColumn("n", parse_limit(F.col("parameters")))
     if events == "first":
         one = F.min_by(F.struct(*[c for c in out.columns if c != "delivery_id"]), F.col("event_id"))
@@ -40,35 +44,57 @@ def command_events(commands: DataFrame, events: str = "all") -> DataFrame:
     return out
 
 
-def command_stream(spark: SparkSession, in_dir: str, handler: Callable[[DataFrame, int], None],
+def command_stream(spark: SparkSession, in_dir: str, handler: Callable[[DataFrame, DataFrame, int], None],
                    checkpoint: str, events: str = "all", max_files: int | None = None,
-                   available_now: bool = True) -> StreamingQuery:
-    """Each landed command event triggers ``handler(batch, batch_id)``
-    with its parsed argument.  With ``events='first'``, a delivery that was
-    handled in an earlier micro-batch (its events landed in several files) is
-    not handled again; the handled deliveries are kept beside the checkpoint, one
-    folder per micro-batch, so a replayed batch decides as it did before."""
+                   available_now: bool = True, delay: str = "1 hour", horizon: str = "2 hours") -> StreamingQuery:
+    """The landed command events, parsed with their settings, for
+    ``handler(jobs, dead_letters, batch_id)`` per micro-batch.  With
+    ``events='first'`` (W2) only the first event of each delivery is handled, once
+    over all micro-batches (keyed state, see ``first_of_delivery``)."""
+    if events not in ("all", "first"):
+        raise ValueError(f"events must be 'all' or 'first', not {events!r}")
     r = spark.readStream.schema(COMMAND_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     stream = r.json(in_dir)
+    if events == "first":
+        stream = first_of_delivery(stream, delay, horizon)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        out = command_events(batch, events)
-        if events == "first":
-            seen = f"{checkpoint}-handled"
-            if path_exists(spark, seen):
-                earlier = batch.sparkSession.read.parquet(seen).where(F.col("batch_id") < batch_id)
-                out = out.join(earlier.select("delivery_id").distinct(), "delivery_id", "left_anti").select(*out.columns)
-            out = materialize(out, "first-events")
-            out.select("delivery_id").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
-        handler(out, batch_id)
+        batch = materialize(batch, "commands")      # stateful rows are computed once
+        jobs, dead = parse_commands(batch, allowed_models_df(batch.sparkSession))
+        handler(jobs, dead, batch_id)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def job_dispatcher(spark: SparkSession, raw: DataFrame, out_dir: str, **review_args) -> Callable[[DataFrame, DataFrame, int], None]:
+    """W1/S9 → the review job: a ``command_stream`` handler that runs the review
+    command for the jobs of a micro-batch over the landed pages ``raw``.
+
+    The jobs of a batch come down to one setting per channel (that of the latest
+    event, with the largest limit asked for), so a batch of many commands is one
+    run over all channels that were asked for.  The run id is a digest of the
+    batch's settings and number: a replayed batch finds its run in ``runs`` and
+    does nothing; one that died half-way repeats, and its sinks take only what
+    they do not hold."""
+    def handle(jobs: DataFrame, dead: DataFrame, batch_id: int) -> None:
+        settings = materialize(job_config(jobs, config_df(spark)), "job-settings")      # a row per channel
+        found = settings.orderBy("channel").collect()
+        run_id = hashlib.sha256(repr((batch_id, [tuple(r) for r in found])).encode()).hexdigest()[:16]
+        done = f"{out_dir}/runs/run_id={run_id}"
+        if path_exists(spark, f"{done}/_SUCCESS"):
+            return
+        if found:
+            asked = raw.join(F.broadcast(settings.select("channel")), "channel", "left_semi")
+            review_command(spark, asked, out_dir, config=settings, limit={r["channel"]: r["n"] for r in found}, **review_args)
+        dead.write.mode("overwrite").parquet(f"{out_dir}/refused/batch_id={batch_id}")
+        settings.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(done)
+    return handle
+
+
 # ------------------------------------------------------------------ W3, W4
 def flatten_work_created(events: DataFrame) -> DataFrame:
     """One row per (event, owner) with the work's main fields.
@@ -148,6 +174,36 @@ def sentiment_stream(tickets: DataFrame, width: str = "1 hour", delay: str = "1
                       pct_expr(F.col("positive"), total).alias("positive_pct"))
 
 
+def split_late(stream: DataFrame, out_dir: str, checkpoint: str, width: str = "1 hour", delay: str = "1 hour",
+               ts: str = "created_at", available_now: bool = True) -> StreamingQuery:
+    """Rows whose window of ``width`` was closed when they came go to
+    ``out_dir/late``, the others to ``out_dir/in_time``, one folder per micro-batch.
+
+    The watermark of a micro-batch is the latest event time of those before it
+    less ``delay``, and a window is closed when its end is not after it: the rows
+    that Spark's windowed aggregate would drop without a word.  Each micro-batch
+    writes its watermark as one row, and reads that of the one before, so a replay
+    splits as the first time did.  Rows without event time are late."""
+    span = interval_ms(stream.sparkSession, width) * 1000
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = materialize(batch, "split-late")
+        before = f"{out_dir}/watermark/batch_id={batch_id - 1}"
+        mark = spark.read.parquet(before).first()["watermark"] if batch_id and path_exists(spark, before) else None
+        # (as arithmetic: F.window leaves rows without a time out)
+        end = F.timestamp_micros(F.unix_micros(ts) - F.pmod(F.unix_micros(ts), F.lit(span)) + F.lit(span))
+        closed = end <= F.lit(mark).cast("timestamp")
+        late = F.coalesce(closed, F.col(ts).isNull())
+        batch.where(late).write.mode("overwrite").parquet(f"{out_dir}/late/batch_id={batch_id}")
+        batch.where(~late).write.mode("overwrite").parquet(f"{out_dir}/in_time/batch_id={batch_id}")
+        seen = F.date_trunc("millisecond", F.max(ts)) - F.expr(f"INTERVAL {delay}")
+        batch.agg(F.greatest(seen, F.lit(mark).cast("timestamp")).alias("watermark")).write.mode("overwrite").parquet(f"{out_dir}/watermark/batch_id={batch_id}")
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 def latest_per_key(sink: DataFrame, keys: list[str]) -> DataFrame:
     """Read side of an update-mode sink: the row of the highest batch per key."""
     cols = [c for c in sink.columns if c not in keys and c != "batch_id"]
@@ -200,27 +256,55 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILE_ROWS, LEAST_FILES = 100_000, 4
 
 
-def land_files(rows: DataFrame) -> int:
-    """Number of files to land ``rows`` in."""
-    return max(LEAST_FILES, -(-rows.count() // FILE_ROWS))
-
-
-def land_commands(spark: SparkSession, sf_dir: str, out_dir: str) -> int:
-    """Land command events as JSON-lines files (deliveries of four events).
-    Returns the file count."""
-    c = views.commands(spark, sf_dir)
-    c = c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts",
-                 "parameters", "app_id", "channel")
-    files = land_files(c)
-    c.repartitionByRange(files, "delivery_id").write.mode("overwrite").json(out_dir)
-    return files
+def land_files(rows: int) -> int:
+    """Number of files to land so many rows in."""
+    return max(LEAST_FILES, -(-rows // FILE_ROWS))
+
+
+def land_in_order(rows: DataFrame, order: str, out_dir: str, drop: tuple = (), form: str = "json") -> int:
+    """Land ``rows`` in files that a file stream reads in the order of column
+    ``order``: a range sort deals them over files, and the files' modification
+    times, which the file source goes by, follow the order.  (The file system must
+    keep times that are set, as HDFS and local disks do; on an object store land
+    the ranges one after the other.)  Adds to what landed before; returns the
+    number of files."""
+    spark = rows.sparkSession
+    rows = materialize(rows, "landing")
+    n = rows.count()
+    if not n:
+        return 0
+    files = land_files(n)
+    staged = scratch_path(spark, "landed")
+    out = rows.repartitionByRange(files, order).sortWithinPartitions(order).drop(*drop).write
+    out.text(staged) if form == "text" else out.format(form).save(staged)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(out_dir))
+    parts = sorted((f.getPath() for f in fs.listStatus(path(staged)) if f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
+    there = [f.getModificationTime() for f in fs.listStatus(path(out_dir))]
+    start = max([int(jvm.java.lang.System.currentTimeMillis()) - 1000 * len(parts), *(t + 1000 for t in there)])
+    for i, part in enumerate(parts):        # metadata only: one call per file of FILE_ROWS rows
+        fs.setTimes(part, start + 1000 * i, -1)
+        fs.rename(part, path(f"{out_dir}/{len(there):06d}-{part.getName()}"))
+    return len(parts)
+
+
+def command_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Command events as they land (deliveries of four events)."""
+    c = views.command_events(spark, sf_dir)
+    return c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts", "channel", "value")
 
 
 def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 5000) -> None:
     """Land webhook events as files that each hold one JSON array (read with
     ``multiLine``); each array holds at most ``per_file`` consecutive events."""
     w = webhook_payloads(spark, sf_dir)
-    arr = w.groupBy(F.floor(F.col("event_id") / per_file).alias("_f")).agg(
+    webhook_arrays(w, per_file).select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(out_dir)
+
+
+def webhook_arrays(payloads: DataFrame, per_file: int) -> DataFrame:
+    """JSON arrays of at most ``per_file`` consecutive events (_f, value)."""
+    return payloads.groupBy(F.floor(F.col("event_id") / per_file).alias("_f")).agg(
         F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(
             F.struct("event_id", "value"))), lambda x: x["value"]), ","), F.lit("]")).alias("value"))
-    arr.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(out_dir)
