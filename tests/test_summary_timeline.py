@@ -243,3 +243,14 @@ def test_empty_bodies_fill_chunks(spark):
     same = spark.range(1000).selectExpr("'g' AS g", "'k' AS k", "'0123456789' AS body")
     got = A.join_texts(same, ["g"], ["k"], "body", 110, partitions=7).collect()
     assert len(got) == 100 and all(r.text == ",".join(["0123456789"] * 10) for r in got)
+
+
+def test_merged_counts_equal_the_full_aggregate(spark, tmp_path):
+    t, path = _tickets(spark), str(tmp_path / "counts")
+    part = F.pmod(F.hash("ticket_id"), F.lit(3))
+    for batch in (0, 1, 2, 1):                      # three appends, one of them replayed
+        A.write_counts(t.where(part == batch), path, batch)
+    counts = A.read_counts(spark, path)
+    for by in ((), ("channel",)):
+        assert sorted(A.merged_pct(counts, by).collect()) == sorted(A.sentiment_pct(t, by).collect())
+    assert sorted(A.merged_category_counts(counts, ("channel",)).collect()) == sorted(A.category_counts(t, ("channel",)).collect())

@@ -9,9 +9,9 @@ from voxtide.functions.text import parse_limit  # noqa: F401  (F5, re-exported)
 from voxtide.operators.joins import bounded_broadcast
 
 
-def search_subject(reviews: DataFrame, query: str) -> DataFrame:
+def search_subject(reviews: DataFrame, query: str, text: str = "text") -> DataFrame:
     """case-insensitive substring match of the subject in the text."""
-    return reviews.where(F.contains(F.lower(F.col("text")), F.lower(F.lit(query))))
+    return reviews.where(F.contains(F.lower(F.col(text)), F.lower(F.lit(query))))
 
 
 def filter_language(reviews: DataFrame, lang: str = "en") -> DataFrame:

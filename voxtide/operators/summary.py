@@ -45,10 +45,40 @@ def sentiment_pct(tickets: DataFrame, by=(), positive: str = tag_id("Positive"),
         F.count_if(_has_tag(positive)).alias("positive"),
         F.count_if(_has_tag(negative)).alias("negative"),
     )
+    return _shares(agg, by)
+
+
+def _shares(counted: DataFrame, by) -> DataFrame:
     total = F.col("positive") + F.col("negative")
-    return agg.select(*by, "positive", "negative",
-                      pct_expr(F.col("positive"), total).alias("positive_pct"),
-                      pct_expr(F.col("negative"), total).alias("negative_pct"))
+    return counted.select(*by, "positive", "negative",
+                          pct_expr(F.col("positive"), total).alias("positive_pct"),
+                          pct_expr(F.col("negative"), total).alias("negative_pct"))
+
+
+# ------------------------------------------------------------ counts kept up to date
+def write_counts(tickets: DataFrame, path: str, batch_id: int) -> None:
+    """A1–A4, A7, A9 as state that merges: the counts of one ticket batch per
+    channel and category, in a folder of its own.  A new batch reads only itself,
+    and one that is written again replaces what it had."""
+    counts = tickets.groupBy("channel", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(_has_tag(tag_id("Positive"))).alias("positive"), F.count_if(_has_tag(tag_id("Negative"))).alias("negative"))
+    counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_counts(spark, path: str) -> DataFrame:
+    return spark.read.schema("channel string, category string, n bigint, positive bigint, negative bigint, batch_id bigint").parquet(path)
+
+
+def merged_pct(counts: DataFrame, by=()) -> DataFrame:
+    """``sentiment_pct`` from the counts of all batches (``by`` of channel, category):
+    as many rows to read as batches have channels and categories, however many tickets."""
+    sums = counts.groupBy(*by).agg(F.coalesce(F.sum("positive"), F.lit(0)).alias("positive"), F.coalesce(F.sum("negative"), F.lit(0)).alias("negative"))
+    return _shares(sums, by)
+
+
+def merged_category_counts(counts: DataFrame, by=()) -> DataFrame:
+    """``category_counts`` from the counts of all batches."""
+    return counts.groupBy(*by, "category").agg(F.sum("n").alias("n"))
 
 
 def category_counts(tickets: DataFrame, by=(), pivot: bool = False) -> DataFrame:

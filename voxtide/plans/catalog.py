@@ -17,10 +17,12 @@ from voxtide.functions import completers
 from voxtide.functions.text import iso_ts, parse_limit, strip_links, wrap_review_text
 from voxtide.operators import annotate as N
 from voxtide.operators import filters as FL
+from voxtide.operators import search as SI
 from voxtide.operators import summary as A
 from voxtide.operators import tickets as K
 from voxtide.operators import timeline as TL
 from voxtide.operators.joins import bounded_broadcast
+from voxtide.operators.outcomes import union_all
 from voxtide.operators.render import body_expr, render_chat, render_prompt, render_summary_prompt, title_expr
 from voxtide.plans import review_job
 from voxtide.session import ensure_utc, materialize, scratch_path, ship_package
@@ -35,6 +37,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters of the catalogue queries (fixed, like a report's settings).
 TOP_N = 10
 SEARCH_TERM = "the"
+# a common one, rarer ones, one with a link that a single review has, one that no text has, one too short to have grams
+SEARCH_SUBJECTS = ("The", "thanea", "Einver", "https://t.co/30", "no such subject", "ñ")
 CREATED_AT = "2024-01-01 00:00:00"
 AS_OF = "2024-01-15 12:00:00"
 UPSERT_SPLIT = "2024-01-15 00:00:00"
@@ -134,6 +138,17 @@ def search_subject(spark, sf_dir):
     return FL.search_subject(views.reviews(spark, sf_dir), SEARCH_TERM).select("review_id", "channel")
 
 
+@query
+def search_indexed(spark, sf_dir):
+    """F1 at scale: several subjects looked up in an inverted index of two batches."""
+    path, schema = scratch_path(spark, "subject-index"), "review_id string, channel string, text string"
+    r = views.reviews(spark, sf_dir).select("review_id", "channel", "text", "lang")
+    for batch, part in enumerate((F.col("lang") == "en", F.col("lang") != "en")):
+        SI.index_texts(r.where(part).drop("lang"), path, batch=batch)
+    found = [SI.search_index(spark, path, x, schema).select(F.lit(x).alias("subject"), "review_id", "channel") for x in SEARCH_SUBJECTS]
+    return union_all(*found)
+
+
 @query
 def filter_language(spark, sf_dir):
     """English reviews only."""
@@ -509,6 +524,17 @@ def sentiment_pct_by_channel(spark, sf_dir):
     return A.sentiment_pct(review_job.run_labels(spark, sf_dir).tickets, by=("channel",))
 
 
+@query
+def sentiment_pct_merged(spark, sf_dir):
+    """A1–A4, A9 kept up to date: shares per channel from the counts of three ticket
+    batches, one of them written twice."""
+    t = materialize(review_job.run_labels(spark, sf_dir).tickets.select("ticket_id", "channel", "category", "tags"), "tickets-counted")
+    path = scratch_path(spark, "counts")
+    for batch in (0, 1, 1, 2):
+        A.write_counts(t.where(F.pmod(F.xxhash64("ticket_id"), F.lit(3)) == batch), path, batch)
+    return A.merged_pct(A.read_counts(spark, path), by=("channel",))
+
+
 @query
 def sentiment_pct_empty(spark, sf_dir):
     """Shares over no tickets are NaN, not an error."""

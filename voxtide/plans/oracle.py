@@ -327,6 +327,8 @@ def build() -> dict[str, str]:
                          f"{s(C.TAG_ID_PREFIX + 'bug')} AS tag_bug, CAST({len(C.TAGS)} AS BIGINT) AS n_tags FROM asked WHERE llm_model IN {inlist(C.ALLOWED_MODELS)}")
     o["command_refusals"] = (f"WITH {asked} SELECT 'command' AS stage, channel, CAST(event_id AS VARCHAR) AS key, 'model_not_allowed' AS reason, "
                              f"'command: model ' || llm_model || ' is not allowed' AS message FROM asked WHERE llm_model NOT IN {inlist(C.ALLOWED_MODELS)}")
+    subjects = ", ".join(f"({s(x)})" for x in Q.SEARCH_SUBJECTS)
+    o["search_indexed"] = with_(REVIEWS) + f"SELECT subject, review_id, channel FROM reviews JOIN (VALUES {subjects}) t(subject) ON contains(lower(text), lower(subject))"
     o["top_by_rating"] = with_(REVIEWS) + f"SELECT review_id, channel, rating FROM reviews ORDER BY rating DESC, review_id LIMIT {Q.TOP_N}"
     o["top_by_score"] = with_(REVIEWS) + f"SELECT review_id, channel, score FROM reviews ORDER BY score DESC, review_id LIMIT {Q.TOP_N}"
     o["top_n_per_channel"] = (with_(REVIEWS) + "SELECT channel, review_id, rating, rank FROM (SELECT channel, review_id, rating, "
@@ -422,6 +424,7 @@ def build() -> dict[str, str]:
                            f"WHERE expires_at IS NULL OR expires_at > TIMESTAMP {s(Q.AS_OF)}")
     o["sentiment_pct"] = BASE + _sent_pct().replace("{where}", "")
     o["sentiment_pct_by_channel"] = BASE + _sent_pct("channel").replace("{where}", "")
+    o["sentiment_pct_merged"] = o["sentiment_pct_by_channel"]
     o["sentiment_pct_empty"] = BASE + _sent_pct().replace("{where}", " WHERE category = 'no_such_category'")
     o["bodies_joined"] = (BASE + ", " + _chunks(Q.CHUNK_CHARS) +
                           " SELECT channel, sentiment, chunk, n_items, md5(text) AS text_md5, length(text) AS text_len FROM joined")

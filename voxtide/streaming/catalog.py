@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from voxtide.functions.text import iso_ts
 from voxtide.operators.annotate import annotate_labels
+from voxtide.operators.summary import merged_pct, read_counts
 from voxtide.plans import catalog as Q
 from voxtide.plans import oracle as O
 from voxtide.plans import review_job
@@ -193,6 +194,13 @@ def stream_dead_letters(spark, sf_dir):
     return spark.read.parquet(f"{out}/dead_letters").select("stage", "channel", "key", "reason", "message")
 
 
+@stream_query
+def stream_shares(spark, sf_dir):
+    """Shares per channel from the counts that each micro-batch left."""
+    out = _review_stream(spark, sf_dir)
+    return merged_pct(read_counts(spark, f"{out}/counts"), by=("channel",))
+
+
 @stream_query
 def stream_expiry(spark, sf_dir):
     """Timeline entries as a stream; a row for each version that runs out, by
@@ -275,6 +283,7 @@ def stream_oracle() -> dict[str, str]:
         "stream_dedupe": "SELECT DISTINCT 'key/' || CAST(event_id // 2 AS VARCHAR) AS unique_key FROM events",
         "stream_tickets": o["tickets"],
         "stream_dead_letters": o["dead_letters"],
+        "stream_shares": o["sentiment_pct_by_channel"],
         "stream_expiry": (f"SELECT entry_id, object, seq, {O.iso('expires_at')} AS expired_at FROM ("
                           "SELECT user_id || '-' || event_type AS entry_id, 'app/' || (user_id % 5) AS object, event_id AS seq, "
                           "date_trunc('millisecond', ts + INTERVAL 1 MINUTE) AS expires_at, "

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from voxtide import schemas
 from voxtide.functions.text import iso_ts, parse_limit
-from voxtide.operators.summary import pct_expr
+from voxtide.operators.summary import pct_expr, write_counts
 from voxtide.plans.review_job import review_command
 from voxtide.session import materialize, path_exists, scratch_path
 from voxtide.sources import views
@@ -141,7 +141,8 @@ def review_stream(stream: DataFrame, to_outcomes: Callable[[DataFrame], tuple[Da
                   available_now: bool = True) -> StreamingQuery:
     """Per micro-batch, build tickets and dead letters, write them, then
     build the timeline entries from the written tickets (each sink idempotent
-    per ``batch_id``).  The batch is materialised first, so ticket building (and any model call
+    per ``batch_id``), and the batch's counts beside those of the earlier ones, so
+    the shares over all tickets read no ticket again.  The batch is materialised first, so ticket building (and any model call
     inside it) sees one evaluation; the timeline reads the ticket files instead
     of recomputing them."""
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -152,8 +153,9 @@ def review_stream(stream: DataFrame, to_outcomes: Callable[[DataFrame], tuple[Da
         tickets, dead = to_outcomes(spark.read.parquet(path))
         tickets.write.mode("overwrite").parquet(tickets_path)
         dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letters/batch_id={batch_id}")
-        to_timeline(spark.read.parquet(tickets_path)).write.mode("overwrite").parquet(
-            f"{out_dir}/timeline/batch_id={batch_id}")
+        written = spark.read.parquet(tickets_path)
+        to_timeline(written).write.mode("overwrite").parquet(f"{out_dir}/timeline/batch_id={batch_id}")
+        write_counts(written, f"{out_dir}/counts", batch_id)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
