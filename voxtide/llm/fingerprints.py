@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import CHUNK, Flat, materialize, mix, pieces, segment_hash
+from voxtide.llm.common import CHUNK, Flat, mix, pieces, segment_hash
+from voxtide.session import scratch_path
 
 #: One word in so many ends a phrase, one paragraph in so many a section.
 PHRASE, SECTION = 12, 4
@@ -186,7 +187,10 @@ def edited(text: str, following: str) -> str:
 _ROW = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _KINDS = {"doc_id": pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(),
           "near_edited": pa.float64(), "near_next": pa.float64()}
-_EDGE = {"part": pa.int32(), "edge": pa.int32(), "text": pa.string()}
+#: The rows of a stretch as they are written: both fingerprints in one text, so
+#: that their common branches are compressed away.
+_WRITTEN = {**{c: k for c, k in _KINDS.items() if "fingerprint" not in c}, "prints": pa.string(), "part": pa.int32(), "edge": pa.int32(), "text": pa.string()}
+_WRITTEN_ROW = "doc_id bigint, n_chars bigint, edited_sha256 string, near_edited double, near_next double, prints string, part int, edge int, text string"
 
 
 def _rows(ids: list, texts: list[str], following: list[str], beside: list[str] | None = None) -> dict[str, list]:
@@ -210,7 +214,7 @@ def _stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     text (edge 0) and last document (edge 1) as they are."""
     ids: list = []
     texts: list[str] = []
-    kinds, me = _KINDS | _EDGE, TaskContext.get().partitionId()
+    kinds, me = _WRITTEN, TaskContext.get().partitionId()
     begun = False
     for batch in batches:
         for part, _ in pieces(batch):
@@ -220,7 +224,9 @@ def _stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch({"doc_id": ids[:1], "part": [me], "edge": [0], "text": texts[:1]}, kinds)
                 begun = True
             if len(texts) > 1:
-                yield _batch(_rows(ids[:-1], texts[:-1], texts[1:]), kinds)
+                rows = _rows(ids[:-1], texts[:-1], texts[1:])
+                rows["prints"] = [f"{a} {b}" for a, b in zip(rows["fingerprint"], rows["edited_fingerprint"])]
+                yield _batch(rows, kinds)
                 ids, texts = ids[-1:], texts[-1:]
     if texts:
         yield _batch({"doc_id": ids, "part": [me], "edge": [1], "text": texts}, kinds)
@@ -239,8 +245,10 @@ def compared(docs: DataFrame) -> DataFrame:
     key = ["doc_id", "hash", "row"]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
     ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "text")
-    done = materialize(ordered.mapInArrow(_stretch, f"{_ROW}, part int, edge int, text string"), "fingerprints")
-    names = list(_KINDS)
+    path = scratch_path(docs.sparkSession, "fingerprints")
+    ordered.mapInArrow(_stretch, _WRITTEN_ROW).write.option("compression", "zstd").parquet(path)
+    done = docs.sparkSession.read.parquet(path)
+    both = F.split("prints", " ")
     # the last document of a stretch meets the first text of the next one (of the first after the last)
     edges = done.where("edge is not null").select("part", "edge", "doc_id", "text")
     parts = edges.where("edge = 0").select("part")
@@ -248,4 +256,5 @@ def compared(docs: DataFrame) -> DataFrame:
     after = parts.select("part", F.coalesce(F.lead("part").over(order), F.min("part").over(order)).alias("next"))
     first = edges.where("edge = 0").select(F.col("part").alias("next"), F.col("text").alias("following"))
     met = edges.where("edge = 1").join(after, "part").join(first, "next").select("doc_id", "text", "following")
-    return done.where("edge is null").select(*names).unionByName(met.mapInArrow(_pairs, _ROW))
+    inner = done.where("edge is null").withColumn("fingerprint", both[0]).withColumn("edited_fingerprint", both[1]).select(*_KINDS)
+    return inner.unionByName(met.mapInArrow(_pairs, _ROW))
