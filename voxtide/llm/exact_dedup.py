@@ -32,6 +32,8 @@ from voxtide.llm.common import blob, keep_rows, materialize, spread_join
 
 #: Digest entries that one bucket of one run may hold on average at the root.
 PER_BUCKET = 200_000
+#: Entries that a task gathers, at least, before it merges them.
+MERGE_ENTRIES = 500_000
 _RUN = "bucket int, run int, digests binary, ids binary, missing binary, rows binary, counts binary"
 _ENTRY = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
 
@@ -63,7 +65,7 @@ def _merge(digests, ids, missing, rows, counts):
 
 def _runs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        parts, waiting = [], 0          # runs not merged yet, and their entries
         for b in batches:
             if not b.num_rows:
                 continue
@@ -72,9 +74,13 @@ def _runs(buckets: int):
                    ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
                    ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
                    b.column(2).to_numpy().astype(np.int64), np.ones(b.num_rows, np.int64))
-            kept = _merge(*(new if kept is None else map(np.concatenate, zip(kept, new))))
-        if kept is None:
+            parts.append(new)
+            waiting += b.num_rows
+            if waiting >= max(MERGE_ENTRIES, len(parts[0][1])):     # as many as were merged before: each entry is sorted a few times
+                parts, waiting = [_merge(*map(np.concatenate, zip(*parts)))], 0
+        if not parts:
             return
+        kept = _merge(*map(np.concatenate, zip(*parts)))
         lead = kept[0].view(">u8").reshape(-1, 4)[:, 0].astype(np.uint64)
         bucket = ((lead >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
