@@ -1,9 +1,10 @@
 """Operator 6, sharding by sampled splitters.
 
 Records are ordered by (hash of the text, id, row number).  Starting from one
-range, every overfull range is subdivided: size-weighted samples of its keys are
-drawn, their quantiles become splitters, and the records are range-partitioned
-again, until a range is overfull only by one single record.  Exact byte and row
+range, every overfull range (by bytes or by records) is subdivided: samples of
+its keys are drawn, weighted by size and number, their quantiles become splitters,
+and the records are range-partitioned again, until a range is overfull only by one
+single record.  Exact byte and row
 totals of the ranges then give each record its place in the whole order, and a
 shard is an equal slice of all bytes (law ``bytes``).  Samples only decide how
 the work is cut: the result depends on the total order alone.  Copies of one text
@@ -63,18 +64,21 @@ def ranged(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
 
 def split(rows: DataFrame, total: int, aim: int) -> list[tuple]:
     """Splitters such that no range holds over two of ``aim`` equal parts of the
-    bytes besides one record."""
-    part, splitters, seed = max(1, total // aim), [], 0
+    bytes, or of the records, besides one record.  A record's load is its share of
+    the bytes plus its share of the records."""
+    part, splitters, seed = 1 / aim, [], 0
+    load = F.col("size") / F.lit(float(total)) + F.lit(1.0 / max(1, rows.count()))
+    rows = rows.withColumn("load", load)
     while True:
         placed = ranged(rows, splitters)
-        stats = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.max("size").alias("largest"))
-        over = stats.where(F.col("bytes") - F.col("largest") > 2 * part).select("range", "bytes")
+        stats = placed.groupBy("range").agg(F.sum("load").alias("all"), F.max("load").alias("largest"))
+        over = stats.where(F.col("all") - F.col("largest") > 2 * part).select("range")
         drawn = F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        chance = F.col("size") * F.lit(OVERSAMPLE / part)
-        sample = placed.join(F.broadcast(over), "range").where(drawn < chance).select("range", "bytes", "size", *_KEY).collect()
+        chance = F.col("load") * F.lit(OVERSAMPLE / part)
+        sample = placed.join(F.broadcast(over), "range").where(drawn < chance).select("range", "load", *_KEY).collect()
         found: dict[int, list] = {}
         for s in sample:
-            found.setdefault(s["range"], []).append((tuple(s[c] for c in _KEY), max(s["size"], part / OVERSAMPLE)))
+            found.setdefault(s["range"], []).append((tuple(s[c] for c in _KEY), max(s["load"], part / OVERSAMPLE)))
         new = set()
         for keys in found.values():
             keys.sort()
