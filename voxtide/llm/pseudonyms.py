@@ -11,6 +11,11 @@ table is kept, equal values get equal pseudonyms in every document, and the
 result passes the same checks.  Dates move within 1900 to 2099; an e-mail address
 keeps its domain, a phone number its country code.  A secret is taken to its end;
 one of over 200 characters is permuted in blocks, each with its number as tweak.
+Letters and digits beyond ASCII stay where they are and belong to the format, so
+values that differ in them alone get different pseudonyms.
+
+Not taken for personal values: an e-mail name of over 64 characters (no address
+has one), and a secret without any digit (``token: something`` is mostly prose).
 
 A find that its check refuses hides nothing: from every start of a token in it
 all kinds are tried, IBANs, phone and card numbers also up to each earlier
@@ -20,7 +25,8 @@ Luhn sum last), then the longest.
 
 Defined results: a null text stays null with no finds; an empty text stays
 empty; texts without a find are unchanged; a null id stays null; repeated rows
-change alike; other columns pass through ``pseudonymise`` unchanged.
+change alike; other columns pass through ``pseudonymise`` unchanged, but columns
+named like its own results are replaced by them.
 """
 
 from __future__ import annotations
@@ -35,6 +41,7 @@ from math import isqrt, prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ROUNDS = 8
 _BLOCK = 200
@@ -85,7 +92,7 @@ class Cipher:
         value = 0
         for c, s in zip(text, sets):
             if s:
-                value = value * len(s) + max(s.find(c), 0)
+                value = value * len(s) + s.index(c)
 
         def write(v: int) -> str:
             out = []
@@ -95,16 +102,17 @@ class Cipher:
                     c = s[d]
                 out.append(c)
             return "".join(reversed(out))
-        form = "".join("-" if s is None else s[0] for s in sets)
+        form = "".join((c if c.isalnum() else "-") if s is None else s[0] for c, s in zip(text, sets))
         return write(self.permute(value, prod(radix), f"{tweak}|{form}", lambda v: valid(write(v))))
 
 
+_ALPHABETS = ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def _alphabet(c: str) -> str | None:
-    if c.isdigit():
-        return "0123456789"
-    if c.isalpha():
-        return "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz"
-    return None
+    """The class that a character is permuted in; others (letters and digits beyond
+    ASCII too) stay, and are part of the format."""
+    return next((a for a in _ALPHABETS if c in a), None)
 
 
 def luhn(digits: str) -> int:
@@ -274,6 +282,9 @@ def rewrite(text: str, cipher: Cipher) -> tuple[str, Counter]:
 def pseudonymise(docs: DataFrame, key: bytes, column: str = "text", finds: str = "n_pii") -> DataFrame:
     """``docs`` with pseudonyms in ``column``, and two columns more: ``finds``
     (number of values replaced) and ``finds``_kinds (their kinds, in order)."""
+    own = {finds.lower(), f"{finds}_kinds".lower()}
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in own))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cipher = Cipher(key)
         for b in batches:

@@ -3,6 +3,9 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +60,24 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+_OWN_KEYS: dict[str, bytes] = {}
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    """The key in the setting ``voxtide.pii.key`` (a longer one by its digest).
+    Without the setting, a random key that only this application knows: its
+    pseudonyms link values within the application, and nobody can undo them later."""
+    given = spark.conf.get("voxtide.pii.key", None)
+    if given:
+        key = given.encode()
+        return key if len(key) <= 64 else hashlib.blake2b(key).digest()
+    return _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with personal values replaced by linked pseudonyms.  The key
-    is the setting ``voxtide.pii.key``."""
-    key = spark.conf.get("voxtide.pii.key", "a key of the operator's owner").encode()[:64]
-    return pseudonyms.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    """All documents with personal values replaced by linked pseudonyms (key: see
+    ``pii_key``)."""
+    return pseudonyms.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), pii_key(spark))
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
