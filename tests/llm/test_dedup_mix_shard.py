@@ -118,6 +118,46 @@ def test_overfull_ranges_are_cut(spark):
     assert max(r[1] for r in ranges) <= 2 * (total // 16) + 10
 
 
+def test_ranges_are_cut_by_rows_too(spark):
+    """A table of many null texts among few long ones: no range over two parts of the rows."""
+    docs = spark.range(6000).selectExpr("case when id % 7 > 0 then id end as doc_id", "case when id % 30 = 0 then repeat(cast(id as string), 500) end as text")
+    rows = spark.createDataFrame(sharding.records(docs).collect(), sharding.records(docs).schema)
+    splitters = sharding.split(rows, rows.agg({"size": "sum"}).first()[0], 16)
+    assert max(r["count"] for r in sharding.ranged(rows, splitters).groupBy("range").count().collect()) <= 2 * 6000 / 16 + 1
+
+
+def test_shards_follow_the_whole_order(spark):
+    """Brute force of the law: records in the order of the key, equal slices of all bytes."""
+    docs = spark.range(700).selectExpr("case when id % 9 > 0 then id % 500 end as doc_id", "case when id % 4 = 0 then 'copy' else repeat(cast(id as string), cast(id % 13 as int)) end as text")
+    rows = spark.createDataFrame(docs.collect(), docs.schema).repartition(3)
+    keyed = sorted((r["hash"], r["missing"], r["id"], r["size"], str(r["doc_id"]), r["text_crc32"]) for r in sharding.records(rows).collect())
+    total, start, want, slots = sum(k[3] for k in keyed), 0, [], Counter()
+    for k in keyed:
+        shard = start * 5 // total
+        want.append((k[4], k[5], k[3], shard, slots[shard]))
+        slots[shard] += 1
+        start += k[3]
+    assert sorted((str(r["doc_id"]), r["text_crc32"], r["size"], r["shard"], r["slot"]) for r in sharding.shard(rows, 5).collect()) == sorted(want)
+
+
+def test_runs_merge_in_linear_steps(monkeypatch):
+    """Entries are gathered before they are merged: few merges, the same run."""
+    import numpy as np
+    import pyarrow as pa
+    calls = []
+    merge = exact_dedup._merge
+    monkeypatch.setattr(exact_dedup, "_merge", lambda *a: calls.append(len(a[1])) or merge(*a))
+    monkeypatch.setattr(exact_dedup, "MERGE_ENTRIES", 100)
+    monkeypatch.setattr(exact_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    rng = np.random.default_rng(3)
+    ids, digests = np.arange(4000), [bytes([d % 251]) * 32 for d in rng.integers(0, 4000, 4000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[i:i + 20]), pa.array(digests[i:i + 20], pa.binary()), pa.array(ids[i:i + 20])], ["doc_id", "digest", "row"]) for i in range(0, 4000, 20)]
+    (out,) = exact_dedup._runs(1)(iter(batches))
+    got = np.frombuffer(out.column(out.schema.get_field_index("counts"))[0].as_py(), np.int64)
+    assert got.sum() == 4000 and len(got) == len(set(digests))
+    assert sum(calls) <= 4 * 4000 and len(calls) < 100
+
+
 def test_empty_tables(empty):
     assert exact_dedup.dedup(empty).count() == exact_dedup.drop_copies(empty).count() == 0
     assert mixing.mixture(empty).count() == mixing.mix(empty).count() == 0

@@ -189,3 +189,36 @@ def test_flat_words():
     flat = Flat(pa.array(["a b", None, "", " c\n", "d"]))
     starts, ends, at = flat.words()
     assert [bytes(flat.buf[a:b]).decode() for a, b in zip(starts, ends)] == ["a", "b", "c", "d"] and at.tolist() == [0, 2, 2, 2, 3, 4]
+
+
+def test_pseudonyms_of_distinct_values_stay_distinct():
+    """Brute force over mixed alphabets: the spelling is injective within and across formats."""
+    import itertools
+    from voxtide.llm.pseudonyms import Cipher, rewrite
+    cipher = Cipher(b"k")
+    values = ["".join(v) for n in (1, 2, 3) for v in itertools.product("aZé٣è7ß-", repeat=n)]
+    spelled = [cipher.spell(v, "email") for v in values]
+    assert len(set(spelled)) == len(values) and all(len(a) == len(b) for a, b in zip(values, spelled))
+    names = ["andré", "andrè", "andra", "andre", "ändre", "андре"]
+    new = [rewrite(f"{n}@x.com", cipher)[0] for n in names]
+    assert len(set(new)) == len(names) and all(x.endswith("@x.com") for x in new)
+
+
+def test_pseudonyms_replace_columns_of_their_name(spark):
+    from voxtide.llm.pseudonyms import pseudonymise
+    docs = spark.createDataFrame([(1, "call +49 30 1234567 now", 7, "x")], "doc_id long, text string, N_PII long, other string")
+    out = pseudonymise(docs, b"k")
+    assert out.columns == ["doc_id", "text", "other", "n_pii", "n_pii_kinds"]
+    (r,) = out.collect()
+    assert (r["n_pii"], r["n_pii_kinds"], r["other"]) == (1, "phone", "x")
+
+
+def test_key_is_never_a_constant(spark):
+    from voxtide.llm.queries import pii_key
+    own = pii_key(spark)
+    assert len(own) == 32 and pii_key(spark) == own
+    spark.conf.set("voxtide.pii.key", "k" * 100 + "1")
+    one = pii_key(spark)
+    spark.conf.set("voxtide.pii.key", "k" * 100 + "2")
+    assert len(one) == 64 and one != pii_key(spark) != own
+    spark.conf.unset("voxtide.pii.key")
