@@ -144,3 +144,12 @@ def test_webhook_event_with_spaced_created_date(spark, tmp_path):
     assert r.stage_ordinal == 10 and r.severity == "medium" and r.app_id == "app-1"
     assert r.created_ts.isoformat().startswith("2023-04-03T14:14:30.336")
     assert r.event_ts.isoformat().startswith("2023-04-03T14:14:30.336123")
+
+
+def test_ratings_that_are_no_whole_numbers(spark):
+    from voxtide.sources import payloads as S
+    items = [{"id": "a", "text": "t", "rating": 5}, {"id": "b", "text": "t", "rating": 4.5}, {"id": "c", "text": "t", "rating": "five"}, {"id": "d", "text": "t"}, {"id": "e", "text": "t", "rating": "3"}]
+    raw = spark.createDataFrame([("appstore", 1, json.dumps({"data": items}))], "channel STRING, page BIGINT, payload STRING")
+    for good, dead in (S.read_all(raw), S.read_appstore(raw)):
+        assert {r.review_id: r.rating for r in good.collect()} == {"a": 5, "b": None, "c": None, "d": None, "e": 3}
+        assert sorted((r.key, r.reason, r.raw) for r in dead.collect()) == [("b", "bad_rating", "4.5"), ("c", "bad_rating", "five")]

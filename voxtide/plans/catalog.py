@@ -97,6 +97,13 @@ for _ch in C.CHANNELS:
     _source_query(_ch)
 
 
+@query
+def source_domain_page(spark, sf_dir):
+    """S5 as the original fetched it: the first landed page only."""
+    revs, _ = S.read_domain(_raw(spark, sf_dir), pages=[1])
+    return _source_out(revs)
+
+
 @query
 def source_dead_letters(spark, sf_dir):
     """Pages that landed without their envelope."""

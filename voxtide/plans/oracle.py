@@ -297,6 +297,7 @@ def build() -> dict[str, str]:
     o["source_dead_letters"] = (with_(REVIEWS) + "SELECT DISTINCT 'source' AS stage, channel || ':' || "
                                 f"CAST(-(page + 1) AS VARCHAR) AS key, 'missing_envelope' AS reason FROM reviews "
                                 f"WHERE page % {V.BROKEN_PAGE_EVERY} = {V.BROKEN_PAGE_EVERY - 1}")
+    o["source_domain_page"] = f"SELECT * FROM ({source_sql('domain')}) WHERE page = 1"
     o["reviews_unified"] = " UNION ALL ".join(f"SELECT * FROM ({source_sql(c)})" for c in C.CHANNELS)
     tags_vals = "tagdim(name, description, id) AS (VALUES " + ", ".join(
         f"({s(n)}, {s(d)}, {s(C.TAG_ID_PREFIX + n)})" for n, d in C.TAGS) + ")"

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 # Items of the landed source payloads (one response page per row).
 PAYLOAD_ITEM = {
     "social": "tweet_id STRING, text STRING, expanded_url STRING",
-    "appstore": "id STRING, title STRING, url STRING, text STRING, rating BIGINT",
+    "appstore": "id STRING, title STRING, url STRING, text STRING, rating STRING",     # typed afterwards
     "product": "review_id STRING, review_content STRING",
     "business": "author STRING, comment STRING",
     "domain": "title STRING, text STRING",

@@ -33,6 +33,10 @@ def build_session(master: str | None = None, app: str = "voxtide",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # the status store keeps the plans of past executions on the driver's heap, with the web page off too
+        "spark.sql.ui.retainedExecutions": "50",
+        "spark.ui.retainedJobs": "200",
+        "spark.ui.retainedStages": "200",
         "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:

@@ -66,10 +66,12 @@ def read_social(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_appstore(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Envelope ``data``; id, title, url, text, rating."""
+    """Envelope ``data``; id, title, url, text, rating.  A rating that is not a
+    whole number leaves the review without one, and a dead letter ``bad_rating``."""
     x, dead = _unwrap(raw, "appstore")
+    rating = F.col("r.rating").try_cast("bigint")
     return _canon(x, review_id=F.col("r.id"), title=F.col("r.title"), url=F.col("r.url"),
-                  text=F.col("r.text"), rating=F.col("r.rating")), dead
+                  text=F.col("r.text"), rating=rating), dead.unionByName(_bad_ratings(x, F.col("r.id"), F.col("r.rating")))
 
 
 def read_product(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,6 +98,11 @@ def read_domain(raw: DataFrame, pages: list[int] | None = None) -> tuple[DataFra
     return _canon(x, review_id=key, title=F.col("r.title"), text=F.col("r.text")), dead
 
 
+def _bad_ratings(rows: DataFrame, review_id, rating) -> DataFrame:
+    bad = rows.where(rating.isNotNull() & rating.try_cast("bigint").isNull())
+    return dead_letter(bad, "source", review_id, "bad_rating", rating)
+
+
 READERS = {
     "social": read_social,
     "appstore": read_appstore,
@@ -115,7 +122,7 @@ def _content_key(a: str, b: str) -> str:
 # Canonical review fields per channel, as SQL over one payload item ``r``.
 _CANON_SQL = {
     "social": {"review_id": "r.tweet_id", "url": "r.expanded_url", "text": "r.text"},
-    "appstore": {"review_id": "r.id", "title": "r.title", "url": "r.url", "text": "r.text", "rating": "r.rating"},
+    "appstore": {"review_id": "r.id", "title": "r.title", "url": "r.url", "text": "r.text", "rating": "try_cast(r.rating AS BIGINT)", "said": "r.rating"},
     "product": {"review_id": "r.review_id", "text": "r.review_content"},
     "business": {"review_id": _content_key("author", "comment"), "author": "r.author",
                  "text": "r.comment"},
@@ -129,7 +136,7 @@ def _canon_items_sql(channel: str) -> str:
     f = _CANON_SQL[channel]
     fields = ", ".join(
         f"'{c}', " + f.get(c, "CAST(NULL AS BIGINT)" if c == "rating" else "CAST(NULL AS STRING)")
-        for c in ("review_id", "title", "url", "author", "text", "rating"))
+        for c in ("review_id", "title", "url", "author", "text", "rating", "said"))
     return f"transform(_p_{channel}.{C.ENVELOPE[channel]}, r -> named_struct({fields}))"
 
 
@@ -155,10 +162,11 @@ def read_all(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
                        reason, F.col("payload"))
     rev = good.select("channel", "page", F.explode("_items").alias("r"))
     # a null item gives a struct without id; the readers drop it with a dead letter
-    rows = rev.select(*[F.col(c) if c in ("channel", "page") else F.col(f"r.{c}").alias(c) for c in _CANON])
+    rows = rev.select(*[F.col(c) if c in ("channel", "page") else F.col(f"r.{c}").alias(c) for c in _CANON], F.col("r.said").alias("_said"))
     missing = dead_letter(rows.where("review_id is null"), "source", F.concat_ws(":", F.col("channel"), F.col("page").cast("string")),
                           "missing_id", F.col("text"))
-    return rows.where("review_id is not null"), dead.unionByName(missing)
+    known_id = rows.where("review_id is not null")
+    return known_id.drop("_said"), dead.unionByName(missing).unionByName(_bad_ratings(known_id, F.col("review_id"), F.col("_said")))
 
 
 # Payload item of a canonical review, as each channel's source sends it (SQL).
