@@ -182,7 +182,7 @@ def test_one_more_ticket_asks_for_one_chunk_a_level(spark, tmp_path):
     t = _many(spark, 600)
     first = A.summarise(t, _logged(log), max_chars=5000, store=store)[0].collect()[0]
     asked = _asked(log)
-    assert first.levels >= 3 and len(asked) > 60
+    assert first.levels >= 3 and len(asked) > 30
     assert A.summarise(t, _logged(log), max_chars=5000, store=store)[0].collect() == [first] and _asked(log) == []
     name = next(f"g00300{c}" for c in "abcdefghij" if int(hashlib.md5(f"0:g00300{c}".encode()).hexdigest()[:8], 16) % A.FAN)
     more = spark.createDataFrame([(name, "social", "Positive", "one more", "bug", [{"id": "tag/bug"}, {"id": "tag/Positive"}])], TICKETS)
@@ -194,8 +194,9 @@ def test_one_more_ticket_asks_for_one_chunk_a_level(spark, tmp_path):
 def test_budget_is_per_group_and_failed_calls_stay_apart(spark, tmp_path):
     log = str(tmp_path / "log")
     many, few = _many(spark, 80), _many(spark, 3, "h").withColumn("channel", F.lit("domain"))
-    alone = A.summarise(many, _logged(log), max_chars=300)[0].collect()
-    both, dead = A.summarise(many.unionByName(few), _logged(log, ("body h 1",)), max_chars=300)
+    # answers are longer than the budget, which doubles for the large group alone
+    alone = A.summarise(many, _logged(log), max_chars=100)[0].collect()
+    both, dead = A.summarise(many.unionByName(few), _logged(log, ("body h 1",)), max_chars=100)
     rows = {r.channel: r for r in both.collect()}
     assert [rows["social"]] == alone and alone[0].levels >= 3 and rows["domain"].n_failed == 1 == dead.count()
 

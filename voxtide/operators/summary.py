@@ -140,7 +140,8 @@ PARTITION_CHARS = 32 << 20
 
 
 def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int | Column,
-                  partitions: int | None = None, max_groups: int | None = None, cut: Column | None = None) -> DataFrame:
+                  partitions: int | None = None, max_groups: int | None = None, cut: Column | None = None,
+                  unique: bool = False) -> DataFrame:
     """Cut each group's texts (ordered by ``order``) into chunks whose running
     offset falls in ``[c*max_chars, (c+1)*max_chars)``.  A text counts its
     characters and one for the separator, so empty and NULL texts fill chunks too.
@@ -155,7 +156,8 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int | Column,
     many tasks; each task sums locally (Arrow batches); the per-task group totals
     give each task its offset.  No task ever holds a whole group, and no text
     leaves the JVM.  Row numbers are pinned by the write, so a retried task
-    cannot move rows between ranges.
+    cannot move rows between ranges.  Where group and ``order`` are ``unique`` and
+    ``df`` reads written tables, they serve as the number, and nothing is written.
 
     The totals table has at most ``partitions + groups - 1`` rows (range
     partitions hold contiguous groups).  With ``max_groups`` given, that bound
@@ -168,34 +170,40 @@ def assign_chunks(df: DataFrame, by, order, text: str, max_chars: int | Column,
     base = df.withColumn("_len", (F.length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("bigint"))
     if cut is not None:
         base = base.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("bigint"))
-    base = materialize(base.withColumn("_row", F.monotonically_increasing_id()), "chunk-input")
+    number = order if unique else ["_row"]
+    if not unique:
+        base = materialize(base.withColumn("_row", F.monotonically_increasing_id()), "chunk-input")
     chars = base.agg(F.sum("_len")).first()[0] or 0
     n = partitions or max(spark.sparkContext.defaultParallelism, -(-chars // PARTITION_CHARS))
     sums = ["_len"] if cut is None else ["_len", "_cut"]
-    keys = [*by, *[c for c in order if c != text], "_row"]
+    keys = [*by, *[c for c in order if c != text], *([] if unique else ["_row"])]
     narrow = base.select(*dict.fromkeys([*keys, *sums]))
     ranged = (narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                     .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField(f"_local{c}", T.LongType()) for c in sums])
-    local = materialize(ranged.mapInPandas(_local_offsets(by, sums), schema).select("_pid", *by, "_row", *sums, *(f"_local{c}" for c in sums)), "chunk-local")
+    local = materialize(ranged.mapInPandas(_local_offsets(by, sums), schema).select("_pid", *by, *number, *sums, *(f"_local{c}" for c in sums)), "chunk-local")
     totals = local.groupBy("_pid", *by).agg(*(F.sum(c).alias(f"_tot{c}") for c in sums))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *[F.col(c).alias(f"_by_{c}") for c in by], *(F.coalesce(F.sum(f"_tot{c}").over(w), F.lit(0)).alias(f"_off{c}") for c in sums))
     if max_groups is not None:
         offsets = bounded_broadcast(offsets, known_rows=n + max_groups - 1)
     joined = local.alias("l").join(offsets.alias("o"), [F.col("l._pid") == F.col("o._pid"), *[F.col(f"l.{c}").eqNullSafe(F.col(f"o._by_{c}")) for c in by]], "left")
-    placed = joined.select(F.col("l._row").alias("_row"), *(F.col(f"l.{c}").alias(f"_by_{c}") for c in by), *((F.col(f"_off{c}") + F.col(f"_local{c}")).alias(f"_at{c}") for c in sums))
+    placed = joined.select(*(F.col(f"l.{c}").alias(f"_number_{c}") for c in number), *(F.col(f"l.{c}").alias(f"_by_{c}") for c in by), *((F.col(f"_off{c}") + F.col(f"_local{c}")).alias(f"_at{c}") for c in sums))
     budget = max_chars if isinstance(max_chars, Column) else F.lit(max_chars)
+
+    def back(found: DataFrame) -> DataFrame:
+        on = [F.col(c) == F.col(f"_number_{c}") for c in number] + ([F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] if unique else [])
+        return base.join(found, on).drop(*(f"_number_{c}" for c in number), *(f"_by_{c}" for c in by), "_row", "_len", "_cut")
     if cut is None:
-        out = base.join(placed.select("_row", F.col("_at_len").alias("chunk_start")), "_row")
-        return out.withColumn("chunk", F.floor(F.col("chunk_start") / budget).cast("bigint")).drop("_row", "_len")
+        out = back(placed.withColumnRenamed("_at_len", "chunk_start"))
+        return out.withColumn("chunk", F.floor(F.col("chunk_start") / budget).cast("bigint"))
     # offsets inside a stretch between cuts: one narrow row per stretch says where it starts
     groups = [f"_by_{c}" for c in by]
     starts = placed.groupBy(*groups, "_at_cut").agg(F.min("_at_len").alias("_from")).select(*(F.col(g).alias(f"{g}_") for g in groups), F.col("_at_cut").alias("_at_cut_"), "_from")
     placed = placed.join(starts, [*(F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups), F.col("_at_cut") == F.col("_at_cut_")])
-    out = base.join(placed.select("_row", "_at_cut", (F.col("_at_len") - F.col("_from")).alias("chunk_start")), "_row")
+    out = back(placed.withColumn("chunk_start", F.col("_at_len") - F.col("_from")).drop("_at_len", "_from", "_at_cut_", *(f"{g}_" for g in groups)))
     part = F.floor(F.col("chunk_start") / budget).cast("bigint")
-    return out.withColumn("chunk", F.format_string("%020d.%010d", F.col("_at_cut"), part)).drop("_row", "_len", "_cut", "_at_cut")
+    return out.withColumn("chunk", F.format_string("%020d.%010d", F.col("_at_cut"), part)).drop("_at_cut")
 
 
 def join_texts(df: DataFrame, by, order, text: str, max_chars: int,
@@ -233,7 +241,7 @@ def join_bodies(tickets: DataFrame, by=("channel", "sentiment"),
 
 
 #: Items that a chunk of the summary tree holds on average, where its budget lets it.
-FAN = 8
+FAN = 16
 
 
 def ends_chunk(item: Column, level: int, fan: int = FAN) -> Column:
@@ -278,7 +286,7 @@ def summarise(tickets: DataFrame, completer: Completer, by=("channel", "sentimen
     finished, deads, calls = [], [], []
     level = 0
     while True:
-        placed = assign_chunks(items, by, ["_ord"], "_text", F.col("_budget"), partitions, max_groups, ends_chunk(F.col("_id"), level, fan))
+        placed = assign_chunks(items, by, ["_ord"], "_text", F.col("_budget"), partitions, max_groups, ends_chunk(F.col("_id"), level, fan), unique=level > 0)
         texts = F.transform(F.array_sort(F.collect_list(F.struct("_ord", F.coalesce("_text", F.lit("")).alias("t")))), lambda x: x["t"])
         chunks = materialize(placed.groupBy(*by, "chunk").agg(
             F.count(F.lit(1)).alias("n_items"), F.max("_id").alias("_id"), F.max("_budget").alias("_budget"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
