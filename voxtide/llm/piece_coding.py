@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from voxtide.llm.common import pieces as slices
+from voxtide.llm.common import lean, pieces as slices
 
 SPACE = "▁"
 KEEP_WORDS = 300_000
@@ -242,10 +242,10 @@ def _coder(shared, with_ids: bool):
 def code(docs: DataFrame, model_file: str) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids, decoded."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_file))
-    return docs.select("doc_id", "text").mapInArrow(_coder(shared, True), "doc_id bigint, n_tokens bigint, ids array<int>, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(lean(_coder(shared, True)), "doc_id bigint, n_tokens bigint, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, model_file: str) -> DataFrame:
     """``code`` with the ids and the decoded text as SHA-256 digests."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_file))
-    return docs.select("doc_id", "text").mapInArrow(_coder(shared, False), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(lean(_coder(shared, False)), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

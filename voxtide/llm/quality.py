@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Flat, labelled_sample, mix, pieces, segment_hash
+from voxtide.llm.common import Flat, labelled_sample, lean, mix, pieces, segment_hash
 
 SAMPLE, SAMPLE_LINES, SAMPLE_CHARS = 800, 80, 50_000
 LEAST_CONTENT, LEAST_WORDS, MOST_REPEATED = 0.5, 50, 50
@@ -231,7 +231,7 @@ def _judge(shared):
 def judge(docs: DataFrame, field: Field) -> DataFrame:
     """One row per row of ``docs``: the counts, base_failed, kept, content_share."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    return docs.select("doc_id", "text").mapInArrow(_judge(shared), (
+    return docs.select("doc_id", "text").mapInArrow(lean(_judge(shared)), (
         "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
         "base_failed boolean, kept boolean, content_share double"))
 
@@ -244,4 +244,4 @@ def keep(docs: DataFrame, field: Field) -> DataFrame:
         for batch in batches:
             for part, flat in pieces(batch):
                 yield part.filter(pa.array(verdicts(flat, shared.value)[2]))
-    return docs.mapInArrow(select, docs.schema)
+    return docs.mapInArrow(lean(select), docs.schema)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Bitmap, Flat, blob, keep_rows, materialize, mix, pieces, ranges, segment_hash, spread_join
+from voxtide.llm.common import Bitmap, Flat, blob, keep_rows, lean, materialize, mix, pieces, ranges, release, segment_hash, spread_join
 from voxtide.llm.components import components
 
 WORDS = 5
@@ -317,6 +317,8 @@ def _tile_links(percent: int, exact: bool):
         label = link(group["n_shingles"].to_numpy(), signs, allowed, percent, sets)
         cls = group["cls"].to_numpy()
         out = pd.DataFrame({"a": cls, "b": cls[label]})
+        del sets, signs
+        release()
         return out[out["a"] != out["b"]]
     return run
 
@@ -328,13 +330,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    counted = texts.select("text").mapInArrow(_tokens(percent, buckets), "bucket int, tokens binary")
+    counted = texts.select("text").mapInArrow(lean(_tokens(percent, buckets)), "bucket int, tokens binary")
     often = counted.groupBy("bucket").applyInPandas(_often(FREQUENT), "token bigint")
     often = materialize(often, "shingle-frequent")
     frequent = spark.sparkContext.broadcast(Bitmap(often, often.count(), 28))
-    rows = materialize(texts.mapInArrow(_describe(percent, frequent), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary, sign binary"), "shingle-rows")
+    rows = materialize(texts.mapInArrow(lean(_describe(percent, frequent)), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary, sign binary"), "shingle-rows")
 
-    packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix").mapInArrow(_scatter(percent, buckets), _PACKED)
+    packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix").mapInArrow(lean(_scatter(percent, buckets)), _PACKED)
     near = components(packed.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint"))
 
     classes = (rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
@@ -348,7 +350,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
     tiles = materialize(_tiles(classes.drop("sign").join(maybe.withColumnRenamed("vertex", "cls"), "cls"), percent, tile), "shingle-tiles")
     wanted = tiles.select(F.coalesce("least_id", F.lit(-1)).alias("id")).distinct().mapInArrow(_hash_ids, "hash bigint")
     wanted = spark.sparkContext.broadcast(Bitmap(wanted, tiles.count()))
-    sets = texts.mapInArrow(_fetch(wanted), "d1 bigint, d2 bigint, members binary").join(tiles, ["d1", "d2"]).dropDuplicates([*key, "cls"])
+    sets = texts.mapInArrow(lean(_fetch(wanted)), "d1 bigint, d2 bigint, members binary").join(tiles, ["d1", "d2"]).dropDuplicates([*key, "cls"])
     links = sets.groupBy(*key).applyInPandas(_tile_links(percent, True), "a bigint, b bigint")
     return _named(rows, classes, components(links))
 
