@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(n for n in E.oracle_sql() if not n.startswith("op"))     # the corpus operators' SQL is tested with them
 
 
 @pytest.fixture(scope="module")
