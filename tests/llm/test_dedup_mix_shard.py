@@ -5,9 +5,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 from pyspark.sql import functions as F
 
 from voxtide.llm import exact_dedup, mixing, sharding
+from voxtide.llm.queries import ORACLE_SQL
 
 
 def norm(text):
@@ -93,6 +95,34 @@ def test_taken_words_come_near_targets(spark):
     assert len(rows) == 4 and all(abs(r[2] - r[1]) < 0.01 * r[1] for r in rows)
 
 
+def test_rows_that_share_an_id_draw_each_on_its_own(spark, tmp_path):
+    """A source of null ids and one of a single id, copies among them, come as near
+    to their targets as others; SQL and reruns over other partitions agree."""
+    rows = [(None, f"{'w ' * (20 + i % 30)}{i % 50}", "a", i % 3) for i in range(600)] + [(7, "one text for all " * 9, "b", None) for i in range(300)]
+    rows += [(1000 + i, "z " * (10 + i % 9), "c", 0) for i in range(300)] + [(7, None, None, 0), (7, "", None, 0), (None, None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, extra int")
+    got = mixing.mixture(docs.repartition(5)).collect()
+    taken, target = Counter(), {}
+    first = {i: min(s for d, _, s, _ in rows if d == i and s) for i in (None, 7)}
+    for r in got:
+        source = first.get(r["doc_id"], "c") if r["source_size"] else None
+        taken[source] += r["taken"]
+        target[source] = r["target"]
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) < 0.01 * target[s] for s in "abc")
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mixture(docs.coalesce(1)).collect()))
+    mixed = [sorted(map(str, mixing.mix(docs.repartition(n)).collect())) for n in (1, 7)]
+    assert mixed[0] == mixed[1]
+    words = Counter()
+    for r in mixing.mix(docs).collect():
+        words[r["source"]] += len(re.findall("[^\x20\x09-\x0d]+", r["text"] or ""))
+    assert +words == +taken
+    docs.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    want = con.sql(ORACLE_SQL["op5_source_mix"]).fetchall()
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in got) == Counter((r[0], r[1], r[4]) for r in want)
+
+
 def test_shards(hard, spark):
     big = spark.range(4000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' else repeat(concat('t', id), cast(1 + id % 40 as int)) end as text")
     for docs, shards in ((hard, 2), (big, 8)):

@@ -156,7 +156,8 @@ FROM n WINDOW same AS (PARTITION BY text_sha256)
 
 OP5_SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
+         row_number() OVER (PARTITION BY doc_id ORDER BY source IS NOT NULL, encode(coalesce(source, '')), coalesce(md5(text), '')) - 1 AS nth FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          (row_number() OVER (ORDER BY source IS NULL, encode(coalesce(source, ''))) - 1) % {len(mixing.WEIGHTS)} + 1 AS weight
@@ -173,7 +174,7 @@ t AS (
 r AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, {mixing.CAP}.0::DOUBLE) ELSE 0.0::DOUBLE END AS rate FROM t),
 w AS (
   SELECT d.doc_id, d.size, r.source, r.source_size, r.target, r.rate, k.seed,
-         ('0x' || substr(md5(k.seed::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / {mixing._DRAW} < r.rate - floor(r.rate) AS more
+         ('0x' || substr(md5(k.seed::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, 'null') || CASE WHEN d.nth > 0 THEN ':' || d.nth ELSE '' END), 1, 13))::BIGINT / {mixing._DRAW} < r.rate - floor(r.rate) AS more
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source CROSS JOIN range({mixing.SEEDS}) k(seed)),
 b AS (
   SELECT source, seed, abs(sum(CASE WHEN more THEN size ELSE 0 END) + any_value(floor(rate) * source_size) - any_value(target)) AS gap FROM w GROUP BY source, seed),
