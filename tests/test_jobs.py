@@ -5,8 +5,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from voxtide.functions.completers import length_rule_completer
-from voxtide.operators.annotate import annotate, parse_annotation
+from stand_ins import length_rule_completer
+from voxtide.operators.annotate import NOT_STORED, annotate, parse_annotation, store_answers
 from voxtide.operators.tickets import write_tickets
 from voxtide.plans import review_job
 from voxtide.streaming.jobs import command_events
@@ -44,6 +44,37 @@ def test_model_completer_answers_are_written_once(spark):
     assert a.where(F.col("answer").isNull()).count() == 2
 
 
+def test_failed_calls_keep_their_message(spark):
+    def refuses(prompts):
+        """Fails a whole call over one prompt, as a service does over bad input."""
+        if any(len(p) % 7 == 0 for p in prompts):
+            raise ValueError("refused input")
+        return [json.dumps({"choices": [{"text": "{}"}]}) for _ in prompts]
+    df = spark.createDataFrame([(f"r{i}", "x" * i) for i in range(1, 30)], "review_id STRING, prompt STRING")
+    rows = annotate(df, refuses, partitions=1).collect()
+    assert {r["review_id"] for r in rows if r["error"] is None} == {f"r{i}" for i in range(1, 30) if i % 7}
+    assert {r["error"] for r in rows if r["answer"] is None} == {"ValueError: refused input"}
+
+
+def test_stored_answers_are_replayed_and_the_rest_is_asked(spark, tmp_path):
+    rows = [(5, "same"), (3, "same"), (4, "same"), (6, "own"), (7, "none"), (8, "null"), (None, "same"), (9, None)]
+    prompts = spark.createDataFrame(rows, "doc_id BIGINT, prompt STRING").withColumn("prompt_key", F.sha2("prompt", 256))
+    answers = spark.createDataFrame([(5, "five"), (4, "four"), (6, 'a "quoted"\nanswer'), (8, None), (11, "of no review")], "doc_id BIGINT, answer STRING")
+    store = str(tmp_path / "answers")
+    assert [r["error"] for r in annotate(prompts, store=store).collect()] == [NOT_STORED] * len(rows)     # no store yet
+    store_answers(prompts, answers, store)
+    got = {(r["doc_id"], r["answer"], r["error"]) for r in annotate(prompts, store=store).collect()}
+    assert got == {(5, "four", None), (3, "four", None), (4, "four", None), (None, "four", None), (6, 'a "quoted"\nanswer', None),
+                   (7, None, NOT_STORED), (8, None, NOT_STORED), (9, None, NOT_STORED)}
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(texts):
+        asked.add(sum(t is not None for t in texts))
+        return [None if t is None else json.dumps({"choices": [{"text": f"model: {t}"}]}) for t in texts]
+    again = {r["doc_id"]: r["answer"] for r in annotate(prompts.where("prompt is not null"), counted, store=store).collect()}
+    assert again == {5: "four", 3: "four", 4: "four", None: "four", 6: 'a "quoted"\nanswer', 7: "model: none", 8: "model: null"} and asked.value == 2
+
+
 def test_review_job_invariants(spark):
     from voxtide.sources import views
     run = review_job.run_labels(spark, SF)
@@ -124,7 +155,7 @@ def test_annotate_store_only_infers_missing(spark, tmp_path):
 
 
 def test_review_and_summary_commands(spark, tmp_path):
-    from voxtide.functions.completers import digest_completer, length_rule_completer
+    from voxtide.functions.completers import digest_completer
     from voxtide.plans.review_job import review_command, summary_command
     from voxtide.sources import payloads as S
     from voxtide.sources import views

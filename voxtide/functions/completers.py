@@ -1,10 +1,10 @@
-"""Deterministic completers for tests and the query catalogue.
+"""A deterministic completer of the summary queries.
 
 A completer is any ``Callable[[list[str]], list[str | None]]``: prompts in,
 raw completion bodies (``{"choices": [{"text": ...}]}``) out, ``None`` for a
-failed call.  Real deployments pass a client for their inference service;
-these stand-ins derive every answer from the prompt text alone, so a query
-can be checked against SQL.
+failed call.  Real deployments pass a client for their inference service; this
+stand-in derives its answer from the prompt text alone, so the summary queries
+can be checked against SQL.  The summary operators are what they test, not it.
 """
 
 from __future__ import annotations
@@ -12,48 +12,11 @@ from __future__ import annotations
 import hashlib
 import json
 
-from voxtide import constants as C
-
-# The text that precedes the review in the annotation prompt.
-REVIEW_MARK = C.ANNOTATION_PROMPT.rsplit("{review}", 1)[0].rsplit("}", 1)[1]
-ANSWER_CATEGORIES = C.CATEGORIES + ["other"]
-ANSWER_SEVERITIES = ["Blocker", "High", "Low", "Medium"]
-
 
 def envelope(text: str) -> str:
     return json.dumps({"choices": [{"text": text}]})
 
 
-def length_answer(review: str) -> str | None:
-    """Annotation of a review derived from its length n (in characters).
-    n % 11 == 0 gives an answer that is not JSON."""
-    n = len(review)
-    if n % 11 == 0:
-        return "I cannot label this review."
-    return json.dumps({
-        "Relevance": n % 5 != 0,
-        "Sentiments": "Negative" if n % 4 == 0 else "Positive",
-        "Category": ANSWER_CATEGORIES[n % 9],
-        "sub_category": "-",
-        "Severity": ANSWER_SEVERITIES[n % 4],
-        "Feature": f"feature {n % 7}",
-        "insight": f"insight {n % 13}",
-        "description": f"review of {n} characters",
-        "response": "Thank you for the review.",
-        "review": None,
-    })
-
-
-def length_rule_completer(prompts: list[str | None]) -> list[str | None]:
-    out = []
-    for p in prompts:
-        if p is None or REVIEW_MARK not in p:
-            out.append(None)
-            continue
-        out.append(envelope(length_answer(p.split(REVIEW_MARK, 1)[1])))
-    return out
-
-
 def digest_completer(prompts: list[str | None]) -> list[str | None]:
     """Summary answer derived from the prompt: its length and digest."""
     out = []

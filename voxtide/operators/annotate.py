@@ -99,6 +99,10 @@ def request_udf(send: Callable[[list[dict]], list], params: dict | None = None):
     return F.pandas_udf(run, "completion string, error string").asNondeterministic()
 
 
+#: Error of a prompt that only the store was asked for, and that it doesn't hold.
+NOT_STORED = "no stored answer"
+
+
 def request_completer(send: Callable[[list[dict]], list], model: str = C.DEFAULT_MODEL, params: dict | None = None) -> Completer:
     """A completer over a client ``send(requests) -> completions`` where all
     prompts go to one ``model`` (see ``request_udf`` for a model per row)."""
@@ -127,9 +131,10 @@ def annotate(prompts: DataFrame, completer: Completer | None = None, partitions:
     one round), and each bucket's answers are appended as soon as it ends, so a run
     that is killed loses one bucket at most and the next run goes on behind it.
     Failures are never stored, so the next run tries them again, and two runs that
-    stored the same key count once.  The completion envelope is kept in
-    ``completion``, a failed call's message in ``error``; ``answer`` is
-    ``choices[0].text``.
+    stored the same key count once.  Without ``completer`` and ``send`` only the
+    store answers: a prompt that it doesn't hold has the error ``NOT_STORED``.  The
+    completion envelope is kept in ``completion``, a failed call's message in
+    ``error``; ``answer`` is ``choices[0].text``.
     """
     spark = prompts.sparkSession
     ship_package(spark)
@@ -139,6 +144,14 @@ def annotate(prompts: DataFrame, completer: Completer | None = None, partitions:
     if send is not None:
         asked.append("llm_model")
         keyed = keyed.withColumn("prompt_key", F.sha2(F.concat_ws("|", "prompt_key", "llm_model"), 256))
+    if completer is None and send is None:
+        if not store:
+            raise ValueError("give a completer, send or store")
+        have = _read_store(spark, store)
+        told = keyed.drop(prompt_col)
+        told = told.withColumn("completion", F.lit(None).cast("string")) if have is None else told.join(have, "prompt_key", "left")
+        return (told.withColumn("error", F.when(F.col("completion").isNull(), F.lit(NOT_STORED)))
+                .withColumn("answer", parse_completion(F.col("completion"))))
     distinct = keyed.select("prompt_key", *asked).dropDuplicates(["prompt_key"])
     reply = (completion_udf(completer)(F.col(prompt_col)) if send is None else request_udf(send)(*map(F.col, asked))).alias("_c")
 
@@ -175,6 +188,18 @@ def annotate(prompts: DataFrame, completer: Completer | None = None, partitions:
     return out.withColumn("answer", parse_completion(F.col("completion")))
 
 
+def store_answers(prompts: DataFrame, answers: DataFrame, store: str, key: str = "doc_id") -> None:
+    """Puts ready answers (``key``, ``answer``) into a completions store, each in a
+    completion envelope under the key of its prompt, so that ``annotate`` asks a
+    model for the other prompts only.  Prompts that several rows share take the
+    answer of the smallest ``key``: one partial aggregate a prompt, no group is
+    gathered.  Null answers aren't stored."""
+    said = prompts.select("prompt_key", key).join(answers.where("answer is not null").select(key, "answer"), key)
+    first = said.groupBy("prompt_key").agg(F.min(F.struct(key, "answer"))["answer"].alias("text"))
+    envelope = F.to_json(F.struct(F.array(F.struct("text")).alias("choices")))
+    first.select("prompt_key", envelope.alias("completion")).write.mode("append").parquet(store)
+
+
 def _read_store(spark, path: str):
     """The stored answers, one per prompt (runs at the same time may both have stored one)."""
     if not path_exists(spark, path):

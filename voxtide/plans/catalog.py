@@ -289,13 +289,16 @@ def chat_messages(spark, sf_dir):
 
 # ------------------------------------------------------------------ annotate
 def _model_annotated(spark, sf_dir):
+    """Every review's prompt, answered by a completions store that holds the labelled reviews' answers."""
     prompts = render_prompt(_with_company(spark, sf_dir))
-    return N.annotate(prompts, completers.length_rule_completer, partitions=None)
+    store = scratch_path(spark, "answers")
+    N.store_answers(prompts, views.label_answers(spark, sf_dir), store)
+    return N.annotate(prompts, store=store)
 
 
 @query
 def annotate_model(spark, sf_dir):
-    """Every review through a (deterministic) completer, answers parsed."""
+    """Every review's prompt answered from the store of labelled answers, answers parsed."""
     parsed, _ = N.parse_annotation(_model_annotated(spark, sf_dir))
     return parsed.select("review_id", "channel", "relevance", "sentiment", "category", "severity",
                          "feature", "description")
@@ -381,7 +384,7 @@ def tickets(spark, sf_dir):
 
 @query
 def tickets_model(spark, sf_dir):
-    """N1 → K1: tickets of every review annotated by the (deterministic) completer."""
+    """N1 → K1: tickets of every review whose prompt has a stored answer."""
     run = review_job.run_annotated(spark, _model_annotated(spark, sf_dir).drop("completion"))
     return _ticket_out(run.tickets)
 
@@ -450,20 +453,11 @@ def review_limit(spark, sf_dir):
     return review_job.limit_reviews(views.reviews(spark, sf_dir), TOP_N).select("channel", "review_id")
 
 
-def _flaky(prompts):
-    """Fails a whole call over one prompt, as a service does over bad input."""
-    if any(p is not None and len(p) % 7 == 0 for p in prompts):
-        raise ValueError("refused input")
-    return completers.length_rule_completer(prompts)
-
-
 @query
 def annotate_failures(spark, sf_dir):
-    """Failed model calls end as dead letters with their message; the
-    other prompts of the same call are answered."""
-    prompts = render_prompt(_with_company(spark, sf_dir))
-    sized = prompts.withColumn("prompt_len", F.length("prompt").cast("bigint"))
-    _, dead = N.parse_annotation(N.annotate(sized, _flaky))
+    """Prompts without a stored answer, and answers that don't parse, end as
+    dead letters with their message."""
+    _, dead = N.parse_annotation(_model_annotated(spark, sf_dir))
     return dead.select("channel", "key", "reason", "message")
 
 

@@ -8,8 +8,7 @@ computes each query's result independently of Spark.  Fixed strings come from
 from __future__ import annotations
 
 from voxtide import constants as C
-from voxtide.functions.completers import ANSWER_CATEGORIES as MODEL_CATEGORIES
-from voxtide.functions.completers import ANSWER_SEVERITIES as MODEL_SEVERITIES
+from voxtide.operators import annotate as N
 from voxtide.operators import summary as A
 from voxtide.plans import catalog as Q
 from voxtide.sources import views as V
@@ -212,17 +211,6 @@ PCT_TEXT = ("CASE WHEN isnan(positive_pct) THEN 'NaN' WHEN positive_pct = floor(
             "THEN CAST(CAST(floor(positive_pct) AS BIGINT) AS VARCHAR) ELSE CAST(positive_pct AS VARCHAR) END")
 
 
-def _model_sql() -> str:
-    n = "length(text)"
-    return f"""SELECT review_id, channel, ({n} % 5 != 0) AS relevance,
-  CASE WHEN {n} % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS sentiment,
-  {pick(MODEL_CATEGORIES, f'{n} % 9')} AS category,
-  {pick(MODEL_SEVERITIES, f'{n} % 4')} AS severity,
-  'feature ' || CAST({n} % 7 AS VARCHAR) AS feature,
-  'review of ' || CAST({n} AS VARCHAR) || ' characters' AS description
-FROM reviews WHERE {n} % 11 != 0"""
-
-
 def _entries() -> str:
     return """entries AS (
   SELECT CAST(user_id AS VARCHAR) || '-' || event_type AS entry_id,
@@ -351,7 +339,14 @@ def build() -> dict[str, str]:
     sysm = template_sql(Q.CHAT_SYSTEM, {"company": "company", "review": "text"})
     hum = template_sql(Q.CHAT_HUMAN, {"company": "company", "review": "text"})
     o["chat_messages"] = wc + f"SELECT review_id, md5({sysm}) AS system_md5, md5({hum}) AS human_md5, CAST(2 AS BIGINT) AS n_messages FROM rc"
-    o["annotate_model"] = with_(REVIEWS) + _model_sql()
+    # a prompt's answer is that of the smallest labelled document with this prompt
+    asked = wc.rstrip() + f""", {ANSWERS},
+asked AS (SELECT *, {prompt} AS p FROM rc),
+said AS (SELECT p, min(doc_id) AS said_by FROM asked JOIN answers USING (doc_id) GROUP BY p),
+told AS (SELECT r.*, a.doc_id AS said_by, a.corrupt, a.relevance, a.sentiment, a.category, a.severity, a.feature, a.description
+  FROM asked r LEFT JOIN said USING (p) LEFT JOIN answers a ON a.doc_id = said.said_by),
+mparsed AS (SELECT * FROM told WHERE NOT corrupt)"""
+    o["annotate_model"] = asked + " SELECT review_id, channel, relevance, sentiment, category, severity, feature, description FROM mparsed"
     o["annotate_rules"] = _rules_sql()
     o["annotate_labels"] = BASE + ("SELECT review_id, channel, relevance, sentiment, category, sub_category, severity, "
                                    "feature, insight, description, response, review_clean FROM parsed")
@@ -370,16 +365,10 @@ def build() -> dict[str, str]:
                 "type, owner, applies_to_part, severity FROM tickets")
     o["tickets"] = BASE + tick_out
     o["ticket_scan"] = BASE + tick_out
-    n = "length(text)"
-    model_parsed = (f"mparsed AS (SELECT *, {pick(MODEL_CATEGORIES, f'{n} % 9')} AS category, "
-                    f"CASE WHEN {n} % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS sentiment, "
-                    f"{pick(MODEL_SEVERITIES, f'{n} % 4')} AS severity, "
-                    f"'review of ' || CAST({n} AS VARCHAR) || ' characters' AS description "
-                    f"FROM reviews WHERE {n} % 11 != 0)")
     model_resolved = (f"resolved AS (SELECT *, CASE WHEN category IN {inlist(TAG_NAMES)} THEN category "
-                      f"ELSE {s(C.FALLBACK_CATEGORY)} END AS category_final FROM mparsed)")
-    o["tickets_model"] = (with_(REVIEWS, model_parsed, model_resolved) +
-                          f"SELECT sha256(channel || '|' || review_id) AS ticket_id, channel, review_id, {TITLE} AS title, "
+                      f"ELSE {s(C.FALLBACK_CATEGORY)} END AS category_final FROM mparsed WHERE sentiment IN {inlist(TAG_NAMES)})")
+    o["tickets_model"] = (asked + ", " + model_resolved +
+                          f" SELECT sha256(channel || '|' || review_id) AS ticket_id, channel, review_id, {TITLE} AS title, "
                           "'tag/' || category_final || ',' || 'tag/' || sentiment AS tags, "
                           f"md5({BODY}) AS body_md5, length({BODY}) AS body_len, 'ticket' AS type, "
                           "'owner/' || channel AS owner, 'part/' || channel AS applies_to_part, severity FROM resolved")
@@ -403,10 +392,8 @@ def build() -> dict[str, str]:
     o["review_limit"] = (with_(REVIEWS) + "SELECT channel, review_id FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY "
                          "CASE channel WHEN 'social' THEN score WHEN 'appstore' THEN rating END DESC, review_id) AS nth FROM reviews) "
                          f"WHERE channel NOT IN ('social', 'appstore') OR nth <= {Q.TOP_N}")
-    refused = f"length({prompt}) % 7 = 0"
-    o["annotate_failures"] = (wc + f"SELECT channel, review_id AS key, CASE WHEN {refused} THEN 'inference_failed' ELSE 'malformed_answer' END AS reason, "
-                              f"CASE WHEN {refused} THEN 'ValueError: refused input' ELSE 'annotate: malformed_answer' END AS message "
-                              f"FROM rc WHERE {refused} OR length(text) % 11 = 0")
+    o["annotate_failures"] = (asked + " SELECT channel, review_id AS key, CASE WHEN corrupt THEN 'malformed_answer' ELSE 'inference_failed' END AS reason, "
+                              f"CASE WHEN corrupt THEN 'annotate: malformed_answer' ELSE {s(N.NOT_STORED)} END AS message FROM told WHERE corrupt OR said_by IS NULL")
     o["summary_parse"] = ("SELECT CAST(doc_id AS VARCHAR) AS chunk_key, 'liked ' || CAST(doc_id AS VARCHAR) AS customer_likings, 'pain ' || CAST(quality AS VARCHAR) AS customer_pain_points, "
                           "CASE WHEN doc_id % 3 = 0 THEN 'a ' || CAST(doc_id AS VARCHAR) || ',b' ELSE 'f ' || CAST(doc_id AS VARCHAR) END AS focus, "
                           "CASE WHEN doc_id % 2 = 1 THEN 'x,y ' || CAST(doc_id AS VARCHAR) ELSE 'act ' || CAST(doc_id AS VARCHAR) END AS actions "
