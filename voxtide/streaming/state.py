@@ -1,10 +1,14 @@
 """Keyed state of the streams: the first event of a delivery (W2) and timers that
 expire timeline entries (W7).
 
-Both keep one small row per key in Spark's state store and free it by an
+Both keep one small entry per key in Spark's state store and free it by an
 event-time timer, so state is bounded by the keys that the watermark can still
 reach, not by the history.  A lost executor restores its part of the state from
 the checkpoint.
+
+Keys are dealt by hash to ``BUCKETS`` groups, and a row of state holds the live
+keys of a group: a call into Python, about a millisecond, is paid per group and
+trigger and not per key.  The number of groups belongs to a checkpoint.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 _MS = 1_000_000     # nanoseconds
+BUCKETS = 256
 
 
 def _millis(times: pd.Series) -> pd.Series:
@@ -28,6 +33,19 @@ def interval_ms(spark, interval: str) -> int:
     return spark.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {interval}"))).first()[0]
 
 
+def _bucket(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
+def _keep(state: GroupState, live: list[tuple], columns: int) -> None:
+    """The entries of a group, column by column; the last column is their timers."""
+    if live:
+        state.update(tuple(list(c) for c in zip(*live)))
+        state.setTimeoutTimestamp(max(min(e[columns - 1] for e in live), state.getCurrentWatermarkMs()))
+    elif state.exists:
+        state.remove()
+
+
 # ------------------------------------------------------------------ W2
 def first_of_delivery(events: DataFrame, delay: str = "1 hour", horizon: str = "2 hours", ts: str = "ts",
                       key: str = "delivery_id", order: str = "event_id") -> DataFrame:
@@ -40,25 +58,46 @@ def first_of_delivery(events: DataFrame, delay: str = "1 hour", horizon: str = "
     one delivery."""
     wait = interval_ms(events.sparkSession, horizon)
     columns = events.columns
+    # pandas has no whole numbers with gaps: a null travels as 0 with a flag beside it
+    whole = [c for c, kind in events.dtypes if kind == "bigint"]
+    flag = {c: f"__no_{c}" for c in whole}
+    keys, by = ([flag[c], c] if c in flag else [c] for c in (key, order))
+    rows = events.withWatermark(ts, delay).withColumns({"__bucket": _bucket(key), **{flag[c]: F.col(c).isNull() for c in whole}})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in whole})
+
+    def first_rows(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.sort_values(by, kind="stable").drop_duplicates(keys)
+
+    def names(frame: pd.DataFrame) -> list:
+        if key not in flag:
+            return [None if pd.isna(k) else k for k in frame[key].tolist()]
+        return [None if gone else k for gone, k in zip(frame[flag[key]].tolist(), frame[key].tolist())]
 
     def handle(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        first, latest = None, state.get[0] if state.exists else 0
+        known = {k: (k, latest, timer) for k, latest, timer in zip(*state.get)} if state.exists else {}
+        watermark, seen, first = state.getCurrentWatermarkMs(), {}, None
         for frame in frames:            # one Arrow batch at a time: a hot delivery is never held whole
             if not len(frame):
                 continue
-            latest = max(latest, int(_millis(frame[ts]).max()))
-            mine = frame.sort_values(order, kind="stable").iloc[:1]
-            first = mine if first is None else pd.concat([first, mine]).sort_values(order, kind="stable").iloc[:1]
-        if not state.exists and first is not None:
-            yield first[columns]
-        state.update((latest,))
-        state.setTimeoutTimestamp(max(latest + wait, state.getCurrentWatermarkMs() + 1))
-
-    return events.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
-        handle, events.schema, "latest bigint", "append", GroupStateTimeout.EventTimeTimeout)
+            for k, at in zip(names(frame), _millis(frame[ts]).tolist()):
+                seen[k] = max(seen.get(k, 0), at)
+            mine = first_rows(frame)
+            first = mine if first is None else first_rows(pd.concat([first, mine]))
+        if first is not None:
+            first = first[[k not in known for k in names(first)]]
+            if len(first):
+                yield first[[*columns, *flag.values()]]
+        live = [e for e in known.values() if e[0] not in seen and e[2] >= watermark]
+        for k, at in seen.items():
+            latest = max(at, known[k][1] if k in known else 0)
+            live.append((k, latest, max(latest + wait, watermark + 1)))
+        _keep(state, live, 3)
+
+    kind = events.schema[key].dataType.simpleString()
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema] + [f"`{c}` boolean" for c in flag.values()])
+    out = rows.groupBy("__bucket").applyInPandasWithState(
+        handle, fields, f"key array<{kind}>, latest array<bigint>, timer array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*[F.when(~F.col(flag[c]), F.col(c)).alias(c) if c in flag else F.col(c) for c in columns])
 
 
 # ------------------------------------------------------------------ W7
