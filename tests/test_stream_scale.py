@@ -49,3 +49,15 @@ def test_first_events_of_many_deliveries_share_state_rows(spark, tmp_path):
     got = [(r.event_id, r.delivery_id, r.note) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= state.BUCKETS < len(done)
+
+
+def test_expiries_of_many_entries_share_state_rows(spark, tmp_path):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [[(f"e{n}", "o", FAR + n, at(0), at(1)) for n in range(600)] + [(None, None, FAR, at(0), at(900))],
+            [(f"e{n}", "o", FAR + 600 + n, at(n % 3), at(1000) if n % 5 else None) for n in range(600)],
+            [("late", "o", FAR + 1300, at(30), at(31))]]
+    stream = land(spark, rows, "entry_id string, object string, seq long, updated_at timestamp, expires_at timestamp", f"{tmp_path}/in")
+    q = run(expiries(stream, "10 minutes"), f"{tmp_path}/out", f"{tmp_path}/chk")
+    got = sorted((r.entry_id, r.seq) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == sorted((f"e{n}", FAR + n) for n in range(600) if n % 3)       # the others were replaced in time
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= state.BUCKETS < 482

@@ -102,7 +102,7 @@ def first_of_delivery(events: DataFrame, delay: str = "1 hour", horizon: str = "
 
 # ------------------------------------------------------------------ W7
 EXPIRY = "entry_id string, object string, seq bigint, expired_at timestamp"
-_VERSION = ("object", "seq", "updated", "expires")
+_VERSION = "entry_id array<string>, object array<string>, seq array<bigint>, updated array<bigint>, expires array<bigint>"
 
 
 def expiries(entries: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -113,36 +113,33 @@ def expiries(entries: DataFrame, delay: str = "10 minutes") -> DataFrame:
     fires once the watermark (``delay`` behind the latest ``updated_at``) has passed
     ``expires_at``; versions that never expire hold no state.  The rows do not
     depend on how versions are spread over micro-batches."""
-    def handle(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def handle(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
-        live = state.get if state.exists else None
-        if state.hasTimedOut:
-            out.append(live)
-            live = None
-        else:
-            versions: list[tuple] = []
-            for frame in frames:
-                expires = frame["expires_at"]
-                versions += zip(frame["object"], frame["seq"], _millis(frame["updated_at"]), [None if pd.isna(e) else m for e, m in zip(expires, _millis(expires))])
-            for v in sorted(versions, key=lambda v: (v[2], v[1])):
-                v = (v[0], int(v[1]), int(v[2]), None if v[3] is None else int(v[3]))
-                if live and (live[2], live[1]) > (v[2], v[1]):
+        live = {v[0]: v for v in zip(*state.get)} if state.exists else {}
+        versions: list[tuple] = []
+        for frame in frames:
+            if not len(frame):
+                continue
+            expires = [None if none else at for none, at in zip(frame["expires_at"].isna(), _millis(frame["expires_at"]).tolist())]
+            versions += zip(frame["entry_id"], frame["object"], map(int, frame["seq"]), _millis(frame["updated_at"]).tolist(), expires)
+        for v in sorted(versions, key=lambda v: (v[3], v[2])):
+            last = live.get(v[0])
+            if last:
+                if (last[3], last[2]) > (v[3], v[2]):
                     continue            # an older version than the one that counts
-                if live and live[3] <= v[2]:
-                    out.append(live)    # ran out before it was replaced
-                live = v if v[3] is not None else None
-            if live and live[3] < state.getCurrentWatermarkMs():
-                out.append(live)
-                live = None
-        if live:
-            state.update(live)
-            state.setTimeoutTimestamp(live[3])
-        elif state.exists:
-            state.remove()
+                if last[4] <= v[3]:
+                    out.append(last)    # ran out before it was replaced
+            if v[4] is not None:
+                live[v[0]] = v
+            elif last:
+                del live[v[0]]
+        watermark = state.getCurrentWatermarkMs()
+        out += [v for v in live.values() if v[4] < watermark]
+        _keep(state, [v for v in live.values() if v[4] >= watermark], 5)
         if out:
-            yield pd.DataFrame({"entry_id": [key[0]] * len(out), "object": [v[0] for v in out], "seq": [v[1] for v in out],
-                                "expired_at": pd.to_datetime([v[3] for v in out], unit="ms")})
+            yield pd.DataFrame({"entry_id": [v[0] for v in out], "object": [v[1] for v in out], "seq": [v[2] for v in out],
+                                "expired_at": pd.to_datetime([v[4] for v in out], unit="ms")})
 
     rows = entries.select("entry_id", "object", "seq", "updated_at", "expires_at").withWatermark("updated_at", delay)
-    kinds = ", ".join(f"{c} {'string' if c == 'object' else 'bigint'}" for c in _VERSION)
-    return rows.groupBy("entry_id").applyInPandasWithState(handle, EXPIRY, kinds, "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.withColumn("__bucket", _bucket("entry_id")).groupBy("__bucket").applyInPandasWithState(
+        handle, EXPIRY, _VERSION, "append", GroupStateTimeout.EventTimeTimeout)
