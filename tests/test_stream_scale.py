@@ -61,3 +61,29 @@ def test_expiries_of_many_entries_share_state_rows(spark, tmp_path):
     got = sorted((r.entry_id, r.seq) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == sorted((f"e{n}", FAR + n) for n in range(600) if n % 3)       # the others were replaced in time
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= state.BUCKETS < 482
+
+
+def test_webhook_triggers_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(W, "ARRAY_ROWS", 20)        # 50 files
+    out = S.stream_webhook(spark, SF)
+    base = max(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/voxtide/stream-webhook-*"), key=os.path.getmtime)
+    assert len(glob.glob(f"{base}/in/part-*")) == 50
+    assert len([f for f in os.listdir(f"{base}/chk/commits") if f.isdigit()]) == 2
+    assert out.count() == 1500
+
+
+def test_landing_keeps_no_copies(spark, monkeypatch, tmp_path):
+    kept = []
+    monkeypatch.setattr(W, "materialize", lambda df, name, *a: kept.append(name) or df)
+    monkeypatch.setattr(S, "materialize", lambda df, name, *a: kept.append(name) or df)
+    jobs = lambda rows, dead, batch_id: rows.write.mode("overwrite").parquet(f"{tmp_path}/jobs/batch_id={batch_id}")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    S._arrivals(events, "ts", f"{tmp_path}/in", lambda each: S._run(W.command_stream(spark, f"{tmp_path}/in", jobs, f"{tmp_path}/chk")), landed=W.command_rows)
+    assert not kept         # neither the rows before landing nor those of a stateless micro-batch
+    files = [f for f in os.listdir(f"{tmp_path}/in") if "part-" in f and not f.startswith(".")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    landed = spark.read.schema(W.COMMAND_SCHEMA).json(f"{tmp_path}/in")
+    assert landed.count() == events.count()
+    assert landed.drop("ts").exceptAll(W.command_rows(events).drop("ts")).count() == 0     # (the landed time has milliseconds)
+    asked = W.parse_commands(W.command_rows(events), W.allowed_models_df(spark))[0]
+    assert spark.read.parquet(f"{tmp_path}/jobs").count() == asked.count()

@@ -112,7 +112,11 @@ def summary_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Command events from ``events``: the argument text comes from props.k,
     with the argument cases of the original command in rotation."""
-    ev = read_table(spark, sf_dir, "events")
+    return commands_of(read_table(spark, sf_dir, "events"))
+
+
+def commands_of(ev: DataFrame) -> DataFrame:
+    """``commands`` of the given rows of ``events``."""
     k = F.get_json_object(F.col("props"), "$.k")
     m = F.col("event_id") % 8
     params = (F.when(m == 0, k)
@@ -134,7 +138,12 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def command_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``commands`` as the JSON events that the jobs receive (column ``value``)."""
-    c = commands(spark, sf_dir)
+    return command_events_of(read_table(spark, sf_dir, "events"))
+
+
+def command_events_of(ev: DataFrame) -> DataFrame:
+    """``command_events`` of the given rows of ``events``."""
+    c = commands_of(ev)
     model = F.when(F.col("k") % 3 > 0, F.coalesce(pick(C.ALLOWED_MODELS, F.col("k") % 40), F.concat(F.lit("model-"), F.col("k").cast("string"))))
     values = F.map_filter(F.create_map(
         F.lit("subject"), F.concat(F.lit("subject-"), F.col("user_id").cast("string")),

@@ -44,15 +44,18 @@ def _each(files: int) -> int:
     return max(1, min(TRIGGER_ROWS // W.FILE_ROWS, files // LEAST_TRIGGERS))
 
 
-def _arrivals(rows: DataFrame, ts: str, in_dir: str, run, drop: tuple = (), form: str = "json") -> None:
+def _arrivals(rows: DataFrame, ts: str, in_dir: str, run, form: str = "json", landed=None) -> None:
     """Land ``rows`` in two arrivals, ordered by ``ts``, and ``run(files per
-    trigger)`` the job after each."""
-    rows = rows.withColumns({c: F.col(c).cast("timestamp") for c, kind in rows.dtypes if kind == "timestamp_ntz"})
-    rows = materialize(rows, "arrivals")
-    half = rows.agg(F.percentile_approx(F.unix_micros(ts), 0.5, 10_000)).first()[0]
-    early = F.coalesce(F.unix_micros(ts) <= F.lit(half), F.lit(True))
+    trigger)`` the job after each.  ``rows`` come straight from a stored table;
+    ``landed`` makes of them, row by row, what is written."""
+    half = rows.agg(F.percentile_approx(F.unix_micros(F.col(ts).cast("timestamp")), 0.5, 10_000)).first()[0]
+    early = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")) <= F.lit(half), F.lit(True))
+
+    def written(part: DataFrame) -> DataFrame:
+        part = landed(part) if landed else part
+        return part.withColumns({c: F.col(c).cast("timestamp") for c, kind in part.dtypes if kind == "timestamp_ntz"})
     for part in (rows.where(early), rows.where(~early)):
-        files = W.land_in_order(part, ts, in_dir, drop, form)
+        files = W.land_in_order(part, ts, in_dir, form=form, landed=written)
         if files:
             run(_each(files))
 
@@ -82,8 +85,8 @@ def _commands(spark, sf_dir, events):
     def handler(jobs, dead, batch_id):
         sink(jobs.select("event_id", "channel", "n", "llm_model"), batch_id)
         refused(dead, batch_id)
-    _arrivals(W.command_rows(spark, sf_dir), "ts", f"{base}/in", lambda each: _run(W.command_stream(
-        spark, f"{base}/in", handler, f"{base}/chk", events=events, max_files=each, delay=DELAY, horizon=HORIZON)))
+    _arrivals(views.read_table(spark, sf_dir, "events"), "ts", f"{base}/in", lambda each: _run(W.command_stream(
+        spark, f"{base}/in", handler, f"{base}/chk", events=events, max_files=each, delay=DELAY, horizon=HORIZON)), landed=W.command_rows)
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -111,7 +114,8 @@ def stream_command_jobs(spark, sf_dir):
     answers = materialize(views.label_answers(spark, sf_dir).select(F.col("doc_id").cast("string").alias("review_id"), "answer"), "job-answers")
     handler = W.job_dispatcher(spark, raw, f"{base}/job", answers=answers, created_at=Q.CREATED_AT)
     # one micro-batch per arrival: two runs of the review job, whatever the number of commands
-    _arrivals(W.command_rows(spark, sf_dir), "ts", f"{base}/in", lambda each: _run(W.command_stream(spark, f"{base}/in", handler, f"{base}/chk")))
+    _arrivals(views.read_table(spark, sf_dir, "events"), "ts", f"{base}/in",
+              lambda each: _run(W.command_stream(spark, f"{base}/in", handler, f"{base}/chk")), landed=W.command_rows)
     t = spark.read.parquet(f"{base}/job/tickets")
     return t.select("ticket_id", "channel", "applies_to_part", F.col("owned_by")[0].alias("owner"))
 
@@ -127,8 +131,9 @@ def _webhook_stream(spark, in_dir, max_files=None, arrays=True):
 def stream_webhook(spark, sf_dir):
     """Work-created webhook stream (JSON arrays) flattened per owner."""
     base = scratch_path(spark, "stream-webhook")
-    W.land_webhooks(spark, sf_dir, f"{base}/in")
-    flat = W.flatten_work_created(_webhook_stream(spark, f"{base}/in", max_files=4))
+    W.land_webhooks(spark, sf_dir, f"{base}/in", W.ARRAY_ROWS)
+    each = max(4, min(TRIGGER_ROWS // W.ARRAY_ROWS, W.files_in(spark, f"{base}/in") // LEAST_TRIGGERS))
+    flat = W.flatten_work_created(_webhook_stream(spark, f"{base}/in", max_files=each))
     _run(flat.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
     r = spark.read.parquet(f"{base}/out")
@@ -156,7 +161,7 @@ def stream_dedupe(spark, sf_dir):
             F.try_to_timestamp(F.regexp_replace(F.col("payload.timestamp"), r"\s", "")).alias("event_ts"))
         _run(W.dedupe_deliveries(s, "unique_key", DELAY).writeStream.format("parquet").option("path", f"{base}/out")
              .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
-    _arrivals(W.webhook_payloads(spark, sf_dir).select("ts", "value"), "ts", f"{base}/in", run, drop=("ts",), form="text")
+    _arrivals(views.read_table(spark, sf_dir, "events"), "ts", f"{base}/in", run, form="text", landed=lambda ev: W.payloads_of(ev).select("value"))
     return spark.read.parquet(f"{base}/out").select("unique_key")
 
 

@@ -61,7 +61,8 @@ def command_stream(spark: SparkSession, in_dir: str, handler: Callable[[DataFram
         stream = first_of_delivery(stream, delay, horizon)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, "commands")      # stateful rows are computed once
+        if events == "first":
+            batch = materialize(batch, "commands")      # stateful rows are computed once
         jobs, dead = parse_commands(batch, allowed_models_df(batch.sparkSession))
         handler(jobs, dead, batch_id)
 
@@ -218,7 +219,11 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work-created webhook events built from ``events`` as JSON text
     (column ``value``).  Pairs of events share a ``unique_key`` (a
     re-delivery); even events have two owners."""
-    ev = views.read_table(spark, sf_dir, "events")
+    return payloads_of(views.read_table(spark, sf_dir, "events"))
+
+
+def payloads_of(ev: DataFrame) -> DataFrame:
+    """``webhook_payloads`` of the given rows of ``events``."""
     eid = F.col("event_id").cast("string")
     uid = F.col("user_id")
 
@@ -256,6 +261,8 @@ def webhook_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Rows per landed file; a landing has at least ``LEAST_FILES``.
 FILE_ROWS, LEAST_FILES = 100_000, 4
+#: Events per landed array file.
+ARRAY_ROWS = 5000
 
 
 def land_files(rows: int) -> int:
@@ -263,22 +270,29 @@ def land_files(rows: int) -> int:
     return max(LEAST_FILES, -(-rows // FILE_ROWS))
 
 
-def land_in_order(rows: DataFrame, order: str, out_dir: str, drop: tuple = (), form: str = "json") -> int:
+def land_in_order(rows: DataFrame, order: str, out_dir: str, drop: tuple = (), form: str = "json",
+                  landed: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Land ``rows`` in files that a file stream reads in the order of column
     ``order``: a range sort deals them over files, and the files' modification
     times, which the file source goes by, follow the order.  (The file system must
     keep times that are set, as HDFS and local disks do; on an object store land
     the ranges one after the other.)  Adds to what landed before; returns the
-    number of files."""
+    number of files.
+
+    ``rows`` are read for their number, for the borders of the ranges and for the
+    sort, so they should come from a stored table.  ``landed`` makes the written
+    rows of the sorted ones, row by row: long texts then are neither kept nor
+    shuffled, and are written compressed."""
     spark = rows.sparkSession
-    rows = materialize(rows, "landing")
     n = rows.count()
     if not n:
         return 0
     files = land_files(n)
     staged = scratch_path(spark, "landed")
-    out = rows.repartitionByRange(files, order).sortWithinPartitions(order).drop(*drop).write
-    out.text(staged) if form == "text" else out.format(form).save(staged)
+    out = rows.repartitionByRange(files, order).sortWithinPartitions(order)
+    out = (landed(out) if landed else out).drop(*drop).write
+    out = out.format(form) if form == "parquet" else out.format(form).option("compression", "gzip")
+    out.save(staged)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -292,19 +306,26 @@ def land_in_order(rows: DataFrame, order: str, out_dir: str, drop: tuple = (), f
     return len(parts)
 
 
-def command_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Command events as they land (deliveries of four events)."""
-    c = views.command_events(spark, sf_dir)
+def command_rows(ev: DataFrame) -> DataFrame:
+    """Rows of ``events`` as command events, as they land (deliveries of four events)."""
+    c = views.command_events_of(ev)
     return c.select("event_id", F.floor(F.col("event_id") / 4).cast("bigint").alias("delivery_id"), "ts", "channel", "value")
 
 
-def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 5000) -> None:
+def land_webhooks(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = ARRAY_ROWS) -> None:
     """Land webhook events as files that each hold one JSON array (read with
     ``multiLine``); each array holds at most ``per_file`` consecutive events."""
     w = webhook_payloads(spark, sf_dir)
     webhook_arrays(w, per_file).select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(out_dir)
 
 
+def files_in(spark: SparkSession, folder: str) -> int:
+    """Number of landed files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return sum(1 for f in listed if f.getPath().getName().startswith("part-"))
+
+
 def webhook_arrays(payloads: DataFrame, per_file: int) -> DataFrame:
     """JSON arrays of at most ``per_file`` consecutive events (_f, value)."""
     return payloads.groupBy(F.floor(F.col("event_id") / per_file).alias("_f")).agg(
