@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from voxtide.llm.common import lean, pieces as slices
 
 SPACE = "▁"
-KEEP_WORDS = 300_000
+#: Encoded words kept by a worker, and text bytes coded at once: small beside the worker itself.
+KEEP_WORDS, SLICE = 40_000, 1 << 17
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _NONE = np.iinfo(np.int32).max
 
@@ -222,7 +223,7 @@ def _coder(shared, with_ids: bool):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            for part, _ in slices(batch):
+            for part, _ in slices(batch, limit=SLICE):
                 coded = encode_texts(vocabulary, [t or "" for t in part.column(1).to_pylist()], _KEPT)
                 numbers = [np.frombuffer(c, "<u4") for c in coded]
                 decoded = [vocabulary.decode(n.tolist()) for n in numbers]
