@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Flat, labelled_sample, lean, mix, pieces, segment_hash
+from voxtide.llm.common import Flat, labelled_sample, lean, mix, pieces, release, segment_hash
 
 SAMPLE, SAMPLE_LINES, SAMPLE_CHARS = 800, 80, 50_000
+#: Text bytes of the sample described at once on the driver.
+TRAIN_PIECE = 1 << 17
 LEAST_CONTENT, LEAST_WORDS, MOST_REPEATED = 0.5, 50, 50
 FEATURES = ("bias", "symbols", "capitals", "digits", "same_word", "repeated", "seen_line", "marks", "short", "word_length")
 ROUNDS, RATE, DECAY = 100, 0.1, 1e-3
@@ -186,19 +188,32 @@ def _fit(x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[Field, np.ndar
     return Field(w, t), node[:, :, 1]
 
 
+def _sample_lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document number, place in it and features of the lines that train the field.
+    The flat arrays of a piece take some sixty times its bytes; the driver holds
+    those of one piece at a time."""
+    at, parts = 0, [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(FEATURES))))]
+    for _, flat in pieces(pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), limit=TRAIN_PIECE):
+        lines = Lines(flat)
+        place = np.arange(len(lines.of)) - np.searchsorted(lines.of, np.arange(flat.n))[lines.of]
+        use = place < SAMPLE_LINES
+        parts.append((lines.of[use] + at, place[use], lines.x[use]))
+        at += flat.n
+    return tuple(map(np.concatenate, zip(*parts)))
+
+
 def train(texts: list[str], good: list[int]) -> Field:
     if len(set(good)) < 2:
         return Field(np.array([[0.0, 1.0]] + [[0.0, 0.0]] * (len(FEATURES) - 1)), np.zeros((2, 2)))
-    lines = Lines(Flat(pa.array(texts, pa.large_string())))
-    first = np.searchsorted(lines.of, np.arange(len(texts)))
-    place = np.arange(len(lines.of)) - first[lines.of]
-    use = place < SAMPLE_LINES
-    width = max(int(place[use].max(initial=0)) + 1, 2)
+    of, place, feature = _sample_lines(texts)
+    width = max(int(place.max(initial=0)) + 1, 2)
     x, mask = np.zeros((len(texts), width, len(FEATURES))), np.zeros((len(texts), width))
-    x[lines.of[use], place[use]], mask[lines.of[use], place[use]] = lines.x[use], 1
+    x[of, place], mask[of, place] = feature, 1
     y = np.repeat(np.array(good, float)[:, None], width, 1)
     _, chance = _fit(x, mask, y)
-    return _fit(x, mask, np.where(chance > 0.8, 1.0, y))[0]
+    field = _fit(x, mask, np.where(chance > 0.8, 1.0, y))[0]
+    release()
+    return field
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
