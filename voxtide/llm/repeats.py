@@ -42,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtide.llm.common import Bitmap, Flat, blob, materialize, mix, pieces, ranges, segment_hash, spread_join
+from voxtide.llm.common import Bitmap, Flat, blob, dealt_join, lean, materialize, mix, pieces, ranges, release, segment_hash
 
 WINDOW, SYMBOL = 50, 10
 FIRST, SECOND = 24, 37
@@ -117,8 +118,11 @@ def _tokens(buckets: int):
     often it is met in the pack, as a power of two."""
     def pack(parts):
         token, doc = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((doc, token))
-        token, doc = token[order], doc[order]
+        # a representative has 43 bits, numbers of a pack's ids fit below: one sort of plain numbers
+        run = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        _, number = np.unique(doc[run], return_inverse=True)
+        both = np.sort((token << np.uint64(16)) | np.repeat(number, np.diff(np.append(run, len(doc)))).astype(np.uint64))
+        token, doc = both >> np.uint64(21) << np.uint64(5), both & np.uint64((1 << 21) - 1)
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         twice = np.zeros(len(token), np.uint8)
         twice[1:] = (token[1:] == token[:-1]) & (doc[1:] != doc[:-1])
@@ -186,11 +190,11 @@ def _strings(buckets: int, shared):
     def pack(parts):
         size, k, t, ids, token, body = (np.concatenate(c) for c in zip(*parts))
         start = np.cumsum(size) - size
-        order = np.lexsort((ids, t, k))
+        order = np.argsort(k)                       # a hash met by two strings only leaves more rows
         k, t, ids = k[order], t[order], ids[order]
         first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])]))
         n = np.diff(np.append(first, len(k)))
-        high, low, k, t, one = np.maximum.reduceat(ids, first), ids[first], k[first], t[first], order[first]
+        high, low, k, t, one = np.maximum.reduceat(ids, first), np.minimum.reduceat(ids, first), k[first], t[first], order[first]
         place = np.where(size[one] == 0, mix(k.view(np.uint64)), token[one])
         bucket = ((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         order = np.argsort(bucket, kind="stable")
@@ -228,6 +232,15 @@ def _stable_order(key: np.ndarray) -> np.ndarray:
     return order[np.argsort(high[order], kind="stable")] if high.any() else order
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """Stable sort order of numbers from 0: with their places below them as one
+    plain number each, where that fits."""
+    bits = max(len(key) - 1, 1).bit_length()
+    if not len(key) or int(key.max()) >> (63 - bits):
+        return np.argsort(key, kind="stable")
+    return np.sort((key << bits) | np.arange(len(key))) & ((1 << bits) - 1)
+
+
 class Transform:
     """Shards of strings, each with the sorted order of its rotations."""
 
@@ -257,13 +270,14 @@ class Transform:
         """The shard's rotations in order, by doubling ranks of symbol prefixes."""
         lo = places[0]
         rank, step = self.symbol[places], self.after[places] - lo
-        _, rank = np.unique(rank, return_inverse=True)
-        for _ in range(8):
-            key = rank * (len(places) + 1) + rank[step]
-            order = np.argsort(key, kind="stable")
+        for doubling in range(9):
+            key = rank * (len(places) + 1) + rank[step] if doubling else rank
+            order = _order(key)
             rise = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
             rank = np.empty(len(places), np.int64)
             rank[order] = rise
+            if not doubling:
+                continue
             if rise[-1] == len(places) - 1:
                 break
             step = step[step]
@@ -287,6 +301,14 @@ class Transform:
         return merged, block
 
 
+def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal hashes together, first places first, and what
+    it goes by: the hash's top bits above the place, sorted as one plain number."""
+    bits = max(len(hashes) - 1, 1).bit_length()
+    both = np.sort((hashes >> np.uint64(bits) << np.uint64(bits)) | np.arange(len(hashes), dtype=np.uint64))
+    return (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+
+
 def smallest_owner(body: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """For every window of distinct strings the smallest owner of a string that has it."""
     windows = size - WINDOW + 1
@@ -295,8 +317,8 @@ def smallest_owner(body: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.
     string = np.repeat(np.arange(len(size)), windows)
     at = ranges(start, windows)
     seen = representatives(_VALUE[body], SECOND)[at]
-    order = np.lexsort((string, seen))
-    seen, of = seen[order], string[order]
+    order, seen = _grouped(seen)
+    of = string[order]
     head = np.concatenate([[True], seen[1:] != seen[:-1]])
     other = np.zeros(len(seen), bool)
     other[1:] = ~head[1:] & (of[1:] != of[:-1])
@@ -351,6 +373,7 @@ def _resolve(group: pa.Table) -> pa.Table:
         found, lists = _runs(least, size[part], high[part])
         parts.append(pa.table({"k": k[part][found], "t": t[part][found], "n": n[part][found], "runs": lists}))
         a = b
+    release()
     return pa.concat_tables(parts)
 
 
@@ -386,21 +409,23 @@ def _places(shared, wanted):
     return run
 
 
-def _kept(text: bytes, spans: list) -> tuple[int, int, bytes]:
-    """Removed bytes, maximal removed runs, and what stays."""
-    removed = runs = at = 0
-    out = []
-    end = -1
-    for a, b in sorted(spans):
-        if a > end:
-            runs += 1
-            out.append(text[at:a])
-            removed += b - a
-        elif b > end:
-            removed += b - end
-        end = max(end, b)
-        at = end
-    return removed, runs, b"".join([*out, text[at:]])
+def _digests(raw: np.ndarray, off: np.ndarray) -> pa.Array:
+    view = memoryview(np.ascontiguousarray(raw))
+    at = off.tolist()
+    return pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
+
+
+def _kept(flat: Flat, of: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per document the removed bytes and maximal removed runs, and what stays of
+    all with its offsets; the spans (document ``of``, bytes ``a`` to ``b``) may overlap."""
+    edges = np.bincount(flat.off[of] + a, minlength=len(flat.buf) + 1) - np.bincount(flat.off[of] + b, minlength=len(flat.buf) + 1)
+    gone = np.cumsum(edges)[:-1] > 0
+    starts = gone.copy()
+    starts[1:] &= ~gone[:-1]
+    full = flat.off[:-1][flat.off[1:] > flat.off[:-1]]
+    starts[full] = gone[full]                   # a run ends with its document
+    removed, runs = (np.concatenate([[0], np.cumsum(c)])[flat.off] for c in (gone, starts))
+    return np.diff(removed), np.diff(runs), flat.buf[~gone], flat.off - removed
 
 
 _RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -412,9 +437,9 @@ def _untouched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = batch.filter(pa.array(~shared.value.has(mix(_ids(batch.column(0)).view(np.uint64)))))
-            texts = [(t or "").encode() for t in rest.column(1).to_pylist()]
-            zero = pa.array(np.zeros(len(texts), np.int64))
-            yield pa.RecordBatch.from_arrays([rest.column(0).cast(pa.int64()), pa.array(map(len, texts), pa.int64()), zero, zero, pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], _RESULT_NAMES)
+            for part, flat in pieces(rest):
+                zero = pa.array(np.zeros(flat.n, np.int64))
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(np.diff(flat.off)), zero, zero, _digests(flat.buf, flat.off)], _RESULT_NAMES)
     return run
 
 
@@ -431,18 +456,17 @@ def _touched(shared):
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            raw = (text or "").encode()
-            removed, runs, left = _kept(raw, [(s["a"], s["b"]) for s in spans or []])
-            rows.append((doc_id, len(raw), removed, runs, hashlib.sha256(left).hexdigest()))
-        columns = zip(*rows) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (*[pa.int64()] * 4, pa.string()))], _RESULT_NAMES)
+        for part, flat in pieces(batch):
+            lists = part.column(2)
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            a, b = (np.asarray(c, np.int64) for c in lists.flatten().flatten())
+            removed, runs, left, off = _kept(flat, np.repeat(np.arange(flat.n), n), a, b)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in (np.diff(flat.off), removed, runs)), _digests(left, off)], _RESULT_NAMES)
 
 
 def _screens(docs: DataFrame, buckets: int):
     """Broadcast bitmaps of the representatives met in two documents and of the hot ones."""
-    tokens = docs.mapInArrow(_tokens(buckets), "bucket int, tokens binary")
+    tokens = docs.mapInArrow(lean(_tokens(buckets)), "bucket int, tokens binary")
     repeated = materialize(tokens.groupBy("bucket").applyInArrow(_repeated, "token bigint, n bigint"), "repeat-tokens")
     hot = repeated.where(F.col("n") > HOT)
     return docs.sparkSession.sparkContext.broadcast((Bitmap(repeated.select("token"), repeated.count(), MOST_BITS), Bitmap(hot.select("token"), hot.count(), MOST_BITS)))
@@ -455,12 +479,12 @@ def spans(docs: DataFrame) -> DataFrame:
     shared = _screens(docs, buckets)
     # several buckets a task: a task holds one at a time.  The strings are not kept:
     # their places are found again in a second pass, which costs less than the disk
-    strings = docs.mapInArrow(_strings(4 * buckets, shared), _STRINGS)
+    strings = docs.mapInArrow(lean(_strings(4 * buckets, shared)), _STRINGS)
     resolved = materialize(strings.groupBy("bucket").applyInArrow(_resolve, "k bigint, t int, n bigint, runs array<struct<a: int, b: int, least: bigint>>"), "repeat-runs")
     wanted = spark.sparkContext.broadcast(Bitmap(resolved.select("k"), resolved.count(), MOST_BITS))
-    places = docs.mapInArrow(_places(shared, wanted), "k bigint, t int, pos int, id bigint, text_hash bigint")
+    places = docs.mapInArrow(lean(_places(shared, wanted)), "k bigint, t int, pos int, id bigint, text_hash bigint")
     total = resolved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    met = spread_join(places, resolved, ["k", "t"], "n", total).where("runs is not null")
+    met = dealt_join(places, resolved, ["k", "t"], "n", total, ["id", "pos"])
     run = met.select("id", "text_hash", "pos", F.explode("runs").alias("run")).where("run.least < id")
     one = F.struct((F.col("pos") + F.col("run.a")).alias("a"), (F.col("pos") + F.col("run.b") + WINDOW).alias("b"))
     return run.select("id", "text_hash", one.alias("span")).groupBy("id", "text_hash").agg(F.collect_set("span").alias("spans"))
@@ -472,9 +496,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = materialize(spans(texts), "repeat-spans")
     ids = found.select("id").mapInArrow(_hash_ids, "hash bigint")
     shared = docs.sparkSession.sparkContext.broadcast(Bitmap(ids, found.count(), MOST_BITS))
-    touched = texts.mapInArrow(_touched(shared), "doc_id bigint, id bigint, text_hash bigint, text string")
-    cut = touched.join(found, ["id", "text_hash"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, _RESULT)
-    return texts.mapInArrow(_untouched(shared), _RESULT).unionByName(cut)
+    touched = texts.mapInArrow(lean(_touched(shared)), "doc_id bigint, id bigint, text_hash bigint, text string")
+    cut = touched.join(found, ["id", "text_hash"], "left").select("doc_id", "text", "spans").mapInArrow(lean(_cut), _RESULT)
+    return texts.mapInArrow(lean(_untouched(shared)), _RESULT).unionByName(cut)
 
 
 def _hash_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
