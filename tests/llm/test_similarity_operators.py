@@ -75,6 +75,48 @@ def test_frequent_shingles_change_the_order_only(spark, monkeypatch):
         assert result(shingle_join.near_duplicates(docs)) == want
 
 
+def test_documents_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    """A chain in which each document shares a passage with the next is no component to compare pair by pair."""
+    r = random.Random(8)
+    own = [r.choices([f"u{i}" for i in range(900)], k=12) for _ in range(200)]
+    rows = [(i, " ".join(own[i] + r.choices([f"o{k}" for k in range(900)], k=30) + own[(i + 1) % 200])) for i in range(200)] + [(500, "a b c d e f g h i j k l m"), (501, "a b c d e f g h i j k l m n")]
+    crowds, tiles = [], shingle_join._tiles
+    monkeypatch.setattr(shingle_join, "_tiles", lambda classes, *a: (crowds.append(max((x["count"] for x in classes.groupBy("root").count().collect()), default=0)), tiles(classes, *a))[1])
+    assert result(shingle_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))) == brute_components(rows)
+    assert max(crowds) < 20
+
+
+@pytest.mark.parametrize("pairs", [1, 250_000])
+def test_a_bucket_joins_what_admitted_pairs_join(monkeypatch, pairs):
+    monkeypatch.setattr(shingle_join, "PAIRS", pairs)
+    monkeypatch.setattr(shingle_join, "NEXT", 1)
+    rng = np.random.default_rng(3)
+    rows = 160
+    token, vertex, size = rng.integers(0, 6, rows).astype(np.uint64), rng.integers(0, 90, rows), None
+    of = rng.integers(20, 60, 90)
+    size, place = of[vertex].astype(np.int32), rng.integers(0, 9, rows).astype(np.int32)
+    base = rng.integers(0, 2**63, (3, 2)).astype(np.uint64)
+    sketch = (base[rng.integers(0, 3, 90)] ^ (np.uint64(1) << rng.integers(0, 63, (90, 2)).astype(np.uint64)))[vertex]
+    parent = list(range(90))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(rows):
+        for j in range(rows):
+            a, b = sorted((int(size[i]), int(size[j])))
+            need = -(-80 * (a + b) // 180)
+            differ = sum(bin(int(p) ^ int(q)).count("1") for p, q in zip(sketch[i], sketch[j]))
+            if token[i] == token[j] and b <= a * 100 // 80 and place[i] <= size[i] - need and place[j] <= size[j] - need and (a + b - differ) // 2 >= need:
+                parent[find(vertex[i])] = find(vertex[j])
+    edges = shingle_join._connect(token, vertex, size, place, sketch, 80)
+    got = dict(zip(*map(np.ndarray.tolist, edges.T)))
+    want = {int(v) for v in vertex}
+    assert len({find(v) for v in want}) == len(want) - len(got)
+    assert got and all(find(a) == find(b) for a, b in got.items())
+
+
 def test_bitmap_bound_admits_every_pair():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 700, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in rng.integers(1, 400, 60)]

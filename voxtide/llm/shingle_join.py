@@ -8,10 +8,12 @@ equal sets form one class.
    order is (frequent, hash): shingles met often in the hash-order prefixes of
    all documents come last.  The set of frequent shingles is a bitmap of at most 32 MB whose
    chance hits only move a shingle back, so every order it gives finds every
-   pair.  The prefix members go to buckets as packed arrays; documents that share
-   one in neighbouring size bands get an edge to one of them (never all pairs),
-   first within a task, then within the bucket.  Components of these edges hold
-   every linked pair.
+   pair.  The prefix members go to buckets as packed arrays, each with its place in
+   the order, its set's size and a bitmap of 128 bits.  Of documents that share one,
+   those get an edge whose sizes, places and bitmaps admit a link; within a bucket
+   none are compared that earlier edges have joined, and only a forest of the
+   edges leaves it.  Components of these edges hold every linked pair, and grow
+   with what is alike, not with what shares a shingle by chance.
 2. Tiles.  A component is a tile.  One of more than ``TILE`` classes or
    ``TILE_SHINGLES`` shingles is cut into size bands (a linked pair lies in the same or adjacent bands) and a band into
    blocks, of which every pair of blocks is a tile, so no task holds more than
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtide.llm.common import Bitmap, Flat, blob, keep_rows, lean, materialize, mix, pieces, ranges, release, segment_hash, spread_join
-from voxtide.llm.components import components
+from voxtide.llm.components import _stars, components
 
 WORDS = 5
 #: A shingle in this many hash-order prefixes counts as frequent.
@@ -51,6 +53,11 @@ FREQUENT = 4
 TILE, FLUSH = 1_000, 1_000_000
 #: Shingles of a tile (32 MB): longer sets make smaller blocks.
 TILE_SHINGLES = 4_000_000
+#: Bits of the bitmap that travels with each prefix member, neighbours by size
+#: that are compared first, and pairs that a task compares at once.
+SKETCH, NEXT, PAIRS = 128, 8, 250_000
+#: Prefix members with their bitmaps that a task packs at once, and buckets a shuffle partition.
+ROWS, FINER = 400_000, 3
 _K = [np.uint64(k) for k in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -91,17 +98,26 @@ class Sets:
             out.append(mix(run[self.off[1:]] - run[self.off[:-1]] + self.n.astype(np.uint64)).view(np.int64))
         return tuple(out)
 
-    def prefixes(self, percent: int, frequent: Bitmap | None = None) -> np.ndarray:
-        """Which values belong to the prefixes."""
-        length = np.where(self.n > 0, self.n + (-percent * self.n // 100) + 1, 0)
+    def places(self, frequent: Bitmap | None = None) -> np.ndarray:
+        """Each value's place among those of its set, in the order of all shingles."""
         place = np.arange(len(self.values)) - self.off[self.of]
         if frequent is None:
-            return place < length[self.of]
+            return place
         late = frequent.has(self.values)
         behind = np.concatenate([[0], np.cumsum(late)])
         before = behind[:-1] - behind[self.off[self.of]]            # frequent ones of the document so far
         rare = self.n - (behind[self.off[1:]] - behind[self.off[:-1]])
-        return np.where(late, rare[self.of] + before, place - before) < length[self.of]
+        return np.where(late, rare[self.of] + before, place - before)
+
+    def prefixes(self, percent: int, places: np.ndarray | None = None) -> np.ndarray:
+        """Which values belong to the prefixes."""
+        length = np.where(self.n > 0, self.n + (-percent * self.n // 100) + 1, 0)
+        return (self.places() if places is None else places) < length[self.of]
+
+    def sketches(self) -> np.ndarray:
+        """A row of ``SKETCH`` bits for each set: of which hashes it has an odd number."""
+        odd = np.bincount(self.of * SKETCH + (self.values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=len(self.n) * SKETCH) & 1
+        return np.packbits(odd.astype(np.uint8)).reshape(len(self.n), -1)
 
 
 def _bucket(tokens: np.ndarray, buckets: int) -> np.ndarray:
@@ -148,72 +164,118 @@ def _describe(percent: int, shared):
         for batch in batches:
             for part, flat in pieces(batch):
                 s = Sets(flat)
-                pick = s.prefixes(percent, shared.value)
-                at = np.concatenate([[0], np.cumsum(pick)])[s.off] * 8
-                tokens = blob(s.values[pick])
+                place = s.places(shared.value)
+                pick = s.prefixes(percent, place)
+                at = np.concatenate([[0], np.cumsum(pick)])[s.off]
+                tokens, places, at = blob(s.values[pick]), blob(place[pick].astype(np.int32)), list(zip(at[:-1].tolist(), at[1:].tolist()))
                 d1, d2 = s.digests()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(s.n), pa.array(d1), pa.array(d2),
-                     pa.array([tokens[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()),
+                     pa.array([tokens[a * 8:b * 8] for a, b in at], pa.binary()), pa.array([places[a * 4:b * 4] for a, b in at], pa.binary()),
+                     pa.array([blob(x) for x in s.sketches()], pa.binary()),
                      pa.array([blob(signature(s.values[a:b])) for a, b in zip(s.off[:-1].tolist(), s.off[1:].tolist())], pa.binary())],
-                    ["doc_id", "n_shingles", "d1", "d2", "prefix", "sign"])
+                    ["doc_id", "n_shingles", "d1", "d2", "prefix", "place", "sketch", "sign"])
     return run
 
 
-def band(n: np.ndarray, percent: int) -> np.ndarray:
-    """Size band: linked sets lie in the same or adjacent bands (the width is a
-    little over 100 / percent, so rounding can't part them further)."""
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent * 1.008)).astype(np.uint8)
-
-
-def _connect(token, vertex, low, high):
-    """Rows (token, vertex, band interval) → one row for each run of touching
-    intervals of a token, and an edge from each other vertex to the run's first."""
-    order = np.lexsort((low, token))
-    token, vertex, low, high = token[order], vertex[order], low[order], high[order]
-    if not len(token):
-        return (token, vertex, low, high), np.zeros((0, 2), np.int64)
-    new = np.concatenate([[True], token[1:] != token[:-1]])
-    reach = np.maximum.accumulate(np.cumsum(new) * 512 + high) - np.cumsum(new) * 512       # highest band of the token so far
-    new[1:] |= low[1:] > reach[:-1] + 1
-    first = np.flatnonzero(new)
-    head = vertex[first][np.cumsum(new) - 1]
-    other = vertex != head
-    edges = np.unique(np.stack([vertex[other], head[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return (token[first], vertex[first], low[first], np.maximum.reduceat(high, first)), edges
-
-
-_PACKED = "bucket int, token binary, vertex binary, low binary, high binary"
-
-
-def _scatter(percent: int, buckets: int):
-    """Prefix members of the documents by bucket; edges found within the task go
-    to buckets below zero."""
+def _admitted(x, y, size, place, sketch, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of rows x, y that share a token, those that may be linked by
+    it as the first one shared: the members before it are then in one set only,
+    and the sketches' differing bits bound the overlap."""
+    both = size[x] + size[y]
+    need = -(-percent * both // (100 + percent))
+    ok = np.flatnonzero((place[x] <= size[x] - need) & (place[y] <= size[y] - need))
+    x, y, both, need = x[ok], y[ok], both[ok], need[ok]
+    ok = (both - np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)) // 2 >= need
+    return x[ok], y[ok]
+
+
+def _spans(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (k, i) with low[k] <= i < high[k], about ``PAIRS`` at a time (one row's go together)."""
+    many = np.maximum(high - low, 0)
+    upto, at = np.cumsum(many), 0
+    while at < len(many):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        yield np.repeat(np.arange(at, to), many[at:to]), ranges(low[at:to], many[at:to])
+        at = to
+
+
+def _connect(token, vertex, size, place, sketch, percent: int) -> np.ndarray:
+    """Rows (token, vertex, set size, place of the token, sketch) → edges from each
+    vertex to the first of those that admitted pairs join it to."""
+    order = np.argsort(token, kind="stable")
+    fresh = np.concatenate([[True], token[order][1:] != token[order][:-1], [True]]) if len(token) else np.ones(1, bool)
+    order = order[~(fresh[:-1] & fresh[1:])] if len(token) else order       # a token of one row joins nothing
+    if not len(order):
+        return np.zeros((0, 2), np.int64)
+    order = order[np.lexsort((size[order], token[order]))]
+    token, vertex, size, place, sketch = token[order], vertex[order], size[order].astype(np.int64), place[order], sketch[order]
+    run = np.cumsum(np.concatenate([[False], token[1:] != token[:-1]]))
+    names, vertex = np.unique(vertex, return_inverse=True)
+    label = np.arange(len(names))
+
+    def join(x, y):
+        nonlocal label
+        x, y = label[vertex[x]], label[vertex[y]]
+        if (x != y).any():
+            to = np.arange(len(names))
+            of, least = _stars(x, y)
+            to[of] = least
+            label = to[label]
+
+    for step in range(1, NEXT + 1):             # neighbours by size first: copies of a text are then joined
+        k = np.arange(len(token) - step)
+        k = k[(run[k] == run[k + step]) & (size[k + step] <= size[k] * 100 // percent) & (label[vertex[k]] != label[vertex[k + step]])]
+        join(*_admitted(k, k + step, size, place, sketch, percent))
+    # the largest component of each token is not compared with itself
+    count = np.unique(np.stack([run, label[vertex]], 1), axis=0, return_counts=True)
+    best = np.lexsort((count[1], count[0][:, 0]))
+    last = best[np.concatenate([count[0][best][1:, 0] != count[0][best][:-1, 0], [True]])]
+    main = label[vertex] == count[0][last, 1][run]
+    order = np.lexsort((size, main, run))
+    vertex, size, place, sketch, part = vertex[order], size[order], place[order], sketch[order], (run * 2 + main)[order]
+    key = part * (1 << 32) + size
+    few = np.flatnonzero(part % 2 == 0)
+    least, most = -(-size[few] * percent // 100), size[few] * 100 // percent
+    for low, high in ((few + 1, np.searchsorted(key, part[few] * (1 << 32) + most, "right")),
+                      (np.searchsorted(key, (part[few] + 1) * (1 << 32) + least), np.searchsorted(key, (part[few] + 1) * (1 << 32) + most, "right"))):
+        for x, y in _spans(low, high):
+            x = few[x]
+            apart = label[vertex[x]] != label[vertex[y]]
+            join(*_admitted(x[apart], y[apart], size, place, sketch, percent))
+    joined = label != np.arange(len(names))
+    return np.stack([names[joined], names[label[joined]]], 1)
+
+
+_FIELDS = {"token": np.uint64, "vertex": np.int64, "size": np.int32, "place": np.int32, "sketch": np.uint64}
+_PACKED = ", ".join(["bucket int", *(f"{name} binary" for name in _FIELDS)])
+
+
+def _scatter(buckets: int):
+    """Prefix members of the documents by bucket."""
     def pack(parts):
-        rows, edges = _connect(*map(np.concatenate, zip(*parts)))
+        rows = [np.concatenate(c) for c in zip(*parts)]
+        order = np.argsort(rows[0])
+        rows = [c[order] for c in rows]
         cut = np.searchsorted(_bucket(rows[0], buckets), np.arange(buckets + 1))
         full = np.flatnonzero(np.diff(cut))
-        columns = [[blob(c[cut[i]:cut[i + 1]]) for i in full] for c in rows]
-        names = full.tolist()
-        if len(edges):
-            names.append(-1 - int(edges[0, 0] % buckets))
-            for c, x in zip(columns, (blob(edges[:, 0]), blob(edges[:, 1]), b"", b"")):
-                c.append(x)
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["bucket", "token", "vertex", "low", "high"])
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array([blob(c[cut[i]:cut[i + 1]]) for i in full], pa.binary()) for c in rows)], ["bucket", *_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
             n, vertex = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            prefix = batch.column(2).to_pylist()
+            prefix, place, sketch = (batch.column(i).to_pylist() for i in (2, 3, 4))
             _, once = np.unique(vertex, return_index=True)      # copies send their prefix once
             for k in range(0, len(once), 1000):
                 some = once[k:k + 1000]
                 length = np.array([len(prefix[i]) // 8 for i in some], np.int64)
-                b = np.repeat(band(n[some], percent), length)
-                parts.append((np.frombuffer(b"".join(prefix[i] for i in some), np.uint64), np.repeat(vertex[some], length), b, b))
-                size += len(b)
-                if size >= FLUSH:
+                of = np.repeat(np.arange(len(some)), length)
+                own = np.frombuffer(b"".join(sketch[i] for i in some), np.uint64).reshape(len(some), -1)
+                parts.append((np.frombuffer(b"".join(prefix[i] for i in some), np.uint64), vertex[some][of], n[some][of].astype(np.int32),
+                              np.frombuffer(b"".join(place[i] for i in some), np.int32), own[of]))
+                size += len(of)
+                if size >= ROWS:
                     yield pack(parts)
                     parts, size = [], 0
         if size:
@@ -221,13 +283,14 @@ def _scatter(percent: int, buckets: int):
     return run
 
 
-def _meet(group: pd.DataFrame) -> pd.DataFrame:
-    if group["bucket"].iloc[0] < 0:
-        a, b = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("token", "vertex"))
-        edges = np.unique(np.stack([a, b], 1), axis=0)
-    else:
-        _, edges = _connect(*(np.frombuffer(b"".join(group[c]), t) for c, t in (("token", np.uint64), ("vertex", np.int64), ("low", np.uint8), ("high", np.uint8))))
-    return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+def _meet(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = [np.frombuffer(b"".join(group[name]), kind) for name, kind in _FIELDS.items()]
+        edges = _connect(*rows[:-1], rows[-1].reshape(len(rows[0]), -1), percent)
+        del rows
+        release()
+        return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+    return run
 
 
 def _fetch(shared):
@@ -301,7 +364,10 @@ def link(n: np.ndarray, signs: list[np.ndarray], allowed, percent: int, sets: li
 
 def _tile_links(percent: int, exact: bool):
     """Edges from each class of a tile to one class of its component."""
+    held = 0                            # shingles since memory was released: most tiles are too small to pay for it
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        nonlocal held
         group = group.sort_values(["n_shingles", "cls"])
         sets = [np.frombuffer(m, np.uint64) for m in group["members"]] if exact else None
         signs = [signature(s) for s in sets] if exact else [np.frombuffer(s, np.uint64) for s in group["sign"]]
@@ -317,8 +383,11 @@ def _tile_links(percent: int, exact: bool):
         label = link(group["n_shingles"].to_numpy(), signs, allowed, percent, sets)
         cls = group["cls"].to_numpy()
         out = pd.DataFrame({"a": cls, "b": cls[label]})
-        del sets, signs
-        release()
+        held += int(group["n_shingles"].sum())
+        del sets, signs, group
+        if held > FLUSH:
+            release()
+            held = 0
         return out[out["a"] != out["b"]]
     return run
 
@@ -328,16 +397,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tile: int = TILE) -> Dat
     set's digest (d1, d2) and group (null: linked with nothing)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     counted = texts.select("text").mapInArrow(lean(_tokens(percent, buckets)), "bucket int, tokens binary")
     often = counted.groupBy("bucket").applyInPandas(_often(FREQUENT), "token bigint")
     often = materialize(often, "shingle-frequent")
     frequent = spark.sparkContext.broadcast(Bitmap(often, often.count(), 28))
-    rows = materialize(texts.mapInArrow(lean(_describe(percent, frequent)), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary, sign binary"), "shingle-rows")
+    rows = materialize(texts.mapInArrow(lean(_describe(percent, frequent)), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, prefix binary, place binary, sketch binary, sign binary"), "shingle-rows")
 
-    packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix").mapInArrow(lean(_scatter(percent, buckets)), _PACKED)
-    near = components(packed.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint"))
+    packed = rows.where("n_shingles > 0").select("n_shingles", "d1", "prefix", "place", "sketch").mapInArrow(lean(_scatter(buckets)), _PACKED)
+    near = components(packed.groupBy("bucket").applyInPandas(_meet(percent), "a bigint, b bigint"))
 
     classes = (rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
                                                                      F.count("*").alias("copies"), F.first("sign").alias("sign"))
